@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame
 from syncloom.functions.columns import quoted
 from syncloom.plans.spec import SpecError
 
-_BREAK = re.compile(r"[_\s\-]+|(?<=[a-z0-9])(?=[A-Z])")
+_BREAK = re.compile(r"[_\s\-]+|(?<=[a-z])(?=[A-Z])|(?<=[0-9])(?=[A-Z][a-z])")
 
 
 def words(name: str) -> list[str]:
-    """Split at ``_``, ``-``, spaces and where a lower-case letter meets an upper-case one."""
+    """Split at ``_``, ``-``, spaces and where a lower-case letter, or a digit, meets a capitalized word."""
     return [w for w in _BREAK.split(name) if w]
 
 

@@ -17,6 +17,7 @@ from syncloom.plans.spec import Mapping
 
 CHANGE = "_change"
 INSERT, UPDATE, DELETE, UNCHANGED, KEPT = "insert", "update", "delete", "unchanged", "kept"
+UPSERT = "upsert"
 
 
 def _flagged(df: DataFrame, side: str, flag: str) -> DataFrame:
@@ -62,6 +63,26 @@ def changed_since(src: DataFrame, previous: DataFrame, keys: Sequence[str], igno
     return joined.filter(fresh).select(*[quoted(k) if k in keys else quoted(k, "s") for k in src.columns])
 
 
+def source_delta(
+    src: DataFrame, previous: DataFrame, keys: Sequence[str], ignore: Sequence[str] = (), deletes: bool = False
+) -> DataFrame:
+    """New and changed records, and with ``deletes`` the keys that left the source, from one join with the snapshot.
+
+    ``_change`` is upsert or delete; a delete carries its key only.
+    """
+    if not deletes:
+        return changed_since(src, previous, keys, ignore).withColumn(CHANGE, F.lit(UPSERT))
+    keys = list(keys)
+    fields = sorted(c for c in src.columns if c not in keys and c not in ignore)
+    joined = _flagged(src, "s", "__s").join(previous.alias("p"), keys, "full_outer")
+    here = F.col("__s").isNotNull()
+    fresh = ~F.col("p._fingerprint").eqNullSafe(fingerprint(fields, "s"))
+    return joined.filter(~here | fresh).select(
+        *[quoted(k) if k in keys else quoted(k, "s") for k in src.columns],
+        F.when(here, UPSERT).otherwise(DELETE).alias(CHANGE),
+    )
+
+
 def gone_since(src: DataFrame, previous: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of the previous snapshot that left the source."""
     cols = [quoted(k) for k in keys]
@@ -133,9 +154,9 @@ def plan_changes(
     # an unchanged record keeps every present value, run metadata included
     keep = {c: F.when(there & here & ~changed(pairs), quoted(c, "d")).otherwise(after[c])
             for c in ignore if c in src.columns and c in dst.columns}
-    return joined.select(
-        *[quoted(k) for k in keys], *[keep.get(c, after[c]).alias(c) for c in fields], label.alias(CHANGE)
-    )
+    columns = [*dst.columns, *[c for c in src.columns if c not in dst.columns]]
+    values = [quoted(c) if c in keys else keep.get(c, after[c]).alias(c) for c in columns]
+    return joined.select(*values, label.alias(CHANGE))
 
 
 def end_state(changes: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ def split_by_key(
     missing = _no_key(keys)
     present = df.filter(~missing)
     if duplicates is not None and fits_broadcast(duplicates):
-        valid = present.join(duplicates, keys, "left_anti")
+        valid = present.join(duplicates, keys, "left_anti").select(*[quoted(c) for c in df.columns])
     else:
         valid = single_rows(present, keys)
     twice = duplicates if duplicates is not None else duplicate_keys(df, keys)

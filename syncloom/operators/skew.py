@@ -10,22 +10,28 @@ from syncloom.functions.columns import quoted
 from syncloom.session import fits_broadcast
 
 _HASH, _SALT, _SALTS = "__key_hash", "__salt", "__salts"
-HOT_KEYS = 1000  # a key is hot from 1/HOT_KEYS of all rows on, so there are never more hot keys than this
-TRACKED = 100_000  # counters in the frequent-items sketch; its error is far below one hot share
+HOT_KEYS = 2000  # a key is hot from 1/HOT_KEYS of all rows on, so there are never more hot keys than this
+TRACKED = 10 * HOT_KEYS  # counters per frequent-items sketch; its error stays well below one hot share
+SKETCH_GROUPS = 256  # sketches are merged in this many groups first, then to one
 
 
 def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     """``(key hash, salts)`` for the keys that hold at least 1/HOT_KEYS of the rows of ``df``.
 
-    One pass with a mergeable sketch: no shuffle of keys, and at most HOT_KEYS rows out. Each hot key gets salts in
-    proportion to its share, so that a salted part is about as large as an average shuffle partition. The list only
-    steers the placement of rows; results do not depend on it.
+    One pass with mergeable sketches: no shuffle of keys, a two-level merge so that no task receives every sketch, and
+    at most HOT_KEYS rows out. Each hot key gets salts in proportion to its share, so that a salted part is about as
+    large as an average shuffle partition. The list only steers the placement of rows; results do not depend on it.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    present = df.select(F.xxhash64(*[quoted(k) for k in on]).alias(_HASH))
-    top = present.agg(
-        F.expr(f"approx_top_k({_HASH}, {HOT_KEYS}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("total")
+    hashes = df.select(
+        F.xxhash64(*[quoted(k) for k in on]).alias(_HASH), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g")
     )
+    count = F.count(F.lit(1)).alias("n")
+    groups = hashes.groupBy("g").agg(F.expr(f"approx_top_k_accumulate({_HASH}, {TRACKED})").alias("sketch"), count)
+    # grouped by a constant: a combine without groups fails on partitions that hold no sketch
+    top = groups.groupBy(F.lit(0).alias("all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"), F.sum("n").alias("total")
+    ).select(F.expr(f"approx_top_k_estimate(sketch, {HOT_KEYS})").alias("top"), "total")
     return (
         top.select(F.explode("top").alias("t"), "total")
         .filter(F.col("t.count") * HOT_KEYS >= F.col("total"))

@@ -6,13 +6,13 @@ from collections.abc import Callable, Mapping as Dict, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from syncloom.functions.columns import quoted
 from syncloom.operators import changes as ch
 from syncloom.operators.fields import validate_fields
 from syncloom.operators.keys import REASON, VALUE, duplicate_keys, split_by_key
-from syncloom.operators.mapping import LookupObject, expand_mappings, project, with_membership
+from syncloom.operators.mapping import LookupObject, project, with_membership
 from syncloom.operators.policies import policies_of
 from syncloom.operators.runs import counters_from, counts_of
 from syncloom.plans.spec import Field, SegmentSpec, SpecError, SyncSpec
@@ -65,14 +65,14 @@ class SyncRunner:
         self, spec: SyncSpec, run_id: str, now: datetime, force_full: bool = False, scheduled_at: datetime | None = None
     ) -> RunResult:
         """Run once. A run id that is already committed is not run again."""
-        done = self.store.committed(run_id)
+        done, prior, seq = self.store.standing(spec.name, run_id)
         if done:
             names = counters_from(0, 0, 0, 0, 0)
             return RunResult(run_id, "completed", {n: done[n] for n in names}, done.high_water_mark)
         row = dict(run_id=run_id, sync_id=spec.name, created_at=now, started_at=now, scheduled_at=scheduled_at,
-                   full_sync=force_full, seq=self.store.next_seq())
+                   full_sync=force_full, seq=seq)
         try:
-            counters, mark, writes = _Run(self, spec, run_id, now, force_full, row["seq"]).execute()
+            counters, mark, writes = _Run(self, spec, run_id, now, force_full, seq, prior).execute()
         except Exception as error:
             self.store.record(**row, status="failed", completed_at=self.clock(), error_message=str(error)[:2000])
             raise
@@ -88,10 +88,11 @@ class SyncRunner:
 
 
 class _Run:
-    def __init__(self, runner: SyncRunner, spec: SyncSpec, run_id: str, now: datetime, full: bool, seq: int) -> None:
+    def __init__(
+        self, runner: SyncRunner, spec: SyncSpec, run_id: str, now: datetime, full: bool, seq: int, prior: Row | None
+    ) -> None:
         self.r, self.spec, self.run_id, self.now, self.full, self.seq = runner, spec, run_id, now, full, seq
-        self.store = runner.store
-        self.prior = self.store.last_completed(spec.name)
+        self.store, self.prior = runner.store, prior
         self.metadata = [m.to for m in spec.mappings if m.type == "sync_metadata"]
 
     def execute(self) -> tuple[dict[str, int], str | None, str | None]:
@@ -188,26 +189,35 @@ class _Run:
 
     def _write_changes(self, valid: DataFrame, previous: DataFrame | None) -> tuple[tuple[int, int, int], str]:
         spec, keys = self.spec, self.spec.keys
-        mappings = expand_mappings(valid.columns, spec) if spec.field_behavior == "specific_properties" else spec.mappings
+        mappings = spec.mappings
         present = self.store.read(spec.object, keys)
-        first_write = present is None
-        if first_write:
-            present = valid.filter(F.lit(False))
+        if present is None:
+            whole, inserts = self._counted(valid.filter(F.lit(False)) if spec.operation == "update" else valid)
+            self.store.write(spec.object, self.run_id, whole)
+            return (inserts.get["n"], 0, 0), "base"
         retyped = any(
             m.follow_source_type and m.to in present.columns and m.to in valid.columns
             and present.schema[m.to].dataType != valid.schema[m.to].dataType
             for m in mappings
         )
         present = ch.evolve(present, valid, mappings)
-        fresh = valid
-        if previous is not None and not self.full:
-            fresh = ch.changed_since(valid, previous, keys, self.metadata)
         mirror = spec.operation == "mirror"
-        gone = None
-        if mirror and spec.mirror_strategy == "sync_updates_and_deletes" and previous is not None:
+        deletes = mirror and spec.mirror_strategy == "sync_updates_and_deletes" and previous is not None
+        fresh, gone = valid, None
+        if previous is not None and not self.full:
+            # what differs from the last run is small as a rule: kept as a table, its size decides the joins below
+            delta = stored(
+                ch.source_delta(valid, previous, keys, self.metadata, deletes),
+                self.store.path("delta", spec.name, self.run_id),
+            )
+            fresh = delta.filter(F.col(ch.CHANGE) != ch.DELETE).drop(ch.CHANGE)
+            if deletes:
+                gone = delta.filter(F.col(ch.CHANGE) == ch.DELETE)
+            if not retyped:
+                present = present.join(delta.select(*[quoted(k) for k in keys]), keys, "left_semi")
+        elif deletes:
             gone = ch.gone_since(valid, previous, keys)
-        nulls = mirror and spec.mirror_strategy == "sync_updates_and_nulls"
-        policies = policies_of(mappings, force_nulls=nulls)
+        policies = policies_of(mappings, force_nulls=mirror and spec.mirror_strategy == "sync_updates_and_nulls")
         if spec.operation == "insert":
             planned = ch.new_records(fresh, present, keys).withColumn(ch.CHANGE, F.lit(ch.INSERT))
         else:
@@ -216,8 +226,10 @@ class _Run:
         counted = Observation()
         labels = (ch.INSERT, ch.UPDATE, ch.DELETE)
         watched = planned.observe(counted, *counts_of(ch.CHANGE, *labels))
-        if first_write or retyped:
-            whole = ch.end_state(watched) if spec.operation != "insert" else watched.drop(ch.CHANGE)
+        if retyped:
+            whole = ch.end_state(watched)
+            if spec.operation == "insert":
+                whole = present.unionByName(whole, allowMissingColumns=True)
             self.store.write(spec.object, self.run_id, whole)
             kind = "base"
         else:

@@ -42,7 +42,7 @@ class ObjectStore:
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
-        spark.createDataFrame([], RUN_SCHEMA).write.mode("ignore").parquet(self._runs_path)
+        self._run_rows([], 0).write.mode("ignore").parquet(self._runs_path)
 
     @property
     def _runs_path(self) -> str:
@@ -53,23 +53,27 @@ class ObjectStore:
     def runs(self) -> DataFrame:
         return self.spark.read.schema(RUN_SCHEMA).parquet(self._runs_path)
 
-    def committed(self, run_id: str) -> Row | None:
-        found = self.runs().filter((F.col("run_id") == run_id) & (F.col("status") == "completed")).take(1)
-        return found[0] if found else None
-
-    def last_completed(self, sync_id: str) -> Row | None:
-        own = self.runs().filter((F.col("sync_id") == sync_id) & (F.col("status") == "completed"))
-        found = own.orderBy(F.desc("seq")).take(1)
-        return found[0] if found else None
-
-    def next_seq(self) -> int:
-        return (self.runs().agg(F.max("seq")).first()[0] or 0) + 1
+    def standing(self, sync_id: str, run_id: str) -> tuple[Row | None, Row | None, int]:
+        """The committed row of this run, the sync's last completed run, and the next sequence number, in one job."""
+        runs, done = self.runs(), F.col("status") == "completed"
+        row = F.struct("seq", *[c for c in runs.columns if c != "seq"])
+        found = runs.agg(
+            F.max(F.when(done & (F.col("run_id") == run_id), row)).alias("same"),
+            F.max(F.when(done & (F.col("sync_id") == sync_id), row)).alias("last"),
+            F.coalesce(F.max("seq"), F.lit(0)).alias("seq"),
+        ).first()
+        return found.same, found.last, found.seq + 1
 
     def record(self, **values: Any) -> None:
         """Append one run row. For a completed run this is the commit."""
-        names = T.StructType.fromDDL(RUN_SCHEMA).fieldNames()
-        row = [utc(v) if isinstance(v, datetime) else v for v in (values.get(n) for n in names)]
-        self.spark.createDataFrame([tuple(row)], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(self._runs_path)
+        self._run_rows(values, 1).write.mode("append").parquet(self._runs_path)
+
+    def _run_rows(self, values: Any, rows: int) -> DataFrame:
+        given = {k: utc(v) if isinstance(v, datetime) else v for k, v in dict(values).items()}
+        fields = T.StructType.fromDDL(RUN_SCHEMA).fields
+        return self.spark.range(0, rows, 1, 1).select(
+            *[F.lit(given.get(f.name)).cast(f.dataType).alias(f.name) for f in fields]
+        )
 
     # ---- objects
 
@@ -84,8 +88,8 @@ class ObjectStore:
     def writes_since_base(self, obj: str) -> list[Row]:
         """Committed writes that make up the object: the last base, if any, and what came after it, in order."""
         own = self.runs().filter((F.col("object") == obj) & (F.col("status") == "completed") & F.col("writes").isNotNull())
-        base = own.filter("writes = 'base'").agg(F.max("seq")).first()[0] or 0
-        return own.filter(F.col("seq") >= base).select("run_id", "writes", "seq").orderBy("seq").collect()
+        base = own.filter("writes = 'base'").agg(F.coalesce(F.max("seq"), F.lit(0))).scalar()
+        return sorted(own.filter(F.col("seq") >= base).select("seq", "run_id", "writes").collect())
 
     def read(
         self, obj: str, keys: Sequence[str] = (), policies: Dict[str, WritePolicy] | None = None
@@ -125,7 +129,7 @@ class ObjectStore:
 
     def _commit_base(self, obj: str, run_id: str, at: datetime) -> None:
         self.record(run_id=run_id, status="completed", created_at=at, started_at=at, completed_at=at, object=obj,
-                    writes="base", seq=self.next_seq())
+                    writes="base", seq=self.standing("", run_id)[2])
 
     # ---- snapshots and rejected records
 

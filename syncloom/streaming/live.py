@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from syncloom.functions.columns import nest, quoted
-from syncloom.operators.changes import CHANGE
+from syncloom.operators.changes import CHANGE, UPSERT
 from syncloom.operators.keys import REASON, VALUE, latest_by_key
 from syncloom.operators.mapping import project
 from syncloom.operators.policies import policies_of
@@ -18,7 +18,6 @@ from syncloom.plans.spec import SyncSpec
 from syncloom.session import stored
 from syncloom.sinks.objects import ORDER, ObjectStore
 
-UPSERT = "upsert"
 SPREAD = 32  # parts the copies of one event are spread over before the keyed de-duplication
 
 
@@ -29,7 +28,8 @@ def fold_batch(batch: DataFrame, spec: SyncSpec, store: ObjectStore, batch_id: i
     The batch writes one row per changed key and never reads the object: its cost follows the batch, not the object.
     """
     run_id = f"{spec.name}-{batch_id:012d}"
-    if store.committed(run_id):
+    done, _, seq = store.standing(spec.name, run_id)
+    if done:
         return
     keys, started = spec.keys, datetime.now(timezone.utc)
     extra = {f"{ORDER}{i}": quoted(c) for i, c in enumerate(order)}
@@ -43,7 +43,7 @@ def fold_batch(batch: DataFrame, spec: SyncSpec, store: ObjectStore, batch_id: i
     store.write_rejected(spec.name, run_id, staged.filter(F.col(REASON).isNotNull()))
     valid = staged.filter(F.col(REASON).isNull()).drop(REASON, VALUE)
     last = latest_by_key(valid, keys, list(extra), policies_of(spec.mappings))
-    written, seq = Observation(), store.next_seq()
+    written = Observation()
     out = last.withColumn(CHANGE, F.lit(UPSERT)).observe(written, F.count(F.lit(1)).alias("n"))
     store.write(spec.object, run_id, out, seq)
     counters = counters_from(0, written.get["n"], 0, seen.get["bad"] or 0, seen.get["n"])
