@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping as Dict, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from syncloom.functions.columns import changed, fingerprint, quoted
 from syncloom.operators.policies import WritePolicy
@@ -50,16 +50,20 @@ def snapshot(src: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()) ->
 
     ``ignore`` names fields that differ on every run (run metadata). The snapshot stays narrow however wide records are.
     """
-    fields = sorted(c for c in src.columns if c not in keys and c not in ignore)
-    return src.select(*[quoted(k) for k in keys], fingerprint(fields).alias("_fingerprint"))
+    marked = fingerprint(_compared(src, keys, ignore)).alias("_fingerprint")
+    return src.select(*[quoted(k) for k in keys], marked)
+
+
+def _compared(src: DataFrame, keys: Sequence[str], ignore: Sequence[str]) -> list[T.StructField]:
+    """The fields that make a record changed, in an order that does not depend on the source's."""
+    return sorted((f for f in src.schema.fields if f.name not in keys and f.name not in ignore), key=lambda f: f.name)
 
 
 def changed_since(src: DataFrame, previous: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
     """The records that are new or differ from the previous snapshot."""
     keys = list(keys)
-    fields = sorted(c for c in src.columns if c not in keys and c not in ignore)
     joined = src.alias("s").join(previous.alias("p"), keys, "left")
-    fresh = ~F.col("p._fingerprint").eqNullSafe(fingerprint(fields, "s"))
+    fresh = ~F.col("p._fingerprint").eqNullSafe(fingerprint(_compared(src, keys, ignore), "s"))
     return joined.filter(fresh).select(*[quoted(k) if k in keys else quoted(k, "s") for k in src.columns])
 
 
@@ -73,10 +77,9 @@ def source_delta(
     if not deletes:
         return changed_since(src, previous, keys, ignore).withColumn(CHANGE, F.lit(UPSERT))
     keys = list(keys)
-    fields = sorted(c for c in src.columns if c not in keys and c not in ignore)
     joined = _flagged(src, "s", "__s").join(previous.alias("p"), keys, "full_outer")
     here = F.col("__s").isNotNull()
-    fresh = ~F.col("p._fingerprint").eqNullSafe(fingerprint(fields, "s"))
+    fresh = ~F.col("p._fingerprint").eqNullSafe(fingerprint(_compared(src, keys, ignore), "s"))
     return joined.filter(~here | fresh).select(
         *[quoted(k) if k in keys else quoted(k, "s") for k in src.columns],
         F.when(here, UPSERT).otherwise(DELETE).alias(CHANGE),

@@ -16,7 +16,7 @@ from syncloom.operators.mapping import LookupObject, project, with_membership
 from syncloom.operators.policies import policies_of
 from syncloom.operators.runs import counters_from, counts_of
 from syncloom.plans.spec import Field, SegmentSpec, SpecError, SyncSpec
-from syncloom.session import stored
+from syncloom.session import fits_broadcast, stored
 from syncloom.sinks.files import export_file
 from syncloom.sinks.objects import ObjectStore
 from syncloom.sources.readers import Catalog
@@ -78,13 +78,13 @@ class SyncRunner:
             raise
         self.store.record(**row, **counters, status="completed", completed_at=self.clock(), high_water_mark=mark,
                           object=spec.object if writes else None, writes=writes)
-        self._compact_if_due(spec, run_id, now)
+        self._compact_if_due(spec, run_id, now, seq)
         return RunResult(run_id, "completed", counters, mark)
 
-    def _compact_if_due(self, spec: SyncSpec, run_id: str, now: datetime) -> None:
+    def _compact_if_due(self, spec: SyncSpec, run_id: str, now: datetime, seq: int) -> None:
         pending = [r for r in self.store.writes_since_base(spec.object) if r.writes == "changes"]
         if len(pending) >= self.compact_after:
-            self.store.compact(spec.object, spec.keys, f"{run_id}-base", now)
+            self.store.compact(spec.object, spec.keys, f"{run_id}-base", now, seq)
 
 
 class _Run:
@@ -156,6 +156,9 @@ class _Run:
                 if m.type == "segment_membership":
                     t = self.r.members
                     valid = with_membership(valid, m.to, keys[0], t.table, t.key, t.segment, spread=False)
+        if self.r.members is not None or (keys and not fits_broadcast(twice)):
+            # used more than once from here, and no longer just a filter of the staged table
+            valid = stored(valid, self.store.path("valid", self.spec.name, self.run_id))
         return valid, rejected, seen.get["n"], mark
 
     # ---- write

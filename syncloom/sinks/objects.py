@@ -3,7 +3,7 @@
 ``<root>/objects/<object>/<run>``    what the run wrote: a full ``base``, a set of ``changes``, or records to ``append``
 ``<root>/snapshots/<sync>/<run>``    key and fingerprint of the source records the run saw
 ``<root>/rejected/<sync>/<run>``     records the run refused, with the reason
-``<root>/sync_runs``                 one row per run, appended last: that row is the commit
+``<root>/sync_runs/day=<day>``       one row per run, appended last: that row is the commit
 
 Nothing is overwritten in place, so a lost executor or a failed run leaves the last committed state readable, and a
 repeated run id rewrites its own directories only. A run writes its changes, not the whole object; the object is read as
@@ -13,7 +13,7 @@ its last base with the later changes laid over it, and ``compact`` folds them in
 from __future__ import annotations
 
 from collections.abc import Mapping as Dict, Sequence
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
@@ -23,8 +23,9 @@ from syncloom.operators.changes import CHANGE, DELETE
 from syncloom.operators.keys import latest_by_key
 from syncloom.operators.policies import WritePolicy
 from syncloom.operators.runs import RUN_SCHEMA
+from syncloom.session import scratch_path, stored
 
-SEQ = "_seq"
+SEQ, DAY = "_seq", "day"
 ORDER = "_order_"
 
 
@@ -42,7 +43,7 @@ class ObjectStore:
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
-        self._run_rows([], 0).write.mode("ignore").parquet(self._runs_path)
+        self._run_rows([], 0).write.partitionBy(DAY).mode("ignore").parquet(self._runs_path)
 
     @property
     def _runs_path(self) -> str:
@@ -51,7 +52,18 @@ class ObjectStore:
     # ---- runs
 
     def runs(self) -> DataFrame:
-        return self.spark.read.schema(RUN_SCHEMA).parquet(self._runs_path)
+        """The run history, one row per run; the row of a run is written once, when it ends."""
+        return self._stored_runs().drop(DAY)
+
+    def _stored_runs(self) -> DataFrame:
+        return self.spark.read.schema(f"{RUN_SCHEMA}, {DAY} date").parquet(self._runs_path)
+
+    def tidy_history(self, before: date) -> None:
+        """Rewrite the run rows of each earlier day as one file, so that reading the history lists few files."""
+        old = self._stored_runs().filter(F.col(DAY) < F.lit(before))
+        kept = stored(old, scratch_path(self.spark, "history"))
+        writer = kept.repartition(DAY).write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+        writer.partitionBy(DAY).parquet(self._runs_path)
 
     def standing(self, sync_id: str, run_id: str) -> tuple[Row | None, Row | None, int]:
         """The committed row of this run, the sync's last completed run, and the next sequence number, in one job."""
@@ -66,13 +78,14 @@ class ObjectStore:
 
     def record(self, **values: Any) -> None:
         """Append one run row. For a completed run this is the commit."""
-        self._run_rows(values, 1).write.mode("append").parquet(self._runs_path)
+        self._run_rows(values, 1).write.mode("append").partitionBy(DAY).parquet(self._runs_path)
 
     def _run_rows(self, values: Any, rows: int) -> DataFrame:
         given = {k: utc(v) if isinstance(v, datetime) else v for k, v in dict(values).items()}
         fields = T.StructType.fromDDL(RUN_SCHEMA).fields
+        day = F.lit(given["started_at"].astimezone(timezone.utc).date() if rows else None).cast("date").alias(DAY)
         return self.spark.range(0, rows, 1, 1).select(
-            *[F.lit(given.get(f.name)).cast(f.dataType).alias(f.name) for f in fields]
+            *[F.lit(given.get(f.name)).cast(f.dataType).alias(f.name) for f in fields], day
         )
 
     # ---- objects
@@ -86,10 +99,14 @@ class ObjectStore:
         out.write.mode("overwrite").parquet(self.path("objects", obj, run_id))
 
     def writes_since_base(self, obj: str) -> list[Row]:
-        """Committed writes that make up the object: the last base, if any, and what came after it, in order."""
+        """Committed writes that make up the object: the last base, if any, and what came after it, in order.
+
+        A compacted base has the sequence number of the last change it holds.
+        """
         own = self.runs().filter((F.col("object") == obj) & (F.col("status") == "completed") & F.col("writes").isNotNull())
         base = own.filter("writes = 'base'").agg(F.coalesce(F.max("seq"), F.lit(0))).scalar()
-        return sorted(own.filter(F.col("seq") >= base).select("seq", "run_id", "writes").collect())
+        later = (F.col("seq") > base) | ((F.col("seq") == base) & (F.col("writes") == "base"))
+        return sorted(own.filter(later).select("seq", "run_id", "writes").collect())
 
     def read(
         self, obj: str, keys: Sequence[str] = (), policies: Dict[str, WritePolicy] | None = None
@@ -120,16 +137,19 @@ class ObjectStore:
     def create_object(self, obj: str, schema: T.StructType, run_id: str, at: datetime) -> None:
         """A new, empty object with typed fields."""
         self.write(obj, run_id, self.spark.createDataFrame([], schema))
-        self._commit_base(obj, run_id, at)
+        self._commit_base(obj, run_id, at, self.standing("", run_id)[2])
 
-    def compact(self, obj: str, keys: Sequence[str], run_id: str, at: datetime, policies=None) -> None:
-        """Fold the changes since the last base into a new one."""
+    def compact(
+        self, obj: str, keys: Sequence[str], run_id: str, at: datetime, seq: int,
+        policies: Dict[str, WritePolicy] | None = None,
+    ) -> None:
+        """Fold the changes since the last base, up to ``seq``, into a new one."""
         self.write(obj, run_id, self._read_all(obj, keys, policies))
-        self._commit_base(obj, run_id, at)
+        self._commit_base(obj, run_id, at, seq)
 
-    def _commit_base(self, obj: str, run_id: str, at: datetime) -> None:
+    def _commit_base(self, obj: str, run_id: str, at: datetime, seq: int) -> None:
         self.record(run_id=run_id, status="completed", created_at=at, started_at=at, completed_at=at, object=obj,
-                    writes="base", seq=self.standing("", run_id)[2])
+                    writes="base", seq=seq)
 
     # ---- snapshots and rejected records
 

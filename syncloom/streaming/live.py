@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from syncloom.functions.columns import nest, quoted
 from syncloom.operators.changes import CHANGE, UPSERT
-from syncloom.operators.keys import REASON, VALUE, latest_by_key
+from syncloom.operators.keys import NULL_KEY, REASON, VALUE, latest_by_key
 from syncloom.operators.mapping import project
 from syncloom.operators.policies import policies_of
 from syncloom.operators.runs import counters_from
@@ -21,38 +22,50 @@ from syncloom.sinks.objects import ORDER, ObjectStore
 SPREAD = 32  # parts the copies of one event are spread over before the keyed de-duplication
 
 
-def fold_batch(batch: DataFrame, spec: SyncSpec, store: ObjectStore, batch_id: int, order: Sequence[str],
-               compact_after: int) -> None:
-    """One micro-batch as one committed run. The batch id names the run, so a replayed batch changes nothing.
+@dataclass
+class Folder:
+    """Folds micro-batches into an object. Each batch is one committed run, named by its batch id.
 
-    The batch writes one row per changed key and never reads the object: its cost follows the batch, not the object.
+    A batch writes one row per changed key and reads neither the object nor the history: its cost follows the batch.
+    Only the first batch after a start can be a replay, so only that one looks for its own commit.
     """
-    run_id = f"{spec.name}-{batch_id:012d}"
-    done, _, seq = store.standing(spec.name, run_id)
-    if done:
-        return
-    keys, started = spec.keys, datetime.now(timezone.utc)
-    extra = {f"{ORDER}{i}": quoted(c) for i, c in enumerate(order)}
-    mapped = project(batch, spec, run_id, keep_rejects=True, extra=extra)
-    no_key = quoted(keys[0]).isNull()
-    mapped = mapped.withColumn(REASON, F.when(no_key, F.lit("null_key")).otherwise(F.col(REASON)))
-    seen = Observation()
-    bad = F.sum(F.when(F.col(REASON).isNotNull(), 1).otherwise(0))
-    watched = mapped.observe(seen, F.count(F.lit(1)).alias("n"), bad.alias("bad"))
-    staged = stored(watched, store.path("staging", spec.name, run_id))
-    store.write_rejected(spec.name, run_id, staged.filter(F.col(REASON).isNotNull()))
-    valid = staged.filter(F.col(REASON).isNull()).drop(REASON, VALUE)
-    last = latest_by_key(valid, keys, list(extra), policies_of(spec.mappings))
-    written = Observation()
-    out = last.withColumn(CHANGE, F.lit(UPSERT)).observe(written, F.count(F.lit(1)).alias("n"))
-    store.write(spec.object, run_id, out, seq)
-    counters = counters_from(0, written.get["n"], 0, seen.get["bad"] or 0, seen.get["n"])
-    store.record(run_id=run_id, sync_id=spec.name, status="completed", created_at=started, started_at=started,
-                 completed_at=datetime.now(timezone.utc), full_sync=False, object=spec.object, writes="changes", seq=seq,
-                 **counters)
-    pending = [r for r in store.writes_since_base(spec.object) if r.writes == "changes"]
-    if len(pending) >= compact_after:
-        store.compact(spec.object, keys, f"{run_id}-base", started, policies_of(spec.mappings))
+
+    spec: SyncSpec
+    store: ObjectStore
+    order: Sequence[str]
+    compact_after: int = 100
+    _before: int | None = None  # the sequence number that batch 0 comes after
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        run_id = f"{self.spec.name}-{batch_id:012d}"
+        if self._before is None:
+            done, last, following = self.store.standing(self.spec.name, run_id)
+            self._before = following - 1 - batch_id if last is None else last.seq - 1 - int(last.run_id[-12:])
+            if done:
+                return
+        self._fold(batch, run_id, self._before + 1 + batch_id)
+        if (batch_id + 1) % self.compact_after == 0:
+            self.store.compact(self.spec.object, self.spec.keys, f"{run_id}-base", datetime.now(timezone.utc),
+                               self._before + 1 + batch_id, policies_of(self.spec.mappings))
+
+    def _fold(self, batch: DataFrame, run_id: str, seq: int) -> None:
+        spec, store, started = self.spec, self.store, datetime.now(timezone.utc)
+        extra = {f"{ORDER}{i}": quoted(c) for i, c in enumerate(self.order)}
+        mapped = project(batch, spec, run_id, keep_rejects=True, extra=extra)
+        no_key = quoted(spec.keys[0]).isNull()
+        mapped = mapped.withColumn(REASON, F.when(no_key, F.lit(NULL_KEY)).otherwise(F.col(REASON)))
+        seen, written = Observation(), Observation()
+        bad = F.sum(F.when(F.col(REASON).isNotNull(), 1).otherwise(0))
+        watched = mapped.observe(seen, F.count(F.lit(1)).alias("n"), bad.alias("bad"))
+        staged = stored(watched, store.path("staging", spec.name, run_id))
+        store.write_rejected(spec.name, run_id, staged.filter(F.col(REASON).isNotNull()))
+        valid = staged.filter(F.col(REASON).isNull()).drop(REASON, VALUE)
+        last = latest_by_key(valid, spec.keys, list(extra), policies_of(spec.mappings))
+        out = last.withColumn(CHANGE, F.lit(UPSERT)).observe(written, F.count(F.lit(1)).alias("n"))
+        store.write(spec.object, run_id, out, seq)
+        store.record(run_id=run_id, sync_id=spec.name, status="completed", created_at=started, started_at=started,
+                     completed_at=datetime.now(timezone.utc), full_sync=False, object=spec.object, writes="changes",
+                     seq=seq, **counters_from(0, written.get["n"], 0, seen.get["bad"] or 0, seen.get["n"]))
 
 
 def live_map_records(
@@ -63,10 +76,8 @@ def live_map_records(
 
     ``interval`` runs continuously; without it the available data is processed once.
     """
-    writer = stream.writeStream.foreachBatch(
-        lambda batch, batch_id: fold_batch(batch, spec, store, batch_id, order, compact_after)
-    ).option("checkpointLocation", checkpoint)
-    return _start(writer, interval)
+    writer = stream.writeStream.foreachBatch(Folder(spec, store, order, compact_after))
+    return _start(writer.option("checkpointLocation", checkpoint), interval)
 
 
 def deduplicated_events(stream: DataFrame, event_id: str, event_time: str, late: str) -> DataFrame:

@@ -35,6 +35,14 @@ def root(tmp_path):
     return str(tmp_path / "root")
 
 
+@pytest.fixture
+def few_partitions(spark):
+    """Small runs of many jobs are quicker with few partitions."""
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
 def table(spark, schema, *rows):
     return spark.createDataFrame(list(rows), schema)
 

@@ -14,6 +14,8 @@ from syncloom.sources.readers import Catalog
 
 T0 = datetime(2024, 5, 1, 6)
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
+
 
 class Bench:
     """A runner over a view that the test replaces between runs."""
@@ -197,6 +199,18 @@ def test_compaction_keeps_the_object(spark, root):
     assert kinds == ["base", "changes", "changes", "base", "changes"]
 
 
+def test_tidy_history(spark, root):
+    b, spec = Bench(spark, root), sync(operation="mirror")
+    for data in ([(1, "a")], [(1, "b")], [(1, "c")]):
+        b.run(spec, PEOPLE, *data)
+    before = rows(b.runner.store.runs())
+    for _ in range(2):
+        b.runner.store.tidy_history((T0 + timedelta(days=3)).date())
+        assert rows(b.runner.store.runs()) == before
+    b.run(spec, PEOPLE, (2, "d"))
+    assert b.state(spec) == [(2, "d")]
+
+
 def test_uncommitted_writes_are_not_read(spark, root):
     b, spec = Bench(spark, root), sync()
     b.run(spec, PEOPLE, (1, "a"))

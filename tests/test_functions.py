@@ -61,8 +61,12 @@ def test_nest_and_flatten(spark):
 
 def test_fingerprint_tells_values_apart(spark):
     df = spark.sql("""
-        select 1 as k, '' as s, timestamp '2024-01-01 00:00:00.000001' as t union all
-        select 2, null, timestamp '2024-01-01 00:00:00.000001' union all
-        select 3, '', timestamp '2024-01-01 00:00:00.000002' union all
-        select 4, '', null""")
-    assert df.select(fingerprint(["s", "t"])).distinct().count() == 4
+        select '' as s, timestamp '2024-01-01 00:00:00.000001' as t, map(1, 'a') as m union all
+        select null, timestamp '2024-01-01 00:00:00.000001', map(1, 'a') union all
+        select '', timestamp '2024-01-01 00:00:00.000002', map(1, 'a') union all
+        select '', null, map(1, 'a') union all
+        select '', null, map(1, 'b') union all
+        select '', null, null""")
+    assert df.select(fingerprint(df.schema.fields)).distinct().count() == 6
+    swapped = spark.sql("select 'a' as x, cast(null as string) as y union all select null, 'a'")
+    assert swapped.select(fingerprint(swapped.schema.fields)).distinct().count() == 2

@@ -1,5 +1,8 @@
 """Live syncs: late and repeated records, restarts, replays."""
 
+from datetime import datetime
+
+import pytest
 from conftest import rows, table
 from pyspark.sql import functions as F
 
@@ -7,10 +10,12 @@ from syncloom.operators.policies import WritePolicy
 from syncloom.plans.spec import Mapping, SourceSpec, SyncSpec
 from syncloom.sinks.objects import ObjectStore
 from syncloom.sources.readers import read_topic
-from syncloom.streaming.live import fold_batch, live_activate_events, live_map_records
+from syncloom.streaming.live import Folder, live_activate_events, live_map_records
 
 SCHEMA = "k int, at int, v string, w string"
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
+
 
 def spec(*mappings):
     return SyncSpec("live", SourceSpec("topic", id="t"), "Thing",
@@ -26,8 +31,8 @@ def test_batches_fold(spark, root):
         [(3, 2, "m", None), (2, 9, None, "y")],
     ]
     for n, data in enumerate(batches):
-        for _ in range(2):  # every batch is replayed once
-            fold_batch(table(spark, SCHEMA, *data), s, store, n, ["at"], compact_after=2)
+        for _ in range(2):  # every batch is replayed once, as after a restart
+            Folder(s, store, ["at"], compact_after=2)(table(spark, SCHEMA, *data), n)
     got = rows(store.read("Thing", ["k"], {"w": WritePolicy(sync_nulls=False)}), "k", "v", "w")
     assert got == [(1, "a", "w1"), (2, None, "y"), (3, "m", "z")]
     runs = store.runs().filter("sync_id = 'live'").orderBy("seq").collect()
@@ -35,6 +40,18 @@ def test_batches_fold(spark, root):
     assert store.runs().filter("writes = 'base'").count() == 1
 
 
+def test_one_start_folds_many_batches(spark, root):
+    store, s = ObjectStore(spark, root), spec()
+    store.create_object("Thing", table(spark, "k int, v string").schema, "made", datetime(2024, 1, 1))
+    fold = Folder(s, store, ["at"], compact_after=2)
+    for n in range(5):
+        fold(table(spark, SCHEMA, (n % 2, n, f"v{n}", "")), n)
+    assert rows(store.read("Thing", ["k"]), "k", "v") == [(0, "v4"), (1, "v3")]
+    assert [r.writes for r in store.writes_since_base("Thing")] == ["base", "changes"]
+    Folder(s, store, ["at"])(table(spark, SCHEMA, (1, 9, "again", "")), 5)
+    assert rows(store.read("Thing", ["k"]), "k", "v") == [(0, "v4"), (1, "again")]
+
+
 def test_restart_from_checkpoint(spark, root):
     store, s, path, checkpoint = ObjectStore(spark, root), spec(), f"{root}/in", f"{root}/cp"
     for data in ([(1, 1, "a", ""), (2, 1, "b", "")], [(1, 2, "c", ""), (3, 1, "d", "")]):
