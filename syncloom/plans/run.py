@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping as Dict, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field as dc_field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
@@ -55,6 +55,7 @@ class SyncRunner:
     segments: Sequence[SegmentSpec] = ()
     members: Members | None = None
     fields: Sequence[Field] = ()
+    unions: Dict[str, tuple[str, str]] = dc_field(default_factory=dict)  # object name -> the two objects it unites
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)
     compact_after: int = 24
 
@@ -64,7 +65,7 @@ class SyncRunner:
     def run(
         self, spec: SyncSpec, run_id: str, now: datetime, force_full: bool = False, scheduled_at: datetime | None = None
     ) -> RunResult:
-        """Run once. A run id that is already committed is not run again."""
+        """Run once. A run id that is already committed is not run again; a failed one may be repeated."""
         done, prior, seq = self.store.standing(spec.name, run_id)
         if done:
             names = counters_from(0, 0, 0, 0, 0)
@@ -72,10 +73,13 @@ class SyncRunner:
         row = dict(run_id=run_id, sync_id=spec.name, created_at=now, started_at=now, scheduled_at=scheduled_at,
                    full_sync=force_full, seq=seq)
         try:
-            counters, mark, writes = _Run(self, spec, run_id, now, force_full, seq, prior).execute()
+            this = _Run(self, spec, run_id, now, force_full, seq, prior)
+            counters, mark, writes = this.execute()
         except Exception as error:
             self.store.record(**row, status="failed", completed_at=self.clock(), error_message=str(error)[:2000])
             raise
+        for part in this.parts:
+            self.store.record(**part, status="completed", started_at=now, completed_at=self.clock(), seq=seq)
         self.store.record(**row, **counters, status="completed", completed_at=self.clock(), high_water_mark=mark,
                           object=spec.object if writes else None, writes=writes)
         self._compact_if_due(spec, run_id, now, seq)
@@ -93,6 +97,7 @@ class _Run:
     ) -> None:
         self.r, self.spec, self.run_id, self.now, self.full, self.seq = runner, spec, run_id, now, full, seq
         self.store, self.prior = runner.store, prior
+        self.parts: list[dict] = []  # writes to further objects, committed with the run
         self.metadata = [m.to for m in spec.mappings if m.type == "sync_metadata"]
 
     def execute(self) -> tuple[dict[str, int], str | None, str | None]:
@@ -190,23 +195,12 @@ class _Run:
         seen = Observation()
         return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
-    def _write_changes(self, valid: DataFrame, previous: DataFrame | None) -> tuple[tuple[int, int, int], str]:
+    def _write_changes(self, valid: DataFrame, previous: DataFrame | None) -> tuple[tuple[int, int, int], str | None]:
         spec, keys = self.spec, self.spec.keys
-        mappings = spec.mappings
-        present = self.store.read(spec.object, keys)
-        if present is None:
-            whole, inserts = self._counted(valid.filter(F.lit(False)) if spec.operation == "update" else valid)
-            self.store.write(spec.object, self.run_id, whole)
-            return (inserts.get["n"], 0, 0), "base"
-        retyped = any(
-            m.follow_source_type and m.to in present.columns and m.to in valid.columns
-            and present.schema[m.to].dataType != valid.schema[m.to].dataType
-            for m in mappings
+        deletes = (
+            spec.operation == "mirror" and spec.mirror_strategy == "sync_updates_and_deletes" and previous is not None
         )
-        present = ch.evolve(present, valid, mappings)
-        mirror = spec.operation == "mirror"
-        deletes = mirror and spec.mirror_strategy == "sync_updates_and_deletes" and previous is not None
-        fresh, gone = valid, None
+        fresh, gone, touched = valid, None, None
         if previous is not None and not self.full:
             # what differs from the last run is small as a rule: kept as a table, its size decides the joins below
             delta = stored(
@@ -214,18 +208,44 @@ class _Run:
                 self.store.path("delta", spec.name, self.run_id),
             )
             fresh = delta.filter(F.col(ch.CHANGE) != ch.DELETE).drop(ch.CHANGE)
+            touched = delta.select(*[quoted(k) for k in keys])
             if deletes:
                 gone = delta.filter(F.col(ch.CHANGE) == ch.DELETE)
-            if not retyped:
-                present = present.join(delta.select(*[quoted(k) for k in keys]), keys, "left_semi")
         elif deletes:
             gone = ch.gone_since(valid, previous, keys)
-        policies = policies_of(mappings, force_nulls=mirror and spec.mirror_strategy == "sync_updates_and_nulls")
+        if spec.object in self.r.unions:
+            return self._write_union(fresh), None
+        return self._merge(spec.object, self.run_id, fresh, gone, touched)
+
+    def _merge(
+        self, obj: str, run_id: str, fresh: DataFrame, gone: DataFrame | None, touched: DataFrame | None
+    ) -> tuple[tuple[int, int, int], str]:
+        """Bring one object up to date with the fresh records, as a change set where it can be one.
+
+        ``touched`` lists every key that may change, where that is less than the whole source.
+        """
+        spec, keys = self.spec, self.spec.keys
+        present = self.store.read(obj, keys)
+        if present is None:
+            whole, inserts = self._counted(fresh.filter(F.lit(False)) if spec.operation == "update" else fresh)
+            self.store.write(obj, run_id, whole)
+            return (inserts.get["n"], 0, 0), "base"
+        retyped = any(
+            m.follow_source_type and m.to in present.columns and m.to in fresh.columns
+            and present.schema[m.to].dataType != fresh.schema[m.to].dataType
+            for m in spec.mappings
+        )
+        present = ch.evolve(present, fresh, spec.mappings)
+        if touched is not None and not retyped:
+            present = present.join(touched, keys, "left_semi").select(*[quoted(c) for c in present.columns])
         if spec.operation == "insert":
             planned = ch.new_records(fresh, present, keys).withColumn(ch.CHANGE, F.lit(ch.INSERT))
         else:
-            planned = ch.plan_changes(fresh, present, keys, policies, insert=spec.operation != "update", gone=gone,
-                                      ignore=self.metadata)
+            nulls = spec.operation == "mirror" and spec.mirror_strategy == "sync_updates_and_nulls"
+            planned = ch.plan_changes(
+                fresh, present, keys, policies_of(spec.mappings, force_nulls=nulls),
+                insert=spec.operation != "update", gone=gone, ignore=self.metadata,
+            )
         counted = Observation()
         labels = (ch.INSERT, ch.UPDATE, ch.DELETE)
         watched = planned.observe(counted, *counts_of(ch.CHANGE, *labels))
@@ -233,9 +253,29 @@ class _Run:
             whole = ch.end_state(watched)
             if spec.operation == "insert":
                 whole = present.unionByName(whole, allowMissingColumns=True)
-            self.store.write(spec.object, self.run_id, whole)
+            self.store.write(obj, run_id, whole)
             kind = "base"
         else:
-            self.store.write(spec.object, self.run_id, watched.filter(F.col(ch.CHANGE).isin(*labels)), self.seq)
+            self.store.write(obj, run_id, watched.filter(F.col(ch.CHANGE).isin(*labels)), self.seq)
             kind = "changes"
         return tuple(counted.get[name] or 0 for name in labels), kind
+
+    def _write_union(self, fresh: DataFrame) -> tuple[int, int, int]:
+        """A destination that is the union of two objects: each record is written where it exists or belongs."""
+        spec, keys = self.spec, self.spec.keys
+        if spec.operation not in ("insert", "update", "upsert"):
+            raise SpecError(f"{spec.operation} does not apply to a union of objects")
+        names = self.r.unions[spec.object]
+        known = [self.store.read(n, keys) for n in names]
+        known = [fresh.filter(F.lit(False)) if k is None else k for k in known]
+        routed = stored(
+            ch.route_union(fresh, *known, keys, spec.lead_union_insert_to or names[0], names).drop("action"),
+            self.store.path("routed", spec.name, self.run_id),
+        )
+        sums = (0, 0, 0)
+        for name in names:
+            part, run_id = routed.filter(F.col("route") == name).drop("route"), f"{self.run_id}-{name}"
+            sent, kind = self._merge(name, run_id, part, None, part.select(*[quoted(k) for k in keys]))
+            self.parts.append(dict(run_id=run_id, object=name, writes=kind))
+            sums = tuple(a + b for a, b in zip(sums, sent))
+        return sums

@@ -106,7 +106,7 @@ class ObjectStore:
         own = self.runs().filter((F.col("object") == obj) & (F.col("status") == "completed") & F.col("writes").isNotNull())
         base = own.filter("writes = 'base'").agg(F.coalesce(F.max("seq"), F.lit(0))).scalar()
         later = (F.col("seq") > base) | ((F.col("seq") == base) & (F.col("writes") == "base"))
-        return sorted(own.filter(later).select("seq", "run_id", "writes").collect())
+        return sorted(own.filter(later).select("seq", "run_id", "writes").distinct().collect())
 
     def read(
         self, obj: str, keys: Sequence[str] = (), policies: Dict[str, WritePolicy] | None = None

@@ -246,3 +246,19 @@ def test_csv_export(spark, root):
     with pytest.raises(SpecError):
         export_file(df, "x", {"file_format": "XLSX"}, T0, root)
     assert render_path("a/%m-%d-%y/%H", T0) == "a/05-01-24/06"
+
+
+def test_union_of_two_objects(spark, root):
+    b = Bench(spark, root, unions={"Person": ("Lead", "Contact")})
+    b.run(sync(destination_attributes={"object": "Lead"}, name="leads"), PEOPLE, (1, "lead"), (2, "both"))
+    b.run(sync(destination_attributes={"object": "Contact"}, name="contacts"), PEOPLE, (2, "both"), (3, "contact"))
+    spec = sync(destination_attributes={"object": "Person", "lead_union_insert_to": "Contact"})
+    result = b.run(spec, PEOPLE, (1, "A"), (2, "B"), (3, "C"), (4, "D"))
+    assert (result.counters["records_updates"], result.counters["records_succeeded"]) == (3, 4)
+    assert rows(b.runner.store.read("Lead", ["id"])) == [(1, "A"), (2, "B")]
+    assert rows(b.runner.store.read("Contact", ["id"])) == [(2, "both"), (3, "C"), (4, "D")]
+    again = b.run(spec, PEOPLE, (1, "A"), (2, "B"), (3, "C"), (4, "E"))
+    assert again.counters["records_updates"] == 1
+    assert rows(b.runner.store.read("Contact", ["id"])) == [(2, "both"), (3, "C"), (4, "E")]
+    with pytest.raises(SpecError):
+        b.run(sync(operation="mirror"), PEOPLE, (1, "A"))
