@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from syncloom.functions.columns import quoted
 from syncloom.operators.policies import WritePolicy
 from syncloom.operators.skew import join_unique
-from syncloom.session import fits_broadcast
+from syncloom.session import fits_broadcast, scratch_path, stored
 
 REASON, VALUE = "reject_reason", "rejected_value"
 NULL_KEY, DUPLICATE_KEY = "null_key", "duplicate_key"
@@ -45,18 +45,21 @@ def split_by_key(
 ) -> tuple[DataFrame, DataFrame]:
     """``(valid, rejected)``: rejected rows carry ``null_key`` or ``duplicate_key`` (every row of a duplicated key).
 
-    ``duplicates`` may be the stored result of :func:`duplicate_keys`; being a table of known size, it is then simply
-    anti-joined when small.
+    ``duplicates`` is the stored result of :func:`duplicate_keys`; it is computed and stored here when not given. While
+    that table is small, both results are narrow filters. When it is not, valid rows come from one pre-aggregated
+    grouping and rejected ones from a join that spreads hot keys.
     """
     keys = list(keys)
     missing = _no_key(keys)
     present = df.filter(~missing)
-    if duplicates is not None and fits_broadcast(duplicates):
-        valid = present.join(duplicates, keys, "left_anti").select(*[quoted(c) for c in df.columns])
+    if duplicates is None:
+        duplicates = stored(duplicate_keys(df, keys), scratch_path(df.sparkSession, "duplicate-keys"))
+    columns = [quoted(c) for c in df.columns]
+    if fits_broadcast(duplicates):
+        valid = present.join(duplicates, keys, "left_anti").select(*columns)
     else:
         valid = single_rows(present, keys)
-    twice = duplicates if duplicates is not None else duplicate_keys(df, keys)
-    doubled = join_unique(present, twice, keys, "left_semi").select(*[quoted(c) for c in df.columns])
+    doubled = join_unique(present, duplicates, keys, "left_semi").select(*columns)
     rejected = (
         df.filter(missing)
         .withColumn(REASON, F.lit(NULL_KEY))

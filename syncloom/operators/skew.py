@@ -7,20 +7,20 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from syncloom.functions.columns import quoted
-from syncloom.session import fits_broadcast
+from syncloom.session import fits_broadcast, scratch_path, stored
 
 _HASH, _SALT, _SALTS = "__key_hash", "__salt", "__salts"
-HOT_KEYS = 2000  # a key is hot from 1/HOT_KEYS of all rows on, so there are never more hot keys than this
+HOT_KEYS = 2000  # a hot key has at least 1/HOT_KEYS of all rows, so there are never more of them than this
 TRACKED = 10 * HOT_KEYS  # counters per frequent-items sketch; its error stays well below one hot share
 SKETCH_GROUPS = 256  # sketches are merged in this many groups first, then to one
 
 
 def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
-    """``(key hash, salts)`` for the keys that hold at least 1/HOT_KEYS of the rows of ``df``.
+    """``(key hash, salts)`` for the keys that alone exceed an average shuffle partition, and 1/HOT_KEYS of all rows.
 
     One pass with mergeable sketches: no shuffle of keys, a two-level merge so that no task receives every sketch, and
     at most HOT_KEYS rows out. Each hot key gets salts in proportion to its share, so that a salted part is about as
-    large as an average shuffle partition. The list only steers the placement of rows; results do not depend on it.
+    large as an average shuffle partition. The counts are estimates: good enough to place rows, and used for nothing else.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     hashes = df.select(
@@ -35,10 +35,8 @@ def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     return (
         top.select(F.explode("top").alias("t"), "total")
         .filter(F.col("t.count") * HOT_KEYS >= F.col("total"))
-        .select(
-            F.col("t.item").alias(_HASH),
-            F.greatest(F.ceil(F.col("t.count") * parts / F.col("total")), F.lit(1)).cast("int").alias(_SALTS),
-        )
+        .select(F.col("t.item").alias(_HASH), F.ceil(F.col("t.count") * parts / F.col("total")).cast("int").alias(_SALTS))
+        .filter(F.col(_SALTS) > 1)
     )
 
 
@@ -46,24 +44,25 @@ def join_unique(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
     """Join a side that may be skewed with a side that has at most one row per key (left, left_semi or left_anti).
 
     A right side within the broadcast threshold is left to the optimizer, which broadcasts it by the same estimate.
-    Beyond it, rows of hot keys (and rows with a null key, which match nothing) are spread over salts; only the right
-    rows of hot keys are repeated, at most ``spark.sql.shuffle.partitions`` + HOT_KEYS times in all. The salt comes
-    from the partition a row lies in, so copies of one row spread too, and a re-run task assigns the same salts.
+    Beyond it the hot keys of the left are looked up once and kept as a small table, so that both sides of every attempt
+    of every task see the same list. Without hot keys this is a plain join; otherwise their rows (null keys count as one
+    key) are spread over salts, and only the right rows of hot keys are repeated, at most
+    ``spark.sql.shuffle.partitions`` + HOT_KEYS times in all. The salt comes from the partition a row lies in, so copies
+    of one row spread too, and a re-run task assigns the same salts.
     """
     if how not in ("left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
     on = list(on)
     if spread is None:
-        spread = not fits_broadcast(right)
+        spread = not left.isStreaming and not fits_broadcast(right)
     if not spread:
         return left.join(right, on, how)
-    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    hot = F.broadcast(hot_keys(left, on))
+    hot = stored(hot_keys(left, on), scratch_path(left.sparkSession, "hot-keys"))
+    if hot.isEmpty():
+        return left.join(right, on, how)
+    hot = F.broadcast(hot)
     hash_of = F.xxhash64(*[quoted(k) for k in on])
-    no_key = F.lit(False)
-    for k in on:
-        no_key = no_key | quoted(k).isNull()
-    salts = F.when(no_key, F.lit(parts)).otherwise(F.coalesce(F.col(_SALTS), F.lit(1)))
+    salts = F.coalesce(F.col(_SALTS), F.lit(1))
     salted_left = (
         left.withColumn(_HASH, hash_of)
         .join(hot, _HASH, "left")
@@ -73,7 +72,7 @@ def join_unique(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
     salted_right = (
         right.withColumn(_HASH, hash_of)
         .join(hot, _HASH, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)))
+        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
         .drop(_HASH, _SALTS)
     )
     return salted_left.join(salted_right, [*on, _SALT], how).drop(_SALT)

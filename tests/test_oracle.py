@@ -24,5 +24,5 @@ def test_query(spark, sf_dir, con, name):
 
 def test_entry(spark):
     df = entry.entry(spark)
-    assert df.columns == ["ext_id", "customer_id", "status", "amount", "priority"]
+    assert df.columns == ["External_Id", "Quantity", "Origin", "Supplier_Hash", "Label"]
     assert df.count() > 0

@@ -45,6 +45,11 @@ FIXTURES = {
                     else cast(l_orderkey as varchar(20)) || '-' || cast(l_linenumber as varchar(20)) end as ext_id,
                l_partkey as part_id, l_suppkey as supplier_id, l_quantity as quantity, l_extendedprice as price
         from lineitem""",
+    # the object those shipments are synced to: what was delivered before 2000
+    "delivered": """
+        select cast(l_orderkey as varchar(20)) || '-' || cast(l_linenumber as varchar(20)) as "External_Id",
+               max(l_quantity) as "Quantity", 'import' as "Origin"
+        from lineitem where l_shipdate < date '2000-01-01' group by l_orderkey, l_linenumber""",
     # cohort: customers with money; a customer is listed once per order
     "members": """
         select o_custkey as customer_id from orders join customer on o_custkey = c_custkey where c_acctbal > 0""",
@@ -100,8 +105,8 @@ def named_in(sql: str) -> list[str]:
 
 
 def over_tables(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """The result of SQL over the given tables it names."""
-    return tables(spark, sf_dir, *named_in(sql)).sql(sql)
+    """The result of SQL over the given tables it names; double-quoted names become Spark's backticked ones."""
+    return tables(spark, sf_dir, *named_in(sql)).sql(sql.replace('"', "`"))
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -7,7 +7,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from syncloom.operators import changes as ch
-from syncloom.operators.policies import WritePolicy
+from syncloom.operators.mapping import project
+from syncloom.operators.policies import WritePolicy, policies_of
 from syncloom.operators.runs import run_counters
 from syncloom.operators.keys import split_by_key
 from syncloom.plans.run import SyncRunner
@@ -162,6 +163,34 @@ def op_union_route(spark, sf_dir):
     return ch.route_union(src.select("ext_id", "status"), leads, contacts, KEYS, "Contact", ("Lead", "Contact"))
 
 
+@register("sync_upsert", with_fixtures("src_dirty delivered", """
+    select coalesce(s.ext_id, d."External_Id") as "External_Id", coalesce(d."Quantity", s.quantity) as "Quantity",
+           case when s.ext_id is null then d."Origin" else 'warehouse' end as "Origin", s.supplier as "Supplier_Hash",
+           s.label as "Label"
+    from (select ext_id, any_value(quantity) as quantity, any_value(sha256(cast(supplier_id as varchar))) as supplier,
+                 any_value('PART ' || cast(part_id as varchar)) as label
+          from src_dirty where ext_id is not null group by ext_id having count(*) = 1) s
+    full join delivered d on s.ext_id = d."External_Id" """))
+def sync_upsert(spark, sf_dir):
+    """Shipments mapped, validated and upserted into their object: the whole path of a sync as one query."""
+    spec = SyncSpec.from_config({
+        "name": "shipments",
+        "source_attributes": {"object": {"type": "table", "table_name": "lineitem"}},
+        "destination_attributes": {"object": "Shipment"},
+        "field_mapping": [
+            {"from": "ext_id", "to": "External_Id", "is_primary_identifier": True},
+            {"from": "quantity", "to": "Quantity", "preserve_values": True},
+            {"to": "Origin", "type": "constant", "constant": "warehouse"},
+            {"from": "supplier_id", "to": "Supplier_Hash", "type": "hash", "generate_field": True},
+            {"to": "Label", "type": "liquid_template", "liquid_template": "PART {{ part_id }}", "generate_field": True},
+        ],
+    })
+    mapped = project(fixture(spark, sf_dir, "src_dirty"), spec)
+    valid, _ = split_by_key(mapped, spec.keys)
+    dst = ch.evolve(fixture(spark, sf_dir, "delivered"), valid, spec.mappings)
+    return ch.apply_upsert(valid, dst, spec.keys, policies_of(spec.mappings))
+
+
 # ---- whole runs: two syncs of the same object, the second with what changed since the first
 
 COUNTED = """
