@@ -135,10 +135,9 @@ def sched_missed(spark, sf_dir):
 @register("sched_delay", f"""
     with spans as ({SPANS}), starts as ({STARTS}), due as ({DUE}), done as ({BY_SLOT})
     select due.sync_id, cast(due.slot as varchar) as slot,
-           round((epoch_us(first_start) - epoch_us(due.slot)) / 1000000.0, 3)::double as delay_seconds
+           (epoch_us(first_start) - epoch_us(due.slot)) / 1000000::double as delay_seconds
     from due join done on due.sync_id = done.sync_id and due.slot = done.slot""")
 def sched_delay(spark, sf_dir):
     due = expected_runs(over_tables(spark, sf_dir, SPANS), HOURLY, "lo", "hi")
     pairs = scheduled_vs_actual(due, spark.sql(STARTS), HOURLY).filter("started_at is not null")
-    return pairs.select("sync_id", F.col("slot").cast("string").alias("slot"),
-                        F.round("delay_seconds", 3).alias("delay_seconds"))
+    return pairs.select("sync_id", F.col("slot").cast("string").alias("slot"), "delay_seconds")
