@@ -17,7 +17,7 @@ from syncloom.plans.spec import Mapping
 
 CHANGE = "_change"
 INSERT, UPDATE, DELETE, UNCHANGED, KEPT = "insert", "update", "delete", "unchanged", "kept"
-UPSERT = "upsert"
+UPSERT, FINGERPRINT = "upsert", "_fingerprint"
 
 
 def _flagged(df: DataFrame, side: str, flag: str) -> DataFrame:
@@ -50,7 +50,7 @@ def snapshot(src: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()) ->
 
     ``ignore`` names fields that differ on every run (run metadata). The snapshot stays narrow however wide records are.
     """
-    marked = fingerprint(_compared(src, keys, ignore)).alias("_fingerprint")
+    marked = fingerprint(_compared(src, keys, ignore)).alias(FINGERPRINT)
     return src.select(*[quoted(k) for k in keys], marked)
 
 
@@ -63,27 +63,26 @@ def changed_since(src: DataFrame, previous: DataFrame, keys: Sequence[str], igno
     """The records that are new or differ from the previous snapshot."""
     keys = list(keys)
     joined = src.alias("s").join(previous.alias("p"), keys, "left")
-    fresh = ~F.col("p._fingerprint").eqNullSafe(fingerprint(_compared(src, keys, ignore), "s"))
+    fresh = ~F.col(f"p.{FINGERPRINT}").eqNullSafe(fingerprint(_compared(src, keys, ignore), "s"))
     return joined.filter(fresh).select(*[quoted(k) if k in keys else quoted(k, "s") for k in src.columns])
 
 
-def source_delta(
-    src: DataFrame, previous: DataFrame, keys: Sequence[str], ignore: Sequence[str] = (), deletes: bool = False
-) -> DataFrame:
-    """New and changed records, and with ``deletes`` the keys that left the source, from one join with the snapshot.
+def source_state(src: DataFrame, previous: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
+    """The source against the previous snapshot, in one join: what to send now, and the snapshot for the next run.
 
-    ``_change`` is upsert or delete; a delete carries its key only.
+    One row per key of either side with ``_change`` (insert, update, unchanged, delete) and the record's fingerprint (null
+    for deletes). Fields are filled for inserts and updates only, so the table stays narrow for all that did not change.
     """
-    if not deletes:
-        return changed_since(src, previous, keys, ignore).withColumn(CHANGE, F.lit(UPSERT))
     keys = list(keys)
-    joined = _flagged(src, "s", "__s").join(previous.alias("p"), keys, "full_outer")
-    here = F.col("__s").isNotNull()
-    fresh = ~F.col("p._fingerprint").eqNullSafe(fingerprint(_compared(src, keys, ignore), "s"))
-    return joined.filter(~here | fresh).select(
-        *[quoted(k) if k in keys else quoted(k, "s") for k in src.columns],
-        F.when(here, UPSERT).otherwise(DELETE).alias(CHANGE),
-    )
+    marked = src.withColumn(FINGERPRINT, fingerprint(_compared(src, keys, ignore)))
+    was = previous.select(*[quoted(k) for k in keys], F.col(FINGERPRINT).alias("__was"))
+    joined = _flagged(marked, "s", "__s").join(_flagged(was, "p", "__p"), keys, "full_outer")
+    here, there = F.col("__s").isNotNull(), F.col("__p").isNotNull()
+    differs = ~F.col(f"s.{FINGERPRINT}").eqNullSafe(F.col("__was"))
+    label = F.when(~here, DELETE).when(~there, INSERT).when(differs, UPDATE).otherwise(UNCHANGED)
+    sent = here & (~there | differs)
+    fields = [quoted(c) if c in keys else F.when(sent, quoted(c, "s")).alias(c) for c in src.columns]
+    return joined.select(*fields, F.col(f"s.{FINGERPRINT}").alias(FINGERPRINT), label.alias(CHANGE))
 
 
 def gone_since(src: DataFrame, previous: DataFrame, keys: Sequence[str]) -> DataFrame:

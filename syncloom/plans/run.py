@@ -16,7 +16,7 @@ from syncloom.operators.mapping import LookupObject, project, with_membership
 from syncloom.operators.policies import policies_of
 from syncloom.operators.runs import counters_from, counts_of
 from syncloom.plans.spec import Field, SegmentSpec, SpecError, SyncSpec
-from syncloom.session import fits_broadcast, stored
+from syncloom.session import discard, rereadable, stored
 from syncloom.sinks.files import export_file
 from syncloom.sinks.objects import ObjectStore
 from syncloom.sources.readers import Catalog
@@ -82,6 +82,7 @@ class SyncRunner:
             self.store.record(**part, status="completed", started_at=now, completed_at=self.clock(), seq=seq)
         self.store.record(**row, **counters, status="completed", completed_at=self.clock(), high_water_mark=mark,
                           object=spec.object if writes else None, writes=writes)
+        this.tidy()
         self._compact_if_due(spec, run_id, now, seq)
         return RunResult(run_id, "completed", counters, mark)
 
@@ -97,21 +98,31 @@ class _Run:
     ) -> None:
         self.r, self.spec, self.run_id, self.now, self.full, self.seq = runner, spec, run_id, now, full, seq
         self.store, self.prior = runner.store, prior
+        self.temporary: list[str] = []  # tables nobody needs once the run is committed
         self.parts: list[dict] = []  # writes to further objects, committed with the run
         self.metadata = [m.to for m in spec.mappings if m.type == "sync_metadata"]
 
     def execute(self) -> tuple[dict[str, int], str | None, str | None]:
-        valid, rejected, source_count, mark = self._validated()
-        refused = Observation()
-        self.store.write_rejected(
-            self.spec.name, self.run_id, rejected.observe(refused, F.count(F.lit(1)).alias("n"))
-        )
+        valid, rejected, seen = self._validated()
+        watched, refused = self._counted(rejected)
+        self.store.write_rejected(self.spec.name, self.run_id, watched)
         sent, writes = self._write(valid)
-        if self.spec.keys and not self.spec.high_water_mark_attribute:
-            self.store.write_snapshot(
-                self.spec.name, self.run_id, ch.snapshot(valid, self.spec.keys, self.metadata)
-            )
-        return counters_from(*sent, refused.get["n"], source_count), mark, writes
+        mark = seen.get.get("mark")
+        if mark is None and self.prior is not None:
+            mark = self.prior.high_water_mark
+        return counters_from(*sent, refused.get["n"], seen.get["n"]), mark, writes
+
+    def tidy(self) -> None:
+        """After the commit: delete this run's intermediate tables and the source state the next run does not need."""
+        for path in self.temporary:
+            discard(self.r.spark, path)
+        if self.prior is not None:
+            discard(self.r.spark, self.store.path("state", self.spec.name, self.prior.run_id))
+
+    def _kept(self, df: DataFrame, kind: str) -> DataFrame:
+        path = self.store.path(kind, self.spec.name, self.run_id)
+        self.temporary.append(path)
+        return stored(df, path)
 
     # ---- read, map, validate
 
@@ -125,8 +136,7 @@ class _Run:
             src = src.filter((quoted(column) > past) | quoted(column).isNull())
         return src, {MARK: quoted(column)}
 
-    def _validated(self) -> tuple[DataFrame, DataFrame, int, str | None]:
-        """Map once into a staged table; counts and the new mark are observed while it is written."""
+    def _mapped(self) -> DataFrame:
         src, extra = self._source()
         if self.r.members is None and not self.r.segments and any(
             m.type == "segment_membership" for m in self.spec.mappings
@@ -134,37 +144,39 @@ class _Run:
             raise SpecError("segment membership needs segments or a membership table")
         mapped = project(src, self.spec, self.run_id, self.r.segments, self.r.lookups, keep_rejects=True, extra=extra)
         mapped = validate_fields(mapped, self.r.fields)
-        seen = Observation()
-        counts = [F.count(F.lit(1)).alias("n")]
-        if extra:
-            unmarked = F.col(MARK).isNull()
-            mapped = mapped.withColumn(REASON, F.when(unmarked, F.lit("null_mark")).otherwise(F.col(REASON)))
-            counts.append(F.max(MARK).cast("string").alias("mark"))
-        staged = stored(mapped.observe(seen, *counts), self.store.path("staging", self.spec.name, self.run_id))
-        mark = seen.get.get("mark")
-        if mark is None and self.prior is not None:
-            mark = self.prior.high_water_mark
-        staged = staged.drop(MARK)
-        keys = self.spec.keys
+        if not extra:
+            return mapped
+        return mapped.withColumn(REASON, F.when(F.col(MARK).isNull(), F.lit("null_mark")).otherwise(F.col(REASON)))
+
+    def _validated(self) -> tuple[DataFrame, DataFrame, Observation]:
+        """Valid and rejected records, and the observation of record count and new mark.
+
+        A source that is cheap and safe to read again is not copied: the key check reads its key columns only. Others
+        are written down once, so that every later pass sees the same rows.
+        """
+        mapped, keys, seen = self._mapped(), self.spec.keys, Observation()
+        marked = [c for c in (MARK,) if c in mapped.columns]
+        measures = [F.count(F.lit(1)).alias("n"), *[F.max(c).cast("string").alias("mark") for c in marked]]
+        again = rereadable(mapped)
+        if not again:
+            mapped = self._kept(mapped.observe(seen, *measures), "staging")
+        body = mapped.drop(MARK)
         if keys:
-            twice = stored(
-                duplicate_keys(staged, keys), self.store.path("duplicates", self.spec.name, self.run_id)
-            )
-            usable, rejected = split_by_key(staged, keys, twice)
+            probe = mapped.select(*[quoted(k) for k in keys], *marked)
+            twice = self._kept(duplicate_keys(probe.observe(seen, *measures) if again else probe, keys), "duplicates")
+            usable, rejected = split_by_key(body, keys, twice)
+            rejected = rejected.unionByName(usable.filter(F.col(REASON).isNotNull()))
         else:
-            usable, rejected = staged, staged.filter(F.lit(False))
-        columns = [c for c in usable.columns if c not in (REASON, VALUE)]
-        rejected = rejected.unionByName(usable.filter(F.col(REASON).isNotNull()))
-        valid = usable.filter(F.col(REASON).isNull()).select(*[quoted(c) for c in columns])
+            usable = body
+            rejected = (mapped.observe(seen, *measures).drop(MARK) if again else body).filter(F.col(REASON).isNotNull())
+        columns = [quoted(c) for c in usable.columns if c not in (REASON, VALUE)]
+        valid = usable.filter(F.col(REASON).isNull()).select(*columns)
         if self.r.members is not None:
             for m in self.spec.mappings:
                 if m.type == "segment_membership":
                     t = self.r.members
                     valid = with_membership(valid, m.to, keys[0], t.table, t.key, t.segment, spread=False)
-        if self.r.members is not None or (keys and not fits_broadcast(twice)):
-            # used more than once from here, and no longer just a filter of the staged table
-            valid = stored(valid, self.store.path("valid", self.spec.name, self.run_id))
-        return valid, rejected, seen.get["n"], mark
+        return valid, rejected, seen
 
     # ---- write
 
@@ -178,45 +190,59 @@ class _Run:
             watched, inserts = self._counted(valid)
             self.store.write(spec.object, self.run_id, watched)
             return (inserts.get["n"], 0, 0), "base"
-        previous = None
-        if self.prior is not None and not spec.high_water_mark_attribute:
-            previous = self.store.snapshot(spec.name, self.prior.run_id)
+        if spec.high_water_mark_attribute:
+            new = valid
+            if self.prior is None and spec.historical_sync_operation == "skip_current_records":
+                new = valid.filter(F.lit(False))
+            return self._append(new), "append"
+        sent, gone = self._delta(valid)
+        part = ch.CHANGE in sent.columns
         if spec.operation == "append":
-            first = self.prior is None
-            new = ch.appended(valid, spec.keys, None if self.full else previous, first_run=first,
-                              historical=spec.historical_sync_operation)
-            watched, inserts = self._counted(new)
-            self.store.write(spec.object, self.run_id, watched)
-            return (inserts.get["n"], 0, 0), "append"
-        return self._write_changes(valid, previous)
+            if part:
+                sent = sent.filter(F.col(ch.CHANGE) == ch.INSERT).drop(ch.CHANGE)
+            elif self.prior is None:
+                sent = ch.appended(sent, first_run=True, historical=spec.historical_sync_operation)
+            return self._append(sent), "append"
+        fresh, touched = sent.drop(ch.CHANGE), None
+        if part:
+            touched = sent.select(*[quoted(k) for k in spec.keys])
+            touched = touched if gone is None else touched.unionByName(gone)
+        if spec.object in self.r.unions:
+            return self._write_union(fresh), None
+        return self._merge(spec.object, self.run_id, fresh, gone, touched)
+
+    def _append(self, new: DataFrame) -> tuple[int, int, int]:
+        watched, inserts = self._counted(new)
+        self.store.write(self.spec.object, self.run_id, watched)
+        return inserts.get["n"], 0, 0
+
+    def _delta(self, valid: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """The records to send, labelled insert or update, and the keys to delete; keeps the state for the next run.
+
+        A first or full run sends all records, unlabelled.
+        """
+        spec, keys, store = self.spec, self.spec.keys, self.store
+        fields = [valid.schema[k] for k in keys]
+        previous = None if self.prior is None else store.snapshot(spec.name, self.prior.run_id, fields)
+        deletes = spec.operation == "mirror" and spec.mirror_strategy == "sync_updates_and_deletes"
+        if previous is None or self.full:
+            if not rereadable(valid):
+                valid = self._kept(valid, "valid")
+            seen = ch.snapshot(valid, keys, self.metadata).withColumn(ch.CHANGE, F.lit(ch.UNCHANGED))
+            store.write_state(spec.name, self.run_id, seen)
+            return valid, ch.gone_since(valid, previous, keys) if deletes and previous is not None else None
+        state = ch.source_state(valid, previous, keys, self.metadata)
+        store.write_state(spec.name, self.run_id, state)
+        state = store.state(spec.name, self.run_id, state.schema)
+        sent = state.filter(F.col(ch.CHANGE).isin(ch.INSERT, ch.UPDATE)).drop(ch.FINGERPRINT)
+        gone = state.filter(F.col(ch.CHANGE) == ch.DELETE).select(*[quoted(k) for k in keys])
+        return sent, gone if deletes else None
 
     @staticmethod
     def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
         seen = Observation()
         return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
-    def _write_changes(self, valid: DataFrame, previous: DataFrame | None) -> tuple[tuple[int, int, int], str | None]:
-        spec, keys = self.spec, self.spec.keys
-        deletes = (
-            spec.operation == "mirror" and spec.mirror_strategy == "sync_updates_and_deletes" and previous is not None
-        )
-        fresh, gone, touched = valid, None, None
-        if previous is not None and not self.full:
-            # what differs from the last run is small as a rule: kept as a table, its size decides the joins below
-            delta = stored(
-                ch.source_delta(valid, previous, keys, self.metadata, deletes),
-                self.store.path("delta", spec.name, self.run_id),
-            )
-            fresh = delta.filter(F.col(ch.CHANGE) != ch.DELETE).drop(ch.CHANGE)
-            touched = delta.select(*[quoted(k) for k in keys])
-            if deletes:
-                gone = delta.filter(F.col(ch.CHANGE) == ch.DELETE)
-        elif deletes:
-            gone = ch.gone_since(valid, previous, keys)
-        if spec.object in self.r.unions:
-            return self._write_union(fresh), None
-        return self._merge(spec.object, self.run_id, fresh, gone, touched)
-
     def _merge(
         self, obj: str, run_id: str, fresh: DataFrame, gone: DataFrame | None, touched: DataFrame | None
     ) -> tuple[tuple[int, int, int], str]:
@@ -268,10 +294,8 @@ class _Run:
         names = self.r.unions[spec.object]
         known = [self.store.read(n, keys) for n in names]
         known = [fresh.filter(F.lit(False)) if k is None else k for k in known]
-        routed = stored(
-            ch.route_union(fresh, *known, keys, spec.lead_union_insert_to or names[0], names).drop("action"),
-            self.store.path("routed", spec.name, self.run_id),
-        )
+        routed = ch.route_union(fresh, *known, keys, spec.lead_union_insert_to or names[0], names).drop("action")
+        routed = self._kept(routed, "routed")
         sums = (0, 0, 0)
         for name in names:
             part, run_id = routed.filter(F.col("route") == name).drop("route"), f"{self.run_id}-{name}"

@@ -52,3 +52,28 @@ def fits_broadcast(df: DataFrame) -> bool:
         return False
     size = int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return size <= broadcast_limit(df.sparkSession)
+
+
+def rereadable(df: DataFrame) -> bool:
+    """Whether computing ``df`` again costs one scan and gives the same rows: a deterministic projection or filter over
+    files, joined to nothing but sides small enough to broadcast. Anything else is better written down once.
+    """
+    if getattr(df, "_jdf", None) is None:
+        return False
+    node = df._jdf.queryExecution().optimizedPlan()
+    if not node.deterministic():
+        return False
+    while True:
+        kind = node.nodeName()
+        if kind in ("Project", "Filter"):
+            node = node.child()
+        elif kind == "Join" and int(str(node.right().stats().sizeInBytes())) <= broadcast_limit(df.sparkSession):
+            node = node.left()
+        else:
+            return kind == "LogicalRelation" and "HadoopFsRelation" in node.relation().getClass().getName()
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a directory this library wrote, wherever the path's file system is."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)

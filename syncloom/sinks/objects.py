@@ -1,7 +1,7 @@
 """Destination objects as plain Parquet below one root, each run writing its own directories.
 
 ``<root>/objects/<object>/<run>``    what the run wrote: a full ``base``, a set of ``changes``, or records to ``append``
-``<root>/snapshots/<sync>/<run>``    key and fingerprint of the source records the run saw
+``<root>/state/<sync>/<run>``        the source records the run saw, by key and fingerprint, and those it found changed
 ``<root>/rejected/<sync>/<run>``     records the run refused, with the reason
 ``<root>/sync_runs/day=<day>``       one row per run, appended last: that row is the commit
 
@@ -19,11 +19,11 @@ from typing import Any
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from syncloom.functions.columns import flatten, nest, quoted
-from syncloom.operators.changes import CHANGE, DELETE
+from syncloom.operators.changes import CHANGE, DELETE, FINGERPRINT
 from syncloom.operators.keys import latest_by_key
 from syncloom.operators.policies import WritePolicy
 from syncloom.operators.runs import RUN_SCHEMA
-from syncloom.session import scratch_path, stored
+from syncloom.session import discard, scratch_path, stored
 
 SEQ, DAY = "_seq", "day"
 ORDER = "_order_"
@@ -151,13 +151,28 @@ class ObjectStore:
         self.record(run_id=run_id, status="completed", created_at=at, started_at=at, completed_at=at, object=obj,
                     writes="base", seq=seq)
 
-    # ---- snapshots and rejected records
+    def vacuum(self, obj: str) -> None:
+        """Delete what the object's last base has superseded. Not while something still reads an older state."""
+        current = {r.run_id for r in self.writes_since_base(obj)}
+        past = self.runs().filter((F.col("object") == obj) & (F.col("status") == "completed") & F.col("writes").isNotNull())
+        for r in past.select("run_id").distinct().collect():
+            if r.run_id not in current:
+                discard(self.spark, self.path("objects", obj, r.run_id))
 
-    def write_snapshot(self, sync: str, run_id: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.path("snapshots", sync, run_id))
+    # ---- source state and rejected records
 
-    def snapshot(self, sync: str, run_id: str) -> DataFrame:
-        return self.spark.read.parquet(self.path("snapshots", sync, run_id))
+    def write_state(self, sync: str, run_id: str, df: DataFrame) -> None:
+        """Stored by change, so that reading the changes reads (and plans with the size of) the changes only."""
+        df.write.partitionBy(CHANGE).mode("overwrite").parquet(self.path("state", sync, run_id))
+
+    def state(self, sync: str, run_id: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self.path("state", sync, run_id))
+
+    def snapshot(self, sync: str, run_id: str, keys: Sequence[T.StructField]) -> DataFrame:
+        """Key and fingerprint of the source records a run saw."""
+        pair = T.StructType().add("a", "long").add("b", "long")
+        schema = T.StructType([*keys, T.StructField(FINGERPRINT, pair), T.StructField(CHANGE, T.StringType())])
+        return self.state(sync, run_id, schema).filter(F.col(CHANGE) != DELETE).drop(CHANGE)
 
     def write_rejected(self, sync: str, run_id: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(self.path("rejected", sync, run_id))

@@ -16,7 +16,7 @@ from syncloom.operators.mapping import project
 from syncloom.operators.policies import policies_of
 from syncloom.operators.runs import counters_from
 from syncloom.plans.spec import SyncSpec
-from syncloom.session import stored
+from syncloom.session import discard, stored
 from syncloom.sinks.objects import ORDER, ObjectStore
 
 SPREAD = 32  # parts the copies of one event are spread over before the keyed de-duplication
@@ -57,7 +57,8 @@ class Folder:
         seen, written = Observation(), Observation()
         bad = F.sum(F.when(F.col(REASON).isNotNull(), 1).otherwise(0))
         watched = mapped.observe(seen, F.count(F.lit(1)).alias("n"), bad.alias("bad"))
-        staged = stored(watched, store.path("staging", spec.name, run_id))
+        staging = store.path("staging", spec.name, run_id)
+        staged = stored(watched, staging)
         store.write_rejected(spec.name, run_id, staged.filter(F.col(REASON).isNotNull()))
         valid = staged.filter(F.col(REASON).isNull()).drop(REASON, VALUE)
         last = latest_by_key(valid, spec.keys, list(extra), policies_of(spec.mappings))
@@ -66,6 +67,7 @@ class Folder:
         store.record(run_id=run_id, sync_id=spec.name, status="completed", created_at=started, started_at=started,
                      completed_at=datetime.now(timezone.utc), full_sync=False, object=spec.object, writes="changes",
                      seq=seq, **counters_from(0, written.get["n"], 0, seen.get["bad"] or 0, seen.get["n"]))
+        discard(batch.sparkSession, staging)
 
 
 def live_map_records(

@@ -42,7 +42,7 @@ def test_a_second_time_changes_nothing(sides, apply):
 def test_nothing_is_sent_twice(sides):
     src, _, _ = sides
     assert ch.changed_since(src, ch.snapshot(src, KEYS), KEYS).isEmpty()
-    assert ch.source_delta(src, ch.snapshot(src, KEYS), KEYS, deletes=True).isEmpty()
+    assert labels(ch.source_state(src, ch.snapshot(src, KEYS), KEYS), "_change") == {"unchanged": src.count()}
 
 
 def test_upsert_then_mirror_is_mirror(sides):
@@ -57,12 +57,16 @@ def test_swap_equals_mirror_on_own_rows(sides):
     assert rows(mirrored, *src.columns) == rows(ch.apply_mirror(src, prev, KEYS, strategy="upload_and_swap"))
 
 
-def test_delta_agrees_with_its_parts(sides):
+def test_state_agrees_with_its_parts(sides):
     src, _, prev = sides
-    delta = ch.source_delta(src, ch.snapshot(prev, KEYS), KEYS, deletes=True)
-    fresh = delta.filter("_change = 'upsert'").drop("_change")
-    assert rows(fresh, *src.columns) == rows(ch.changed_since(src, ch.snapshot(prev, KEYS), KEYS))
-    assert rows(delta.filter("_change = 'delete'"), "ext_id") == rows(ch.gone_since(src, prev, KEYS))
+    state = ch.source_state(src, ch.snapshot(prev, KEYS), KEYS)
+    sent = state.filter("_change in ('insert', 'update')")
+    assert rows(sent, *src.columns) == rows(ch.changed_since(src, ch.snapshot(prev, KEYS), KEYS))
+    assert rows(state.filter("_change = 'insert'"), *src.columns) == rows(ch.new_records(src, prev, KEYS))
+    assert rows(state.filter("_change = 'delete'"), "ext_id") == rows(ch.gone_since(src, prev, KEYS))
+    kept = state.filter("_change <> 'delete'")
+    assert rows(kept, "ext_id", "_fingerprint") == rows(ch.snapshot(src, KEYS), "ext_id", "_fingerprint")
+    assert state.filter("_change = 'unchanged' and amount is not null").isEmpty()
 
 
 def test_empty_sides(sides):
