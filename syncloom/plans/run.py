@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as
 from syncloom.functions.columns import quoted
 from syncloom.operators import changes as ch
 from syncloom.operators.fields import validate_fields
-from syncloom.operators.keys import REASON, VALUE, duplicate_keys, split_by_key
+from syncloom.operators.keys import REASON, VALUE, split_by_key
 from syncloom.operators.mapping import LookupObject, project, with_membership
 from syncloom.operators.policies import policies_of
 from syncloom.operators.runs import counters_from, counts_of
@@ -162,13 +162,12 @@ class _Run:
             mapped = self._kept(mapped.observe(seen, *measures), "staging")
         body = mapped.drop(MARK)
         if keys:
-            probe = mapped.select(*[quoted(k) for k in keys], *marked)
-            twice = self._kept(duplicate_keys(probe.observe(seen, *measures) if again else probe, keys), "duplicates")
+            twice = self._kept(self._duplicates(mapped, marked, seen if again else None), "duplicates")
             usable, rejected = split_by_key(body, keys, twice)
             rejected = rejected.unionByName(usable.filter(F.col(REASON).isNotNull()))
         else:
-            usable = body
-            rejected = (mapped.observe(seen, *measures).drop(MARK) if again else body).filter(F.col(REASON).isNotNull())
+            usable = mapped.observe(seen, *measures).drop(MARK) if again else body
+            rejected = body.filter(F.col(REASON).isNotNull())
         columns = [quoted(c) for c in usable.columns if c not in (REASON, VALUE)]
         valid = usable.filter(F.col(REASON).isNull()).select(*columns)
         if self.r.members is not None:
@@ -178,6 +177,20 @@ class _Run:
                     valid = with_membership(valid, m.to, keys[0], t.table, t.key, t.segment, spread=False)
         return valid, rejected, seen
 
+    def _duplicates(self, mapped: DataFrame, marked: list[str], seen: Observation | None) -> DataFrame:
+        """The keys that occur more than once; record count and new mark fall out of the same grouping.
+
+        The observation sits above the grouping: below it, an empty shuffle would be optimized away and take it along.
+        """
+        keys = [quoted(k) for k in self.spec.keys]
+        grouped = mapped.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.max(c).alias(c) for c in marked])
+        if seen is not None:
+            total = F.coalesce(F.sum("__n"), F.lit(0)).alias("n")
+            grouped = grouped.observe(seen, total, *[F.max(c).cast("string").alias("mark") for c in marked])
+        for k in keys:
+            grouped = grouped.filter(k.isNotNull())
+        return grouped.filter("__n > 1").select(*keys)
+
     # ---- write
 
     def _write(self, valid: DataFrame) -> tuple[tuple[int, int, int], str | None]:

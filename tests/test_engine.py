@@ -1,5 +1,6 @@
 """Whole runs: state between runs, commits, rejected records, first runs, exports."""
 
+import pathlib
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from syncloom.operators.mapping import LookupObject
 from syncloom.plans.run import Members, SyncRunner
 from syncloom.plans.spec import DatasetSpec, Field, SegmentSpec, SpecError, SyncSpec
+from syncloom.session import rereadable
 from syncloom.sinks.files import export_file, render_path
 from syncloom.sources.readers import Catalog
 
@@ -20,14 +22,18 @@ pytestmark = pytest.mark.usefixtures("few_partitions")
 class Bench:
     """A runner over a view that the test replaces between runs."""
 
-    def __init__(self, spark, root, **kwargs):
-        self.spark, self.n = spark, 0
+    def __init__(self, spark, root, files=False, **kwargs):
+        self.spark, self.n, self.files = spark, 0, f"{root}-source" if files else None
         catalog = Catalog(models={"m": DatasetSpec("model", "select * from people")})
         self.runner = SyncRunner(spark, root, catalog, clock=lambda: T0 + timedelta(days=self.n, hours=1), **kwargs)
 
     def run(self, spec, schema, *data, run_id=None, **kwargs):
-        self.spark.createDataFrame(list(data), schema).createOrReplaceTempView("people")
         self.n += 1
+        source = self.spark.createDataFrame(list(data), schema)
+        if self.files:
+            source.write.parquet(f"{self.files}/{self.n}")
+            source = self.spark.read.parquet(f"{self.files}/{self.n}")
+        source.createOrReplaceTempView("people")
         return self.runner.run(spec, run_id or f"run-{self.n}", T0 + timedelta(days=self.n), **kwargs)
 
     def state(self, spec):
@@ -44,8 +50,25 @@ def sync(mappings=({"from": "name", "to": "name"},), **options):
 PEOPLE = "id int, name string"
 
 
-def test_mirror_over_three_runs(spark, root):
-    b, spec = Bench(spark, root), sync(operation="mirror")
+@pytest.fixture(params=[False, True], ids=["computed", "files"])
+def files(request):
+    """Sources that are written down first, and sources that are read again."""
+    return request.param
+
+
+def test_what_is_read_again(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).write.parquet(path)
+    t = spark.read.parquet(path)
+    small = spark.read.parquet(path).groupBy("id").count()
+    assert rereadable(t) and rereadable(t.filter("id > 3").selectExpr("id + 1 as x"))
+    assert rereadable(t.join(small, "id", "left"))
+    assert not rereadable(t.withColumn("r", F.rand())) and not rereadable(small)
+    assert not rereadable(spark.createDataFrame([(1,)], "id int"))
+
+
+def test_mirror_over_three_runs(spark, root, files):
+    b, spec = Bench(spark, root, files), sync(operation="mirror")
     assert b.run(spec, PEOPLE, (1, "a"), (2, "b")).counters["records_succeeded"] == 2
     second = b.run(spec, PEOPLE, (1, "a"), (3, "c"))
     assert b.state(spec) == [(1, "a"), (3, "c")]
@@ -86,8 +109,8 @@ def test_a_failed_run_leaves_the_object_and_can_be_repeated(spark, root):
     assert b.state(spec) == [(1, "b")]
 
 
-def test_rejected_records(spark, root):
-    b = Bench(spark, root, fields=[Field("name", "text", required=True), Field("age", "number")])
+def test_rejected_records(spark, root, files):
+    b = Bench(spark, root, files, fields=[Field("name", "text", required=True), Field("age", "number")])
     spec = sync([{"from": "name", "to": "name"}, {"from": "age", "to": "age"}])
     result = b.run(spec, "id int, name string, age string", (1, "a", "30"), (2, "b", "old"), (3, None, "4"),
                    (None, "n", "1"), (5, "x", "1"), (5, "y", "2"))
@@ -98,8 +121,8 @@ def test_rejected_records(spark, root):
     assert (result.counters["records_invalid"], result.counters["source_record_count"]) == (5, 6)
 
 
-def test_append_by_mark(spark, root):
-    b = Bench(spark, root)
+def test_append_by_mark(spark, root, files):
+    b = Bench(spark, root, files)
     spec = sync([{"from": "at", "to": "at"}], operation="append", high_water_mark_attribute="at")
     schema = "id int, at int"
     assert b.run(spec, schema, (1, 10), (2, 20), (3, None)).high_water_mark == "20"
@@ -110,6 +133,20 @@ def test_append_by_mark(spark, root):
     assert full.counters["records_succeeded"] == 2 and len(b.state(spec)) == 5
 
 
+def test_sources_without_usable_records(spark, root, files):
+    b = Bench(spark, root, files)
+    spec = sync(operation="mirror")
+    none = b.run(spec, PEOPLE, (None, "a"), (None, "b"))
+    assert (none.counters["source_record_count"], none.counters["records_invalid"]) == (2, 2) and b.state(spec) == []
+    assert b.run(spec, PEOPLE).counters == dict.fromkeys(none.counters, 0)
+    assert b.run(spec, PEOPLE, (1, "a")).counters["records_succeeded"] == 1
+    gone = b.run(spec, PEOPLE)
+    assert gone.counters["records_deletes"] == 1 and b.state(spec) == []
+    swap = sync(operation="mirror", mirror_strategy="upload_and_swap", name="swap", field_mapping=[{"from": "id", "to": "id"}])
+    assert b.run(swap, PEOPLE, (1, "a"), (1, "b")).counters["source_record_count"] == 2
+    assert b.run(swap, PEOPLE).counters["source_record_count"] == 0
+
+
 def test_append_may_skip_what_is_there(spark, root):
     for n, mark in enumerate(({}, {"high_water_mark_attribute": "at"})):
         b = Bench(spark, f"{root}-{n}")
@@ -211,6 +248,17 @@ def test_tidy_history(spark, root):
     assert b.state(spec) == [(2, "d")]
 
 
+def test_nothing_temporary_is_left(spark, root):
+    b, spec = Bench(spark, root, compact_after=1), sync(operation="mirror")
+    for data in ([(1, "a"), (2, "b")], [(1, "b")], [(1, "c")]):
+        b.run(spec, PEOPLE, *data)
+    left = {p.name: sorted(c.name for c in p.glob("*/*")) for p in pathlib.Path(root).iterdir()}
+    assert left["state"] == ["run-3"] and not left["staging"] and not left["duplicates"]
+    b.runner.store.vacuum("Person")
+    assert [p.name for p in pathlib.Path(root, "objects", "Person").iterdir()] == ["run-3-base"]
+    assert b.state(spec) == [(1, "c")]
+
+
 def test_uncommitted_writes_are_not_read(spark, root):
     b, spec = Bench(spark, root), sync()
     b.run(spec, PEOPLE, (1, "a"))
@@ -225,8 +273,8 @@ def test_sync_all_properties(spark, root):
     assert b.runner.store.read("Person", ["id"]).columns == ["First Name", "id"]
 
 
-def test_file_export(spark, root):
-    b = Bench(spark, root)
+def test_file_export(spark, root, files):
+    b = Bench(spark, root, files)
     spec = SyncSpec.from_config({
         "name": "export", "source_attributes": {"object": {"type": "model", "id": "m"}},
         "destination_object": "path_to_file/data_%m-%d-%y.parquet", "operation": "mirror",
