@@ -34,15 +34,15 @@ def fingerprint(fields: Sequence[T.StructField], side: str | None = None) -> Col
     values: list[Column] = []
     for f in fields:
         value = quoted(f.name, side)
-        values += [F.to_json(value) if _has_map(f.dataType) else value, value.isNull()]
+        values += [F.to_json(value) if has_map(f.dataType) else value, value.isNull()]
     return F.struct(F.xxhash64(F.lit(1), *values).alias("a"), F.xxhash64(F.lit(2), *values).alias("b"))
 
 
-def _has_map(kind: T.DataType) -> bool:
+def has_map(kind: T.DataType) -> bool:
     if isinstance(kind, T.ArrayType):
-        return _has_map(kind.elementType)
+        return has_map(kind.elementType)
     if isinstance(kind, T.StructType):
-        return any(_has_map(f.dataType) for f in kind.fields)
+        return any(has_map(f.dataType) for f in kind.fields)
     return isinstance(kind, T.MapType)
 
 

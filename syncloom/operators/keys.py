@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from syncloom.functions.columns import quoted
+from syncloom.functions.columns import has_map, quoted
 from syncloom.operators.policies import WritePolicy
 from syncloom.operators.skew import join_unique
 from syncloom.session import fits_broadcast, scratch_path, stored
@@ -78,8 +78,9 @@ def latest_by_key(
     """
     policies = policies or {}
     rest = [c for c in df.columns if c not in keys]
-    ordered = F.struct(*[quoted(c) for c in [*order, *[c for c in rest if c not in order]]])
-    picks: dict[str, Column] = {}
+    loose = {f.name for f in df.schema.fields if has_map(f.dataType)}  # maps have no order
+    ordered = F.struct(*[quoted(c) for c in [*order, *[c for c in rest if c not in order and c not in loose]]])
+    picks: dict[str, Column] = {c: F.max_by(quoted(c), ordered) for c in rest if c in loose}
     for c in rest:
         policy = policies.get(c, WritePolicy())
         at = F.when(quoted(c).isNotNull(), ordered)

@@ -61,13 +61,22 @@ def read_source(spark: SparkSession, source_type: str, options: Dict[str, str],
 def read_topic(
     spark: SparkSession, source_type: str, options: Dict[str, str], schema=None, path: str | None = None
 ) -> DataFrame:
-    """A stream. Files need a schema; Kafka brings its own."""
+    """A stream of records. Files need a schema; Kafka messages are decoded with it, or left as they are without."""
     reader = spark.readStream.format(source_type).options(**options)
+    if source_type == "kafka":
+        messages = reader.load()
+        return messages if schema is None else records_of(messages, schema)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path) if path else reader.load()
 
 
+def records_of(messages: DataFrame, schema) -> DataFrame:
+    """JSON messages as records, with ``_partition`` and ``_offset`` to order them by; undecodable ones are all null."""
+    decoded = messages.select(F.from_json(F.col("value").cast("string"), schema).alias("r"), "partition", "offset")
+    return decoded.select("r.*", F.col("partition").alias("_partition"), F.col("offset").alias("_offset"))
+
+
 def profile_dataset(df: DataFrame) -> DataFrame:
     """``(name, data_type, record_count)`` per column, from the schema and one count that reads no column."""
     columns = [F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("t")) for f in df.schema]

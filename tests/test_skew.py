@@ -102,3 +102,9 @@ def test_latest_by_key(spark):
     policies = {"keep": WritePolicy(preserve=True), "skip": WritePolicy(sync_nulls=False)}
     got = rows(latest_by_key(df, ["k"], ["at"], policies))
     assert got == [(1, 3, "a", "r", "x"), (2, 5, "b", None, "y")]
+
+
+def test_latest_by_key_with_maps(spark):
+    df = spark.sql("select 1 as k, 2 as at, map('a', 1) as m union all select 1, 3, map('b', 2) union all select 2, 1, null")
+    got = {r.k: (r.at, r.m) for r in latest_by_key(df, ["k"], ["at"]).collect()}
+    assert got == {1: (3, {"b": 2}), 2: (1, None)}

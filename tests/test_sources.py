@@ -2,7 +2,7 @@ import pytest
 from conftest import rows, table
 
 from syncloom.plans.spec import DatasetSpec, SegmentSpec, SourceSpec, SpecError
-from syncloom.sources.readers import Catalog, profile_dataset, read_cohort, read_source, read_table
+from syncloom.sources.readers import Catalog, profile_dataset, read_cohort, read_source, read_table, records_of
 
 
 def test_names_with_schema_and_odd_characters(spark):
@@ -41,3 +41,9 @@ def test_formats(spark, tmp_path):
     table(spark, "a int, b string", (1, "x;y"), (2, None)).write.option("sep", ";").option("header", True).csv(str(tmp_path / "c"))
     df = read_source(spark, "csv", {"sep": ";", "header": "true", "inferSchema": "true"}, str(tmp_path / "c"))
     assert rows(df) == [(1, "x;y"), (2, None)]
+
+
+def test_messages_become_records(spark):
+    messages = table(spark, "value string, partition int, offset bigint", ('{"k": 1, "v": "a"}', 0, 7), ("junk", 1, 8))
+    messages = messages.withColumn("value", messages.value.cast("binary"))
+    assert rows(records_of(messages, "k int, v string")) == [(1, "a", 0, 7), (None, None, 1, 8)]
