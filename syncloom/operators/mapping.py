@@ -94,12 +94,12 @@ def _value(
 
 def resolve_lookup(
     df: DataFrame, field: str, lookup: LookupObject, lookup_field: str, constant: str | None = None,
-    spread: bool | None = None,
+    spread: bool | None = None, values_of: DataFrame | None = None,
 ) -> DataFrame:
     """Replace the field's value by the id of the looked-up record; a value without a match is a ``lookup_miss``.
 
     Several matches resolve to the smallest id. A constant is resolved once, as a scalar subquery, instead of joining
-    every record on one key.
+    every record on one key. ``values_of`` may give the field's values from before other lookups were joined.
     """
     kind = lookup.records.schema[lookup_field].dataType
     by, found = quoted(lookup_field), F.min(quoted(lookup.id_field))
@@ -109,9 +109,9 @@ def resolve_lookup(
         joined = df.withColumn("__found", match.scalar())
     else:
         ids = lookup.records.filter(by.isNotNull()).groupBy(by.alias("__lookup")).agg(found.alias("__found"))
-        same = df.schema[field].dataType == kind
-        probe = df.withColumn("__lookup", raw if same else raw.try_cast(kind))
-        joined = join_unique(probe, ids, ["__lookup"], "left", spread).drop("__lookup")
+        probe = (raw if df.schema[field].dataType == kind else raw.try_cast(kind)).alias("__lookup")
+        keys_of = None if values_of is None else values_of.select(probe)
+        joined = join_unique(df.select("*", probe), ids, ["__lookup"], "left", spread, keys_of).drop("__lookup")
     miss = raw.isNotNull() & F.col("__found").isNull()
     if REASON in columns:
         miss = miss & F.col(REASON).isNull()
@@ -165,11 +165,12 @@ def project(
         reason, value = first_problem(problems)
         columns += [reason.alias(REASON), value.alias(VALUE)]
     out = df.select(*columns, *[c.alias(name) for name, c in (extra or {}).items()])
+    narrow = out
     for m in wanted:
         if m.lookup_object not in (lookups or {}):
             raise SpecError(f"unknown lookup object {m.lookup_object!r}")
         constant = constant_text(m.constant) if m.type == "constant" else None
-        out = resolve_lookup(out, m.to, lookups[m.lookup_object], m.lookup_field, constant, spread)
+        out = resolve_lookup(out, m.to, lookups[m.lookup_object], m.lookup_field, constant, spread, narrow)
     fields = [m.to for m in mappings]
     if checked and not keep_rejects:
         out = out.filter(F.col(REASON).isNull())

@@ -40,7 +40,10 @@ def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     )
 
 
-def join_unique(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, spread: bool | None = None) -> DataFrame:
+def join_unique(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, spread: bool | None = None,
+    keys_of: DataFrame | None = None,
+) -> DataFrame:
     """Join a side that may be skewed with a side that has at most one row per key (left, left_semi or left_anti).
 
     A right side within the broadcast threshold is left to the optimizer, which broadcasts it by the same estimate.
@@ -48,7 +51,8 @@ def join_unique(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
     of every task see the same list. Without hot keys this is a plain join; otherwise their rows (null keys count as one
     key) are spread over salts, and only the right rows of hot keys are repeated, at most
     ``spark.sql.shuffle.partitions`` + HOT_KEYS times in all. The salt comes from the partition a row lies in, so copies
-    of one row spread too, and a re-run task assigns the same salts.
+    of one row spread too, and a re-run task assigns the same salts. ``keys_of`` may give the same keys as ``left`` from
+    an earlier, cheaper step.
     """
     if how not in ("left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
@@ -57,7 +61,7 @@ def join_unique(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
         spread = not left.isStreaming and not fits_broadcast(right)
     if not spread:
         return left.join(right, on, how)
-    hot = stored(hot_keys(left, on), scratch_path(left.sparkSession, "hot-keys"))
+    hot = stored(hot_keys(left if keys_of is None else keys_of, on), scratch_path(left.sparkSession, "hot-keys"))
     if hot.isEmpty():
         return left.join(right, on, how)
     hot = F.broadcast(hot)

@@ -10,15 +10,17 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as
 
 from syncloom.functions.columns import quoted
 from syncloom.operators import changes as ch
+from syncloom.operators.alerts import notifications
 from syncloom.operators.fields import validate_fields
 from syncloom.operators.keys import REASON, VALUE, split_by_key
 from syncloom.operators.mapping import LookupObject, project, with_membership
 from syncloom.operators.policies import policies_of
 from syncloom.operators.runs import counters_from, counts_of
+from syncloom.operators.schedules import expected_runs, missed_runs
 from syncloom.plans.spec import Field, SegmentSpec, SpecError, SyncSpec
 from syncloom.session import discard, rereadable, stored
 from syncloom.sinks.files import export_file
-from syncloom.sinks.objects import ObjectStore
+from syncloom.sinks.objects import ObjectStore, utc
 from syncloom.sources.readers import Catalog
 
 MARK = "__mark"
@@ -86,6 +88,22 @@ class SyncRunner:
         self._compact_if_due(spec, run_id, now, seq)
         return RunResult(run_id, "completed", counters, mark)
 
+    def history(self, spec: SyncSpec) -> DataFrame:
+        return self.store.runs().filter(F.col("sync_id") == spec.name)
+
+    def notifications(self, spec: SyncSpec) -> DataFrame:
+        """What the sync's alerts have to say about its history."""
+        return notifications(self.history(spec), list(spec.alerts))
+
+    def missed(self, spec: SyncSpec, lo: datetime, hi: datetime) -> DataFrame:
+        """The slots of the sync's schedule in [lo, hi) in which no run started."""
+        if spec.schedule is None:
+            raise SpecError("the sync has no schedule")
+        span = self.spark.range(1).select(
+            F.lit(spec.name).alias("sync_id"), F.lit(utc(lo)).alias("lo"), F.lit(utc(hi)).alias("hi")
+        )
+        return missed_runs(expected_runs(span, spec.schedule, "lo", "hi"), self.history(spec), spec.schedule)
+
     def _compact_if_due(self, spec: SyncSpec, run_id: str, now: datetime, seq: int) -> None:
         pending = [r for r in self.store.writes_since_base(spec.object) if r.writes == "changes"]
         if len(pending) >= self.compact_after:

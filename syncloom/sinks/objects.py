@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping as Dict, Sequence
 from datetime import date, datetime, timezone
+from itertools import groupby
 from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
@@ -116,18 +117,14 @@ class ObjectStore:
         return None if df is None else df.drop(*order_columns(df))
 
     def _read_all(self, obj: str, keys: Sequence[str], policies: Dict[str, WritePolicy] | None) -> DataFrame | None:
-        runs = self.writes_since_base(obj)
-        if not runs:
-            return None
-        paths = {kind: [self.path("objects", obj, r.run_id) for r in runs if r.writes == kind]
-                 for kind in ("base", "append", "changes")}
-        parts = [self._load(paths[k]) for k in ("base", "append") if paths[k]]
         whole = None
-        for p in parts:
-            whole = p if whole is None else whole.unionByName(p, allowMissingColumns=True)
-        if not paths["changes"]:
-            return whole
-        return overlaid(whole, self._load(paths["changes"]), keys, policies)
+        for kind, group in groupby(self.writes_since_base(obj), key=lambda r: r.writes):
+            part = self._load([self.path("objects", obj, r.run_id) for r in group])
+            if kind == "changes":
+                whole = overlaid(whole, part, keys, policies)
+            else:
+                whole = part if whole is None else whole.unionByName(part, allowMissingColumns=True)
+        return whole
 
     def _load(self, paths: list[str]) -> DataFrame:
         """Files of several runs under the newest run's schema; fields added later read as null from older files."""

@@ -90,6 +90,15 @@ def test_operations(spark, root, operation, want):
     assert b.state(spec) == want
 
 
+def test_changes_and_appends_apply_in_order(spark, root):
+    b = Bench(spark, root)
+    b.run(sync(), PEOPLE, (1, "a"))
+    b.run(sync(), PEOPLE, (1, "b"))
+    log = sync(operation="append", name="log")
+    b.run(log, PEOPLE, (1, "c"))
+    assert b.state(log) == [(1, "b"), (1, "c")]  # appended after the change, so not covered by it
+
+
 def test_a_committed_run_is_not_run_again(spark, root):
     b, spec = Bench(spark, root), sync()
     first = b.run(spec, PEOPLE, (1, "a"), run_id="r")
@@ -310,3 +319,22 @@ def test_union_of_two_objects(spark, root):
     assert rows(b.runner.store.read("Contact", ["id"])) == [(2, "both"), (3, "C"), (4, "E")]
     with pytest.raises(SpecError):
         b.run(sync(operation="mirror"), PEOPLE, (1, "A"))
+
+
+def test_alerts_and_missed_runs_of_a_sync(spark, root):
+    b = Bench(spark, root)
+    spec = sync(
+        alert=[{"type": "FailureAlertConfiguration"},
+               {"type": "InvalidRecordPercentAlertConfiguration", "options": {"threshold": "40"}}],
+        run_mode={"type": "triggered", "triggers": {"schedule": {"frequency": "daily", "hour": 6}}})
+    b.run(spec, PEOPLE, (1, "a"), (None, "b"), (None, "c"))
+    with pytest.raises(Exception):
+        b.run(spec, "id int, other string", (1, "b"))
+    b.n += 1
+    b.run(spec, PEOPLE, (1, "b"))
+    got = rows(b.runner.notifications(spec), "run_id", "alert", "kind")
+    assert got == [("run-1", "InvalidRecordPercentAlertConfiguration", "violation"),
+                   ("run-2", "FailureAlertConfiguration", "violation"),
+                   ("run-2", "InvalidRecordPercentAlertConfiguration", "recovery"),
+                   ("run-4", "FailureAlertConfiguration", "recovery")]
+    assert rows(b.runner.missed(spec, T0, T0 + timedelta(days=5)), "slot") == [(T0,), (T0 + timedelta(days=3),)]

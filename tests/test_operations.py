@@ -166,6 +166,19 @@ def test_lookups(spark):
         project(df, spec)
 
 
+def test_two_lookups(spark):
+    df = spark.range(0, 600, 1, 4).selectExpr("id as k", "if(id % 3 = 0, 1, id % 50) as a", "if(id % 3 = 1, 2, id % 70) as b")
+    objects = {"as": LookupObject(spark.range(40).selectExpr("id * 10 as id", "id as n")),
+               "bs": LookupObject(spark.range(60).selectExpr("id * 100 as id", "id as n"))}
+    spec = SyncSpec("s", SourceSpec("table", table="t"), "o", (
+        Mapping("k", "k", is_primary_identifier=True), Mapping("a", "a", lookup_object="as", lookup_field="n"),
+        Mapping("b", "b", lookup_object="bs", lookup_field="n")))
+    want = [(r.k, r.a * 10, r.b * 100) for r in df.collect() if r.a < 40 and r.b < 60]
+    for spread in (False, True):
+        got = project(df, spec, lookups=objects, spread=spread)
+        assert rows(got, "k", "a", "b") == sorted(want, key=repr)
+
+
 def test_membership(spark):
     df = table(spark, "k int, seg string", (1, ""), (2, ""))
     members = table(spark, "who int, name string", (1, "b"), (1, "a"), (1, "a"), (1, "b"), (3, "z"))
