@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from syncloom.llm.license_scan import license_scan
+from syncloom.llm.mixing import mix
+from syncloom.llm.sharding import histogram_shards
 from syncloom.llm.token_counts import token_counts
 
 QUERIES = {}
@@ -34,3 +36,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan(table(spark, sf_dir, "documents"))
     return found.select("row.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@register("op6_sharding")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return histogram_shards(table(spark, sf_dir, "documents"))
+
+
+@register("op7_mixing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

@@ -2,15 +2,38 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 #: ``fn`` takes the texts of one batch and returns one array per column of the schema.
 TextFunction = Callable[[pa.Array], Sequence[pa.Array]]
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, as ``--py-files`` would; once per application, in a zip of its sources."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="syncloom-py-"), "syncloom.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    out.write(file, os.path.relpath(file, os.path.dirname(top)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def field(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
@@ -20,6 +43,7 @@ def per_text(docs: DataFrame, make: Callable[[], TextFunction], schema: T.Struct
 
     ``make`` is called once per task and gives the function, so that models are loaded on the executors.
     """
+    ship(docs.sparkSession)
     given = docs.select(F.struct(*[docs[f"`{c}`"] for c in carry]).alias("row"), docs[f"`{text}`"].cast("string").alias("text"))
     names = ["row", *schema.names]
 
