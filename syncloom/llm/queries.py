@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from syncloom.llm.decontamination import contamination
 from syncloom.llm.license_scan import license_scan
 from syncloom.llm.mixing import mix
 from syncloom.llm.sharding import histogram_shards
 from syncloom.llm.token_counts import token_counts
+from syncloom.llm.topk_search import exact_topk
+from syncloom.llm.toxicity import held_out, toxicity, train
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +49,41 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_mixing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
+    return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted")
+
+
+@register(
+    "op8_topk_search",
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+    ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@register("op10_decontamination")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
