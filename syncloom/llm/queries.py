@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from syncloom.llm.decontamination import contamination
 from syncloom.llm.license_scan import license_scan
 from syncloom.llm.mixing import mix
+from syncloom.llm.ngram_join import ngram_components
 from syncloom.llm.sharding import histogram_shards
 from syncloom.llm.token_counts import token_counts
 from syncloom.llm.topk_search import exact_topk
@@ -87,3 +88,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )
+
+
+@register("op4_ngram_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"))
