@@ -9,6 +9,8 @@ from syncloom.llm.license_scan import license_scan
 from syncloom.llm.mixing import mix
 from syncloom.llm.ngram_join import ngram_components
 from syncloom.llm.sharding import histogram_shards
+from syncloom.llm.suffix_dedup import suffix_dedup
+from syncloom.llm.suffix_trees import tree_dedup
 from syncloom.llm.token_counts import token_counts
 from syncloom.llm.topk_search import exact_topk
 from syncloom.llm.toxicity import held_out, toxicity, train
@@ -93,3 +95,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_ngram_join")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"))
+
+
+@register("op5_suffix_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
+
+
+@register("op9_suffix_trees")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = tree_dedup(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", "kept_sha256")
