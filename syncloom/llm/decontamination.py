@@ -7,13 +7,14 @@ tree; the matches' places come from sampled suffix positions by walking the last
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from syncloom.llm.rows import per_text, ship
+from syncloom.llm.rows import field, per_text, ship
 from syncloom.llm.textops import ALNUM, LOWER, binary, chunks, prefix_hash, stretch_hash, word_spans
 
 SAMPLE, SLICE_BYTES = 16, 8 << 20
@@ -328,3 +329,20 @@ def without_words(texts: pa.Array, spans: pa.Array) -> pa.Array:
             at = int(ends[s["last"]])
         out[k] = b"".join([*keep, out[k][at:]])
     return pa.array(out, pa.large_binary()).cast(pa.large_string()).cast(pa.string())
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, text: str = "text", item: str = "item_id") -> DataFrame:
+    """The rows of ``docs`` with every hit stretch of words cut out of the text; other columns and rows stay as they are.
+
+    A text without hits is returned unchanged, a null one as null. ``contamination`` says what counts as a hit.
+    """
+    found = contamination(docs, benchmark, width, text, item, tuple(docs.columns))
+    given = found.select("row", F.col(f"row.`{text}`").cast("string").alias("text"), "spans")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([field(batch, "row"), without_words(field(batch, "text"), field(batch, "spans"))], ["row", "clean"])
+
+    schema = T.StructType([given.schema["row"], T.StructField("clean", T.StringType())])
+    done = given.mapInArrow(run, schema)
+    return done.select(*[F.col("clean").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

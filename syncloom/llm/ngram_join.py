@@ -179,17 +179,11 @@ def others(postings: DataFrame) -> DataFrame:
     return a.join(b, "key").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & near("na", "nb") & enough).select("a", "na", "b", "nb").distinct()
 
 
-def ngram_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row: near copies (Jaccard of 5-word shingles at least 0.75) have one component.
-
-    Words are lower-cased (A-Z) and separated by white space. A text of one to four words has one n-gram, all its words. A null or
-    empty text, or one without words, has none and is linked with nothing, not even its copies; its component is
-    its own id. Equal texts are one class from the start, so groups of copies never meet as rows. A component is named by its smallest
-    id; null ids do not count, and a component of null ids only is null. Repeated rows get equal results; an empty table gives an empty
-    result. Other columns are not read. N-grams are compared by 64-bit hashes.
-    """
+def _classes(docs: DataFrame, text: str, key: str, texts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``class, n`` of all texts, and ``class, label`` of those that are connected with others or could be."""
     spark = docs.sparkSession
-    rows, texts = text_classes(docs, text, key)
+    if texts is None:
+        _, texts = text_classes(docs, text, key)
     parts = parts_for(texts)
     sizes = frequencies(key_blocks(texts, prefixes, parts), may_link, "class binary, n bigint, possible boolean")
     sizes = stored(sizes, scratch_path(spark, "sizes"))
@@ -198,7 +192,20 @@ def ngram_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -
     sets = frequencies(key_blocks(some, whole_sets, parts), in_order, SETS, with_keys=True)
     sets = stored(sets, scratch_path(spark, "sets"))
     release(spark)
-    labels = connect(sets.where(F.size("keys") > 0))
+    return sizes, connect(sets.where(F.size("keys") > 0))
+
+
+def ngram_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row: near copies (Jaccard of 5-word shingles at least 0.75) have one component.
+
+    Words are lower-cased (A-Z) and separated by white space. A text of one to four words has one n-gram, all its words. A
+    null or empty text, or one without words, has none and is linked with nothing, not even its copies; its component is
+    its own id. Equal texts are one class from the start, so groups of copies never meet as rows. A component is named
+    by its smallest id; null ids do not count, and a component of null ids only is null. Repeated rows get equal results;
+    an empty table gives an empty result. Other columns are not read. N-grams are compared by 64-bit hashes.
+    """
+    rows, texts = text_classes(docs, text, key)
+    sizes, labels = _classes(docs, text, key, texts)
     # a class's smallest id, then a component's
     ids = texts.select("class", "id").join(labels.select("class", "label"), "class")
     named = ids.groupBy("label").agg(F.min("id").alias("component")).join(labels.select("class", "label"), "label").select("class", "component")
@@ -206,3 +213,26 @@ def ngram_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -
     about = about.select(F.col("class").alias("_c"), "n", F.coalesce("component", "id").alias("component"))
     joined = rows.join(about, F.col("class") == F.col("_c"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the row with the smallest id stays.
+
+    Null ids come last. Rows whose text has no words are linked with nothing and all stay. Of rows that agree in id and
+    text one stays. All columns are kept as they are, whatever their names.
+    """
+    spark = docs.sparkSession
+    sizes, labels = _classes(docs, text, key)
+    own = F.unhex(F.md5(F.coalesce(docs[f"`{text}`"].cast("string"), F.lit("")).cast("binary")))
+    given = docs.select(F.struct("*").alias("row"), docs[f"`{key}`"].cast("long").alias("id"), own.alias("class"))
+    ids = given.groupBy("class", "id").agg(F.count(F.lit(1)).alias("rows"))
+    first = ids.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("_"), F.col("id"), F.col("rows"))).alias("f"))
+    first = first.select("class", "f.id", "f.rows").join(sizes.select("class", "n"), "class").join(labels.select("class", "label"), "class", "left")
+    best = F.min(F.struct(F.col("id").isNull().alias("_"), F.col("id"), F.col("class"), F.col("rows"))).alias("f")
+    keep = first.where("n > 0").groupBy(F.coalesce("label", "class").alias("label")).agg(best).select("f.class", "f.id", "f.rows", F.lit(False).alias("every"))
+    keep = keep.unionByName(first.where("n = 0").select("class", "id", F.lit(1).cast("long").alias("rows"), F.lit(True).alias("every")))
+    keep = stored(keep, scratch_path(spark, "keep")).select(F.col("class").alias("_c"), F.col("id").alias("_id"), "rows", "every")
+    kept = given.join(keep, F.col("class") == F.col("_c")).where(F.col("every") | F.col("id").eqNullSafe(F.col("_id")))
+    # few classes have their first id twice; only their rows are brought together
+    one, many = kept.where("rows = 1").select("row"), kept.where("rows > 1").groupBy("class").agg(F.any_value("row").alias("row")).select("row")
+    return one.unionByName(many).select("row.*")
