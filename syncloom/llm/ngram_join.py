@@ -12,15 +12,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from syncloom.llm.blocks import frequencies, key_blocks, parts_for, release, text_classes
+from syncloom.llm.blocks import frequencies, owners, parts_for, release, text_classes
 from syncloom.llm.components import components
 from syncloom.llm.textops import LOWER, SPACED, U64, gram_hash, prefix_hash, stretch_hash, word_spans
 from syncloom.session import scratch_path, stored
 
 WIDTH = 5
 FRAGMENTS = 8
-#: Rounds in which a random leader per n-gram is compared with the others, before the remaining pairs are.
-LEADER_ROUNDS = 3
+#: At most so many rounds in which one leader per n-gram is compared with the others before all remaining pairs are, and
+#: how many pairs a posting may give without such a round.
+LEADER_ROUNDS, PAIRS_PER_POSTING = 6, 4
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -63,10 +64,9 @@ def prefixes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return keys[rank < np.repeat(length, n)], length, n
 
 
-def may_link(classes: list[bytes], per: np.ndarray, n: np.ndarray, documents: np.ndarray, _: np.ndarray | None) -> pa.Table:
+def may_link(classes: list[bytes], per: np.ndarray, n: np.ndarray, places: np.ndarray, documents: np.ndarray, _: np.ndarray | None) -> pa.Table:
     """Sizes, and whether enough of the prefix occurs elsewhere for a link with any set of an allowed size."""
-    owner = np.repeat(np.arange(len(per)), per)
-    shared = np.bincount(owner[documents >= 2], minlength=len(per))
+    shared = np.bincount(owners(per, places), minlength=len(per))
     possible = (n > 0) & (shared >= slack(need(n)))
     return pa.table([pa.array(classes, pa.binary()), pa.array(n), pa.array(possible)], ["class", "n", "possible"])
 
@@ -76,19 +76,20 @@ def whole_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return keys, n, n
 
 
-def in_order(classes: list[bytes], per: np.ndarray, n: np.ndarray, documents: np.ndarray, keys: np.ndarray | None) -> pa.Table:
-    """Sets in the global order (documents per n-gram, hash), without the n-grams of one document only.
+def in_order(classes: list[bytes], per: np.ndarray, n: np.ndarray, places: np.ndarray, documents: np.ndarray, keys: np.ndarray | None) -> pa.Table:
+    """Sets in the global order (documents per n-gram, hash), without the n-grams of one document only, which come first.
 
     ``place`` is an n-gram's number in its whole set; ``order`` is what fragments are cut by.
     """
-    owner = np.repeat(np.arange(len(per)), per)
-    sort = np.lexsort((keys, documents, owner))
-    key, df, own = keys[sort], documents[sort].astype(np.int64), owner[sort]
-    place = np.arange(len(key)) - np.repeat(np.cumsum(per) - per, per)
-    some = df >= 2
+    own = owners(per, places)
+    sort = np.lexsort((keys, documents, own))
+    key, df, own = keys[sort], documents[sort], own[sort]
+    shared = np.bincount(own, minlength=len(per))
+    edges = np.concatenate([[0], np.cumsum(shared)])
+    place = np.arange(len(key)) - edges[own] + (per - shared)[own]
     order = (df << 48) | (key >> U64(16)).astype(np.int64)
-    offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(own[some], minlength=len(per)))]).astype(np.int32))
-    lists = [pa.ListArray.from_arrays(offsets, pa.array(x[some])) for x in (key.view(np.int64), order, place.astype(np.int32))]
+    offsets = pa.array(edges.astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (key.view(np.int64), order, place.astype(np.int32))]
     return pa.table([pa.array(classes, pa.binary()), pa.array(n.astype(np.int32)), *lists], ["class", "n", "keys", "orders", "places"])
 
 
@@ -96,7 +97,7 @@ SETS = "class binary, n int, keys array<bigint>, orders array<bigint>, places ar
 
 
 def fragments(sets: DataFrame, count: int) -> DataFrame:
-    """``class, f, segment``: the global order is cut where about equal numbers of n-grams fall between."""
+    """``node, f, segment``: the global order is cut where about equal numbers of n-grams fall between."""
     probes = sets.select(F.explode(F.filter("orders", lambda o: o.bitwiseAND(F.lit(15)) == 0)).alias("o"))
     cuts = probes.agg(F.percentile_approx("o", [k / count for k in range(1, count)], 1000)).first()[0] or []
     edges = [None, *sorted(set(cuts)), None]
@@ -107,13 +108,13 @@ def fragments(sets: DataFrame, count: int) -> DataFrame:
         return F.transform(inside, lambda p: p["keys"])
 
     every = F.array(*[F.struct(F.lit(k).alias("f"), segment(low, high).alias("segment")) for k, (low, high) in enumerate(zip(edges, edges[1:]))])
-    return sets.select("class", F.explode(every).alias("s")).select("class", "s.f", "s.segment").where(F.size("segment") > 0)
+    return sets.select("node", F.explode(every).alias("s")).select("node", "s.f", "s.segment").where(F.size("segment") > 0)
 
 
 def linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     """Of ``a, na, b, nb`` the pairs that are linked: partial overlaps fragment by fragment, summed per pair."""
-    left = segments.select(F.col("class").alias("a"), "f", F.col("segment").alias("sa"))
-    right = segments.select(F.col("class").alias("b"), "f", F.col("segment").alias("sb"))
+    left = segments.select(F.col("node").alias("a"), "f", F.col("segment").alias("sa"))
+    right = segments.select(F.col("node").alias("b"), "f", F.col("segment").alias("sb"))
     partial = pairs.join(left, "a").join(right, ["b", "f"]).select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("o"))
     both = partial.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
     return both.where("100 * o >= 75 * (na + nb - o)").select("a", "b")
@@ -124,56 +125,64 @@ def near(na: str, nb: str) -> Column:
 
 
 def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``class, n, label`` with the labels that links connect made one."""
-    one, two = labels.select(F.col("class").alias("a"), F.col("label").alias("la")), labels.select(F.col("class").alias("b"), F.col("label").alias("lb"))
+    """``node, n, label`` with the labels that links connect made one."""
+    links = stored(links, scratch_path(labels.sparkSession, "links"))
+    if not links.take(1):
+        return labels
+    one, two = labels.select(F.col("node").alias("a"), F.col("label").alias("la")), labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
     edges = links.join(one, "a").join(two, "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
-    found = components(edges)
-    out = labels.join(found, F.col("label") == F.col("node"), "left").select("class", "n", F.coalesce("component", "label").alias("label"))
+    found = components(edges).withColumnRenamed("node", "_l")
+    out = labels.join(found, F.col("label") == F.col("_l"), "left").select("node", "n", F.coalesce("component", "label").alias("label"))
     return stored(out, scratch_path(labels.sparkSession, "labels"))
 
 
 def connect(sets: DataFrame) -> DataFrame:
-    """``class, n, label``: classes of linked sets have one label."""
+    """``node, n, label``: linked sets have one label.
+
+    As long as the n-grams that unconnected documents share would give many more pairs than there are postings, a leader
+    of each is compared with the others first; large groups of near copies collapse that way. Then all pairs
+    that are left are compared. The number of leader rounds changes the work, never the result.
+    """
     spark = sets.sparkSession
     segments = stored(fragments(sets, FRAGMENTS), scratch_path(spark, "segments"))
     n, head = F.col("n"), F.col("n") - F.floor((3 * F.col("n") + 3) / 4) + 1
     prefix = F.filter(F.arrays_zip("keys", "places"), lambda p: p["places"] < head)
-    postings = sets.select("class", n, F.explode(prefix).alias("p")).select("class", "n", F.col("p.keys").alias("key"), F.col("p.places").alias("place"))
-    postings = stored(postings, scratch_path(spark, "postings"))
-    labels = stored(sets.select("class", "n", F.col("class").alias("label")), scratch_path(spark, "labels"))
+    postings = sets.select("node", n, F.explode(prefix).alias("p")).select("node", "n", F.col("p.keys").alias("key"), F.col("p.places").alias("place"))
+    labels = stored(sets.select("node", "n", F.col("node").alias("label")), scratch_path(spark, "labels"))
+    apart, pairs, rows = still_apart(stored(postings, scratch_path(spark, "postings")), None)
     for seed in range(LEADER_ROUNDS):
-        found = linked(leaders(still_apart(postings, labels), seed), segments)
-        labels = merge(labels, stored(found, scratch_path(spark, "links")))
-    rest = linked(others(still_apart(postings, labels)), segments)
-    return merge(labels, stored(rest, scratch_path(spark, "links")))
-
-
-def still_apart(postings: DataFrame, labels: DataFrame) -> DataFrame:
-    """Postings of the n-grams whose documents are not all connected yet."""
-    now = postings.join(labels.select("class", "label"), "class")
-    apart = now.groupBy("key").agg(F.min("label").alias("_1"), F.max("label").alias("_2")).where("_1 <> _2").select("key")
-    return stored(now.join(apart, "key"), scratch_path(postings.sparkSession, "apart"))
-
-
-def leaders(postings: DataFrame, seed: int) -> DataFrame:
-    """Pairs of a random document of each n-gram with every other one there; as many as postings at most."""
-    chance = F.xxhash64(F.lit(seed), "key", "class")
-    first = postings.groupBy("key").agg(F.min(F.struct(chance.alias("h"), F.col("class"), F.col("n"), F.col("label"))).alias("l"))
-    first = first.select("key", F.col("l.class").alias("lead"), F.col("l.n").alias("ln"), F.col("l.label").alias("ll"))
-    pairs = postings.join(first, "key").where((F.col("label") != F.col("ll")) & near("n", "ln"))
-    turned = F.col("lead") < F.col("class")
-    return pairs.select(
-        F.when(turned, F.col("lead")).otherwise(F.col("class")).alias("a"),
-        F.when(turned, F.col("ln")).otherwise(F.col("n")).alias("na"),
-        F.when(turned, F.col("class")).otherwise(F.col("lead")).alias("b"),
-        F.when(turned, F.col("n")).otherwise(F.col("ln")).alias("nb"),
-    ).distinct()
+        if pairs <= PAIRS_PER_POSTING * rows:
+            break
+        labels = merge(labels, linked(leaders(apart, labels, seed), segments))
+        apart, pairs, rows = still_apart(apart, labels)
+    return merge(labels, linked(others(apart), segments))
+
+
+def still_apart(postings: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, int, int]:
+    """Postings of the n-grams whose documents are not all connected yet, how many pairs they give, and how many they are."""
+    now = postings.withColumn("label", F.col("node")) if labels is None else postings.drop("label").join(labels.select("node", "label"), "node")
+    count = F.count(F.lit(1)).alias("_m")
+    keys = now.groupBy("key").agg(F.min("label").alias("_1"), F.max("label").alias("_2"), count).where("_1 <> _2").select("key", "_m")
+    keys = stored(keys, scratch_path(postings.sparkSession, "keys"))
+    total = keys.agg(F.sum(F.col("_m").cast("double") * (F.col("_m") - 1) / 2).alias("pairs"), F.sum("_m").alias("rows")).first()
+    apart = now.join(keys.select("key"), "key")
+    return stored(apart, scratch_path(postings.sparkSession, "apart")), total["pairs"] or 0, total["rows"] or 0
+
+
+def leaders(postings: DataFrame, labels: DataFrame, seed: int) -> DataFrame:
+    """Pairs of one document of each n-gram with the others there; neighbouring n-grams mostly have the same leader."""
+    mask = F.lit(seed * 0x5DEECE66D0F0F0F0F % (1 << 62))
+    lead = postings.groupBy("key").agg(F.min(F.col("node").bitwiseXOR(mask)).bitwiseXOR(mask).alias("lead"))
+    pairs = postings.join(lead, "key").where("node <> lead").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+    one = labels.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
+    two = labels.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
+    return pairs.join(one, "a").join(two, "b").where((F.col("la") != F.col("lb")) & near("na", "nb")).select("a", "na", "b", "nb")
 
 
 def others(postings: DataFrame) -> DataFrame:
     """All remaining pairs that share an n-gram and are not connected, if what follows it can still suffice."""
-    a = postings.select("key", F.col("class").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("label").alias("la"))
-    b = postings.select("key", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("label").alias("lb"))
+    a = postings.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("label").alias("la"))
+    b = postings.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("label").alias("lb"))
     # for two sets' first common n-gram: they share it and at most what either has after it
     enough = 7 * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= 3 * (F.col("na") + F.col("nb"))
     return a.join(b, "key").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & near("na", "nb") & enough).select("a", "na", "b", "nb").distinct()
@@ -184,15 +193,18 @@ def _classes(docs: DataFrame, text: str, key: str, texts: DataFrame | None = Non
     spark = docs.sparkSession
     if texts is None:
         _, texts = text_classes(docs, text, key)
+    release(spark)
     parts = parts_for(texts)
-    sizes = frequencies(key_blocks(texts, prefixes, parts), may_link, "class binary, n bigint, possible boolean")
+    sizes = frequencies(texts, prefixes, may_link, "class binary, n bigint, possible boolean", parts)
     sizes = stored(sizes, scratch_path(spark, "sizes"))
     release(spark)
     some = texts.join(sizes.where("possible").select("class"), "class")
-    sets = frequencies(key_blocks(some, whole_sets, parts), in_order, SETS, with_keys=True)
-    sets = stored(sets, scratch_path(spark, "sets"))
+    sets = frequencies(some, whole_sets, in_order, SETS, parts, with_keys=True)
+    sets = stored(sets.where(F.size("keys") > 0).withColumn("node", F.monotonically_increasing_id()), scratch_path(spark, "sets"))
+    release(spark)
+    labels = connect(sets)
     release(spark)
-    return sizes, connect(sets.where(F.size("keys") > 0))
+    return sizes, sets.select("class", "node").join(labels, "node").select("class", "label")
 
 
 def ngram_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -207,9 +219,10 @@ def ngram_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -
     rows, texts = text_classes(docs, text, key)
     sizes, labels = _classes(docs, text, key, texts)
     # a class's smallest id, then a component's
-    ids = texts.select("class", "id").join(labels.select("class", "label"), "class")
+    least = stored(rows.groupBy("class").agg(F.min("doc_id").alias("id")), scratch_path(docs.sparkSession, "least"))
+    ids = least.join(labels.select("class", "label"), "class")
     named = ids.groupBy("label").agg(F.min("id").alias("component")).join(labels.select("class", "label"), "label").select("class", "component")
-    about = sizes.select("class", "n").join(texts.select("class", "id"), "class").join(named, "class", "left")
+    about = sizes.select("class", "n").join(least, "class").join(named, "class", "left")
     about = about.select(F.col("class").alias("_c"), "n", F.coalesce("component", "id").alias("component"))
     joined = rows.join(about, F.col("class") == F.col("_c"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -10,7 +10,6 @@ answers come back as bits, and a document's removed windows become spans.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -18,9 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from syncloom.llm.blocks import BLOCKS, ask, frequencies, joined, key_blocks, parts_for, release, split, text_classes
+from syncloom.llm.blocks import ROWS, ask, batch_of, frequencies, joined, numbers, own_row, owners, parts_for, planes, release, split, text_classes
 from syncloom.llm.rows import field, ship
-from syncloom.llm.textops import SPACED, U64, chunks, minimizers, mix, prefix_hash, stretch_hash, word_spans
+from syncloom.llm.textops import CHUNK_BYTES, SPACED, U64, chunks, minimizers, mix, prefix_hash, stretch_hash, word_spans
 from syncloom.session import scratch_path, stored
 
 PIECE_BYTES, SAMPLE_BYTES = 12 << 20, 32 << 20
@@ -97,13 +96,14 @@ def anchor_keys(scheme: Scheme):  # noqa: ANN201
     return keys
 
 
-def repeated(classes: list[bytes], per: np.ndarray, _: np.ndarray, documents: np.ndarray, __: np.ndarray | None) -> pa.Table:
-    """Per document a bit for each of its anchors: whether another document has it too."""
-    flags = documents >= 2
-    edges = np.concatenate([[0], np.cumsum(per)])
-    found = [k for k in range(len(per)) if flags[edges[k] : edges[k + 1]].any()]
-    bits = [np.packbits(flags[edges[k] : edges[k + 1]]).tobytes() for k in found]
-    return pa.table([pa.array([classes[k] for k in found], pa.binary()), pa.array(bits, pa.binary())], ["class", "bits"])
+def repeated(classes: list[bytes], per: np.ndarray, _: np.ndarray, places: np.ndarray, documents: np.ndarray, __: np.ndarray | None) -> pa.Table:
+    """Of the documents that share an anchor with another, the numbers of those anchors."""
+    own = owners(per, places)
+    inside = places - (np.cumsum(per) - per)[own]
+    names = np.unique(own)
+    edges = np.searchsorted(own, np.append(names, len(per)))
+    lists = [planes(inside[a:b], 4) for a, b in zip(edges, edges[1:])]
+    return pa.table([pa.array([classes[k] for k in names.tolist()], pa.binary()), pa.array(lists, pa.binary())], ["class", "anchors"])
 
 
 @dataclass
@@ -119,75 +119,75 @@ class Pieces:
     texts: list[bytes]
 
 
-def pieces_of(scheme: Scheme, route: Route, data: np.ndarray, offsets: np.ndarray, bits: list[bytes], base: int) -> Pieces:
+def pieces_of(scheme: Scheme, route: Route, data: np.ndarray, offsets: np.ndarray, lists: list[bytes], base: int) -> Pieces:
     u = scheme.units(data, offsets)
     first, anchor, count = scheme.runs(u)
     owner = u.owner[anchor] if len(anchor) else anchor
-    per = np.bincount(owner, minlength=len(bits))
-    flags = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(bits, per)]) if len(bits) else np.zeros(0, np.uint8)
-    some = np.flatnonzero(flags)
+    before = np.searchsorted(owner, np.arange(len(lists)))
+    some = np.concatenate([numbers(x, 4).astype(np.int64) + b for x, b in zip(lists, before)])
     first, anchor, count, owner = first[some], anchor[some], count[some], owner[some]
     starts, ends = u.starts[first], u.ends[first + count + scheme.window - 2]
-    before = np.searchsorted(u.owner, np.arange(len(bits)))
+    before = np.searchsorted(u.owner, np.arange(len(lists)))
     raw = data.tobytes()
     digest = mix(stretch_hash(u.sums, starts, ends) + U64(0x9E3779B97F4A7C15) * (anchor - first).astype(U64))
     texts = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
     return Pieces(owner + base, first - before[owner], count, anchor - first, route(u, data, anchor), digest, texts)
 
 
-def piece_blocks(texts: DataFrame, scheme: Scheme, route: Route) -> DataFrame:
-    """The stored table of blocks: every different stretch of a block once, with the smallest document that has it there."""
+def piece_rows(classes: list[bytes], ids: list[int], found: list[Pieces], parts: int) -> pa.RecordBatch:
+    """A block's rows: per partition its different stretches, each once with its smallest document, and where they stand."""
+    document, first, count, anchor, part, digest = (np.concatenate([getattr(p, n) for p in found]) for n in ("document", "first", "count", "anchor", "part", "digest"))
+    contents = [t for p in found for t in p.texts]
+    by_document = np.array(ids, np.int64)
+    order = np.lexsort((by_document[document], digest, part))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (digest[order][1:] != digest[order][:-1]) | (part[order][1:] != part[order][:-1])
+    lead = order[fresh]  # smallest document of each different stretch
+    group = np.cumsum(fresh) - 1
+    smallest = by_document[document[order]] == by_document[document[lead]][group]
+    own = own_row(classes, parts)
+    rows = [own]
+    here = part[order]
+    for p in np.unique(here).tolist():
+        a, b = np.searchsorted(here, [p, p + 1])
+        u, v = group[a], group[b - 1] + 1
+        some, at = lead[u:v], order[a:b]
+        texts = [contents[k] for k in some.tolist()]
+        asks = (by_document[document[some]].view(np.uint64), anchor[some], count[some], np.array([len(t) for t in texts]))
+        back = (group[a:b] - u, document[at], first[at])
+        rows.append((own[0], p, joined(planes(asks[0], 8), *(planes(x, 4) for x in asks[1:]), b"".join(texts), *(planes(x, 4) for x in back), np.packbits(smallest[a:b]).tobytes())))
+    return batch_of(rows)
+
+
+def piece_blocks(texts: DataFrame, scheme: Scheme, route: Route, parts: int) -> DataFrame:
+    """The rows of all blocks."""
     ship(texts.sparkSession)
 
-    def flush(classes: list[bytes], ids: list[int], found: list[Pieces]) -> pa.RecordBatch:
-        block = uuid.uuid4().hex
-        document, first, count, anchor, part, digest = (np.concatenate([getattr(p, n) for p in found]) for n in ("document", "first", "count", "anchor", "part", "digest"))
-        contents = [t for p in found for t in p.texts]
-        by_document = np.array(ids, np.int64)
-        order = np.lexsort((by_document[document], digest, part))
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = (digest[order][1:] != digest[order][:-1]) | (part[order][1:] != part[order][:-1])
-        lead = order[fresh]  # smallest document of each different stretch
-        group = np.cumsum(fresh) - 1
-        smallest = by_document[document[order]] == by_document[document[lead]][group]
-        rows = [(block, -1, None, joined(b"".join(classes)))]
-        here = part[order]
-        for p in np.unique(here).tolist():
-            a, b = np.searchsorted(here, [p, p + 1])
-            u, v = group[a], group[b - 1] + 1
-            some = lead[u:v]
-            parts = [contents[k] for k in some.tolist()]
-            asks = joined(by_document[document[some]].astype("<i8").tobytes(), anchor[some].astype("<i4").tobytes(), count[some].astype("<i4").tobytes(), np.array([len(t) for t in parts], "<i4").tobytes(), b"".join(parts))
-            back = joined((group[a:b] - u).astype("<i4").tobytes(), document[order[a:b]].astype("<i4").tobytes(), first[order[a:b]].astype("<i4").tobytes(), count[some].astype("<i4").tobytes(), np.packbits(smallest[a:b]).tobytes())
-            rows.append((block, p, asks, back))
-        columns = list(zip(*rows))
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int32(), pa.binary(), pa.binary()))], ["block", "part", "ask", "back"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes: list[bytes] = []
         ids: list[int] = []
         found: list[Pieces] = []
         size = 0
         for batch in batches:
-            names, numbers, bits = (field(batch, c).to_pylist() for c in ("class", "id", "bits"))
+            names, order, lists = (field(batch, c).to_pylist() for c in ("class", "id", "anchors"))
             for start, data, offsets in chunks(field(batch, "text")):
                 n = len(offsets) - 1
-                pieces = pieces_of(scheme, route, data, offsets, bits[start : start + n], len(ids))
+                pieces = pieces_of(scheme, route, data, offsets, lists[start : start + n], len(ids))
                 classes += names[start : start + n]
-                ids += numbers[start : start + n]
+                ids += order[start : start + n]
                 found.append(pieces)
                 size += sum(map(len, pieces.texts))
                 if size >= PIECE_BYTES:
-                    yield flush(classes, ids, found)
+                    yield piece_rows(classes, ids, found, parts)
                     classes, ids, found, size = [], [], [], 0
         if classes:
-            yield flush(classes, ids, found)
+            yield piece_rows(classes, ids, found, parts)
 
-    return stored(texts.select("class", "id", "text", "bits").mapInArrow(run, BLOCKS), scratch_path(texts.sparkSession, "pieces"))
+    return texts.select("class", "id", "text", "anchors").mapInArrow(run, ROWS)
 
 
-#: ``(window starts in the pieces' units, units)`` to the digits by which windows are told apart, the leading one first.
-Digits = Callable[[np.ndarray, Units], Iterator[np.ndarray]]
+#: ``(window starts among the units, the units' values)`` to the digits that tell windows apart, the leading one first.
+Digits = Callable[[np.ndarray, np.ndarray], Iterator[np.ndarray]]
 
 
 def smallest_of(group: np.ndarray, ids: np.ndarray, digits: Iterator[np.ndarray]) -> np.ndarray:
@@ -226,18 +226,49 @@ def spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - count, count) + np.repeat(first, count)
 
 
+def union(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of each owner as a union, those that touch made one."""
+    order = np.lexsort((start, owner))
+    owner, start, end = owner[order], start[order], end[order]
+    step = int(end.max(initial=0)) + 2
+    reach = np.maximum.accumulate(end + owner * step) if len(end) else end
+    fresh = np.ones(len(start), bool)
+    fresh[1:] = start[1:] + owner[1:] * step > reach[:-1]
+    at = np.flatnonzero(fresh)
+    last = np.append(at[1:], len(start)) - 1
+    return owner[at], start[at], (reach - owner * step)[last] if len(at) else start
+
+
+def measured(scheme: Scheme, texts: list[bytes], length: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of many stretches: all units' values, where each stretch's begin, its digest, and its anchor's gram; in chunks."""
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum(length)
+    values, begin, digest, gram, base, first = [], [], [], [], 0, 0
+    while first < len(length):
+        start = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, start + CHUNK_BYTES, "right")))
+        some = data[start : ends[last - 1]]
+        offsets = np.concatenate([[0], ends[first:last] - start])
+        u = scheme.units(some, offsets)
+        at = np.searchsorted(u.owner, np.arange(last - first))
+        values.append(u.values)
+        begin.append(at + base)
+        gram.append(u.grams[at + anchor[first:last]])
+        digest.append(mix(stretch_hash(u.sums, offsets[:-1], offsets[1:]) + U64(0x9E3779B97F4A7C15) * anchor[first:last].astype(U64)))
+        base += len(u.values)
+        first = last
+    return tuple(np.concatenate(x) for x in (values, begin, digest, gram))
+
+
 def answer(scheme: Scheme, digits: Digits):  # noqa: ANN201
-    """A partition's work: for every asked window, whether a document with a smaller id has it."""
+    """A partition's work: for every asked window, whether a document with a smaller id has it; as spans per document."""
 
-    def run(table: pa.Table) -> pa.Table:
-        asks = [split(a) for a in table["ask"].to_pylist()]
-        ids, anchor, count, length = (np.concatenate([np.frombuffer(a[k], kind) for a in asks]).astype(np.int64) for k, kind in enumerate(("<i8", "<i4", "<i4", "<i4")))
-        data = np.frombuffer(b"".join(a[4] for a in asks), np.uint8)
-        offsets = np.concatenate([[0], np.cumsum(length)])
-        u = scheme.units(data, offsets)
-        begin = np.searchsorted(u.owner, np.arange(len(ids)))
+    def run(bodies: list[bytes]) -> list[bytes]:
+        asks = [split(b) for b in bodies]
+        ids = np.concatenate([numbers(a[0], 8) for a in asks]).view(np.int64)
+        anchor, count, length = (np.concatenate([numbers(a[k], 4) for a in asks]).astype(np.int64) for k in (1, 2, 3))
+        values, begin, digest, gram = measured(scheme, [a[4] for a in asks], length, anchor)
         # The same stretch from several blocks counts once, with its smallest document.
-        digest = mix(stretch_hash(u.sums, offsets[:-1], offsets[1:]) + U64(0x9E3779B97F4A7C15) * anchor.astype(U64))
         order = np.lexsort((ids, digest))
         fresh = np.ones(len(order), bool)
         fresh[1:] = digest[order][1:] != digest[order][:-1]
@@ -245,64 +276,44 @@ def answer(scheme: Scheme, digits: Digits):  # noqa: ANN201
         piece = np.empty(len(order), np.int64)
         piece[order] = np.cumsum(fresh) - 1
         # Stretches by anchor; where all are the same one, its smallest document answers for all their windows.
-        gram = u.grams[begin[lead] + anchor[lead]]
-        _, of_anchor, several = np.unique(gram, return_inverse=True, return_counts=True)
+        _, of_anchor, several = np.unique(gram[lead], return_inverse=True, return_counts=True)
         open_ = np.flatnonzero(several[of_anchor] > 1)
         least = np.repeat(ids[lead], count[lead])
+        edge = np.cumsum(count[lead]) - count[lead]
         if len(open_):
-            edge = np.cumsum(count[lead]) - count[lead]
             some = lead[open_]
             windows = spread(begin[some], count[some])
-            ahead = spread(anchor[some] * 0, count[some])
+            ahead = spread(np.zeros(len(some), np.int64), count[some])
             group = np.repeat(of_anchor[open_], count[some]) * (2 * scheme.window) + (np.repeat(anchor[some], count[some]) - ahead)
-            of = np.repeat(ids[some], count[some])
-            least[spread(edge[open_], count[some])] = smallest_of(group, of, digits(windows, u))
-        edge = np.cumsum(count[lead]) - count[lead]
+            least[spread(edge[open_], count[some])] = smallest_of(group, np.repeat(ids[some], count[some]), digits(windows, values))
         bits = least[spread(edge[piece], count)] < np.repeat(ids, count)
-        per_block = [int(np.frombuffer(a[2], "<i4").sum()) for a in asks]
-        ends = np.cumsum([0, *per_block])
-        answers = [np.packbits(bits[a:b]).tobytes() for a, b in zip(ends, ends[1:])]
-        return pa.table([table["block"], table["part"], pa.array(answers, pa.binary())], ["block", "part", "answer"])
+        base = np.cumsum(count) - count
+        out, entry = [], 0
+        for a in asks:
+            group, document, first = (numbers(a[k], 4).astype(np.int64) for k in (5, 6, 7))
+            only = np.unpackbits(np.frombuffer(a[8], np.uint8), count=len(group)).astype(bool)
+            of = group + entry
+            n = count[of]
+            # not the smallest document of its stretch: every window is repeated; else as the windows say
+            gone = bits[spread(base[of], n)] | np.repeat(~only, n)
+            start = spread(first, n)[gone]
+            out.append(joined(*(planes(x, 4) for x in union(np.repeat(document, n)[gone], start, start + scheme.window))))
+            entry += len(numbers(a[1], 4))
+        return out
 
     return run
 
 
-def spans_of(scheme: Scheme):  # noqa: ANN201
+def spans_of(classes: list[bytes], _: list[bytes], answers: list[bytes]) -> pa.Table:
     """A block's documents with something to remove, and the spans of their units, as pairs of longs."""
-
-    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
-        parts = dict(zip(answers["part"].to_pylist(), answers["answer"].to_pylist()))
-        rows = block.to_pylist()
-        classes = split(next(r["back"] for r in rows if r["part"] < 0))[0]
-        documents, windows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for r in rows:
-            if r["part"] < 0:
-                continue
-            group, document, first, counts, smallest = split(r["back"])
-            group, document, first, counts = (np.frombuffer(x, "<i4").astype(np.int64) for x in (group, document, first, counts))
-            only = np.unpackbits(np.frombuffer(smallest, np.uint8), count=len(group)).astype(bool)
-            bits = np.unpackbits(np.frombuffer(parts[r["part"]], np.uint8), count=int(counts.sum())).astype(bool)
-            edge = np.cumsum(counts) - counts
-            n = counts[group]
-            # not the smallest document of its stretch: every window is repeated; else what the partition says
-            gone = bits[spread(edge[group], n)] | np.repeat(~only, n)
-            documents.append(np.repeat(document, n)[gone])
-            windows.append(spread(first, n)[gone])
-        document, window = np.concatenate(documents), np.concatenate(windows)
-        order = np.lexsort((window, document))
-        document, window = document[order], window[order]
-        fresh = np.ones(len(window), bool)
-        fresh[1:] = (document[1:] != document[:-1]) | (window[1:] > window[:-1] + scheme.window)
-        at = np.flatnonzero(fresh)
-        owner, start = document[at], window[at]
-        end = window[np.append(at[1:], len(window)) - 1] + scheme.window if len(at) else start
-        pairs = np.stack([start, end], 1).astype("<i8") if len(at) else np.zeros((0, 2), "<i8")
-        names = np.unique(owner)
-        edges = np.searchsorted(owner, np.append(names, len(classes)))
-        blobs = [pairs[a:b].tobytes() for a, b in zip(edges, edges[1:])]
-        return pa.table([pa.array([classes[16 * k : 16 * k + 16] for k in names.tolist()], pa.binary()), pa.array(blobs, pa.binary())], ["class", "spans"])
-
-    return run
+    parts = [[numbers(x, 4).astype(np.int64) for x in split(a)] for a in answers]
+    none = np.zeros(0, np.int64)
+    owner, start, end = union(*(np.concatenate([none, *(p[k] for p in parts)]) for k in range(3)))
+    pairs = np.stack([start, end], 1).astype("<i8")
+    names = np.unique(owner)
+    edges = np.searchsorted(owner, np.append(names, len(classes)))
+    blobs = [pairs[a:b].tobytes() for a, b in zip(edges, edges[1:])]
+    return pa.table([pa.array([classes[k] for k in names.tolist()], pa.binary()), pa.array(blobs, pa.binary())], ["class", "spans"])
 
 
 def sample(texts: DataFrame, scheme: Scheme, keep: Callable[[Units, np.ndarray, np.ndarray], list[bytes]]) -> list[bytes]:
@@ -355,14 +366,14 @@ def without_repeats(docs: DataFrame, scheme: Scheme, router: Callable[[DataFrame
     """``doc_id, n_units, n_removed, n_spans, kept_sha256`` of every row."""
     spark = docs.sparkSession
     rows, texts = text_classes(docs, text, key)
+    release(spark)
     parts = parts_for(texts)
-    flags = stored(frequencies(key_blocks(texts, anchor_keys(scheme), parts), repeated, "class binary, bits binary"), scratch_path(spark, "flags"))
+    shared = stored(frequencies(texts, anchor_keys(scheme), repeated, "class binary, anchors binary", parts), scratch_path(spark, "anchors"))
     release(spark)
     # a document without an id comes before all others
-    open_ = texts.withColumn("id", F.coalesce("id", F.lit(-(1 << 63)))).join(flags, "class")
-    blocks = piece_blocks(open_, scheme, router(texts, parts))
-    release(spark)
-    spans = stored(ask(blocks, answer(scheme, digits), spans_of(scheme), "class binary, spans binary", ("back",)), scratch_path(spark, "spans"))
+    open_ = texts.withColumn("id", F.coalesce("id", F.lit(-(1 << 63)))).join(shared, "class")
+    pieces = piece_blocks(open_, scheme, router(texts, parts), parts)
+    spans = stored(ask(pieces, answer(scheme, digits), spans_of, "class binary, spans binary"), scratch_path(spark, "spans"))
     release(spark)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -37,11 +37,11 @@ def splitters(texts: DataFrame, parts: int) -> Route:
 def byte_digits(window: int):  # noqa: ANN201
     """Eight bytes a digit, the highest first; the last digit reaches the window's end and may overlap the one before."""
 
-    def digits(starts: np.ndarray, u: Units) -> Iterator[np.ndarray]:
+    def digits(starts: np.ndarray, values: np.ndarray) -> Iterator[np.ndarray]:
         for at in [*range(0, window - 7, 8), *([window - 8] if window % 8 else [])]:
             value = np.zeros(len(starts), np.uint64)
             for k in range(8):
-                value = (value << np.uint64(8)) | u.values[starts + at + k]
+                value = (value << np.uint64(8)) | values[starts + at + k]
             yield value
 
     return digits

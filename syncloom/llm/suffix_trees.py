@@ -75,9 +75,9 @@ def prefix_parts(texts: DataFrame, parts: int, scheme: Scheme) -> Route:
 def word_digits(window: int):  # noqa: ANN201
     """One word a level: a node of the tree at some depth is a group of windows that agree in so many words."""
 
-    def digits(starts: np.ndarray, u: Units) -> Iterator[np.ndarray]:
+    def digits(starts: np.ndarray, values: np.ndarray) -> Iterator[np.ndarray]:
         for depth in range(window):
-            yield u.values[starts + depth]
+            yield values[starts + depth]
 
     return digits
 

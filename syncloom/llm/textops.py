@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 U64 = np.uint64
 
 #: Bytes of words ``[^\x20\x09-\x0D]+`` and, after lower-casing A-Z, of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+``. Every byte
