@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from syncloom.operators.skew import preceding_last
 from syncloom.plans.spec import AlertSpec
 
-# Runs of one sync do not overlap, so the runs of one sync and day are few however long or uneven the history is.
-BUCKET = "cast(started_at as date)"
 ORDER = ("started_at", "run_id")
 SECONDS = {"minutes": 60, "hours": 3600}
 
@@ -17,6 +14,12 @@ def _micros(column: Column) -> Column:
     return F.unix_micros(column.cast("timestamp"))
 
 
+def _before(value: Column) -> Column:
+    """The last non-null value among the earlier runs of the same sync. Runs of one sync do not overlap, so time bounds
+    their number; all look-backs share one exchange by sync."""
+    return F.last(value, ignorenulls=True).over(Window.partitionBy("sync_id").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1))
+
+
 def _runtime(start: Column, end: Column, alert: AlertSpec) -> Column:
     return (_micros(end) - _micros(start)) / F.lit(SECONDS[alert.unit] * 1_000_000.0) > F.lit(alert.threshold)
 
@@ -28,7 +31,7 @@ def violations(runs: DataFrame, alert: AlertSpec) -> DataFrame:
         # expected = the count of the previous completed run
         count = F.col(alert.record_type).cast("double")
         done = F.when(F.col("status") == "completed", count)
-        runs = preceding_last(runs, "sync_id", ORDER, F.expr(BUCKET), {"__expected": done})
+        runs = runs.withColumn("__expected", _before(done))
         expected = F.col("__expected")
         apart = F.abs(count - expected)
         rule = F.when(expected == 0, count > 0).otherwise(apart * 100 > expected * F.lit(alert.threshold))
@@ -61,7 +64,7 @@ def evaluate(runs: DataFrame, alert: AlertSpec) -> DataFrame:
     recovers = alert.should_send_recovery and not event
     if (every or event) and not recovers:
         return fired.withColumn("send", F.col("fire")).withColumn("recovery", F.lit(False))
-    before = preceding_last(fired, "sync_id", ORDER, F.expr(BUCKET), {"__before": F.col("fire")})
+    before = fired.withColumn("__before", _before(F.col("fire")))
     was = F.coalesce(F.col("__before"), F.lit(False))
     send = F.col("fire") if every or event else F.col("fire") & ~was
     recovery = ~F.col("fire") & was if recovers else F.lit(False)
@@ -89,7 +92,8 @@ def notifications(runs: DataFrame, alerts: list[AlertSpec]) -> DataFrame:
         e = evaluate(runs, a).filter("send or recovery")
         kind = F.when(F.col("send"), F.lit("violation")).otherwise(F.lit("recovery"))
         parts.append(e.select("sync_id", "run_id", "started_at", F.lit(a.type).alias("alert"), kind.alias("kind")))
-    out = parts[0]
+    none = runs.limit(0).select("sync_id", "run_id", "started_at", F.lit("").alias("alert"), F.lit("").alias("kind"))
+    out = parts[0] if parts else none
     for p in parts[1:]:
         out = out.unionByName(p)
     return out

@@ -12,7 +12,7 @@ from syncloom.operators.policies import WritePolicy
 from syncloom.operators.skew import join_unique
 from syncloom.session import fits_broadcast, scratch_path, stored
 
-REASON, VALUE = "reject_reason", "rejected_value"
+REASON, VALUE, WHY = "reject_reason", "rejected_value", "__why"
 NULL_KEY, DUPLICATE_KEY = "null_key", "duplicate_key"
 
 
@@ -40,14 +40,22 @@ def single_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return grouped.select(*[quoted(k) for k in keys], *fields).select(*[quoted(c) for c in df.columns])
 
 
+def labelled_rows(df: DataFrame, keys: Sequence[str], duplicates: DataFrame) -> DataFrame:
+    """All rows with the reason their key is refused, or null, as ``WHY``, in one pass."""
+    columns = [quoted(c) for c in df.columns]
+    joined = df.join(duplicates.select(*[quoted(k) for k in keys], F.lit(True).alias("__twice")), list(keys), "left")
+    reason = F.when(_no_key(keys), F.lit(NULL_KEY)).when(F.col("__twice"), F.lit(DUPLICATE_KEY))
+    return joined.select(*columns, reason.alias(WHY))
+
+
 def split_by_key(
     df: DataFrame, keys: Sequence[str], duplicates: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """``(valid, rejected)``: rejected rows carry ``null_key`` or ``duplicate_key`` (every row of a duplicated key).
 
     ``duplicates`` is the stored result of :func:`duplicate_keys`; it is computed and stored here when not given. While
-    that table is small, both results are narrow filters. When it is not, valid rows come from one pre-aggregated
-    grouping and rejected ones from a join that spreads hot keys.
+    that table is small, one pass over the rows labels each of them, and both results are filters of it. When it is
+    not, valid rows come from one pre-aggregated grouping and rejected ones from a join that spreads hot keys.
     """
     keys = list(keys)
     missing = _no_key(keys)
@@ -56,9 +64,10 @@ def split_by_key(
         duplicates = stored(duplicate_keys(df, keys), scratch_path(df.sparkSession, "duplicate-keys"))
     columns = [quoted(c) for c in df.columns]
     if fits_broadcast(duplicates):
-        valid = present.join(duplicates, keys, "left_anti").select(*columns)
-    else:
-        valid = single_rows(present, keys)
+        labelled = labelled_rows(df, keys, duplicates)
+        refused = labelled.filter(F.col(WHY).isNotNull()).withColumn(REASON, F.col(WHY))
+        return labelled.filter(F.col(WHY).isNull()).drop(WHY), refused.drop(WHY)
+    valid = single_rows(present, keys)
     doubled = join_unique(present, duplicates, keys, "left_semi").select(*columns)
     rejected = (
         df.filter(missing)

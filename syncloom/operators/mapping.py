@@ -25,12 +25,11 @@ class LookupObject:
 
 
 def constant_text(value: object) -> str:
-    """Constants are written as text: booleans in lower case, whole numbers without decimals."""
+    """The shortest text that reads back as the value; whole numbers without decimals, truth values in lower case."""
+    text = repr(value) if isinstance(value, float) else str(value)
     if isinstance(value, bool):
-        return str(value).lower()
-    if isinstance(value, float):
-        return str(int(value)) if value.is_integer() else f"{value:g}"
-    return str(value)
+        return text.lower()
+    return str(int(value)) if isinstance(value, float) and value.is_integer() else text
 
 
 def expand_mappings(columns: Sequence[str], spec: SyncSpec) -> list[Mapping]:

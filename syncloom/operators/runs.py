@@ -13,7 +13,7 @@ RUN_SCHEMA = (
     "started_at timestamp, completed_at timestamp, full_sync boolean, source_record_count bigint, "
     "records_updates bigint, records_deletes bigint, records_invalid bigint, records_processed bigint, "
     "records_succeeded bigint, records_updated bigint, records_failed bigint, error_message string, "
-    "object string, writes string, seq bigint, high_water_mark string"
+    "object string, writes string, seq bigint, high_water_mark string, state boolean"
 )
 
 

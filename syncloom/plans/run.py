@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping as Dict, Sequence
 from dataclasses import dataclass, field as dc_field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from syncloom.functions.columns import quoted
 from syncloom.operators import changes as ch
@@ -22,8 +24,22 @@ from syncloom.session import discard, rereadable, stored
 from syncloom.sinks.files import export_file
 from syncloom.sinks.objects import ObjectStore, utc
 from syncloom.sources.readers import Catalog
+from syncloom.streaming.live import Context, live_activate_events, live_map_records
 
 MARK = "__mark"
+CONTINUOUS = "10 seconds"  # between two micro-batches of a continuous sync
+log = logging.getLogger(__name__)
+
+
+def mark_text(value: Column, kind: T.DataType) -> Column:
+    """A mark as text that no session's time zone changes: instants as microseconds since the epoch."""
+    return (F.unix_micros(value) if isinstance(kind, T.TimestampType) else value).cast("string")
+
+
+def mark_value(text: str, kind: T.DataType) -> Column:
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(F.lit(int(text)))
+    return F.lit(text).cast(kind)
 
 
 @dataclass(frozen=True)
@@ -78,16 +94,35 @@ class SyncRunner:
             this = _Run(self, spec, run_id, now, force_full, seq, prior)
             counters, mark, writes = this.execute()
         except Exception as error:
-            self.store.record(**row, status="failed", completed_at=self.clock(), error_message=str(error)[:2000])
+            self.store.record(**row, status="failed", completed_at=self.clock(), error_message=str(error))
             raise
-        for part in this.parts:
-            self.store.record(**part, status="completed", started_at=now, completed_at=self.clock(), seq=seq)
-        self.store.record(**row, **counters, status="completed", completed_at=self.clock(), high_water_mark=mark,
-                          object=spec.object if writes else None, writes=writes)
-        this.tidy()
-        self._compact_if_due(spec, run_id, now, seq)
+        ended = dict(sync_id=spec.name, status="completed", started_at=now, completed_at=self.clock(), seq=seq)
+        main = {**row, **counters, **ended, "high_water_mark": mark, "object": spec.object if writes else None, "writes": writes, "state": this.has_state}
+        self.store.commit([*[{**ended, **part} for part in this.parts], main])
+        try:
+            this.tidy()
+            self._compact_if_due(spec, run_id, now, seq)
+        except Exception:  # the run is committed; what is left over is upkeep, and the next run tries again
+            log.exception("upkeep after run %s of %s failed", run_id, spec.name)
         return RunResult(run_id, "completed", counters, mark)
 
+    def start(
+        self, spec: SyncSpec, checkpoint: str, order: Sequence[str] = (), event_id: str | None = None, event_time: str | None = None
+    ) -> StreamingQuery:
+        """Start a live sync: keyed records by ``order``, or events once each by id and time.
+
+        It has the segments, lookups and field rules of the runner. Continuous schedules go on; others process what is there.
+        """
+        if spec.run_mode != "live":
+            raise SpecError("only live syncs are started")
+        stream, context = self.catalog.stream(self.spark, spec.source), Context(self.segments, self.lookups, self.fields)
+        interval = CONTINUOUS if spec.schedule is not None and spec.schedule.frequency == "continuous" else None
+        if spec.sync_behavior_family == "activateEvents":
+            if event_id is None or event_time is None:
+                raise SpecError("events are known by an id and a time")
+            return live_activate_events(stream, spec, self.store, event_id, event_time, checkpoint, interval, context)
+        return live_map_records(stream, spec, self.store, order, checkpoint, interval, context=context)
+
     def history(self, spec: SyncSpec) -> DataFrame:
         return self.store.runs().filter(F.col("sync_id") == spec.name)
 
@@ -105,9 +140,9 @@ class SyncRunner:
         return missed_runs(expected_runs(span, spec.schedule, "lo", "hi"), self.history(spec), spec.schedule)
 
     def _compact_if_due(self, spec: SyncSpec, run_id: str, now: datetime, seq: int) -> None:
-        pending = [r for r in self.store.writes_since_base(spec.object) if r.writes == "changes"]
+        pending = [r for r in self.store.writes_since_base(spec.object) if r.writes != "base"]
         if len(pending) >= self.compact_after:
-            self.store.compact(spec.object, spec.keys, f"{run_id}-base", now, seq)
+            self.store.compact(spec.object, spec.keys, f"{spec.name}-{run_id}-base", now, seq)
 
 
 class _Run:
@@ -118,13 +153,18 @@ class _Run:
         self.store, self.prior = runner.store, prior
         self.temporary: list[str] = []  # tables nobody needs once the run is committed
         self.parts: list[dict] = []  # writes to further objects, committed with the run
+        self.has_state = False  # whether the run left the source's state for the next one
         self.metadata = [m.to for m in spec.mappings if m.type == "sync_metadata"]
 
     def execute(self) -> tuple[dict[str, int], str | None, str | None]:
         valid, rejected, seen = self._validated()
         watched, refused = self._counted(rejected)
         self.store.write_rejected(self.spec.name, self.run_id, watched)
-        sent, writes = self._write(valid)
+        held = None
+        if refused.get["n"] and self.spec.keys:
+            # records that are in the source but cannot be sent: neither new nor gone
+            held = self.store.rejected(self.spec.name, self.run_id).select(*[quoted(k) for k in self.spec.keys]).distinct()
+        sent, writes = self._write(valid, held)
         mark = seen.get.get("mark")
         if mark is None and self.prior is not None:
             mark = self.prior.high_water_mark
@@ -135,7 +175,8 @@ class _Run:
         for path in self.temporary:
             discard(self.r.spark, path)
         if self.prior is not None:
-            discard(self.r.spark, self.store.path("state", self.spec.name, self.prior.run_id))
+            if self.prior.state:
+                discard(self.r.spark, self.store.path("state", self.spec.name, self.prior.run_id))
 
     def _kept(self, df: DataFrame, kind: str) -> DataFrame:
         path = self.store.path(kind, self.spec.name, self.run_id)
@@ -150,7 +191,7 @@ class _Run:
         if column is None:
             return src, {}
         if self.prior is not None and self.prior.high_water_mark is not None and not self.full:
-            past = F.lit(self.prior.high_water_mark).cast(src.schema[column].dataType)
+            past = mark_value(self.prior.high_water_mark, src.schema[column].dataType)
             src = src.filter((quoted(column) > past) | quoted(column).isNull())
         return src, {MARK: quoted(column)}
 
@@ -174,7 +215,7 @@ class _Run:
         """
         mapped, keys, seen = self._mapped(), self.spec.keys, Observation()
         marked = [c for c in (MARK,) if c in mapped.columns]
-        measures = [F.count(F.lit(1)).alias("n"), *[F.max(c).cast("string").alias("mark") for c in marked]]
+        measures = [F.count(F.lit(1)).alias("n"), *[mark_text(F.max(c), mapped.schema[c].dataType).alias("mark") for c in marked]]
         again = rereadable(mapped)
         if not again:
             mapped = self._kept(mapped.observe(seen, *measures), "staging")
@@ -204,29 +245,35 @@ class _Run:
         grouped = mapped.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.max(c).alias(c) for c in marked])
         if seen is not None:
             total = F.coalesce(F.sum("__n"), F.lit(0)).alias("n")
-            grouped = grouped.observe(seen, total, *[F.max(c).cast("string").alias("mark") for c in marked])
+            grouped = grouped.observe(seen, total, *[mark_text(F.max(c), mapped.schema[c].dataType).alias("mark") for c in marked])
         for k in keys:
             grouped = grouped.filter(k.isNotNull())
         return grouped.filter("__n > 1").select(*keys)
 
     # ---- write
 
-    def _write(self, valid: DataFrame) -> tuple[tuple[int, int, int], str | None]:
+    def _write(self, valid: DataFrame, held: DataFrame | None) -> tuple[tuple[int, int, int], str | None]:
         spec = self.spec
         if spec.exports_file:
             watched, inserts = self._counted(valid)
             export_file(watched, spec.object, spec.advanced_configuration, self.now, self.r.root)
             return (inserts.get["n"], 0, 0), None
         if spec.replaces_object:
+            if spec.keys and not rereadable(valid):
+                valid = self._kept(valid, "valid")
             watched, inserts = self._counted(valid)
-            self.store.write(spec.object, self.run_id, watched)
+            self.store.write(spec.object, spec.name, self.run_id, watched)
+            if spec.keys:  # a later run with another strategy starts from what was uploaded
+                seen = ch.snapshot(valid, spec.keys, self.metadata).withColumn(ch.CHANGE, F.lit(ch.UNCHANGED))
+                self.store.write_state(spec.name, self.run_id, seen)
+                self.has_state = True
             return (inserts.get["n"], 0, 0), "base"
         if spec.high_water_mark_attribute:
             new = valid
             if self.prior is None and spec.historical_sync_operation == "skip_current_records":
                 new = valid.filter(F.lit(False))
             return self._append(new), "append"
-        sent, gone = self._delta(valid)
+        sent, gone = self._delta(valid, held)
         part = ch.CHANGE in sent.columns
         if spec.operation == "append":
             if part:
@@ -240,29 +287,37 @@ class _Run:
             touched = touched if gone is None else touched.unionByName(gone)
         if spec.object in self.r.unions:
             return self._write_union(fresh), None
-        return self._merge(spec.object, self.run_id, fresh, gone, touched)
+        return self._merge(spec.object, spec.name, self.run_id, fresh, gone, touched)
 
     def _append(self, new: DataFrame) -> tuple[int, int, int]:
         watched, inserts = self._counted(new)
-        self.store.write(self.spec.object, self.run_id, watched)
+        self.store.write(self.spec.object, self.spec.name, self.run_id, watched)
         return inserts.get["n"], 0, 0
 
-    def _delta(self, valid: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    def _delta(self, valid: DataFrame, held: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
         """The records to send, labelled insert or update, and the keys to delete; keeps the state for the next run.
 
-        A first or full run sends all records, unlabelled.
+        A first or full run, and one after a run that left no state, sends all records, unlabelled. Keys that are ``held``
+        (in the source, but rejected) keep the fingerprint they had, and are never deleted.
         """
         spec, keys, store = self.spec, self.spec.keys, self.store
         fields = [valid.schema[k] for k in keys]
-        previous = None if self.prior is None else store.snapshot(spec.name, self.prior.run_id, fields)
+        previous = store.snapshot(spec.name, self.prior.run_id, fields) if self.prior is not None and self.prior.state else None
+        self.has_state, waiting = True, None
+        if held is not None and previous is not None:
+            held = held.select(*[quoted(f.name).cast(f.dataType).alias(f.name) for f in fields])
+            waiting = previous.join(held, keys, "left_semi").withColumn(ch.CHANGE, F.lit(ch.UNCHANGED))
+            previous = previous.join(held, keys, "left_anti")
         deletes = spec.operation == "mirror" and spec.mirror_strategy == "sync_updates_and_deletes"
         if previous is None or self.full:
             if not rereadable(valid):
                 valid = self._kept(valid, "valid")
             seen = ch.snapshot(valid, keys, self.metadata).withColumn(ch.CHANGE, F.lit(ch.UNCHANGED))
+            seen = seen if waiting is None else seen.unionByName(waiting)
             store.write_state(spec.name, self.run_id, seen)
             return valid, ch.gone_since(valid, previous, keys) if deletes and previous is not None else None
         state = ch.source_state(valid, previous, keys, self.metadata)
+        state = state if waiting is None else state.unionByName(waiting, allowMissingColumns=True)
         store.write_state(spec.name, self.run_id, state)
         state = store.state(spec.name, self.run_id, state.schema)
         sent = state.filter(F.col(ch.CHANGE).isin(ch.INSERT, ch.UPDATE)).drop(ch.FINGERPRINT)
@@ -275,7 +330,7 @@ class _Run:
         return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
     def _merge(
-        self, obj: str, run_id: str, fresh: DataFrame, gone: DataFrame | None, touched: DataFrame | None
+        self, obj: str, sync: str | None, run_id: str, fresh: DataFrame, gone: DataFrame | None, touched: DataFrame | None
     ) -> tuple[tuple[int, int, int], str]:
         """Bring one object up to date with the fresh records, as a change set where it can be one.
 
@@ -285,7 +340,7 @@ class _Run:
         present = self.store.read(obj, keys)
         if present is None:
             whole, inserts = self._counted(fresh.filter(F.lit(False)) if spec.operation == "update" else fresh)
-            self.store.write(obj, run_id, whole)
+            self.store.write(obj, sync, run_id, whole)
             return (inserts.get["n"], 0, 0), "base"
         retyped = any(
             m.follow_source_type and m.to in present.columns and m.to in fresh.columns
@@ -310,10 +365,10 @@ class _Run:
             whole = ch.end_state(watched)
             if spec.operation == "insert":
                 whole = present.unionByName(whole, allowMissingColumns=True)
-            self.store.write(obj, run_id, whole)
+            self.store.write(obj, sync, run_id, whole)
             kind = "base"
         else:
-            self.store.write(obj, run_id, watched.filter(F.col(ch.CHANGE).isin(*labels)), self.seq)
+            self.store.write(obj, sync, run_id, watched.filter(F.col(ch.CHANGE).isin(*labels)), self.seq)
             kind = "changes"
         return tuple(counted.get[name] or 0 for name in labels), kind
 
@@ -329,8 +384,8 @@ class _Run:
         routed = self._kept(routed, "routed")
         sums = (0, 0, 0)
         for name in names:
-            part, run_id = routed.filter(F.col("route") == name).drop("route"), f"{self.run_id}-{name}"
-            sent, kind = self._merge(name, run_id, part, None, part.select(*[quoted(k) for k in keys]))
-            self.parts.append(dict(run_id=run_id, object=name, writes=kind))
+            part, run_id = routed.filter(F.col("route") == name).drop("route"), f"{spec.name}-{self.run_id}-{name}"
+            sent, kind = self._merge(name, None, run_id, part, None, part.select(*[quoted(k) for k in keys]))
+            self.parts.append(dict(run_id=run_id, sync_id=None, object=name, writes=kind))
             sums = tuple(a + b for a, b in zip(sums, sent))
         return sums

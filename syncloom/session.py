@@ -55,25 +55,54 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def rereadable(df: DataFrame) -> bool:
-    """Whether computing ``df`` again costs one scan and gives the same rows: a deterministic projection or filter over
-    files, joined to nothing but sides small enough to broadcast. Anything else is better written down once.
+    """Whether computing ``df`` again gives the same rows for the cost of a scan: a deterministic projection or filter
+    over files, joined to nothing but deterministic results over files. The kind of the sources decides, on both sides of
+    a join, never their size. Anything else is written down once.
     """
     if getattr(df, "_jdf", None) is None:
         return False
     node = df._jdf.queryExecution().optimizedPlan()
-    if not node.deterministic():
-        return False
-    while True:
-        kind = node.nodeName()
-        if kind in ("Project", "Filter"):
-            node = node.child()
-        elif kind == "Join" and int(str(node.right().stats().sizeInBytes())) <= broadcast_limit(df.sparkSession):
+    while node.deterministic() and node.nodeName() in ("Project", "Filter", "Join"):
+        if node.nodeName() == "Join":
+            if not _over_files(node.right()):
+                return False
             node = node.left()
         else:
-            return kind == "LogicalRelation" and "HadoopFsRelation" in node.relation().getClass().getName()
+            node = node.child()
+    return node.deterministic() and _is_files(node)
+
+
+def _is_files(node) -> bool:  # noqa: ANN001
+    return node.nodeName() == "LogicalRelation" and "HadoopFsRelation" in node.relation().getClass().getName()
+
+
+def _over_files(node) -> bool:  # noqa: ANN001
+    """Whether a plan is deterministic and reads files only (or literal rows of the plan itself)."""
+    if not node.deterministic():
+        return False
+    children = node.children()
+    below = [children.apply(i) for i in range(children.size())]
+    return all(map(_over_files, below)) if below else _is_files(node) or node.nodeName() in ("LocalRelation", "Range", "OneRowRelation")
 
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a directory this library wrote, wherever the path's file system is."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath))
+
+
+def replace(spark: SparkSession, new: str, path: str) -> None:
+    """Put the complete directory ``new`` where ``path`` is; what was there is deleted last."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = f"{path}.old-{uuid.uuid4().hex}"
+    if files.exists(hadoop(path)):
+        files.rename(hadoop(path), hadoop(old))
+    if not files.rename(hadoop(new), hadoop(path)):
+        raise OSError(f"cannot move {new} to {path}")
+    files.delete(hadoop(old), True)

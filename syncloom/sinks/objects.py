@@ -1,6 +1,6 @@
 """Destination objects as plain Parquet below one root, each run writing its own directories.
 
-``<root>/objects/<object>/<run>``    what the run wrote: a full ``base``, a set of ``changes``, or records to ``append``
+``<root>/objects/<object>/<sync>/<run>``  what the run wrote: a full ``base``, a set of ``changes``, or records to ``append``
 ``<root>/state/<sync>/<run>``        the source records the run saw, by key and fingerprint, and those it found changed
 ``<root>/rejected/<sync>/<run>``     records the run refused, with the reason
 ``<root>/sync_runs/day=<day>``       one row per run, appended last: that row is the commit
@@ -67,11 +67,14 @@ class ObjectStore:
         writer.partitionBy(DAY).parquet(self._runs_path)
 
     def standing(self, sync_id: str, run_id: str) -> tuple[Row | None, Row | None, int]:
-        """The committed row of this run, the sync's last completed run, and the next sequence number, in one job."""
+        """The committed row of this run, the sync's last completed run, and the next sequence number, in one job.
+
+        A run is known by its sync and its id: two syncs may use the same ids.
+        """
         runs, done = self.runs(), F.col("status") == "completed"
         row = F.struct("seq", *[c for c in runs.columns if c != "seq"])
         found = runs.agg(
-            F.max(F.when(done & (F.col("run_id") == run_id), row)).alias("same"),
+            F.max(F.when(done & (F.col("sync_id") == sync_id) & (F.col("run_id") == run_id), row)).alias("same"),
             F.max(F.when(done & (F.col("sync_id") == sync_id), row)).alias("last"),
             F.coalesce(F.max("seq"), F.lit(0)).alias("seq"),
         ).first()
@@ -79,7 +82,15 @@ class ObjectStore:
 
     def record(self, **values: Any) -> None:
         """Append one run row. For a completed run this is the commit."""
-        self._run_rows(values, 1).write.mode("append").partitionBy(DAY).parquet(self._runs_path)
+        self.commit([values])
+
+    def commit(self, rows: Sequence[Dict[str, Any]]) -> None:
+        """Append several rows of one day in one task: they are one file, so either all are there or none is."""
+        frames = [self._run_rows(values, 1) for values in rows]
+        whole = frames[0]
+        for frame in frames[1:]:
+            whole = whole.unionByName(frame)
+        whole.coalesce(1).write.mode("append").partitionBy(DAY).parquet(self._runs_path)
 
     def _run_rows(self, values: Any, rows: int) -> DataFrame:
         given = {k: utc(v) if isinstance(v, datetime) else v for k, v in dict(values).items()}
@@ -94,10 +105,13 @@ class ObjectStore:
     def path(self, kind: str, name: str, run_id: str) -> str:
         return f"{self.root}/{kind}/{name}/{run_id}"
 
-    def write(self, obj: str, run_id: str, df: DataFrame, seq: int | None = None) -> None:
+    def place(self, obj: str, sync_id: str | None, run_id: str) -> str:
+        return f"{self.root}/objects/{obj}/{sync_id or '_'}/{run_id}"
+
+    def write(self, obj: str, sync_id: str | None, run_id: str, df: DataFrame, seq: int | None = None) -> None:
         """Write a run's records to its own directory; changes carry the sequence number that orders them."""
         out = nest(df) if seq is None else nest(df).withColumn(SEQ, F.lit(seq).cast("bigint"))
-        out.write.mode("overwrite").parquet(self.path("objects", obj, run_id))
+        out.write.mode("overwrite").parquet(self.place(obj, sync_id, run_id))
 
     def writes_since_base(self, obj: str) -> list[Row]:
         """Committed writes that make up the object: the last base, if any, and what came after it, in order.
@@ -107,7 +121,8 @@ class ObjectStore:
         own = self.runs().filter((F.col("object") == obj) & (F.col("status") == "completed") & F.col("writes").isNotNull())
         base = own.filter("writes = 'base'").agg(F.coalesce(F.max("seq"), F.lit(0))).scalar()
         later = (F.col("seq") > base) | ((F.col("seq") == base) & (F.col("writes") == "base"))
-        return sorted(own.filter(later).select("seq", "run_id", "writes").distinct().collect())
+        found = own.filter(later).select("seq", "run_id", "writes", F.coalesce("sync_id", F.lit("_")).alias("sync_id"))
+        return sorted(found.distinct().collect())
 
     def read(
         self, obj: str, keys: Sequence[str] = (), policies: Dict[str, WritePolicy] | None = None
@@ -119,7 +134,7 @@ class ObjectStore:
     def _read_all(self, obj: str, keys: Sequence[str], policies: Dict[str, WritePolicy] | None) -> DataFrame | None:
         whole = None
         for kind, group in groupby(self.writes_since_base(obj), key=lambda r: r.writes):
-            part = self._load([self.path("objects", obj, r.run_id) for r in group])
+            part = self._load([self.place(obj, r.sync_id, r.run_id) for r in group])
             if kind == "changes":
                 whole = overlaid(whole, part, keys, policies)
             else:
@@ -127,13 +142,28 @@ class ObjectStore:
         return whole
 
     def _load(self, paths: list[str]) -> DataFrame:
-        """Files of several runs under the newest run's schema; fields added later read as null from older files."""
-        newest = self.spark.read.parquet(paths[-1]).schema
-        return flatten(self.spark.read.schema(newest).parquet(*paths))
+        """Files of several runs. Runs of one schema are one scan; fields that came, went or changed type are brought to
+        the newest type they had, text that does not read as that type to null.
+        """
+        groups: list[tuple[T.StructType, list[str]]] = []
+        for path in paths:
+            schema = self.spark.read.parquet(path).schema
+            if not groups or groups[-1][0] != schema:
+                groups.append((schema, []))
+            groups[-1][1].append(path)
+        frames = [flatten(self.spark.read.schema(schema).parquet(*some)) for schema, some in groups]
+        types = {f.name: f.dataType for frame in frames for f in frame.schema.fields}
+        whole = None
+        for frame in frames:
+            columns = [(quoted(f.name) if f.dataType == types[f.name] else quoted(f.name).try_cast(types[f.name])).alias(f.name) for f in frame.schema.fields]
+            frame = frame.select(*columns)
+            whole = frame if whole is None else whole.unionByName(frame, allowMissingColumns=True)
+        newest = frames[-1].columns
+        return whole.select(*[quoted(c) for c in [*newest, *[c for c in whole.columns if c not in newest]]])
 
     def create_object(self, obj: str, schema: T.StructType, run_id: str, at: datetime) -> None:
         """A new, empty object with typed fields."""
-        self.write(obj, run_id, self.spark.createDataFrame([], schema))
+        self.write(obj, None, run_id, self.spark.createDataFrame([], schema))
         self._commit_base(obj, run_id, at, self.standing("", run_id)[2])
 
     def compact(
@@ -141,7 +171,7 @@ class ObjectStore:
         policies: Dict[str, WritePolicy] | None = None,
     ) -> None:
         """Fold the changes since the last base, up to ``seq``, into a new one."""
-        self.write(obj, run_id, self._read_all(obj, keys, policies))
+        self.write(obj, None, run_id, self._read_all(obj, keys, policies))
         self._commit_base(obj, run_id, at, seq)
 
     def _commit_base(self, obj: str, run_id: str, at: datetime, seq: int) -> None:
@@ -150,11 +180,11 @@ class ObjectStore:
 
     def vacuum(self, obj: str) -> None:
         """Delete what the object's last base has superseded. Not while something still reads an older state."""
-        current = {r.run_id for r in self.writes_since_base(obj)}
+        current = {(r.sync_id, r.run_id) for r in self.writes_since_base(obj)}
         past = self.runs().filter((F.col("object") == obj) & (F.col("status") == "completed") & F.col("writes").isNotNull())
-        for r in past.select("run_id").distinct().collect():
-            if r.run_id not in current:
-                discard(self.spark, self.path("objects", obj, r.run_id))
+        for r in past.select(F.coalesce("sync_id", F.lit("_")).alias("sync_id"), "run_id").distinct().toLocalIterator():
+            if (r.sync_id, r.run_id) not in current:
+                discard(self.spark, self.place(obj, r.sync_id, r.run_id))
 
     # ---- source state and rejected records
 

@@ -86,6 +86,16 @@ def profile_dataset(df: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class TopicSpec:
+    """Where a topic is read: a Spark streaming format, its options, and the records' schema."""
+
+    source_type: str
+    schema: object = None
+    path: str | None = None
+    options: Dict[str, str] = dc_field(default_factory=dict)
+
+
 @dataclass
 class Catalog:
     """The saved definitions a sync may refer to by id."""
@@ -94,6 +104,14 @@ class Catalog:
     models: dict[str, DatasetSpec] = dc_field(default_factory=dict)
     segments: dict[str, SegmentSpec] = dc_field(default_factory=dict)
     cohorts: dict[str, tuple[DataFrame, str]] = dc_field(default_factory=dict)
+    topics: dict[str, TopicSpec] = dc_field(default_factory=dict)
+
+    def stream(self, spark: SparkSession, source: SourceSpec) -> DataFrame:
+        """The records of a live source."""
+        if source.kind != "topic":
+            raise SpecError("a live sync reads a topic")
+        t = self._get("topics", source.id)
+        return read_topic(spark, t.source_type, dict(t.options), t.schema, t.path)
 
     def _get(self, kind: str, ident: str):
         found = getattr(self, kind).get(str(ident))

@@ -2,107 +2,200 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping as Dict, Sequence
+from dataclasses import dataclass, field as dc_field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from syncloom.functions.columns import nest, quoted
+from syncloom.functions.columns import quoted
 from syncloom.operators.changes import CHANGE, UPSERT
+from syncloom.operators.fields import validate_fields
 from syncloom.operators.keys import NULL_KEY, REASON, VALUE, latest_by_key
-from syncloom.operators.mapping import project
+from syncloom.operators.mapping import LookupObject, project
 from syncloom.operators.policies import policies_of
 from syncloom.operators.runs import counters_from
-from syncloom.plans.spec import SyncSpec
-from syncloom.session import discard, stored
+from syncloom.plans.spec import Field, SegmentSpec, SpecError, SyncSpec
+from syncloom.session import discard, exists, stored
 from syncloom.sinks.objects import ORDER, ObjectStore
 
-SPREAD = 32  # parts the copies of one event are spread over before the keyed de-duplication
+EVENT, EVENT_DAY, NO_ID, RUN = "_event", "_event_day", "_no_id", "_run"
+LATEST = "sql.streaming.queryId"  # the local property that names the stream a micro-batch belongs to
+
+
+@dataclass
+class Context:
+    """What a live sync's mappings may refer to besides the record itself."""
+
+    segments: Sequence[SegmentSpec] = ()
+    lookups: Dict[str, LookupObject] | None = None
+    fields: Sequence[Field] = ()
+
+    def check(self, spec: SyncSpec) -> None:
+        """Definitions that a live sync cannot honour are refused before it starts."""
+        for m in spec.mappings:
+            if m.type == "segment_membership" and not self.segments:
+                raise SpecError("segment membership needs segments")
+            if m.lookup_object and m.lookup_object not in (self.lookups or {}):
+                raise SpecError(f"unknown lookup object {m.lookup_object!r}")
+
+
+@dataclass
+class LiveRuns:
+    """Micro-batches as committed runs of a sync, named by stream and batch: a new checkpoint is a new stream.
+
+    Only the first batch after a start can be a replay, so only that one looks for its own commit.
+    """
+
+    spec: SyncSpec
+    store: ObjectStore
+    context: Context
+    _seq: int | None = None
+
+    def run_id(self, batch: DataFrame, batch_id: int) -> str:
+        query = batch.sparkSession.sparkContext.getLocalProperty(LATEST) or "direct"
+        return f"{self.spec.name}-{query}-{batch_id:012d}"
+
+    def committed(self, run_id: str) -> bool:
+        if self._seq is None:
+            done, _, following = self.store.standing(self.spec.name, run_id)
+            self._seq = following - 1
+            if done:
+                return True
+        self._seq += 1
+        return False
+
+    def staged(self, batch: DataFrame, run_id: str, extra: Dict[str, Column], key: str | None) -> tuple[DataFrame, Observation, str]:
+        """The mapped and checked records as a table, their counts, and where the table is; rejects are written."""
+        spec, store = self.spec, self.store
+        mapped = project(batch, spec, run_id, self.context.segments, self.context.lookups, keep_rejects=True, extra=extra)
+        mapped = validate_fields(mapped, self.context.fields)
+        if key is not None:
+            mapped = mapped.withColumn(REASON, F.when(quoted(key).isNull(), F.lit(NULL_KEY)).otherwise(F.col(REASON)))
+        seen = Observation()
+        bad = F.sum(F.when(F.col(REASON).isNotNull(), 1).otherwise(0))
+        path = store.path("staging", spec.name, run_id)
+        staged = stored(mapped.observe(seen, F.count(F.lit(1)).alias("n"), bad.alias("bad")), path)
+        store.write_rejected(spec.name, run_id, staged.filter(F.col(REASON).isNotNull()).drop(*extra))
+        return staged.filter(F.col(REASON).isNull()).drop(REASON, VALUE), seen, path
+
+    def commit(self, run_id: str, started: datetime, writes: str, sent: tuple[int, int], seen: Observation) -> None:
+        self.store.record(run_id=run_id, sync_id=self.spec.name, status="completed", created_at=started, started_at=started,
+                          completed_at=datetime.now(timezone.utc), full_sync=False, object=self.spec.object, writes=writes,
+                          seq=self._seq, **counters_from(*sent, 0, seen.get["bad"] or 0, seen.get["n"]))
 
 
 @dataclass
 class Folder:
-    """Folds micro-batches into an object. Each batch is one committed run, named by its batch id.
+    """Folds micro-batches into an object.
 
     A batch writes one row per changed key and reads neither the object nor the history: its cost follows the batch.
-    Only the first batch after a start can be a replay, so only that one looks for its own commit.
     """
 
     spec: SyncSpec
     store: ObjectStore
     order: Sequence[str]
     compact_after: int = 100
-    _before: int | None = None  # the sequence number that batch 0 comes after
+    context: Context = dc_field(default_factory=Context)
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        run_id = f"{self.spec.name}-{batch_id:012d}"
-        if self._before is None:
-            done, last, following = self.store.standing(self.spec.name, run_id)
-            self._before = following - 1 - batch_id if last is None else last.seq - 1 - int(last.run_id[-12:])
-            if done:
-                return
-        self._fold(batch, run_id, self._before + 1 + batch_id)
-        if (batch_id + 1) % self.compact_after == 0:
-            self.store.compact(self.spec.object, self.spec.keys, f"{run_id}-base", datetime.now(timezone.utc),
-                               self._before + 1 + batch_id, policies_of(self.spec.mappings))
+    def __post_init__(self) -> None:
+        self.context.check(self.spec)
+        self.runs = LiveRuns(self.spec, self.store, self.context)
 
-    def _fold(self, batch: DataFrame, run_id: str, seq: int) -> None:
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spec, store, started = self.spec, self.store, datetime.now(timezone.utc)
+        run_id = self.runs.run_id(batch, batch_id)
+        if self.runs.committed(run_id):
+            return
         extra = {f"{ORDER}{i}": quoted(c) for i, c in enumerate(self.order)}
-        mapped = project(batch, spec, run_id, keep_rejects=True, extra=extra)
-        no_key = quoted(spec.keys[0]).isNull()
-        mapped = mapped.withColumn(REASON, F.when(no_key, F.lit(NULL_KEY)).otherwise(F.col(REASON)))
-        seen, written = Observation(), Observation()
-        bad = F.sum(F.when(F.col(REASON).isNotNull(), 1).otherwise(0))
-        watched = mapped.observe(seen, F.count(F.lit(1)).alias("n"), bad.alias("bad"))
-        staging = store.path("staging", spec.name, run_id)
-        staged = stored(watched, staging)
-        store.write_rejected(spec.name, run_id, staged.filter(F.col(REASON).isNotNull()))
-        valid = staged.filter(F.col(REASON).isNull()).drop(REASON, VALUE)
+        valid, seen, staging = self.runs.staged(batch, run_id, extra, spec.keys[0])
+        written = Observation()
         last = latest_by_key(valid, spec.keys, list(extra), policies_of(spec.mappings))
         out = last.withColumn(CHANGE, F.lit(UPSERT)).observe(written, F.count(F.lit(1)).alias("n"))
-        store.write(spec.object, run_id, out, seq)
-        store.record(run_id=run_id, sync_id=spec.name, status="completed", created_at=started, started_at=started,
-                     completed_at=datetime.now(timezone.utc), full_sync=False, object=spec.object, writes="changes",
-                     seq=seq, **counters_from(0, written.get["n"], 0, seen.get["bad"] or 0, seen.get["n"]))
+        store.write(spec.object, spec.name, run_id, out, self.runs._seq)
+        self.runs.commit(run_id, started, "changes", (0, written.get["n"]), seen)
         discard(batch.sparkSession, staging)
+        if (batch_id + 1) % self.compact_after == 0:
+            store.compact(spec.object, spec.keys, f"{run_id}-base", datetime.now(timezone.utc), self.runs._seq, policies_of(spec.mappings))
 
 
 def live_map_records(
     stream: DataFrame, spec: SyncSpec, store: ObjectStore, order: Sequence[str], checkpoint: str,
-    interval: str | None = None, compact_after: int = 100,
+    interval: str | None = None, compact_after: int = 100, context: Context | None = None,
 ) -> StreamingQuery:
     """Keep the object at the last record per key by ``order`` (event time, then offset), however late records arrive.
 
     ``interval`` runs continuously; without it the available data is processed once.
     """
-    writer = stream.writeStream.foreachBatch(Folder(spec, store, order, compact_after))
+    writer = stream.writeStream.foreachBatch(Folder(spec, store, order, compact_after, context or Context()))
     return _start(writer.option("checkpointLocation", checkpoint), interval)
 
 
-def deduplicated_events(stream: DataFrame, event_id: str, event_time: str, late: str) -> DataFrame:
-    """Each event once, as long as its copies arrive within ``late`` of it.
+@dataclass
+class Appender:
+    """Appends every event once, however late it or its copies arrive.
 
-    Copies of one event may be a large share of the stream, and they all meet in one task. A first de-duplication per
-    part of the input lets through at most SPREAD of them, the keyed one then exactly one.
+    An event is known by its id and the day of its time. The ids of a day are kept as a table beside the object, so a
+    batch reads the ids of the days it touches and nothing else. Copies collapse map-side before the ids meet.
     """
-    if dict(stream.dtypes)[event_time] == "timestamp_ntz":
-        stream = stream.withColumn(event_time, quoted(event_time).cast("timestamp"))
-    parted = stream.withWatermark(event_time, late).withColumn("__part", F.pmod(F.spark_partition_id(), F.lit(SPREAD)))
-    once = parted.dropDuplicatesWithinWatermark([event_id, "__part"]).drop("__part")
-    return once.dropDuplicatesWithinWatermark([event_id])
+
+    spec: SyncSpec
+    store: ObjectStore
+    event_id: str
+    event_time: str
+    context: Context = dc_field(default_factory=Context)
+
+    def __post_init__(self) -> None:
+        self.context.check(self.spec)
+        self.runs = LiveRuns(self.spec, self.store, self.context)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spec, store, spark, started = self.spec, self.store, batch.sparkSession, datetime.now(timezone.utc)
+        run_id = self.runs.run_id(batch, batch_id)
+        if self.runs.committed(run_id):
+            return
+        day = F.coalesce(F.to_date(quoted(self.event_time)).cast("string"), F.lit("none"))
+        extra = {EVENT: quoted(self.event_id), EVENT_DAY: day}
+        no_id = F.when(quoted(self.event_id).isNull(), F.lit(NULL_KEY))
+        valid, seen, staging = self.runs.staged(batch, run_id, {**extra, NO_ID: no_id}, None)
+        unnamed = valid.filter(F.col(NO_ID).isNotNull())
+        refused = unnamed.withColumn(REASON, F.col(NO_ID)).withColumn(VALUE, F.lit(None).cast("string")).drop(NO_ID, *extra)
+        without_id = Observation()
+        counted = refused.observe(without_id, F.count(F.lit(1)).alias("n"))
+        counted.write.mode("append").parquet(store.path("rejected", spec.name, run_id))
+        rest = [c for c in valid.columns if c not in (EVENT, EVENT_DAY, NO_ID)]
+        row = F.any_value(F.struct(*[quoted(c).alias(c) for c in rest])).alias("r")
+        once = valid.filter(F.col(NO_ID).isNull()).groupBy(EVENT, EVENT_DAY).agg(row)
+        days = [r[0] for r in valid.select(EVENT_DAY).distinct().toLocalIterator()]
+        ids = store.path("event_ids", spec.name, "")
+        past = [f"{ids}{EVENT_DAY}={d}" for d in days if exists(spark, f"{ids}{EVENT_DAY}={d}")]
+        if past:
+            names = spark.read.option("basePath", ids).schema(f"{EVENT} {valid.schema[EVENT].dataType.simpleString()}, {EVENT_DAY} string, {RUN} string").parquet(*past)
+            once = once.join(names.filter(F.col(RUN) != run_id).select(EVENT, EVENT_DAY), [EVENT, EVENT_DAY], "left_anti")
+        fresh = stored(once, f"{staging}-new")
+        fresh.select(EVENT, EVENT_DAY, F.lit(run_id).alias(RUN)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(EVENT_DAY, RUN).parquet(ids)
+        written = Observation()
+        out = fresh.select(*[F.col("r").getField(c).alias(c) for c in rest]).observe(written, F.count(F.lit(1)).alias("n"))
+        store.write(spec.object, spec.name, run_id, out)
+        counts = Counts({"n": seen.get["n"], "bad": (seen.get["bad"] or 0) + without_id.get["n"]})
+        self.runs.commit(run_id, started, "append", (written.get["n"], 0), counts)
+        for path in (staging, f"{staging}-new"):
+            discard(spark, path)
+
+
+@dataclass(frozen=True)
+class Counts:
+    get: dict[str, int]
 
 
 def live_activate_events(
-    stream: DataFrame, spec: SyncSpec, path: str, event_id: str, event_time: str, checkpoint: str,
-    late: str = "1 hour", interval: str | None = None,
+    stream: DataFrame, spec: SyncSpec, store: ObjectStore, event_id: str, event_time: str, checkpoint: str,
+    interval: str | None = None, context: Context | None = None,
 ) -> StreamingQuery:
-    """Append every event once, mapped to the destination's fields."""
-    events = deduplicated_events(stream, event_id, event_time, late)
-    writer = nest(project(events, spec)).writeStream.format("parquet").outputMode("append")
-    return _start(writer.option("path", path).option("checkpointLocation", checkpoint), interval)
+    """Append every event once to the object, mapped to the destination's fields; events that do not fit are kept as rejects."""
+    writer = stream.writeStream.foreachBatch(Appender(spec, store, event_id, event_time, context or Context()))
+    return _start(writer.option("checkpointLocation", checkpoint), interval)
 
 
 def _start(writer, interval: str | None) -> StreamingQuery:

@@ -206,7 +206,7 @@ def test_lookup_segments_and_nested_fields(spark, root):
     spec = sync([{"from": "team", "to": "details.team", "lookup_object": "teams", "lookup_field": "code"},
                  {"to": "details.segments", "type": "segment_membership", "segment_identify_by": "name"}])
     b.run(spec, "id int, team string", (1, "red"), (2, "blue"), (3, "green"))
-    stored = spark.read.parquet(b.runner.store.path("objects", "Person", "run-1"))
+    stored = spark.read.parquet(b.runner.store.place("Person", "s", "run-1"))
     assert rows(stored.select("id", F.col("details.team").alias("t"), F.col("details.segments").alias("s"))) == [
         (1, 11, "new,vip"), (2, 12, "")]
     assert rows(b.runner.store.rejected("s", "run-1"), "id", "reject_reason") == [(3, "lookup_miss:details.team")]
@@ -264,14 +264,14 @@ def test_nothing_temporary_is_left(spark, root):
     left = {p.name: sorted(c.name for c in p.glob("*/*")) for p in pathlib.Path(root).iterdir()}
     assert left["state"] == ["run-3"] and not left["staging"] and not left["duplicates"]
     b.runner.store.vacuum("Person")
-    assert [p.name for p in pathlib.Path(root, "objects", "Person").iterdir()] == ["run-3-base"]
+    assert [p.name for p in pathlib.Path(root, "objects", "Person").glob("*/*")] == ["s-run-3-base"]
     assert b.state(spec) == [(1, "c")]
 
 
 def test_uncommitted_writes_are_not_read(spark, root):
     b, spec = Bench(spark, root), sync()
     b.run(spec, PEOPLE, (1, "a"))
-    b.runner.store.write("Person", "lost", table(spark, PEOPLE, (9, "ghost")))
+    b.runner.store.write("Person", "s", "lost", table(spark, PEOPLE, (9, "ghost")))
     assert b.state(spec) == [(1, "a")]
 
 
@@ -338,3 +338,43 @@ def test_alerts_and_missed_runs_of_a_sync(spark, root):
                    ("run-2", "InvalidRecordPercentAlertConfiguration", "recovery"),
                    ("run-4", "FailureAlertConfiguration", "recovery")]
     assert rows(b.runner.missed(spec, T0, T0 + timedelta(days=5)), "slot") == [(T0,), (T0 + timedelta(days=3),)]
+
+
+def test_a_crash_between_union_parts_loses_nothing(spark, root):
+    unions = {"Both": ("Lead", "Contact")}
+    b, spec = Bench(spark, root, unions=unions), sync(destination_attributes={"object": "Both"}, operation="upsert")
+    commit, crashed = b.runner.store.commit, []
+
+    def once(rows):
+        if not crashed and any(r.get("status") == "completed" for r in rows):
+            crashed.append(True)
+            raise OSError("lost")
+        commit(rows)
+
+    b.runner.store.commit = once
+    with pytest.raises(OSError):
+        b.run(spec, PEOPLE, (1, "a"), (2, "b"), run_id="again")
+    assert b.runner.store.read("Lead", ["id"]) is None
+    done = b.run(spec, PEOPLE, (1, "a"), (2, "b"), run_id="again")
+    assert done.counters["records_processed"] == 2 and rows(b.runner.store.read("Lead", ["id"])) == [(1, "a"), (2, "b")]
+
+
+def test_long_errors_are_kept_whole(spark, root):
+    b = Bench(spark, root)
+    with pytest.raises(Exception) as error:
+        b.run(sync(mappings=({"from": "x" * 3000, "to": "name"},), operation="upsert"), PEOPLE, (1, "a"))
+    assert b.runner.store.runs().filter("status = 'failed'").first().error_message == str(error.value)
+
+
+def test_marks_do_not_depend_on_the_time_zone(spark, root):
+    b, spec = Bench(spark, root), sync(mappings=({"from": "at", "to": "at"},), operation="append", high_water_mark_attribute="at")
+    late = "timestamp '2024-11-03 06:30:00+00:00'"  # the repeated hour in New York
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        for n in range(2):
+            b.n += 1
+            spark.range(1).selectExpr("cast(1 as int) as id", f"{late} as at").createOrReplaceTempView("people")
+            b.runner.run(spec, f"run-{n}", T0 + timedelta(days=n))
+        assert b.runner.store.read("Person").count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

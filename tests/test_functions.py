@@ -70,3 +70,10 @@ def test_fingerprint_tells_values_apart(spark):
     assert df.select(fingerprint(df.schema.fields)).distinct().count() == 6
     swapped = spark.sql("select 'a' as x, cast(null as string) as y union all select null, 'a'")
     assert swapped.select(fingerprint(swapped.schema.fields)).distinct().count() == 2
+
+
+def test_constants_are_written_whole():
+    from syncloom.operators.mapping import constant_text
+
+    given = [1234567.5, 3.14159265, 19.9999999, 5.0, 1e20, 7, True, "x", 1e-7]
+    assert [constant_text(v) for v in given] == ["1234567.5", "3.14159265", "19.9999999", "5", "100000000000000000000", "7", "true", "x", "1e-07"]

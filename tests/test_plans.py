@@ -9,8 +9,9 @@ import __spark_entry__ as entry
 from syncloom.operators import changes as ch
 from syncloom.operators.keys import duplicate_keys, split_by_key
 from workload.fixtures import fixture, over_tables, tables
+from workload.registry import QUERIES
 
-STATELESS = [n for n in entry.queries() if not n.startswith(("live_", "sync_", "sink_", "run_record", "src_formats"))]
+STATELESS = [n for n in QUERIES if not n.startswith(("live_", "sync_", "sink_", "run_", "mirror_keeps", "append_fields", "src_formats"))]
 
 
 def plan(df):

@@ -108,3 +108,27 @@ def test_latest_by_key_with_maps(spark):
     df = spark.sql("select 1 as k, 2 as at, map('a', 1) as m union all select 1, 3, map('b', 2) union all select 2, 1, null")
     got = {r.k: (r.at, r.m) for r in latest_by_key(df, ["k"], ["at"]).collect()}
     assert got == {1: (3, {"b": 2}), 2: (1, None)}
+
+
+def test_a_key_of_a_few_partitions_is_hot_at_many(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "10000")
+    try:
+        df = spark.range(0, 250_000, 1, 4).select(F.when(F.col("id") % 2500 == 0, F.lit(-7)).otherwise(F.col("id")).alias("k"))
+        hot = {r[0]: r[1] for r in hot_keys(df, ["k"]).collect()}
+        assert hot.get(spark.range(1).select(F.xxhash64(F.lit(-7).cast("long"))).first()[0], 0) >= 3
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_a_side_partitioned_by_its_key_spreads(spark):
+    left = spark.range(0, 9000, 1, 6).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).cast("long").alias("k"), "id")
+    right = spark.range(0, 500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = join_unique(left.repartition(8, "k"), right, ["k"], "left")
+        tasks = joined.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r[1] for r in tasks) == 3006 and len(tasks) > 1 and max(r[1] for r in tasks) < 2500

@@ -64,7 +64,7 @@ def test_restart_from_checkpoint(spark, root):
 def test_events_arrive_once(spark, root):
     events = SyncSpec("ev", SourceSpec("topic", id="t"), "Event", (Mapping("id", "id"), Mapping("kind", "kind")),
                       run_mode="live", sync_behavior_family="activateEvents", source_type="kafka")
-    path, out, checkpoint = f"{root}/in", f"{root}/out", f"{root}/cp"
+    path, checkpoint, store = f"{root}/in", f"{root}/cp", ObjectStore(spark, f"{root}/out")
     # half of all rows are copies of one event
     df = spark.range(0, 2000).select(
         F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id")).alias("id"), F.lit("k").alias("kind"),
@@ -72,6 +72,6 @@ def test_events_arrive_once(spark, root):
     for _ in range(2):
         df.repartition(4).write.mode("append").parquet(path)
         stream = read_topic(spark, "parquet", {"maxFilesPerTrigger": "3"}, df.schema, path)
-        live_activate_events(stream, events, out, "id", "ts", checkpoint).awaitTermination()
-    back = spark.read.parquet(out)
+        live_activate_events(stream, events, store, "id", "ts", checkpoint).awaitTermination()
+    back = store.read("Event")
     assert back.count() == back.select("id").distinct().count() == 1001

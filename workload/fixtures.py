@@ -1,8 +1,9 @@
 """Inputs of the registered queries: the given tables, and views of them written once in SQL both engines read.
 
-Every fixture is computed over whole tables. Source, previous snapshot and destination of a sync must differ to be worth
-comparing, so they are the order book as seen at different times: the source has let go of orders before July 1995, the
-previous run saw orders from April 1995 up to the end of 2000, the destination received what was ordered before 2001.
+Every fixture is computed over whole tables. Where a source, a previous snapshot and a
+destination are compared, they are the order book as seen at different times: the source has let go of orders before July
+1995, the previous run saw orders from April 1995 up to the end of 2000, the destination received what was ordered
+before 2001.
 """
 
 from __future__ import annotations
@@ -17,6 +18,11 @@ TABLES = (
 ).split()
 
 FIXTURES = {
+    # the whole order book, for what does not compare two states
+    "book": """
+        select o_orderkey as ext_id, o_custkey as customer_id, o_orderstatus as status, o_totalprice as amount,
+               case when o_orderpriority = '4-NOT SPECIFIED' then null else o_orderpriority end as priority
+        from orders""",
     # the source as extracted now
     "src": """
         select o_orderkey as ext_id, o_custkey as customer_id, o_orderstatus as status, o_totalprice as amount,

@@ -23,19 +23,19 @@ def sync(*mappings: Mapping, **options) -> SyncSpec:
     return SyncSpec("orders", SourceSpec("table", table="orders"), "Order", mappings or (KEY,), **options)
 
 
-def mapped(spark, sf_dir, *mappings, source="src", **kwargs):
+def mapped(spark, sf_dir, *mappings, source="book", **kwargs):
     return project(fixture(spark, sf_dir, source), sync(KEY, *mappings), RUN_ID, **kwargs)
 
 
-@register("map_direct", with_fixtures("src", 'select ext_id as "External_Id", status as "Status", amount as "Amount" from src'))
+@register("map_direct", with_fixtures("book", 'select ext_id as "External_Id", status as "Status", amount as "Amount" from book'))
 def map_direct(spark, sf_dir):
     return mapped(spark, sf_dir, Mapping("Status", "status"), Mapping("Amount", "amount"))
 
 
 @register(
     "map_hash",
-    with_fixtures("src", """select ext_id as "External_Id", sha256(cast(customer_id as varchar)) as customer_hash,
-        sha256(priority) as priority_hash, sha256(cast(amount as varchar)) as amount_hash from src"""),
+    with_fixtures("book", """select ext_id as "External_Id", sha256(cast(customer_id as varchar)) as customer_hash,
+        sha256(priority) as priority_hash, sha256(cast(amount as varchar)) as amount_hash from book"""),
 )
 def map_hash(spark, sf_dir):
     hashes = [Mapping(f"{n}_hash", c, type="hash")
@@ -43,13 +43,13 @@ def map_hash(spark, sf_dir):
     return mapped(spark, sf_dir, *hashes)
 
 
-@register("map_constant", with_fixtures("src", """select ext_id as "External_Id", 'Website' as lead_source, '1' as rank from src"""))
+@register("map_constant", with_fixtures("book", """select ext_id as "External_Id", 'Website' as lead_source, '1' as rank from book"""))
 def map_constant(spark, sf_dir):
     constants = Mapping("lead_source", type="constant", constant="Website"), Mapping("rank", type="constant", constant=1)
     return mapped(spark, sf_dir, *constants)
 
 
-@register("map_sync_metadata", with_fixtures("src", """select ext_id as "External_Id", 'run-42' as last_run from src"""))
+@register("map_sync_metadata", with_fixtures("book", """select ext_id as "External_Id", 'run-42' as last_run from book"""))
 def map_sync_metadata(spark, sf_dir):
     return mapped(spark, sf_dir, Mapping("last_run", type="sync_metadata", sync_metadata_key="sync_run_id"))
 
@@ -60,9 +60,9 @@ SEGMENTS = [SegmentSpec("vip", "amount > 250000"), SegmentSpec("open", "status =
 
 @register(
     "map_segment_membership",
-    with_fixtures("src", """select ext_id as "External_Id", concat_ws(',',
+    with_fixtures("book", """select ext_id as "External_Id", concat_ws(',',
         case when status = 'O' then 'open' end, case when priority = '1-URGENT' then 'urgent' end,
-        case when amount > 250000 then 'vip' end) as segments from src"""),
+        case when amount > 250000 then 'vip' end) as segments from book"""),
 )
 def map_segment_membership(spark, sf_dir):
     return mapped(spark, sf_dir, Mapping("segments", type="segment_membership", segment_identify_by="name"),
@@ -71,8 +71,8 @@ def map_segment_membership(spark, sf_dir):
 
 @register(
     "map_segment_membership_table",
-    with_fixtures("src order_segments", """select s.ext_id as "External_Id", coalesce(m.names, '') as segments
-        from src s left join (select ext_id, string_agg(segment, ',' order by segment) as names
+    with_fixtures("book order_segments", """select s.ext_id as "External_Id", coalesce(m.names, '') as segments
+        from book s left join (select ext_id, string_agg(segment, ',' order by segment) as names
                               from (select distinct ext_id, segment from order_segments) group by ext_id) m
         on s.ext_id = m.ext_id"""),
 )
@@ -83,9 +83,9 @@ def map_segment_membership_table(spark, sf_dir):
 
 @register(
     "map_liquid",
-    with_fixtures("src", """select ext_id as "External_Id",
+    with_fixtures("book", """select ext_id as "External_Id",
         'Order ' || cast(ext_id as varchar) || ' (' || upper(coalesce(priority, '')) || ')' as label,
-        status || ' ' || cast(customer_id as varchar) as pair from src"""),
+        status || ' ' || cast(customer_id as varchar) as pair from book"""),
 )
 def map_liquid(spark, sf_dir):
     return mapped(
@@ -97,11 +97,11 @@ def map_liquid(spark, sf_dir):
 
 
 ACCOUNT = Mapping("account", "customer_id", lookup_object="accounts", lookup_field="number")
-LOOKED_UP = with_fixtures("src accounts", """
+LOOKED_UP = with_fixtures("book accounts", """
     select s.ext_id as "External_Id", a.id as account,
            case when a.id is null then 'lookup_miss:account' end as reject_reason,
            case when a.id is null then cast(s.customer_id as varchar) end as rejected_value
-    from src s left join accounts a on s.customer_id = a.number""")
+    from book s left join accounts a on s.customer_id = a.number""")
 
 
 def _lookup(spark, sf_dir, spread):
@@ -122,8 +122,8 @@ def map_lookup_spread(spark, sf_dir):
 
 @register(
     "map_lookup_smallest",
-    with_fixtures("src shipments", """select s.ext_id as "External_Id", m.id as part
-        from src s join (select order_id, min(id) as id from shipments group by order_id) m on s.ext_id = m.order_id"""),
+    with_fixtures("book shipments", """select s.ext_id as "External_Id", m.id as part
+        from book s join (select order_id, min(id) as id from shipments group by order_id) m on s.ext_id = m.order_id"""),
 )
 def map_lookup_smallest(spark, sf_dir):
     """Several records match: the smallest id counts. Records without a match are left out."""
@@ -133,8 +133,8 @@ def map_lookup_smallest(spark, sf_dir):
 
 @register(
     "map_lookup_constant",
-    with_fixtures("src accounts", """select ext_id as "External_Id",
-        (select min(id) from accounts where market = 'BUILDING') as owner from src"""),
+    with_fixtures("book accounts", """select ext_id as "External_Id",
+        (select min(id) from accounts where market = 'BUILDING') as owner from book"""),
 )
 def map_lookup_constant(spark, sf_dir):
     owner = Mapping("owner", type="constant", constant="BUILDING", lookup_object="accounts", lookup_field="market")
@@ -143,8 +143,8 @@ def map_lookup_constant(spark, sf_dir):
 
 @register(
     "map_nested",
-    with_fixtures("src", """select sha256(cast(customer_id as varchar)) as hashed_customer, status, ext_id as order_id,
-        amount from src"""),
+    with_fixtures("book", """select sha256(cast(customer_id as varchar)) as hashed_customer, status, ext_id as order_id,
+        amount from book"""),
 )
 def map_nested(spark, sf_dir):
     spec = sync(
@@ -153,21 +153,21 @@ def map_nested(spark, sf_dir):
         Mapping("details.state.status", "status"),
         Mapping("amount", "amount"),
     )
-    nested = nest(project(fixture(spark, sf_dir, "src"), spec))
+    nested = nest(project(fixture(spark, sf_dir, "book"), spec))
     return nested.select("identifier.order_id", "identifier.hashed_customer", "details.state.status", "amount")
 
 
 @register(
     "map_all_properties",
-    with_fixtures("src", """select ext_id as "External_Id", customer_id, upper(status) as status, amount, priority,
-        'bulk' as origin from src"""),
+    with_fixtures("book", """select ext_id as "External_Id", customer_id, upper(status) as status, amount, priority,
+        'bulk' as origin from book"""),
 )
 def map_all_properties(spark, sf_dir):
     spec = sync(
         KEY, Mapping("status", type="liquid_template", liquid_template="{{ status | upcase }}"),
         Mapping("origin", type="constant", constant="bulk"), field_behavior="sync_all_properties",
     )
-    return project(fixture(spark, sf_dir, "src"), spec)
+    return project(fixture(spark, sf_dir, "book"), spec)
 
 
 # How the column c_mktsegment, a column "acctBalance" and a column "Nation-Key" are written in each style.
@@ -203,12 +203,12 @@ for _style in NORMALIZATIONS:
 def _ordered(spark, sf_dir, order):
     spec = sync(KEY, Mapping("Status", "status"), Mapping("Amount", "amount"), Mapping("Customer", "customer_id"),
                 field_order=order)
-    df = project(fixture(spark, sf_dir, "src"), spec)
+    df = project(fixture(spark, sf_dir, "book"), spec)
     return df.withColumn("fields", F.lit(",".join(df.columns)))
 
 
-ORDERED = with_fixtures("src", """select ext_id as "External_Id", status as "Status", amount as "Amount",
-    customer_id as "Customer", '{}' as fields from src""")
+ORDERED = with_fixtures("book", """select ext_id as "External_Id", status as "Status", amount as "Amount",
+    customer_id as "Customer", '{}' as fields from book""")
 
 
 @register("order_alpha", ORDERED.replace("{}", "Amount,Customer,External_Id,Status"))
@@ -223,8 +223,8 @@ def order_mapping(spark, sf_dir):
 
 @register(
     "map_generate_field",
-    with_fixtures("src dst", """select coalesce(s.ext_id, d.ext_id) as ext_id, coalesce(s.status, d.status) as status,
-        s.priority as tier, s.amount as score from dst d full join src s on s.ext_id = d.ext_id"""),
+    with_fixtures("book dst", """select coalesce(s.ext_id, d.ext_id) as ext_id, coalesce(s.status, d.status) as status,
+        s.priority as tier, s.amount as score from dst d full join book s on s.ext_id = d.ext_id"""),
 )
 def map_generate_field(spark, sf_dir):
     """The destination gains typed fields that the source maps but it does not have yet, and the upsert fills them."""
@@ -234,9 +234,9 @@ def map_generate_field(spark, sf_dir):
         Mapping("tier", "priority", generate_field=True),
         Mapping("score", "amount", generate_field=True, field_type="number"),
     ]
-    src = project(fixture(spark, sf_dir, "src"), sync(key, *mappings))
-    dst = evolve(fixture(spark, sf_dir, "dst").select("ext_id", "status"), src, mappings)
-    return apply_upsert(src, dst, ["ext_id"], policies_of(mappings))
+    book = project(fixture(spark, sf_dir, "book"), sync(key, *mappings))
+    dst = evolve(fixture(spark, sf_dir, "dst").select("ext_id", "status"), book, mappings)
+    return apply_upsert(book, dst, ["ext_id"], policies_of(mappings))
 
 
 @register(
@@ -252,8 +252,8 @@ def map_field_type(spark, sf_dir):
 
 @register(
     "map_array_field",
-    with_fixtures("src", """select ext_id as "External_Id", priority as tags,
-        case when priority is not null then 1 end as n from src"""),
+    with_fixtures("book", """select ext_id as "External_Id", priority as tags,
+        case when priority is not null then 1 end as n from book"""),
 )
 def map_array_field(spark, sf_dir):
     tags = Mapping("tags", "priority", generate_field=True, array_field=True)
@@ -269,8 +269,8 @@ def map_array_field(spark, sf_dir):
 def map_follow_type(spark, sf_dir):
     """The source column became a number: the destination's text field follows, what cannot be cast turns null."""
     dst = fixture(spark, sf_dir, "typed").select("ext_id", F.col("size_text").alias("size"))
-    src = over_tables(spark, sf_dir, "select p_partkey as ext_id, p_size as size from part")
-    return evolve(dst, src, [Mapping("size", "size", generate_field=True, follow_source_type=True)])
+    book = over_tables(spark, sf_dir, "select p_partkey as ext_id, p_size as size from part")
+    return evolve(dst, book, [Mapping("size", "size", generate_field=True, follow_source_type=True)])
 
 
 @register(

@@ -66,9 +66,9 @@ def op_append_hwm(spark, sf_dir):
     return new.withColumn("ts", F.col("ts").cast("string"))
 
 
-@register("op_append_first_skip", with_fixtures("dst", f"select {ALL} from dst"))
+@register("op_append_first_skip", with_fixtures("book", f"select {ALL} from book"))
 def op_append_first_skip(spark, sf_dir):
-    src, dst = sides(spark, sf_dir, "src", "dst")
+    src, dst = sides(spark, sf_dir, "src", "book")
     return ch.apply_append(src, dst, KEYS, first_run=True, historical="skip_current_records")
 
 
@@ -97,9 +97,9 @@ def op_mirror_nulls(spark, sf_dir):
     return ch.apply_mirror(src, dst, KEYS, prev, "sync_updates_and_nulls", skip)
 
 
-@register("op_mirror_swap", with_fixtures("src", f"select {ALL} from src"))
+@register("op_mirror_swap", with_fixtures("book", f"select {ALL} from book"))
 def op_mirror_swap(spark, sf_dir):
-    src, dst = sides(spark, sf_dir, "src", "dst")
+    src, dst = sides(spark, sf_dir, "book", "dst")
     return ch.apply_mirror(src, dst, KEYS, strategy="upload_and_swap")
 
 

@@ -47,10 +47,10 @@ def src_model(spark, sf_dir):
     )
 
 
-@register("src_segment", with_fixtures("src", "select * from src where amount > 250000 and status = 'O'"))
+@register("src_segment", with_fixtures("book", "select * from book where amount > 250000 and status = 'O'"))
 def src_segment(spark, sf_dir):
     catalog = Catalog(
-        datasets={"7": DatasetSpec("order_book", FIXTURES["src"])},
+        datasets={"7": DatasetSpec("order_book", FIXTURES["book"])},
         segments={"3060": SegmentSpec("large_open", "amount > 250000 and status = 'O'")},
     )
     source = SourceSpec.from_config({"filter_segment_id": 3060, "object": {"type": "dataset", "id": 7}})
@@ -58,7 +58,7 @@ def src_segment(spark, sf_dir):
 
 
 COHORT = with_fixtures(
-    "src, members".replace(",", ""), "select * from src where customer_id in (select customer_id from members)"
+    "book members", "select * from book where customer_id in (select customer_id from members)"
 )
 
 
@@ -66,7 +66,7 @@ COHORT = with_fixtures(
 def src_cohort(spark, sf_dir):
     members = fixture(spark, sf_dir, "members")
     catalog = Catalog(
-        datasets={"7": DatasetSpec("order_book", FIXTURES["src"])}, cohorts={"12": (members, "customer_id")}
+        datasets={"7": DatasetSpec("order_book", FIXTURES["book"])}, cohorts={"12": (members, "customer_id")}
     )
     source = SourceSpec.from_config({"object": {"type": "cohort", "id": 12, "dataset_id": 7}})
     return catalog.resolve(spark, source)
@@ -76,7 +76,7 @@ def src_cohort(spark, sf_dir):
 def src_cohort_spread(spark, sf_dir):
     """The cohort join in the form taken beyond the broadcast threshold: hot customers spread over salts."""
     members = fixture(spark, sf_dir, "members")
-    return read_cohort(fixture(spark, sf_dir, "src"), members, "customer_id", spread=True)
+    return read_cohort(fixture(spark, sf_dir, "book"), members, "customer_id", spread=True)
 
 
 @register(
@@ -173,34 +173,34 @@ def ds_projection(spark, sf_dir):
 # ---- sinks read back what they wrote
 
 
-@register("sink_object", with_fixtures("dst", "select ext_id, customer_id, status, amount, priority from dst"))
+@register("sink_object", with_fixtures("book", "select ext_id, customer_id, status, amount, priority from book"))
 def sink_object(spark, sf_dir):
-    dst = fixture(spark, sf_dir, "dst")
+    dst = fixture(spark, sf_dir, "book")
     store = ObjectStore(spark, scratch_path(spark, "sink-object"))
     store.create_object("Order", dst.schema, "create", RUN_AT)
-    store.write("Order", "run-1", dst)
+    store.write("Order", "orders", "run-1", dst)
     store.record(run_id="run-1", sync_id="orders", status="completed", created_at=RUN_AT, started_at=RUN_AT,
                  completed_at=RUN_AT, object="Order", writes="append", seq=2)
-    store.write("Order", "run-2", dst)  # never committed: not part of the object
+    store.write("Order", "orders", "run-2", dst)  # never committed: not part of the object
     return store.read("Order", ["ext_id"])
 
 
-EXPORTED = with_fixtures("src", "select ext_id, customer_id, status, amount, priority, '{}' as file from src")
+EXPORTED = with_fixtures("book", "select ext_id, customer_id, status, amount, priority, '{}' as file from book")
 
 
 @register("sink_file_parquet", EXPORTED.replace("{}", "data_01-15-24.parquet"))
 def sink_file_parquet(spark, sf_dir):
     root = scratch_path(spark, "export")
-    src = fixture(spark, sf_dir, "src")
-    path = export_file(src, "path_to_file/data_%m-%d-%y.parquet", {"file_format": "Parquet"}, RUN_AT, root)
+    book = fixture(spark, sf_dir, "book")
+    path = export_file(book, "path_to_file/data_%m-%d-%y.parquet", {"file_format": "Parquet"}, RUN_AT, root)
     return spark.read.parquet(path).withColumn("file", F.lit(path.rsplit("/", 1)[1]))
 
 
 @register("sink_file_csv", EXPORTED.replace("{}", "orders_2024-01-15.csv"))
 def sink_file_csv(spark, sf_dir):
     root = scratch_path(spark, "export")
-    src = fixture(spark, sf_dir, "src")
+    book = fixture(spark, sf_dir, "book")
     config = {"file_format": "CSV", "csv_delimiter": "|", "csv_include_header": "true"}
-    path = export_file(src, "orders_%Y-%m-%d.csv", config, RUN_AT, root)
-    back = spark.read.schema(src.schema).option("sep", "|").option("header", True).csv(path)
+    path = export_file(book, "orders_%Y-%m-%d.csv", config, RUN_AT, root)
+    back = spark.read.schema(book.schema).option("sep", "|").option("header", True).csv(path)
     return back.withColumn("file", F.lit(path.rsplit("/", 1)[1]))
