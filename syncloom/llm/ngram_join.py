@@ -19,9 +19,8 @@ from syncloom.session import scratch_path, stored
 
 WIDTH = 5
 FRAGMENTS = 8
-#: At most so many rounds in which one leader per n-gram is compared with the others before all remaining pairs are, and
-#: how many pairs a posting may give without such a round.
-LEADER_ROUNDS, PAIRS_PER_POSTING = 6, 4
+#: Rounds in which a random leader per n-gram is compared with the others before all remaining pairs are.
+LEADER_ROUNDS = 3
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -139,44 +138,43 @@ def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
 def connect(sets: DataFrame) -> DataFrame:
     """``node, n, label``: linked sets have one label.
 
-    As long as the n-grams that unconnected documents share would give many more pairs than there are postings, a leader
-    of each is compared with the others first; large groups of near copies collapse that way. Then all pairs
-    that are left are compared. The number of leader rounds changes the work, never the result.
+    First a random leader of each n-gram is compared with the others there, a few times; large groups of near copies collapse
+    that way. Then all pairs that are left are compared. The rounds change the work, never the result.
     """
     spark = sets.sparkSession
     segments = stored(fragments(sets, FRAGMENTS), scratch_path(spark, "segments"))
     n, head = F.col("n"), F.col("n") - F.floor((3 * F.col("n") + 3) / 4) + 1
     prefix = F.filter(F.arrays_zip("keys", "places"), lambda p: p["places"] < head)
     postings = sets.select("node", n, F.explode(prefix).alias("p")).select("node", "n", F.col("p.keys").alias("key"), F.col("p.places").alias("place"))
+    apart = stored(postings.withColumn("label", F.col("node")), scratch_path(spark, "postings"))
     labels = stored(sets.select("node", "n", F.col("node").alias("label")), scratch_path(spark, "labels"))
-    apart, pairs, rows = still_apart(stored(postings, scratch_path(spark, "postings")), None)
     for seed in range(LEADER_ROUNDS):
-        if pairs <= PAIRS_PER_POSTING * rows:
-            break
-        labels = merge(labels, linked(leaders(apart, labels, seed), segments))
-        apart, pairs, rows = still_apart(apart, labels)
+        labels = merge(labels, linked(leaders(apart, seed), segments))
+        apart = still_apart(apart, labels)
     return merge(labels, linked(others(apart), segments))
 
 
-def still_apart(postings: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, int, int]:
-    """Postings of the n-grams whose documents are not all connected yet, how many pairs they give, and how many they are."""
-    now = postings.withColumn("label", F.col("node")) if labels is None else postings.drop("label").join(labels.select("node", "label"), "node")
-    count = F.count(F.lit(1)).alias("_m")
-    keys = now.groupBy("key").agg(F.min("label").alias("_1"), F.max("label").alias("_2"), count).where("_1 <> _2").select("key", "_m")
-    keys = stored(keys, scratch_path(postings.sparkSession, "keys"))
-    total = keys.agg(F.sum(F.col("_m").cast("double") * (F.col("_m") - 1) / 2).alias("pairs"), F.sum("_m").alias("rows")).first()
-    apart = now.join(keys.select("key"), "key")
-    return stored(apart, scratch_path(postings.sparkSession, "apart")), total["pairs"] or 0, total["rows"] or 0
+def still_apart(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """Postings of the n-grams whose documents are not all connected yet."""
+    now = postings.drop("label").join(labels.select("node", "label"), "node")
+    keys = now.groupBy("key").agg(F.min("label").alias("_1"), F.max("label").alias("_2")).where("_1 <> _2").select("key")
+    return stored(now.join(keys, "key"), scratch_path(postings.sparkSession, "apart"))
 
 
-def leaders(postings: DataFrame, labels: DataFrame, seed: int) -> DataFrame:
-    """Pairs of one document of each n-gram with the others there; neighbouring n-grams mostly have the same leader."""
-    mask = F.lit(seed * 0x5DEECE66D0F0F0F0F % (1 << 62))
-    lead = postings.groupBy("key").agg(F.min(F.col("node").bitwiseXOR(mask)).bitwiseXOR(mask).alias("lead"))
-    pairs = postings.join(lead, "key").where("node <> lead").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
-    one = labels.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    two = labels.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    return pairs.join(one, "a").join(two, "b").where((F.col("la") != F.col("lb")) & near("na", "nb")).select("a", "na", "b", "nb")
+def leaders(postings: DataFrame, seed: int) -> DataFrame:
+    """Pairs of a random document of each n-gram with every other one there, over half of the n-grams in each round."""
+    some = postings.where(F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(2)) == 0)
+    chance = F.xxhash64(F.lit(seed), "key", "node")
+    first = some.groupBy("key").agg(F.min(F.struct(chance.alias("h"), F.col("node"), F.col("n"), F.col("label"))).alias("l"))
+    first = first.select("key", F.col("l.node").alias("lead"), F.col("l.n").alias("ln"), F.col("l.label").alias("ll"))
+    pairs = some.join(first, "key").where((F.col("label") != F.col("ll")) & near("n", "ln"))
+    turned = F.col("lead") < F.col("node")
+    return pairs.select(
+        F.when(turned, F.col("lead")).otherwise(F.col("node")).alias("a"),
+        F.when(turned, F.col("ln")).otherwise(F.col("n")).alias("na"),
+        F.when(turned, F.col("node")).otherwise(F.col("lead")).alias("b"),
+        F.when(turned, F.col("n")).otherwise(F.col("ln")).alias("nb"),
+    ).distinct()
 
 
 def others(postings: DataFrame) -> DataFrame:
@@ -242,7 +240,8 @@ def drop_near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -
     first = ids.groupBy("class").agg(F.min(F.struct(F.col("id").isNull().alias("_"), F.col("id"), F.col("rows"))).alias("f"))
     first = first.select("class", "f.id", "f.rows").join(sizes.select("class", "n"), "class").join(labels.select("class", "label"), "class", "left")
     best = F.min(F.struct(F.col("id").isNull().alias("_"), F.col("id"), F.col("class"), F.col("rows"))).alias("f")
-    keep = first.where("n > 0").groupBy(F.coalesce("label", "class").alias("label")).agg(best).select("f.class", "f.id", "f.rows", F.lit(False).alias("every"))
+    alone = F.when(F.col("label").isNull(), F.col("class")).alias("alone")
+    keep = first.where("n > 0").groupBy("label", alone).agg(best).select("f.class", "f.id", "f.rows", F.lit(False).alias("every"))
     keep = keep.unionByName(first.where("n = 0").select("class", "id", F.lit(1).cast("long").alias("rows"), F.lit(True).alias("every")))
     keep = stored(keep, scratch_path(spark, "keep")).select(F.col("class").alias("_c"), F.col("id").alias("_id"), "rows", "every")
     kept = given.join(keep, F.col("class") == F.col("_c")).where(F.col("every") | F.col("id").eqNullSafe(F.col("_id")))
