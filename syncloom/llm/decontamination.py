@@ -1,7 +1,7 @@
 """Benchmark decontamination: an FM-index per shard of the corpus, searched backwards with the test phrases.
 
-A shard's index holds the stretches of words that could be part of a phrase (every pair of neighbours is one of the
-phrases' pairs). All phrases are searched together, one word further left per step, with ranks from a wavelet
+A shard's index holds the stretches of words that could be part of a phrase (every short gram in them is one of the
+phrases'). All phrases are searched together, one word further left per step, with ranks from a wavelet
 tree; the matches' places come from sampled suffix positions by walking the last-to-first mapping.
 """
 
@@ -15,9 +15,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from syncloom.llm.rows import field, per_text, ship
-from syncloom.llm.textops import ALNUM, LOWER, binary, chunks, prefix_hash, stretch_hash, word_spans
+from syncloom.llm.textops import ALNUM, LOWER, U64, binary, chunks, mix, prefix_hash, stretch_hash, word_spans
 
-SAMPLE, SLICE_BYTES = 16, 8 << 20
+SAMPLE, SLICE_BYTES, GRAM = 16, 8 << 20, 4
 
 
 class WaveletTree:
@@ -115,7 +115,8 @@ class Phrases:
 
     hashes: np.ndarray  # of the vocabulary, sorted
     words: list[bytes]  # the same words
-    pairs: np.ndarray  # neighbours within an item, first * size + second, sorted
+    gram: int  # length of the short grams, at most that of the shortest window
+    grams: np.ndarray  # hashes of all within items, sorted
     windows: np.ndarray  # word numbers from 1, filled from the right
     lengths: np.ndarray
     items: list[list[str]]  # of each window
@@ -143,10 +144,11 @@ def phrases(rows: list[tuple[str | None, str | None]], width: int) -> Phrases |
     vocabulary = [vocabulary[k] for k in order]
     number = {w: k + 1 for k, w in enumerate(vocabulary)}
     windows: dict[tuple[int, ...], set[str]] = {}
-    pairs = set()
+    gram = min(GRAM, width, *(len(ws) for _, ws in of_item))
+    grams = set()
     for item, ws in of_item:
         ids = [number[w] for w in ws]
-        pairs.update(zip(ids, ids[1:]))
+        grams.update(zip(*(ids[k:] for k in range(gram))))
         for k in range(max(1, len(ids) - width + 1)):
             known = windows.setdefault(tuple(ids[k : k + width]), set())
             if item is not None:
@@ -154,8 +156,16 @@ def phrases(rows: list[tuple[str | None, str | None]], width: int) -> Phrases |
     table = np.zeros((len(windows), width), np.int64)
     for row, window in zip(table, windows):
         row[width - len(window) :] = window
-    size = len(vocabulary) + 1
-    return Phrases(hashes[order], vocabulary, np.array(sorted(a * size + b for a, b in pairs), np.int64), table, np.array([len(w) for w in windows]), [sorted(i) for i in windows.values()])
+    known = np.array(sorted(grams), np.int64)
+    known = np.sort(gram_of(known.ravel(), np.arange(len(known)) * gram, gram))
+    return Phrases(hashes[order], vocabulary, gram, known, table, np.array([len(w) for w in windows]), [sorted(i) for i in windows.values()])
+
+
+def gram_of(ids: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    total = np.zeros(len(at), U64)
+    for k in range(n):
+        total = mix(total * U64(0x9E3779B97F4A7C15) + ids[at + k].astype(U64))
+    return total
 
 
 def member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -168,24 +178,26 @@ def member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 def stretches(ids: np.ndarray, owner: np.ndarray, look: Phrases) -> tuple[np.ndarray, np.ndarray]:
     """Numbers and places of the words that could be part of an occurrence, with a 0 (place -1) between stretches.
 
-    An occurrence consists of known words whose neighbours are pairs of the benchmark, so nothing is lost.
+    All short grams of an occurrence are grams of the benchmark, one beginning at each word, so nothing is lost.
     """
-    n = len(ids)
-    joined = np.zeros(n + 1, bool)
-    if n > 1:
-        joined[1:n] = (ids[:-1] > 0) & (ids[1:] > 0) & (owner[:-1] == owner[1:]) & member(ids[:-1] * (len(look.words) + 1) + ids[1:], look.pairs)
-    first = np.flatnonzero(~joined[:n] & (ids > 0))
-    after = np.flatnonzero(~joined[1:] & (ids > 0)) + 1
-    long = after - first >= look.lengths.min(initial=1)
-    first, after = first[long], after[long]
-    sizes = after - first + 1
+    m = len(ids) - look.gram + 1
+    none = np.zeros(0, np.int64)
+    if m <= 0:
+        return none, none
+    valid = np.zeros(m + 2, bool)
+    at = np.flatnonzero((ids[:m] > 0) & (owner[:m] == owner[look.gram - 1 :]))
+    valid[at + 1] = member(gram_of(ids, at, look.gram), look.grams)
+    first = np.flatnonzero(valid[1:-1] & ~valid[:-2])
+    after = np.flatnonzero(valid[1:-1] & ~valid[2:]) + look.gram
+    long = after - first >= look.lengths.min()
+    first, sizes = first[long], (after - first)[long] + 1
     total = int(sizes.sum())
-    at = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    inside = np.arange(total) - at
+    if not total:
+        return none, none
+    inside = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     places = np.repeat(first, sizes) + inside
-    ends = inside == np.repeat(sizes - 1, sizes)
-    places[ends] = -1
-    return np.where(ends, 0, ids[np.minimum(places, n - 1)]) if total else np.zeros(0, np.int64), places
+    places[inside == np.repeat(sizes - 1, sizes)] = -1
+    return np.where(places < 0, 0, ids[places]), places
 
 
 def occurrences(look: Phrases, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -207,10 +219,15 @@ def occurrences(look: Phrases, data: np.ndarray, offsets: np.ndarray) -> tuple[n
             values[k] = 0
     if not len(real):
         return nothing, nothing, owner, words
+    # A window with a word that the shard does not have cannot occur in it.
+    present = np.zeros(len(look.words) + 1, bool)
+    present[values] = True
+    present[0] = True  # fills short windows
+    sought = np.flatnonzero(present[look.windows].all(1))
     index = FMIndex(values, len(look.words) + 1)
-    low, high = index.search(look.windows, look.lengths)
+    low, high = index.search(look.windows[sought], look.lengths[sought])
     counts = np.maximum(high - low, 0)
-    window = np.repeat(np.arange(len(counts)), counts)
+    window = np.repeat(sought, counts)
     rows = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)
     return window, places[index.locate(rows)], owner, words
 
@@ -296,7 +313,7 @@ def contamination(
     looks = [spark.sparkContext.broadcast(look) for look in benchmark_slices(benchmark, width, text, item, slice_bytes)]
     given = docs.select(F.struct(*[docs[f"`{c}`"] for c in carry]).alias("row"), docs[f"`{text}`"].cast("string").alias("text"))
     if not looks:
-        empty = Phrases(np.zeros(1, np.uint64), [b""], np.zeros(0, np.int64), np.zeros((1, width), np.int64), np.array([1]), [[]])
+        empty = Phrases(np.zeros(1, U64), [b""], 1, np.zeros(0, U64), np.zeros((1, width), np.int64), np.array([1]), [[]])
         looks = [spark.sparkContext.broadcast(empty)]
 
     def make():  # noqa: ANN202
