@@ -32,6 +32,22 @@ def _path(digits: int) -> Column:
     return F.substring(whole, 1, digits * DIGIT // 4)
 
 
+def _reached(boundary: str) -> Column:
+    """Whether a row's key is not below a boundary, compared as numbers word by word."""
+    prefix = boundary.rstrip("~")
+    value = int(prefix or "0", 16) + boundary.endswith("~")
+    if not prefix or value >> 4 * len(prefix):
+        return F.lit(False)
+    value <<= 4 * (16 * len(KEYS) - len(prefix))
+    out = F.lit(True)
+    for name in reversed(KEYS):
+        word, value = value & ((1 << 64) - 1), value >> 64
+        signed = F.lit(word - (1 << 63)).cast("long")
+        key = F.col(name).bitwiseXOR(F.lit(-(1 << 63)))  # unsigned order as signed
+        out = (key > signed) | ((key == signed) & out)
+    return out
+
+
 def splitters(keys: DataFrame, shards: int, tolerance: float) -> list[str]:
     """Boundaries as hex text: a row belongs right of a boundary if its whole key, as text, is not below it.
 
@@ -96,9 +112,7 @@ def histogram_shards(docs: DataFrame, shards: int = 40, tolerance: float = 0.002
     )
     keys = stored(keys, scratch_path(spark, "shard-keys"))
     cuts = splitters(keys, shards, tolerance)
-    whole = _path(LAST)
-    # A boundary is a key prefix; one that ends in "~" lies after all keys with that prefix.
-    shard = reduce(lambda a, b: a + b, [(F.substring(whole, 1, len(c)) >= F.lit(c)).cast("int") if not c.endswith("~") else (F.substring(whole, 1, len(c) - 1) > F.lit(c[:-1])).cast("int") for c in cuts], F.lit(0))
+    shard = reduce(lambda a, b: a + b, [_reached(c).cast("int") for c in cuts], F.lit(0))
     parts = max(1, -(-keys.count() // (shards * rows_per_part)))
     dealt = keys.withColumn("shard", shard).withColumn("_part", F.pmod(F.xxhash64("_k2", "_k3"), F.lit(parts)))
     # Slots without one task per shard: the rows of a part are numbered after those of the parts before it. The counts
