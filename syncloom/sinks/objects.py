@@ -59,6 +59,10 @@ class ObjectStore:
     def _stored_runs(self) -> DataFrame:
         return self.spark.read.schema(f"{RUN_SCHEMA}, {DAY} date").parquet(self._runs_path)
 
+    def completed(self, sync_id: str) -> DataFrame:
+        """The ids of a sync's committed runs."""
+        return self.runs().filter((F.col("sync_id") == sync_id) & (F.col("status") == "completed")).select("run_id")
+
     def tidy_history(self, before: date) -> None:
         """Rewrite the run rows of each earlier day as one file, so that reading the history lists few files."""
         old = self._stored_runs().filter(F.col(DAY) < F.lit(before))

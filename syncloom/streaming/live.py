@@ -137,7 +137,8 @@ class Appender:
     """Appends every event once, however late it or its copies arrive.
 
     An event is known by its id and the day of its time. The ids of a day are kept as a table beside the object, so a
-    batch reads the ids of the days it touches and nothing else. Copies collapse map-side before the ids meet.
+    batch reads the ids of the days it touches and the run history. Copies collapse map-side before the ids meet. Ids are
+    written before the commit; they count once their run is committed, so what a lost batch had begun is sent by the next.
     """
 
     spec: SyncSpec
@@ -172,7 +173,8 @@ class Appender:
         past = [f"{ids}{EVENT_DAY}={d}" for d in days if exists(spark, f"{ids}{EVENT_DAY}={d}")]
         if past:
             names = spark.read.option("basePath", ids).schema(f"{EVENT} {valid.schema[EVENT].dataType.simpleString()}, {EVENT_DAY} string, {RUN} string").parquet(*past)
-            once = once.join(names.filter(F.col(RUN) != run_id).select(EVENT, EVENT_DAY), [EVENT, EVENT_DAY], "left_anti")
+            sent = names.join(store.completed(spec.name).withColumnRenamed("run_id", RUN), RUN, "left_semi")
+            once = once.join(sent.select(EVENT, EVENT_DAY), [EVENT, EVENT_DAY], "left_anti")
         fresh = stored(once, f"{staging}-new")
         fresh.select(EVENT, EVENT_DAY, F.lit(run_id).alias(RUN)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(EVENT_DAY, RUN).parquet(ids)
         written = Observation()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from syncloom.operators.mapping import LookupObject
@@ -78,6 +79,37 @@ def live_restart_query(spark, sf_dir):
     return store.read("User", ["user_id"])
 
 
+class Dying(ObjectStore):
+    """A store whose driver dies in place of the second commit, after the batch's ids and records are written."""
+
+    commits = 0
+
+    def record(self, **values):
+        self.commits += 1
+        if self.commits == 2:
+            raise RuntimeError("the driver died")
+        super().record(**values)
+
+
+@register("live_events_restart", "select event_id, event_type as name from events")
+def live_events_restart_query(spark, sf_dir):
+    """A stream dies between a batch's ids and its commit; one with a new checkpoint over the same topic sends every event once."""
+    spec = SyncSpec(
+        "activity", TOPIC, "Event", (Mapping("event_id", "event_id"), Mapping("name", "event_type")),
+        sync_behavior_family="activateEvents", run_mode="live", source_type="kafka",
+    )
+    root, stream = scratch_path(spark, "events"), event_stream(spark, sf_dir, copies=2)
+    lost = live_activate_events(stream, spec, Dying(spark, root), "event_id", "ts", scratch_path(spark, "events-checkpoint"))
+    try:
+        lost.awaitTermination()
+    except StreamingQueryException as error:
+        if "the driver died" not in str(error):
+            raise
+    store = ObjectStore(spark, root)
+    live_activate_events(stream, spec, store, "event_id", "ts", scratch_path(spark, "events-checkpoint")).awaitTermination()
+    return store.read("Event")
+
+
 @register("live_rejects", """
     select case when value < 50 then 'kept' when event_id % 10 = 0 then 'null_key' else 'bad_type:amount' end as outcome, count(*) as n
     from events group by all""")
