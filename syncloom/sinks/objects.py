@@ -17,7 +17,8 @@ from datetime import date, datetime, timezone
 from itertools import groupby
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from syncloom.functions.columns import flatten, nest, quoted
 from syncloom.operators.changes import CHANGE, DELETE, FINGERPRINT
@@ -139,6 +140,8 @@ class ObjectStore:
         whole = None
         for kind, group in groupby(self.writes_since_base(obj), key=lambda r: r.writes):
             part = self._load([self.place(obj, r.sync_id, r.run_id) for r in group])
+            if whole is not None:
+                whole, part = same_types([whole, part])
             if kind == "changes":
                 whole = overlaid(whole, part, keys, policies)
             else:
@@ -146,21 +149,16 @@ class ObjectStore:
         return whole
 
     def _load(self, paths: list[str]) -> DataFrame:
-        """Files of several runs. Runs of one schema are one scan; fields that came, went or changed type are brought to
-        the newest type they had, text that does not read as that type to null.
-        """
+        """Files of several runs. Runs of one schema are one scan; fields may have come, gone or changed type."""
         groups: list[tuple[T.StructType, list[str]]] = []
         for path in paths:
             schema = self.spark.read.parquet(path).schema
             if not groups or groups[-1][0] != schema:
                 groups.append((schema, []))
             groups[-1][1].append(path)
-        frames = [flatten(self.spark.read.schema(schema).parquet(*some)) for schema, some in groups]
-        types = {f.name: f.dataType for frame in frames for f in frame.schema.fields}
+        frames = same_types([flatten(self.spark.read.schema(schema).parquet(*some)) for schema, some in groups])
         whole = None
         for frame in frames:
-            columns = [(quoted(f.name) if f.dataType == types[f.name] else quoted(f.name).try_cast(types[f.name])).alias(f.name) for f in frame.schema.fields]
-            frame = frame.select(*columns)
             whole = frame if whole is None else whole.unionByName(frame, allowMissingColumns=True)
         newest = frames[-1].columns
         return whole.select(*[quoted(c) for c in [*newest, *[c for c in whole.columns if c not in newest]]])
@@ -212,6 +210,65 @@ class ObjectStore:
         return self.spark.read.parquet(self.path("rejected", sync, run_id))
 
 
+def as_text(column: Column, kind: T.DataType) -> Column:
+    """Any value as text that says it whole."""
+    if isinstance(kind, T.BinaryType):
+        return F.base64(column)
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(column, {"ignoreNullFields": "false"})
+    return column.cast("string")
+
+
+def loses(frame: DataFrame, name: str, kind: T.DataType) -> Column | None:
+    """Whether a value of the field does not come back from ``kind``; ``None`` where one cannot be cast to the other."""
+    column = quoted(name)
+    lost = ~column.eqNullSafe(column.try_cast(kind).try_cast(frame.schema[name].dataType))
+    try:
+        frame.select(lost)
+    except AnalysisException:
+        return None
+    return lost
+
+
+def same_types(frames: Sequence[DataFrame]) -> list[DataFrame]:
+    """The frames, oldest first, with one type for each field: the newest of its types that holds all its values, else text.
+
+    Values are looked at only where a field changed to something other than text.
+    """
+    kinds: dict[str, list[T.DataType]] = {}
+    for frame in reversed(frames):
+        for f in frame.schema.fields:
+            if f.dataType not in (seen := kinds.setdefault(f.name, [])):
+                seen.append(f.dataType)
+    several = {name: seen for name, seen in kinds.items() if len(seen) > 1}
+    text = T.StringType()
+    tries = {(name, k): kind for name, seen in several.items() if seen[0] != text for k, kind in enumerate(seen) if kind != text}
+    tests: dict[tuple[str, int], list[bool]] = {place: [] for place in tries}
+    for frame in frames:
+        wanted = {}
+        for (name, k), kind in tries.items():
+            if name in frame.columns and frame.schema[name].dataType != kind:
+                lost = loses(frame, name, kind)
+                if lost is None:
+                    tests[name, k].append(True)
+                else:
+                    wanted[name, k] = lost
+        if wanted:
+            found = frame.agg(*[F.coalesce(F.max(lost), F.lit(False)) for lost in wanted.values()]).first()
+            for place, lost in zip(wanted, found):
+                tests[place].append(lost)
+    chosen = {name: next((kind for k, kind in enumerate(seen) if (name, k) in tries and not any(tests[name, k])), text)
+              for name, seen in several.items()}
+
+    def cast(f: T.StructField) -> Column:
+        to = chosen.get(f.name, f.dataType)
+        if f.dataType == to:
+            return quoted(f.name)
+        return (as_text(quoted(f.name), f.dataType) if to == text else quoted(f.name).try_cast(to)).alias(f.name)
+
+    return [frame.select(*[cast(f) for f in frame.schema.fields]) if several else frame for frame in frames]
+
+
 def overlaid(
     whole: DataFrame | None, changes: DataFrame, keys: Sequence[str], policies: Dict[str, WritePolicy] | None = None
 ) -> DataFrame:

@@ -81,3 +81,28 @@ def append_fields_change(spark, sf_dir):
     later = sync("all", mappings=(KEY, {"from": "owner", "to": "owner"}), operation="append")
     runner.run(later, "run-2", AT)
     return runner.store.read("Order", later.keys).select("ext_id", "status", "owner")
+
+
+def appended_twice(spark, sf_dir, before: str, after: str):
+    """Orders below an amount with one form of a field, folded into a base, then all of them with another form."""
+    runner = runner_over(spark, sf_dir, small=f"select ext_id, {before} as v from ({FIXTURES['book']}) where amount < 200000",
+                         all=f"select ext_id, {after} as v from ({FIXTURES['book']})")
+    for run_id, dataset in (("run-1", "small"), ("run-2", "all")):
+        spec = sync(dataset, mappings=(KEY, {"from": "v", "to": "v"}), operation="append")
+        runner.run(spec, run_id, AT)
+        runner.store.compact("Order", spec.keys, f"{run_id}-base", AT, runner.store.standing(spec.name, run_id)[2] - 1)
+    return runner.store.read("Order", spec.keys).select("ext_id", "v")
+
+
+@register("append_text_to_number", with_fixtures("book", """
+    select ext_id, case when amount < 200000 then 'c-' else '' end || cast(customer_id as varchar) as v from book"""))
+def append_text_to_number(spark, sf_dir):
+    """A field written as text that is no number, later as a number: all of it stays, as text."""
+    return appended_twice(spark, sf_dir, "'c-' || cast(customer_id as string)", "customer_id")
+
+
+@register("append_double_to_integer", with_fixtures("book", """
+    select ext_id, case when amount < 200000 then amount + 0.25 else floor(amount) end as v from book"""))
+def append_double_to_integer(spark, sf_dir):
+    """A field written with fractions, later as an integer: the fractions stay."""
+    return appended_twice(spark, sf_dir, "cast(amount as double) + 0.25", "cast(floor(amount) as int)")
