@@ -9,12 +9,12 @@ answers come back as bits, and a document's removed windows become spans.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from syncloom.llm.blocks import ROWS, ask, batch_of, frequencies, joined, numbers, own_row, owners, parts_for, planes, release, split, text_classes
@@ -339,17 +339,6 @@ def sample(texts: DataFrame, scheme: Scheme, keep: Callable[[Units, np.ndarray,
     return [bytes(r["s"]) for r in some.mapInArrow(run, "s binary").distinct().collect()]
 
 
-RESULT = T.StructType(
-    [
-        T.StructField("class", T.BinaryType()),
-        T.StructField("n_units", T.LongType()),
-        T.StructField("n_removed", T.LongType()),
-        T.StructField("n_spans", T.LongType()),
-        T.StructField("kept_sha256", T.StringType()),
-    ]
-)
-
-
 def cut(scheme: Scheme, text: bytes, spans: np.ndarray) -> tuple[int, int, bytes]:
     """Units of a text, units removed, and the bytes that stay (words joined by one space)."""
     if not scheme.words:
@@ -362,8 +351,13 @@ def cut(scheme: Scheme, text: bytes, spans: np.ndarray) -> tuple[int, int, bytes
     return len(words), len(words) - len(kept), b" ".join(kept)
 
 
-def without_repeats(docs: DataFrame, scheme: Scheme, router: Callable[[DataFrame, int], Route], digits: Digits, text: str, key: str) -> DataFrame:
-    """``doc_id, n_units, n_removed, n_spans, kept_sha256`` of every row."""
+SPANS = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+
+
+def without_repeats(docs: DataFrame, scheme: Scheme, router: Callable[[DataFrame, int], Route], digits: Digits, text: str, key: str, carry: Sequence[str]) -> DataFrame:
+    """Every row: ``row`` (the carried columns), ``doc_id``, ``n_units``, the removed ``spans`` (``start`` to before
+    ``end``, in units), what is ``kept``, whether it goes whole as a ``copy``; and ``n_removed``, ``n_spans``, ``kept_sha256`` of these.
+    """
     spark = docs.sparkSession
     rows, texts = text_classes(docs, text, key)
     release(spark)
@@ -375,28 +369,48 @@ def without_repeats(docs: DataFrame, scheme: Scheme, router: Callable[[DataFrame
     pieces = piece_blocks(open_, scheme, router(texts, parts), parts)
     spans = stored(ask(pieces, answer(scheme, digits), spans_of, "class binary, spans binary"), scratch_path(spark, "spans"))
     release(spark)
+    # What is to be known of a class: its spans and, where it has several rows, its smallest id.
+    copied = rows.groupBy("class").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    marks = texts.select("class", "id").join(copied, "class", "left").join(spans, "class", "left").where("n > 1 or spans is not null")
+    marks = stored(marks.select(F.col("class").alias("_c"), "id", "spans"), scratch_path(spark, "marks"))
+    release(spark)
+    body = F.coalesce(docs[f"`{text}`"].cast("string"), F.lit(""))
+    given = docs.select(F.struct(*[docs[f"`{c}`"] for c in carry]).alias("row"), docs[f"`{key}`"].cast("long").alias("doc_id"), body.alias("text"))
+    given = given.withColumn("class", F.unhex(F.md5(F.col("text").cast("binary"))))
+    known = given.join(marks, F.col("class") == F.col("_c"), "left")
+    # A copy with a larger id loses all it has, if that is a window at least; else it is as its class.
+    later = F.col("_c").isNotNull() & F.col("doc_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("id"))
+    known = known.select("row", "doc_id", "text", "spans", later.alias("copy"))
+    kept_type = (T.StringType(), pa.string()) if scheme.words else (T.BinaryType(), pa.binary())
+    schema = T.StructType(
+        [known.schema["row"], known.schema["doc_id"], T.StructField("n_units", T.LongType()), T.StructField("spans", SPANS), T.StructField("kept", kept_type[0]), T.StructField("copy", T.BooleanType())]
+    )
+    names = schema.names
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for name, body, gone in zip(*(field(batch, c).to_pylist() for c in ("class", "text", "spans"))):
-                pairs = np.frombuffer(gone or b"", "<i8").reshape(-1, 2)
-                units, removed, kept = cut(scheme, body.encode("utf-8"), pairs)
-                out.append((name, units, removed, len(pairs), hashlib.sha256(kept).hexdigest()))
-            columns = list(zip(*out)) or [()] * 5
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], RESULT.names)
-
-    done = texts.select("class", "text").join(spans, "class", "left").mapInArrow(finish, RESULT)
-    done = done.join(texts.select("class", "id"), "class").withColumnRenamed("class", "_c")
-    # A copy with a larger id loses all it has, if that is a window at least; else it is as its class.
-    out = rows.join(done, F.col("class") == F.col("_c"))
-    copy = ~F.col("doc_id").eqNullSafe(F.col("id")) & F.col("doc_id").isNotNull() & (F.col("n_units") >= scheme.window)
-    nothing = hashlib.sha256(b"").hexdigest()
-    return out.select(
-        "doc_id",
-        "n_units",
-        F.when(copy, F.col("n_units")).otherwise(F.col("n_removed")).alias("n_removed"),
-        F.when(copy, F.lit(1)).otherwise(F.col("n_spans")).cast("long").alias("n_spans"),
-        F.when(copy, F.lit(nothing)).otherwise(F.col("kept_sha256")).alias("kept_sha256"),
-    )
+            ends = np.cumsum(pc.binary_length(field(batch, "text")).to_numpy(zero_copy_only=False))
+            first = 0
+            while first < batch.num_rows:
+                before = int(ends[first - 1]) if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, before + CHUNK_BYTES, "right")))
+                some = batch.slice(first, last - first)
+                n_units, pairs, kept, copies = [], [np.zeros((0, 2), np.int64)], [], []
+                for data, gone, copy in zip(field(some, "text").cast(pa.binary()).to_pylist(), field(some, "spans").to_pylist(), field(some, "copy").to_pylist()):
+                    mine = np.frombuffer(gone or b"", "<i8").reshape(-1, 2)
+                    units, _, rest = cut(scheme, data, mine)
+                    copy = copy and units >= scheme.window
+                    n_units.append(units)
+                    pairs.append(np.array([[0, units]], np.int64) if copy else mine)
+                    kept.append(b"" if copy else rest)
+                    copies.append(copy)
+                edges = np.cumsum([len(x) for x in pairs]).astype(np.int32)
+                flat = np.concatenate(pairs)
+                both = pa.StructArray.from_arrays([pa.array(flat[:, 0].copy()), pa.array(flat[:, 1].copy())], ["start", "end"])
+                columns = [pa.array(n_units, pa.int64()), pa.ListArray.from_arrays(pa.array(edges), both), pa.array(kept, pa.binary()).cast(kept_type[1]), pa.array(copies, pa.bool_())]
+                yield pa.RecordBatch.from_arrays([field(some, "row"), field(some, "doc_id"), *columns], names)
+                first = last
+
+    done = known.mapInArrow(finish, schema)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return done.select("*", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

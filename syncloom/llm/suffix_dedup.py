@@ -47,17 +47,20 @@ def byte_digits(window: int):  # noqa: ANN201
     return digits
 
 
-def suffix_dedup(docs: DataFrame, window: int = 50, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``doc_id, n_units, n_removed, n_spans, kept_sha256``: every byte goes that a ``window``-byte string covers which
+def suffix_dedup(docs: DataFrame, window: int = 50, text: str = "text", key: str = "doc_id", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Every row with its removed ``spans`` and what is ``kept``: every byte goes that a ``window``-byte string covers which
     also starts in a document with a smaller id.
 
     Texts are UTF-8 bytes; strings never cross documents and are judged on the input, so overlapping repeats all count. Copies of a
     text keep the one with the smallest id. A null or empty text has no bytes; texts shorter than the window lose
     nothing. A row without an id comes before all others and loses nothing to rows with one. Rows that agree in id
     and text get the same result, rows with equal ids take nothing from each other. An empty table gives an empty result; other columns
-    are not read.
+    are only carried.
+
+    ``row`` has the carried columns, ``spans`` the removed bytes from ``start`` to before ``end``, ``kept`` the bytes that stay (a span may end within a character);
+    ``copy`` says that a row goes whole as a copy. ``doc_id``, ``n_units``, ``n_removed``, ``n_spans`` and ``kept_sha256`` sum these up.
 
     Suffixes are kept where a repeat can be (around anchors that several documents have), sorted in range partitions by
     sampled splitters; equality is decided on the bytes.
     """
-    return without_repeats(docs, Scheme(window, LEAD, words=False), splitters, byte_digits(window), text, key)
+    return without_repeats(docs, Scheme(window, LEAD, words=False), splitters, byte_digits(window), text, key, carry)

@@ -82,18 +82,21 @@ def word_digits(window: int):  # noqa: ANN201
     return digits
 
 
-def tree_dedup(docs: DataFrame, window: int = 13, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``doc_id, n_units, n_removed, n_spans, kept_sha256``: every word goes that a window of ``window`` words covers
+def tree_dedup(docs: DataFrame, window: int = 13, text: str = "text", key: str = "doc_id", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Every row with its removed ``spans`` and what is ``kept``: every word goes that a window of ``window`` words covers
     whose words also start in a document with a smaller id.
 
     Words are what white space separates, unchanged; windows never cross documents and are judged on the input. Copies of a
     text keep the one with the smallest id. A null or empty text has no words; texts of fewer words than the window
     lose nothing. A row without an id comes before all others and loses nothing to rows with one. Rows that agree in id and text get the
-    same result, rows with equal ids take nothing from each other. An empty table gives an empty result; other columns are not read.
+    same result, rows with equal ids take nothing from each other. An empty table gives an empty result; other columns are only carried.
+
+    ``row`` has the carried columns, ``spans`` the removed words from ``start`` to before ``end``, ``kept`` the text that stays (words joined by one space);
+    ``copy`` says that a row goes whole as a copy. ``doc_id``, ``n_units``, ``n_removed``, ``n_spans`` and ``kept_sha256`` sum these up.
 
     Suffixes are kept where a repeat can be (around anchors that several documents have) and dealt to partitions by
     variable-length prefixes. In a partition the tree grows one word per level; nodes of one document are leaves and
     grow no further, and the inner nodes at the window's depth are the repeats. Words are compared by 64-bit hashes.
     """
     scheme = Scheme(window, GRAM, words=True)
-    return without_repeats(docs, scheme, lambda texts, parts: prefix_parts(texts, parts, scheme), word_digits(window), text, key)
+    return without_repeats(docs, scheme, lambda texts, parts: prefix_parts(texts, parts, scheme), word_digits(window), text, key, carry)

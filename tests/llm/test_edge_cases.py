@@ -1,5 +1,6 @@
 """Every operator over documents with nulls, empty and long texts, copies, ties, repeated ids and clashing columns."""
 
+import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -141,6 +142,24 @@ def test_substring_dedup(docs, empty, words):
     assert operator(empty).count() == 0
 
 
+@pytest.mark.parametrize("words", [False, True])
+def test_substring_dedup_gives_texts_and_spans(docs, words):
+    operator = suffix_trees.tree_dedup if words else suffix_dedup.suffix_dedup
+    window = 13 if words else 50
+    got = operator(docs, carry=tuple(docs.columns)).select("row.doc_id", "row.text", "row.source", "row.spans", F.col("spans").alias("gone"), "kept", "copy").collect()
+    assert Counter((r.doc_id, r.text, r.source, r.spans) for r in got) == Counter((r[0], r[1], r[3], r[SCHEMA.split(", ").index("spans string")]) for r in ROWS)
+    want = Counter((i, *w) for (i, _), w in zip(PLAIN, without_repeats(PLAIN, window, words)))
+    seen = Counter()
+    for r in got:
+        units = SPACED.findall(r.text or "") if words else (r.text or "").encode()
+        stay = [u for k, u in enumerate(units) if not any(s.start <= k < s.end for s in r.gone)]
+        kept = " ".join(stay) if words else bytes(stay)
+        assert r.kept == kept and (not r.copy or not kept)
+        digest = hashlib.sha256(kept.encode() if words else kept).hexdigest()
+        seen[(r.doc_id, len(units), len(units) - len(stay), len(r.gone), digest)] += 1
+    assert seen == want and any(r.copy for r in got)
+
+
 def test_sharding(docs, empty):
     got = sharding.histogram_shards(docs, shards=4).collect()
     assert Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in PLAIN)
