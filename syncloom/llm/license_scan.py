@@ -19,39 +19,40 @@ BASE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apa
 
 #: Licence families as (label, regex over words joined by one space, words one of which must occur, weight).
 FAMILIES: tuple[tuple[str, str, tuple[str, ...], float], ...] = (
-    ("agpl-3", r"(?:gnu )?(?:affero general public license|agpl)(?: v(?:ersion)?)? ?3(?: 0)?", ("affero", "agpl"), 0.95),
-    ("lgpl-2.1", r"(?:gnu )?(?:lesser general public license|lgpl)(?: v(?:ersion)?)? ?2 1", ("lesser", "lgpl"), 0.95),
-    ("lgpl-3", r"(?:gnu )?(?:lesser general public license|lgpl)(?: v(?:ersion)?)? ?3(?: 0)?", ("lesser", "lgpl"), 0.95),
-    ("lgpl", r"(?:gnu )?(?:lesser|library) general public license|lgpl", ("lesser", "library", "lgpl"), 0.8),
-    ("gpl-2", r"(?:gnu )?(?:general public license|gpl)(?: v(?:ersion)?)? ?2(?: 0)?", ("general public", "gpl"), 0.95),
-    ("gpl-3", r"(?:gnu )?(?:general public license|gpl)(?: v(?:ersion)?)? ?3(?: 0)?", ("general public", "gpl"), 0.95),
-    ("gpl", r"gnu general public license|gnu gpl", ("general public", "gpl"), 0.8),
-    ("gfdl", r"gnu free documentation license|gfdl", ("free documentation", "gfdl"), 0.9),
+    ("agpl-3", r"(?:gnu )?(?:affero general public licen[sc]e|agpl)(?: ?v(?:ersion)?)? ?3(?: 0)?", ("affero", "agpl"), 0.95),
+    ("agpl", r"(?:gnu )?(?:affero (?:general public licen[sc]e|gpl)|agpl)", ("affero", "agpl"), 0.8),
+    ("lgpl-2.1", r"(?:gnu )?(?:lesser general public licen[sc]e|lgpl)(?: ?v(?:ersion)?)? ?2 1", ("lesser", "lgpl"), 0.95),
+    ("lgpl-3", r"(?:gnu )?(?:lesser general public licen[sc]e|lgpl)(?: ?v(?:ersion)?)? ?3(?: 0)?", ("lesser", "lgpl"), 0.95),
+    ("lgpl", r"(?:gnu )?(?:lesser|library) general public licen[sc]e|(?:gnu )?lgpl|(?:gnu )?lesser gpl", ("lesser", "library", "lgpl"), 0.8),
+    ("gpl-2", r"(?:gnu )?(?:general public licen[sc]e|gpl)(?: ?v(?:ersion)?)? ?2(?: 0)?", ("general public", "gpl"), 0.95),
+    ("gpl-3", r"(?:gnu )?(?:general public licen[sc]e|gpl)(?: ?v(?:ersion)?)? ?3(?: 0)?", ("general public", "gpl"), 0.95),
+    ("gpl", r"(?:gnu )?(?:general public licen[sc]e|gpl)", ("general public", "gpl"), 0.8),
+    ("gfdl", r"gnu free documentation licen[sc]e|gfdl", ("free documentation", "gfdl"), 0.9),
     ("apache-2", r"apache(?: software)? (?:license )?(?:v(?:ersion)? ?)?2(?: 0)?", ("apache",), 0.95),
     ("apache-1.1", r"apache(?: software)? (?:license )?(?:v(?:ersion)? ?)?1 1", ("apache",), 0.9),
-    ("apache", r"apache(?: software)? license", ("apache",), 0.7),
+    ("apache", r"apache(?: software)? licen[sc]e", ("apache",), 0.7),
     ("mit", r"(?:mit|expat|x11)(?: x11| expat)? licen[sc]e", ("mit ", "expat", "x11"), 0.9),
     ("mit-0", r"mit (?:no attribution|0) licen[sc]e", ("mit ",), 0.9),
-    ("bsd-2-clause", r"(?:bsd (?:2|two) clause|simplified bsd|freebsd)(?: licen[sc]e)?", ("bsd",), 0.9),
-    ("bsd-3-clause", r"(?:bsd (?:3|three) clause|(?:new|modified|revised) bsd)(?: licen[sc]e)?", ("bsd",), 0.9),
-    ("bsd-4-clause", r"(?:bsd (?:4|four) clause|original bsd)(?: licen[sc]e)?", ("bsd",), 0.9),
-    ("bsd", r"bsd(?: style)? licen[sc]e", ("bsd",), 0.7),
+    ("bsd-2-clause", r"(?:bsd (?:2|two) clause|(?:2|two) clause bsd|simplified bsd|freebsd)(?: licen[sc]e)?", ("bsd", "freebsd"), 0.9),
+    ("bsd-3-clause", r"(?:bsd (?:3|three) clause|(?:3|three) clause bsd|(?:new|modified|revised) bsd)(?: licen[sc]e)?", ("bsd", "freebsd"), 0.9),
+    ("bsd-4-clause", r"(?:bsd (?:4|four) clause|(?:4|four) clause bsd|original bsd)(?: licen[sc]e)?", ("bsd", "freebsd"), 0.9),
+    ("bsd", r"bsd(?: style)? licen[sc]e", ("bsd", "freebsd"), 0.7),
     ("isc", r"isc licen[sc]e", ("isc ",), 0.9),
-    ("mpl-1.1", r"(?:mozilla public license|mpl)(?: v(?:ersion)?)? ?1 1", ("mozilla", "mpl"), 0.95),
-    ("mpl-2", r"(?:mozilla public license|mpl)(?: v(?:ersion)?)? ?2(?: 0)?", ("mozilla", "mpl"), 0.95),
-    ("epl-1", r"(?:eclipse public license|epl)(?: v(?:ersion)?)? ?1(?: 0)?", ("eclipse", "epl"), 0.9),
-    ("epl-2", r"(?:eclipse public license|epl)(?: v(?:ersion)?)? ?2(?: 0)?", ("eclipse", "epl"), 0.9),
-    ("cddl", r"common development and distribution license|cddl(?: 1 [01])?", ("common development", "cddl"), 0.9),
-    ("artistic-2", r"artistic license(?: v(?:ersion)?)? ?2(?: 0)?", ("artistic",), 0.9),
-    ("artistic", r"artistic license", ("artistic",), 0.7),
+    ("mpl-1.1", r"(?:mozilla public licen[sc]e|mpl)(?: ?v(?:ersion)?)? ?1 1", ("mozilla", "mpl"), 0.95),
+    ("mpl-2", r"(?:mozilla public licen[sc]e|mpl)(?: ?v(?:ersion)?)? ?2(?: 0)?", ("mozilla", "mpl"), 0.95),
+    ("epl-1", r"(?:eclipse public licen[sc]e|epl)(?: ?v(?:ersion)?)? ?1(?: 0)?", ("eclipse", "epl"), 0.9),
+    ("epl-2", r"(?:eclipse public licen[sc]e|epl)(?: ?v(?:ersion)?)? ?2(?: 0)?", ("eclipse", "epl"), 0.9),
+    ("cddl", r"common development and distribution licen[sc]e|cddl(?: 1 [01])?", ("common development", "cddl"), 0.9),
+    ("artistic-2", r"artistic licen[sc]e(?: ?v(?:ersion)?)? ?2(?: 0)?", ("artistic",), 0.9),
+    ("artistic", r"artistic licen[sc]e", ("artistic",), 0.7),
     ("zlib", r"zlib(?: libpng)? licen[sc]e", ("zlib",), 0.9),
-    ("boost", r"boost software license(?: v(?:ersion)? ?1(?: 0)?)?", ("boost",), 0.95),
+    ("boost", r"boost software licen[sc]e(?: v(?:ersion)? ?1(?: 0)?)?", ("boost",), 0.95),
     ("unlicense", r"the unlicense|unlicense(?: 1 0)?", ("unlicense",), 0.8),
     ("wtfpl", r"wtfpl", ("wtfpl",), 0.9),
-    ("ofl", r"(?:sil )?open font license(?: v(?:ersion)? ?1 1)?", ("open font",), 0.95),
+    ("ofl", r"(?:sil )?open font licen[sc]e(?: v(?:ersion)? ?1 1)?", ("open font",), 0.95),
     ("eupl", r"european union public licen[sc]e|eupl(?: 1 2)?", ("european union", "eupl"), 0.9),
-    ("osl-3", r"open software license(?: v(?:ersion)?)? ?3(?: 0)?", ("open software",), 0.9),
-    ("ms-pl", r"microsoft public license|ms pl", ("microsoft", "ms"), 0.8),
+    ("osl-3", r"open software licen[sc]e(?: ?v(?:ersion)?)? ?3(?: 0)?", ("open software",), 0.9),
+    ("ms-pl", r"microsoft public licen[sc]e|ms pl", ("microsoft", "ms"), 0.8),
     ("cc-by-nc-nd", r"(?:creative commons|cc)(?: attribution| by)(?: non ?commercial| nc)(?: no ?deriv(?:ative|ativ)e?s?| nd)", ("creative commons", "cc"), 0.95),
     ("cc-by-nc-sa", r"(?:creative commons|cc)(?: attribution| by)(?: non ?commercial| nc)(?: share ?alike| sa)", ("creative commons", "cc"), 0.95),
     ("cc-by-nc", r"(?:creative commons|cc)(?: attribution| by)(?: non ?commercial| nc)", ("creative commons", "cc"), 0.9),
@@ -63,6 +64,43 @@ FAMILIES: tuple[tuple[str, str, tuple[str, ...], float], ...] = (
     ("proprietary", r"proprietary licen[sc]e|all rights reserved", ("proprietary", "all rights reserved"), 0.5),
 )
 
+#: Sentences of licences' headers and bodies, which need not name the licence: (label, regex, words one of which must occur, weight).
+SIGNATURES: tuple[tuple[str, str, tuple[str, ...], float], ...] = (
+    *(
+        (f"{label}-{v}", rf"(?:either )?version {v}(?: 0)?(?: or (?:at your option )?(?:any )?later(?: version)?)? of the (?:gnu )?{name}", ("version",), 0.95)
+        for label, name in (("agpl", "affero general public licen[sc]e"), ("gpl", "(?:general public licen[sc]e|gpl)"))
+        for v in ("2", "3")
+        if (label, v) != ("agpl", "2")
+    ),
+    ("lgpl-2.1", r"version 2 1(?: or (?:at your option )?(?:any )?later(?: version)?)? of the (?:gnu )?(?:lesser general public licen[sc]e|lgpl)", ("version",), 0.95),
+    ("lgpl-3", r"version 3(?: 0)?(?: or (?:at your option )?(?:any )?later(?: version)?)? of the (?:gnu )?(?:lesser general public licen[sc]e|lgpl)", ("version",), 0.95),
+    *(
+        (f"{label}-{v}", rf"under the terms of the gnu {name} as published by the free software foundation (?:either )?version {v.replace('.', ' ')}", ("free software foundation",), 1.0)
+        for label, name, versions in (("agpl", "affero general public licen[sc]e", ("3",)), ("lgpl", "lesser general public licen[sc]e", ("2.1", "3")), ("gpl", "general public licen[sc]e", ("2", "3")))
+        for v in versions
+    ),
+    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("hereby granted",), 0.95),
+    ("mit", r"the above copyright notice and this permission notice (?:including the next paragraph )?shall be included in all copies or substantial portions of the software", ("substantial portions",), 0.9),
+    ("boost", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation", ("hereby granted",), 0.95),
+    ("isc", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted provided that", ("hereby granted",), 0.95),
+    ("0bsd", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted(?! provided)", ("hereby granted",), 0.95),
+    ("bsd", r"redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ("redistribution",), 0.9),
+    ("bsd-3-clause", r"neither the names? of (?:[^ ]+ ){1,20}?may be used to endorse or promote products derived from this software", ("endorse",), 0.9),
+    ("bsd-4-clause", r"all advertising materials mentioning features or use of this software must display the following acknowledg(?:e)?ment", ("advertising",), 0.95),
+    ("apache-2", r"terms and conditions for use reproduction and distribution", ("reproduction",), 0.8),
+    ("apache-2", r"apache org licenses license 2 0", ("apache",), 0.95),
+    ("zlib", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable", ("express or implied",), 0.9),
+    ("unlicense", r"this is free and unencumbered software released into the public domain", ("unencumbered",), 0.95),
+    ("wtfpl", r"do what the fuck you want to(?: public licen[sc]e)?", ("fuck",), 0.9),
+    ("gpl-3", r"the gnu general public licen[sc]e is a free copyleft licen[sc]e", ("copyleft",), 0.9),
+    ("artistic", r"the intent of this document is to state the conditions under which a package may be copied", ("intent",), 0.9),
+    ("epl", r"the accompanying program is provided under the terms of this eclipse public licen[sc]e", ("eclipse",), 0.9),
+    ("cc0", r"to the extent possible under law (?:[^ ]+ ){1,30}?waived all copyright and related", ("waived",), 0.95),
+    *((f"cc-{kind.replace(' ', '-')}", rf"creativecommons org licenses {kind}(?: [1-4] [05])?", ("creativecommons",), 0.95) for kind in ("by nc nd", "by nc sa", "by nc", "by nd", "by sa", "by")),
+    ("cc0", r"creativecommons org publicdomain zero(?: 1 0)?", ("creativecommons",), 0.95),
+    ("proprietary", r"(?:this software|this document|it) is the confidential and proprietary information of", ("confidential",), 0.7),
+)
+
 #: The ways a notice names a licence, the surest first: (name, regex around ``{}``, words that must occur, factor).
 FORMS: tuple[tuple[str, str, tuple[str, ...], float], ...] = (
     ("identifier", r"spdx license identifier {}", ("spdx",), 1.0),
@@ -89,8 +127,10 @@ class Rule:
 
 @lru_cache(maxsize=1)
 def rules() -> tuple[Rule, ...]:
-    """Every form of notice for every family: forms first, then the families in their order (special before general)."""
+    """Sentences of headers and bodies, then every form of notice for every family: forms first, then the families in their order (special before general)."""
     out = []
+    for label, body, words, weight in SIGNATURES:
+        out.append(Rule(len(out), label, "signature", re.compile(rf"(?<![^ ])(?:{body})(?![^ ])"), (words,), weight))
     for form, around, needs, factor in FORMS:
         for label, body, words, weight in FAMILIES:
             pattern = re.compile(rf"(?<![^ ]){around.format(f'(?:{body})')}(?![^ ])")
@@ -176,14 +216,14 @@ def detections(words: Words) -> list[Detection]:
 
 #: A text with none of these holds no base phrase and no notice of any family; with one, it is looked at rule by rule.
 def _gate_words() -> list[str]:
-    return sorted({w.strip() for _, _, words, _ in FAMILIES for w in words} | {p.split()[0] for p in BASE_PHRASES if p.startswith("apache")} | {"mit", "cc"})
+    return sorted({w.strip() for _, _, words, _ in (*FAMILIES, *SIGNATURES) for w in words} | {p.split()[0] for p in BASE_PHRASES if p.startswith("apache")} | {"mit", "cc"})
 
 
 @lru_cache(maxsize=1)
 def gate() -> re.Pattern[bytes]:
-    """Gate words as whole words or word starts, over lower-cased bytes; the parts may stand apart by any separators."""
+    """Gate words as whole words, or with a version glued on, over lower-cased bytes; the parts may stand apart by any separators."""
     firsts = sorted({w.split()[0] for w in _gate_words()}, key=lambda w: (-len(w), w))
-    return re.compile(rb"(?<![0-9a-z\x80-\xff])(?:" + b"|".join(re.escape(w.encode()) for w in firsts) + rb")(?![a-z\x80-\xff])")
+    return re.compile(rb"(?<![0-9a-z\x80-\xff])(?:" + b"|".join(re.escape(w.encode()) for w in firsts) + rb")(?!(?!v[0-9])[a-z\x80-\xff])")
 
 
 SCHEMA = T.StructType(

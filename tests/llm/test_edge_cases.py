@@ -74,6 +74,25 @@ def test_license_scan(spark, docs, empty):
     assert license_scan.license_scan(empty).count() == 0
 
 
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("GPLv3", "gpl-3"), ("GPLv2 or later", "gpl-2"), ("LGPLv3", "lgpl-3"), ("LGPLv2.1+", "lgpl-2.1"), ("AGPLv3", "agpl-3"), ("MPLv2", "mpl-2"), ("MPLv1.1", "mpl-1.1"),
+        ("licensed under the GPL", "gpl"), ("the General Public License", "gpl"), ("GNU Affero General Public License", "agpl"), ("GNU LGPL", "lgpl"),
+        ("3-clause BSD licence", "bsd-3-clause"), ("FreeBSD", "bsd-2-clause"), ("version 3 of the GNU General Public License", "gpl-3"), ("GNU General Public Licence v2", "gpl-2"),
+        ("under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1", "lgpl-2.1"),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "mit"),
+        ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that", "isc"),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "bsd"),
+        ("Neither the name of Foo Inc. nor the names of its contributors may be used to endorse or promote products derived from this software", "bsd-3-clause"),
+        ("https://creativecommons.org/licenses/by-nc-sa/4.0/", "cc-by-nc-sa"), ("to mitigate gplus", ""),
+    ],
+)
+def test_license_signatures(text, labels):
+    assert license_scan.scan(text)[4] == labels
+    assert bool(license_scan.gate().search(text.lower().encode())) == bool(labels)
+
+
 def test_license_suppression():
     d = license_scan.Detection
     kept = license_scan.suppress([d(0, 9, "long", 5, 0.5), d(2, 4, "inside", 7, 0.5), d(2, 4, "first", 1, 0.5), d(8, 12, "beside", 9, 0.5), d(0, 9, "same", 6, 0.5)])
