@@ -61,6 +61,7 @@ def suffix_dedup(docs: DataFrame, window: int = 50, text: str = "text", key: str
     ``copy`` says that a row goes whole as a copy. ``doc_id``, ``n_units``, ``n_removed``, ``n_spans`` and ``kept_sha256`` sum these up.
 
     Suffixes are kept where a repeat can be (around anchors that several documents have), sorted in range partitions by
-    sampled splitters; equality is decided on the bytes.
+    sampled splitters. Equal stretches are known by a 64-bit digest; where an anchor has several, their windows are
+    compared on the bytes.
     """
     return without_repeats(docs, Scheme(window, LEAD, words=False), splitters, byte_digits(window), text, key, carry)

@@ -95,8 +95,8 @@ def tree_dedup(docs: DataFrame, window: int = 13, text: str = "text", key: str =
     ``copy`` says that a row goes whole as a copy. ``doc_id``, ``n_units``, ``n_removed``, ``n_spans`` and ``kept_sha256`` sum these up.
 
     Suffixes are kept where a repeat can be (around anchors that several documents have) and dealt to partitions by
-    variable-length prefixes. In a partition the tree grows one word per level; nodes of one document are leaves and
-    grow no further, and the inner nodes at the window's depth are the repeats. Words are compared by 64-bit hashes.
+    variable-length prefixes. In a partition windows are refined level by level, one word each; groups of one
+    document are done, and those left at the window's end are the repeats. No tree is kept. Words are compared by 64-bit hashes, equal stretches by a digest.
     """
     scheme = Scheme(window, GRAM, words=True)
     return without_repeats(docs, scheme, lambda texts, parts: prefix_parts(texts, parts, scheme), word_digits(window), text, key, carry)
