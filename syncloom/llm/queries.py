@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from syncloom.llm.decontamination import contamination
+from syncloom.llm.fill_middle import fill_middle, restored
 from syncloom.llm.license_scan import license_scan
 from syncloom.llm.mixing import mix
 from syncloom.llm.ngram_join import ngram_components
@@ -107,3 +108,35 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = tree_dedup(table(spark, sf_dir, "documents"))
     return done.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", "kept_sha256")
+
+
+@register(
+    "op13_fill_middle",
+    """
+    WITH d AS (
+      SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\n]*\\n|[^\\n]+') AS u,
+             sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+      FROM documents
+    ), x AS (
+      SELECT *, len(u) AS n, list_transform([1, 9, 17, 25], lambda k: CAST('0x' || substr(h, k, 8) AS BIGINT)) AS g FROM d
+    ), c AS (
+      SELECT *, least(g[1] % (n + 1), g[2] % (n + 1)) AS a, greatest(g[1] % (n + 1), g[2] % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR g[3] % 100 >= 100 THEN 'plain'
+                  WHEN g[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+      FROM x
+    ), p AS (
+      SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:n], '') AS suf FROM c
+    )
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+           CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                            ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+           sha256(pre || mid || suf) AS restored_sha256
+    FROM p
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fill_middle(table(spark, sf_dir, "documents"))
+    hashes = F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return done.select("row.doc_id", "n", "form", "prefix_chars", "middle_chars", *hashes)
