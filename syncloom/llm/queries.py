@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from syncloom.llm.archives import archived
 from syncloom.llm.decontamination import contamination
 from syncloom.llm.fill_middle import fill_middle, restored
 from syncloom.llm.license_scan import license_scan
@@ -140,3 +141,24 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = fill_middle(table(spark, sf_dir, "documents"))
     hashes = F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256")
     return done.select("row.doc_id", "n", "form", "prefix_chars", "middle_chars", *hashes)
+
+
+@register(
+    "op12_warc",
+    """
+    WITH p AS (
+      SELECT page_id, coalesce(html, '') AS h, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages
+    ), d AS (
+      SELECT *, array_to_string(list_transform(range(0, 8), lambda g: array_to_string(list_transform([15, 10, 5, 0], lambda s:
+               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(sha1(h), 5 * g + 1, 5) AS BIGINT) >> s) & 31 AS BIGINT) + 1, 1)), '')), '') AS payload_digest,
+             row_number() OVER (PARTITION BY h ORDER BY page_id DESC NULLS LAST) AS r, max(page_id) OVER (PARTITION BY h) AS top
+      FROM p
+    )
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN r = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN r > 1 THEN top END AS refers_to
+    FROM d
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = archived(table(spark, sf_dir, "pages"))
+    return done.select(F.col("number").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to_number").alias("refers_to"))
