@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from syncloom.llm.archives import archived
+from syncloom.llm.collocations import collocations
 from syncloom.llm.decontamination import contamination
 from syncloom.llm.fill_middle import fill_middle, restored
 from syncloom.llm.license_scan import license_scan
@@ -162,3 +163,35 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = archived(table(spark, sf_dir, "pages"))
     return done.select(F.col("number").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to_number").alias("refers_to"))
+
+
+@register(
+    "op11_collocations",
+    """
+    WITH d AS (
+      SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+    ), p AS (
+      SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w FROM d
+    ), n AS (SELECT lang, sum(len(w)) AS n FROM p GROUP BY lang),
+    i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p),
+    g AS (SELECT lang, w[i:i + k - 1] AS g, i + k - 1 <= len(w) AS whole FROM i, (SELECT unnest([1, 2, 3, 4, 5]) AS k)),
+    f AS (SELECT lang, g, count(*) AS f FROM g WHERE whole GROUP BY lang, g HAVING count(*) >= 100),
+    c AS (SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1),
+    s AS (
+      SELECT c.lang, c.g, c.a, c.k, l.f AS l, r.f AS r, n.n,
+             (1000::HUGEINT * c.a * n.n) // (l.f::HUGEINT * r.f) AS score
+      FROM c JOIN f l ON l.lang = c.lang AND l.g = c.g[1:c.k] JOIN f r ON r.lang = c.lang AND r.g = c.g[c.k + 1:] JOIN n ON n.lang = c.lang
+    ), m AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS first FROM s),
+    x AS (SELECT lang, unnest([g[1:len(g) - 1], g[2:]]) AS g, f FROM f WHERE len(g) > 2),
+    y AS (SELECT lang, g, max(f) AS f FROM x GROUP BY lang, g),
+    z AS (
+      SELECT m.lang, array_to_string(m.g, ' ') AS phrase, m.a, m.l, m.r, m.n, m.score
+      FROM m LEFT JOIN y ON y.lang = m.lang AND y.g = m.g WHERE m.first = 1 AND (y.f IS NULL OR 100 * y.f < 100 * m.a)
+    ), o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z)
+    SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+           CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+    FROM o WHERE rank <= 2000
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))

@@ -6,6 +6,7 @@ longest single text), never the batch.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,6 +92,72 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+_MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=object).astype(np.uint64)
+LONG_WORD = 256
+
+
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each byte on as one number, zeros beyond the end."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def word_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of bytes: eight bytes at a time go through a bijective mixer, long ones through BLAKE2.
+
+    Up to eight bytes of one length never collide; no sums, so no family of texts collides by construction.
+    """
+    length = ends - starts
+    at = eights(data)
+    short = np.minimum(length, LONG_WORD)
+    total = mix(length.astype(U64) * _STEP + _BASE)
+    live, k = np.arange(len(starts)), 0
+    while True:
+        live = live[short[live] > k]
+        if not len(live):
+            break
+        part = at[starts[live] + k] & _MASKS[np.minimum(length[live] - k, 8)]
+        total[live] = mix((total[live] ^ part) * _BASE)
+        k += 8
+    for k in np.flatnonzero(length > LONG_WORD).tolist():
+        total[k] = int.from_bytes(hashlib.blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8).digest(), "little")
+    return total
+
+
+def same_stretches(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether each stretch has the bytes of stretch ``other``, by the bytes."""
+    length = ends - starts
+    same = length == length[other]
+    at = eights(data)
+    live, k = np.flatnonzero(same & (other != np.arange(len(other)))), 0
+    while True:
+        live = live[length[live] > k]
+        if not len(live) or k >= LONG_WORD:
+            break
+        differs = (at[starts[live] + k] ^ at[starts[other[live]] + k]) & _MASKS[np.minimum(length[live] - k, 8)] != 0
+        same[live[differs]] = False
+        live, k = live[~differs], k + 8
+    for i in live.tolist():
+        j = other[i]
+        same[i] = bool(np.array_equal(data[starts[i] : ends[i]], data[starts[j] : ends[j]]))
+    return same
+
+
+def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(first, number)``: an occurrence of each different word, and every word's number among them; decided by the bytes."""
+    _, first, number = np.unique(word_hash(data, starts, ends), return_index=True, return_inverse=True)
+    if same_stretches(data, starts, ends, first[number]).all():
+        return first, number
+    words = {}
+    for k, (a, b) in enumerate(zip(starts.tolist(), ends.tolist())):
+        words.setdefault(data[a:b].tobytes(), []).append(k)
+    first, number = np.array([w[0] for w in words.values()]), np.empty(len(starts), np.int64)
+    for n, places in enumerate(words.values()):
+        number[places] = n
+    return first, number
+
+
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """Sums of byte values times powers, so that any stretch's hash is one subtraction and one product."""
     up, _ = _power(len(data) + 1)
