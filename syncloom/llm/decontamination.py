@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from syncloom.llm.rows import field, per_text, ship
-from syncloom.llm.textops import ALNUM, LOWER, U64, binary, chunks, mix, prefix_hash, stretch_hash, word_spans
+from syncloom.llm.textops import ALNUM, LOWER, U64, binary, chunks, mix, word_hash, word_spans
 
 SAMPLE, SLICE_BYTES, GRAM = 16, 8 << 20, 4
 
@@ -139,7 +139,9 @@ def phrases(rows: list[tuple[str | None, str | None]], width: int) -> Phrases |
         return None
     joined = np.frombuffer(b"".join(vocabulary), np.uint8)
     edge = np.concatenate([[0], np.cumsum([len(w) for w in vocabulary])])
-    hashes = stretch_hash(prefix_hash(joined), edge[:-1], edge[1:])
+    hashes = word_hash(joined, edge[:-1], edge[1:])
+    if len(np.unique(hashes)) < len(hashes):
+        raise ValueError("two words of the benchmark have one hash")
     order = np.argsort(hashes)
     vocabulary = [vocabulary[k] for k in order]
     number = {w: k + 1 for k, w in enumerate(vocabulary)}
@@ -207,7 +209,7 @@ def occurrences(look: Phrases, data: np.ndarray, offsets: np.ndarray) -> tuple[n
     nothing = np.zeros(0, np.int64)
     if not len(starts):
         return nothing, nothing, owner, words
-    hashes = stretch_hash(prefix_hash(data), starts, ends)
+    hashes = word_hash(data, starts, ends)
     at = np.minimum(np.searchsorted(look.hashes, hashes), len(look.hashes) - 1)
     ids = np.where(look.hashes[at] == hashes, at + 1, 0)
     values, places = stretches(ids, owner, look)

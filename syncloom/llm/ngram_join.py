@@ -14,13 +14,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from syncloom.llm.blocks import frequencies, owners, parts_for, release, text_classes
 from syncloom.llm.components import components
-from syncloom.llm.textops import LOWER, SPACED, U64, gram_hash, prefix_hash, stretch_hash, word_spans
+from syncloom.llm.textops import LOWER, SPACED, U64, gram_hash, word_hash, word_spans
 from syncloom.session import scratch_path, stored
 
 WIDTH = 5
 FRAGMENTS = 8
-#: Rounds in which a random leader per n-gram is compared with the others before all remaining pairs are.
-LEADER_ROUNDS = 3
+#: Most rounds in which one leader per n-gram is compared with the others before all remaining pairs are; one that links
+#: nothing is the last.
+LEADER_ROUNDS = 6
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -28,7 +29,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> t
     low = LOWER[data]
     starts, ends, owner = word_spans(low, offsets, SPACED)
     n = len(offsets) - 1
-    words = stretch_hash(prefix_hash(low), starts, ends)
+    words = word_hash(low, starts, ends)
     per = np.bincount(owner, minlength=n)
     grams, where = gram_hash(words, owner, width)
     keys, owners = [grams], [owner[where]]
@@ -96,7 +97,7 @@ SETS = "class binary, n int, keys array<bigint>, orders array<bigint>, places ar
 
 
 def fragments(sets: DataFrame, count: int) -> DataFrame:
-    """``node, f, segment``: the global order is cut where about equal numbers of n-grams fall between."""
+    """``node, segments``: the global order is cut where about equal numbers of n-grams fall between; a set's n-grams by fragment."""
     probes = sets.select(F.explode(F.filter("orders", lambda o: o.bitwiseAND(F.lit(15)) == 0)).alias("o"))
     cuts = probes.agg(F.percentile_approx("o", [k / count for k in range(1, count)], 1000)).first()[0] or []
     edges = [None, *sorted(set(cuts)), None]
@@ -106,52 +107,75 @@ def fragments(sets: DataFrame, count: int) -> DataFrame:
         inside = F.filter(pairs, lambda p: (F.lit(True) if low is None else p["orders"] >= low) & (F.lit(True) if high is None else p["orders"] < high))
         return F.transform(inside, lambda p: p["keys"])
 
-    every = F.array(*[F.struct(F.lit(k).alias("f"), segment(low, high).alias("segment")) for k, (low, high) in enumerate(zip(edges, edges[1:]))])
-    return sets.select("node", F.explode(every).alias("s")).select("node", "s.f", "s.segment").where(F.size("segment") > 0)
+    return sets.select("node", F.array(*[segment(low, high) for low, high in zip(edges, edges[1:])]).alias("segments"))
 
 
 def linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """Of ``a, na, b, nb`` the pairs that are linked: partial overlaps fragment by fragment, summed per pair."""
-    left = segments.select(F.col("node").alias("a"), "f", F.col("segment").alias("sa"))
-    right = segments.select(F.col("node").alias("b"), "f", F.col("segment").alias("sb"))
-    partial = pairs.join(left, "a").join(right, ["b", "f"]).select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("o"))
-    both = partial.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
+    """Of ``a, na, b, nb`` the pairs that are linked: partial overlaps fragment by fragment, summed per pair.
+
+    A pair is one row. Once the overlap so far and what is left of the smaller set cannot suffice, the other fragments are not looked at.
+    """
+    left = segments.select(F.col("node").alias("a"), F.col("segments").alias("sa"))
+    right = segments.select(F.col("node").alias("b"), F.col("segments").alias("sb"))
+    none = F.struct(F.lit(0).alias("o"), rest("sa").alias("ra"), rest("sb").alias("rb"))
+
+    def count(done: Column, s: Column) -> Column:
+        hope = 7 * (done["o"] + F.least(done["ra"], done["rb"])) >= 3 * (F.col("na") + F.col("nb"))
+        partial = F.when(hope, F.size(F.array_intersect(s["sa"], s["sb"]))).otherwise(F.lit(0))
+        return F.struct((done["o"] + partial).alias("o"), (done["ra"] - F.size(s["sa"])).alias("ra"), (done["rb"] - F.size(s["sb"])).alias("rb"))
+
+    overlap = F.aggregate(F.arrays_zip("sa", "sb"), none, count, lambda done: done["o"])
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", overlap.alias("o"))
     return both.where("100 * o >= 75 * (na + nb - o)").select("a", "b")
 
 
+def rest(segments: str) -> Column:
+    """All n-grams of all fragments."""
+    return F.aggregate(segments, F.lit(0), lambda n, s: n + F.size(s))
+
+
 def near(na: str, nb: str) -> Column:
     return F.least(na, nb) * 100 >= F.greatest(na, nb) * 75
 
 
-def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``node, n, label`` with the labels that links connect made one."""
+def merge(labels: DataFrame, links: DataFrame) -> tuple[DataFrame, bool]:
+    """``node, n, label`` with the labels that links connect made one, and whether there are any."""
     links = stored(links, scratch_path(labels.sparkSession, "links"))
     if not links.take(1):
-        return labels
+        return labels, False
     one, two = labels.select(F.col("node").alias("a"), F.col("label").alias("la")), labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
     edges = links.join(one, "a").join(two, "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
     found = components(edges).withColumnRenamed("node", "_l")
     out = labels.join(found, F.col("label") == F.col("_l"), "left").select("node", "n", F.coalesce("component", "label").alias("label"))
-    return stored(out, scratch_path(labels.sparkSession, "labels"))
+    return stored(out, scratch_path(labels.sparkSession, "labels")), True
+
+
+def prefix_length(n: str | Column) -> Column:
+    """So many n-grams of a set come before those that alone could make a link."""
+    n = F.col(n) if isinstance(n, str) else n
+    return n - F.floor((3 * n + 3) / 4) + 1
 
 
 def connect(sets: DataFrame) -> DataFrame:
     """``node, n, label``: linked sets have one label.
 
-    First a random leader of each n-gram is compared with the others there, a few times; large groups of near copies collapse
-    that way. Then all pairs that are left are compared. The rounds change the work, never the result.
+    First one leader of each n-gram is compared with the others there, round after round until that links nothing more; large groups of near
+    copies collapse that way. Then all pairs that are left are compared. The rounds change the work, never the result.
     """
     spark = sets.sparkSession
     segments = stored(fragments(sets, FRAGMENTS), scratch_path(spark, "segments"))
-    n, head = F.col("n"), F.col("n") - F.floor((3 * F.col("n") + 3) / 4) + 1
-    prefix = F.filter(F.arrays_zip("keys", "places"), lambda p: p["places"] < head)
-    postings = sets.select("node", n, F.explode(prefix).alias("p")).select("node", "n", F.col("p.keys").alias("key"), F.col("p.places").alias("place"))
+    n = F.col("n")
+    prefix = F.filter(F.arrays_zip("keys", "places"), lambda p: p["places"] < prefix_length(n))
+    own = (F.col("n") - F.size("keys")).alias("own")
+    postings = sets.select("node", n, own, F.explode(prefix).alias("p")).select("node", "n", "own", F.col("p.keys").alias("key"), F.col("p.places").alias("place"))
     apart = stored(postings.withColumn("label", F.col("node")), scratch_path(spark, "postings"))
     labels = stored(sets.select("node", "n", F.col("node").alias("label")), scratch_path(spark, "labels"))
     for seed in range(LEADER_ROUNDS):
-        labels = merge(labels, linked(leaders(apart, seed), segments))
+        labels, more = merge(labels, linked(leaders(apart, seed), segments))
+        if not more:
+            break
         apart = still_apart(apart, labels)
-    return merge(labels, linked(others(apart), segments))
+    return merge(labels, linked(others(apart), segments))[0]
 
 
 def still_apart(postings: DataFrame, labels: DataFrame) -> DataFrame:
@@ -162,12 +186,16 @@ def still_apart(postings: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def leaders(postings: DataFrame, seed: int) -> DataFrame:
-    """Pairs of a random document of each n-gram with every other one there, over half of the n-grams in each round."""
-    some = postings.where(F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(2)) == 0)
-    chance = F.xxhash64(F.lit(seed), "key", "node")
-    first = some.groupBy("key").agg(F.min(F.struct(chance.alias("h"), F.col("node"), F.col("n"), F.col("label"))).alias("l"))
+    """Pairs of one document of each n-gram with every other one there.
+
+    Documents have one rank for all n-grams, so those of a group agree on its leader: first the one with the smallest share of n-grams of
+    its own, which is nearest to what the group has in common; then by a hash of the round.
+    """
+    chance = F.xxhash64(F.lit(seed), "node")
+    rank = F.struct((F.col("own") / F.col("n") if seed == 0 else F.lit(0.0)).alias("s"), chance.alias("h"), F.col("node"), F.col("n"), F.col("label"))
+    first = postings.groupBy("key").agg(F.min(rank).alias("l"))
     first = first.select("key", F.col("l.node").alias("lead"), F.col("l.n").alias("ln"), F.col("l.label").alias("ll"))
-    pairs = some.join(first, "key").where((F.col("label") != F.col("ll")) & near("n", "ln"))
+    pairs = postings.join(first, "key").where((F.col("label") != F.col("ll")) & near("n", "ln"))
     turned = F.col("lead") < F.col("node")
     return pairs.select(
         F.when(turned, F.col("lead")).otherwise(F.col("node")).alias("a"),
@@ -178,12 +206,18 @@ def leaders(postings: DataFrame, seed: int) -> DataFrame:
 
 
 def others(postings: DataFrame) -> DataFrame:
-    """All remaining pairs that share an n-gram and are not connected, if what follows it can still suffice."""
+    """All remaining pairs that share an n-gram of their prefixes and are not connected, if these and what follows can still suffice.
+
+    With c n-grams common to both prefixes, sets share no more than c and what the prefix that ends first in the global order leaves;
+    and no more than either has from their first common n-gram on.
+    """
     a = postings.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("label").alias("la"))
     b = postings.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("label").alias("lb"))
-    # for two sets' first common n-gram: they share it and at most what either has after it
-    enough = 7 * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= 3 * (F.col("na") + F.col("nb"))
-    return a.join(b, "key").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & near("na", "nb") & enough).select("a", "na", "b", "nb").distinct()
+    met = a.join(b, "key").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & near("na", "nb"))
+    pairs = met.groupBy("a", "na", "b", "nb").agg(F.count(F.lit(1)).alias("c"), F.min("pa").alias("pa"), F.min("pb").alias("pb"))
+    behind = F.greatest(F.col("na") - prefix_length("na"), F.col("nb") - prefix_length("nb"))
+    most = F.least(F.col("c") + behind, F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    return pairs.where(7 * most >= 3 * (F.col("na") + F.col("nb"))).select("a", "na", "b", "nb")
 
 
 def _classes(docs: DataFrame, text: str, key: str, texts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from syncloom.llm.blocks import ROWS, ask, batch_of, frequencies, joined, numbers, own_row, owners, parts_for, planes, release, split, text_classes
 from syncloom.llm.rows import field, ship
-from syncloom.llm.textops import CHUNK_BYTES, SPACED, U64, chunks, minimizers, mix, prefix_hash, stretch_hash, word_spans
+from syncloom.llm.textops import CHUNK_BYTES, SPACED, U64, byte_grams, chunks, digests, minimizers, mix, word_hash, word_spans
 from syncloom.session import scratch_path, stored
 
 PIECE_BYTES, SAMPLE_BYTES = 12 << 20, 32 << 20
@@ -34,7 +34,6 @@ class Units:
     owner: np.ndarray
     values: np.ndarray
     grams: np.ndarray
-    sums: np.ndarray
 
 
 def chain(values: np.ndarray, n: int) -> np.ndarray:
@@ -55,15 +54,13 @@ class Scheme:
     words: bool
 
     def units(self, data: np.ndarray, offsets: np.ndarray) -> Units:
-        sums = prefix_hash(data)
         if self.words:
             starts, ends, owner = word_spans(data, offsets, SPACED)
-            values = stretch_hash(sums, starts, ends)
-            return Units(starts, ends, owner, values, chain(values, self.gram), sums)
+            values = word_hash(data, starts, ends)
+            return Units(starts, ends, owner, values, chain(values, self.gram))
         starts = np.arange(len(data))
         owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-        some = starts[: max(0, len(data) - self.gram + 1)]
-        return Units(starts, starts + 1, owner, data, stretch_hash(sums, some, some + self.gram), sums)
+        return Units(starts, starts + 1, owner, data, byte_grams(data, self.gram))
 
     def runs(self, u: Units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of every run of windows with one anchor: its first window, the anchor, the number of windows."""
@@ -115,7 +112,7 @@ class Pieces:
     count: np.ndarray  # windows
     anchor: np.ndarray  # units before the anchor
     part: np.ndarray
-    digest: np.ndarray
+    digest: np.ndarray  # 128 bits of the bytes and the anchor's place, in two columns
     texts: list[bytes]
 
 
@@ -129,9 +126,8 @@ def pieces_of(scheme: Scheme, route: Route, data: np.ndarray, offsets: np.ndarra
     starts, ends = u.starts[first], u.ends[first + count + scheme.window - 2]
     before = np.searchsorted(u.owner, np.arange(len(lists)))
     raw = data.tobytes()
-    digest = mix(stretch_hash(u.sums, starts, ends) + U64(0x9E3779B97F4A7C15) * (anchor - first).astype(U64))
     texts = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-    return Pieces(owner + base, first - before[owner], count, anchor - first, route(u, data, anchor), digest, texts)
+    return Pieces(owner + base, first - before[owner], count, anchor - first, route(u, data, anchor), digests(texts, anchor - first), texts)
 
 
 def piece_rows(classes: list[bytes], ids: list[int], found: list[Pieces], parts: int) -> pa.RecordBatch:
@@ -139,9 +135,9 @@ def piece_rows(classes: list[bytes], ids: list[int], found: list[Pieces], parts:
     document, first, count, anchor, part, digest = (np.concatenate([getattr(p, n) for p in found]) for n in ("document", "first", "count", "anchor", "part", "digest"))
     contents = [t for p in found for t in p.texts]
     by_document = np.array(ids, np.int64)
-    order = np.lexsort((by_document[document], digest, part))
+    order = np.lexsort((by_document[document], digest[:, 1], digest[:, 0], part))
     fresh = np.ones(len(order), bool)
-    fresh[1:] = (digest[order][1:] != digest[order][:-1]) | (part[order][1:] != part[order][:-1])
+    fresh[1:] = (digest[order][1:] != digest[order][:-1]).any(1) | (part[order][1:] != part[order][:-1])
     lead = order[fresh]  # smallest document of each different stretch
     group = np.cumsum(fresh) - 1
     smallest = by_document[document[order]] == by_document[document[lead]][group]
@@ -241,9 +237,11 @@ def union(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
 
 def measured(scheme: Scheme, texts: list[bytes], length: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of many stretches: all units' values, where each stretch's begin, its digest, and its anchor's gram; in chunks."""
-    data = np.frombuffer(b"".join(texts), np.uint8)
+    raw = b"".join(texts)
+    data = np.frombuffer(raw, np.uint8)
     ends = np.cumsum(length)
-    values, begin, digest, gram, base, first = [], [], [], [], 0, 0
+    values, begin, gram, base, first = [], [], [], 0, 0
+    digest = digests([raw[b - n : b] for b, n in zip(ends.tolist(), length.tolist())], anchor)
     while first < len(length):
         start = int(ends[first - 1]) if first else 0
         last = max(first + 1, int(np.searchsorted(ends, start + CHUNK_BYTES, "right")))
@@ -254,10 +252,9 @@ def measured(scheme: Scheme, texts: list[bytes], length: np.ndarray, anchor: np.
         values.append(u.values)
         begin.append(at + base)
         gram.append(u.grams[at + anchor[first:last]])
-        digest.append(mix(stretch_hash(u.sums, offsets[:-1], offsets[1:]) + U64(0x9E3779B97F4A7C15) * anchor[first:last].astype(U64)))
         base += len(u.values)
         first = last
-    return tuple(np.concatenate(x) for x in (values, begin, digest, gram))
+    return np.concatenate(values), np.concatenate(begin), digest, np.concatenate(gram)
 
 
 def answer(scheme: Scheme, digits: Digits):  # noqa: ANN201
@@ -269,9 +266,9 @@ def answer(scheme: Scheme, digits: Digits):  # noqa: ANN201
         anchor, count, length = (np.concatenate([numbers(a[k], 4) for a in asks]).astype(np.int64) for k in (1, 2, 3))
         values, begin, digest, gram = measured(scheme, [a[4] for a in asks], length, anchor)
         # The same stretch from several blocks counts once, with its smallest document.
-        order = np.lexsort((ids, digest))
+        order = np.lexsort((ids, digest[:, 1], digest[:, 0]))
         fresh = np.ones(len(order), bool)
-        fresh[1:] = digest[order][1:] != digest[order][:-1]
+        fresh[1:] = (digest[order][1:] != digest[order][:-1]).any(1)
         lead = order[fresh]
         piece = np.empty(len(order), np.int64)
         piece[order] = np.cumsum(fresh) - 1

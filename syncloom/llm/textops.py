@@ -24,11 +24,8 @@ ALNUM[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
-_BASE = U64(0x9E3779B97F4A7C15)  # odd, 5 mod 8: powers keep all but a few bits apart
+_BASE = U64(0x9E3779B97F4A7C15)
 _STEP = U64(0xD1342543DE82EF95)
-_INVERSE = U64(pow(int(_BASE), -1, 1 << 64))
-_VALUES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) | U64(1)
-_powers = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -40,16 +37,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers["up"]) < n:
-        size = 1 << (n - 1).bit_length()
-        for key, base in (("up", _BASE), ("down", _INVERSE)):
-            steps = np.full(size, base, U64)
-            steps[0] = 1
-            _powers[key] = np.multiply.accumulate(steps)
-    return _powers["up"], _powers["down"]
-
-
 def binary(column: pa.Array | pa.ChunkedArray) -> pa.LargeBinaryArray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -158,17 +145,22 @@ def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tu
     return first, number
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Sums of byte values times powers, so that any stretch's hash is one subtraction and one product."""
-    up, _ = _power(len(data) + 1)
-    sums = np.zeros(len(data) + 1, U64)
-    np.cumsum(_VALUES[data] * up[: len(data)], out=sums[1:])
-    return sums
+def byte_grams(data: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the ``n`` bytes (8 to 16) from each byte on, made of two numbers of eight bytes each."""
+    at = eights(data)
+    m = max(0, len(data) - n + 1)
+    return mix(mix(at[:m]) * _STEP + at[n - 8 : n - 8 + m])
+
+
+def digests(stretches: list[bytes], salts: np.ndarray) -> np.ndarray:
+    """128-bit digests of byte strings with a number each, as pairs of numbers."""
+    out = b"".join(hashlib.blake2b(s, digest_size=16, salt=k).digest() for s, k in zip(stretches, salt_bytes(salts)))
+    return np.frombuffer(out, "<u8").reshape(-1, 2)
 
 
-def stretch_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    _, down = _power(len(sums))
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64))
+def salt_bytes(salts: np.ndarray) -> list[bytes]:
+    raw = salts.astype("<u8").tobytes()
+    return [raw[k : k + 8] for k in range(0, len(raw), 8)]
 
 
 def gram_hash(words: np.ndarray, texts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from syncloom.llm.rows import per_text, ship
-from syncloom.llm.textops import ALNUM, LOWER, U64, chunks, prefix_hash, stretch_hash, word_spans
+from syncloom.llm.textops import ALNUM, LOWER, U64, chunks, word_hash, word_spans
 
 FEATURE_BITS = 18
 #: A word counts as itself and as its first bytes, so that inflected and compound forms share what they begin with.
@@ -40,9 +40,8 @@ def sentences(data: np.ndarray, offsets: np.ndarray) -> Sentences:
     if not len(starts):
         none = np.zeros(0, np.int64)
         return Sentences(none, none, none, none, none)
-    sums = prefix_hash(low)
-    stems = ~stretch_hash(sums, starts, np.minimum(ends, starts + STEM_BYTES))
-    both = np.stack([stretch_hash(sums, starts, ends), stems], 1).ravel()
+    stems = ~word_hash(low, starts, np.minimum(ends, starts + STEM_BYTES))
+    both = np.stack([word_hash(low, starts, ends), stems], 1).ravel()
     features = (both >> U64(64 - FEATURE_BITS)).astype(np.int32)
     stops = np.cumsum(STOPS[data])[starts]
     fresh = np.concatenate([[True], (stops[1:] != stops[:-1]) | (owner[1:] != owner[:-1])])
