@@ -28,6 +28,7 @@ from syncloom.session import scratch_path, stored
 
 DEPTH, LEAST, TOP, COVER = 5, 100, 2000, 100
 BLOCK_BYTES, PART_BYTES, BUDGET = 4 << 20, 8 << 20, 1 << 18
+BATCH_BYTES = 4 << 20
 #: At most so many prefixes of a level are continued; with more words than this times the budget the budget grows instead.
 MOST_PREFIXES = 1 << 21
 BREAKS = np.zeros(256, bool)
@@ -196,11 +197,13 @@ def encoded(rows: DataFrame, answers: DataFrame) -> DataFrame:
 
 def suffixes(stream: np.ndarray, depth: int) -> np.ndarray:
     """Each word with the words after it, ``depth`` in all, 0 behind the end; only those of two words at least."""
-    padded = np.concatenate([stream, np.zeros(depth, np.int64)])
-    table = np.stack([padded[k : k + len(stream)] for k in range(depth)], 1)
-    table = table[(table[:, 0] > 0) & (table[:, 1] > 0)]
-    for k in range(2, depth):
-        table[:, k][table[:, k - 1] == 0] = 0
+    padded = np.concatenate([stream, np.zeros(depth, np.int64)]).astype(np.int32)
+    first = np.flatnonzero((padded[: len(stream)] > 0) & (padded[1 : len(stream) + 1] > 0))
+    table = np.empty((len(first), depth), np.int32)
+    for k in range(depth):
+        table[:, k] = padded[first + k]
+        if k > 1:
+            table[table[:, k - 1] == 0, k] = 0
     return table
 
 
@@ -259,11 +262,15 @@ def continued(spark: SparkSession, texts: DataFrame, words: DataFrame, budget: i
 
         def run(batches: Iterator[pa.RecordBatch], d: int = d, shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             for batch in batches:
-                for lang, ids, stream in zip(*(field(batch, c).to_pylist() for c in ("lang", "ids", "stream"))):
+                for k in range(batch.num_rows):
+                    lang, ids, stream = (field(batch, c)[k].as_py() for c in ("lang", "ids", "stream"))
                     names = np.concatenate([[0], numbers(ids, 8).astype(np.int64)])
-                    table = names[suffixes(numbers(stream, 4).astype(np.int64), d + 1)]
-                    table = table[table[:, d] > 0]
-                    found, n = counted(table[members(table[:, :d], shared.value[d - 1])])
+                    known = members(names[:, None], shared.value[0])
+                    table = suffixes(numbers(stream, 4), d + 1)
+                    places, n = counted(table[(table[:, d] > 0) & known[table[:, 0]]])
+                    found = names[places]
+                    below = np.flatnonzero(members(found[:, :d], shared.value[d - 1]))
+                    found, n = found[below], n[below]
                     yield phrase_batch([lang] * len(found), [d + 1] * len(found), [bytes(k) for k in keys_of(found)] if len(found) else [], n.tolist())
 
         counts = texts.select("lang", "ids", "stream").mapInArrow(run, PHRASES)
@@ -279,6 +286,30 @@ def continued(spark: SparkSession, texts: DataFrame, words: DataFrame, budget: i
 SUFFIXES = "lang string, grp long, body binary"
 
 
+def suffix_body(names: np.ndarray, table: np.ndarray, counts: np.ndarray, deep: np.ndarray) -> bytes:
+    """Suffixes with a vocabulary of their own, as packed columns."""
+    own, inside = np.unique(table, return_inverse=True)
+    inside = inside.reshape(table.shape)
+    return joined(planes(names[own], 8), planes(counts, 4), planes(deep, 1), *(planes(inside[:, k], 4) for k in range(table.shape[1])))
+
+
+def bodies_of(bodies: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word numbers in order (0 first), suffixes as places among them, their counts and continued words, of many bodies."""
+    parts = [split(b) for b in bodies]
+    names, place = np.unique(np.concatenate([[0], *(numbers(p[0], 8).astype(np.int64) for p in parts)]), return_inverse=True)
+    place = place.astype(np.int32)[1:]
+    edges = np.cumsum([0, *(len(p[0]) // 8 for p in parts)])
+    table = np.empty((sum(len(p[2]) for p in parts), depth), np.int32)
+    at = 0
+    for p, base in zip(parts, edges.tolist()):
+        n = len(p[2])
+        for k in range(depth):
+            table[at : at + n, k] = place[base + numbers(p[3 + k], 4).astype(np.int64)]
+        at += n
+    counts = np.concatenate([numbers(p[1], 4) for p in parts]).astype(np.int64)
+    return names, table, counts, np.concatenate([numbers(p[2], 1) for p in parts]).astype(np.int8)
+
+
 def dealt(texts: DataFrame, levels: list[np.ndarray], budget_bins: int, depth: int) -> DataFrame:
     """To each group, from each block, its different suffixes in order with their counts, and how many leading words of each are a
     continued prefix.
@@ -287,30 +318,44 @@ def dealt(texts: DataFrame, levels: list[np.ndarray], budget_bins: int, depth: i
     """
     shared = texts.sparkSession.sparkContext.broadcast(levels)
 
+    def grouped(names: np.ndarray, groups: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        group, deep = groups[table[:, 0]], np.zeros(len(table), np.int8)
+        hot = np.flatnonzero(group == SPLIT)
+        some, level = names[table[hot]], np.ones(len(hot), np.int8)
+        for d in range(2, len(shared.value) + 1):
+            live = np.flatnonzero((level == d - 1) & (some[:, d - 1] > 0))
+            level[live[members(some[live][:, :d], shared.value[d - 1])]] = d
+        hashed = np.zeros(len(hot), U64)
+        for k in range(depth):
+            hashed = np.where(k <= level, mix(hashed + some[:, k].astype(U64)), hashed)
+        group[hot], deep[hot] = -1 - (hashed % U64(budget_bins)).astype(np.int64), level
+        return group, deep
+
+    def batch(lang: str, groups: list[int], bodies: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(bodies), pa.string()), pa.array(groups, pa.int64()), pa.array(bodies, pa.binary())], ["lang", "grp", "body"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, ids, groups, stream in zip(*(field(batch, c).to_pylist() for c in ("lang", "ids", "groups", "stream"))):
+        for given in batches:
+            for k in range(given.num_rows):
+                lang, ids, groups, stream = (field(given, c)[k].as_py() for c in ("lang", "ids", "groups", "stream"))
                 names = np.concatenate([[0], numbers(ids, 8).astype(np.int64)])
-                places, n = counted(suffixes(numbers(stream, 4).astype(np.int64), depth))
-                table = names[places]
-                group = np.concatenate([[0], numbers(groups, 8).astype(np.int64)])[places[:, 0]] if len(places) else np.zeros(0, np.int64)
-                deep = (group == SPLIT).astype(np.int64)
-                for d in range(2, len(shared.value) + 1):
-                    live = np.flatnonzero((deep == d - 1) & (table[:, d - 1] > 0))
-                    deep[live[members(table[live][:, :d], shared.value[d - 1])]] = d
-                length = (table > 0).sum(1)
-                hashed = np.zeros(len(table), U64)
-                for k in range(depth):
-                    hashed = np.where(k <= deep, mix(hashed + table[:, k].astype(U64)), hashed)
-                group = np.where(deep > 0, -1 - (hashed % U64(budget_bins)).astype(np.int64), group)
-                some = np.flatnonzero(length > deep)
+                table, n = counted(suffixes(numbers(stream, 4), depth))
+                if not len(table):
+                    continue
+                group, deep = grouped(names, np.concatenate([[0], numbers(groups, 8).astype(np.int64)]), table)
+                some = np.flatnonzero((table > 0).sum(1) > deep)
                 order = some[np.argsort(group[some], kind="stable")]
-                table, n, deep, group = table[order], n[order], deep[order], group[order]
-                edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else []
-                bodies = []
-                for a, b in zip(edges, np.append(edges[1:], len(group)).astype(np.int64)):
-                    bodies.append(joined(*(planes(table[a:b, k], 8) for k in range(depth)), planes(n[a:b], 4), planes(deep[a:b], 1)))
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(bodies), pa.string()), pa.array(group[edges] if len(bodies) else [], pa.int64()), pa.array(bodies, pa.binary())], ["lang", "grp", "body"])
+                edges = np.flatnonzero(np.diff(group[order], prepend=-(1 << 62)))
+                out, size = [], 0
+                for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
+                    mine = order[a:b]
+                    out.append((int(group[mine[0]]), suffix_body(names, table[mine], n[mine], deep[mine])))
+                    size += len(out[-1][1])
+                    if size >= BATCH_BYTES:
+                        yield batch(lang, *map(list, zip(*out)))
+                        out, size = [], 0
+                if out:
+                    yield batch(lang, *map(list, zip(*out)))
 
     return texts.mapInArrow(run, SUFFIXES)
 
@@ -338,14 +383,11 @@ def phrases(dealt_out: DataFrame, least: int, depth: int) -> DataFrame:
     """``lang, depth, key, f`` of the frequent phrases of two words or more below the continued prefixes."""
 
     def in_group(table: pa.Table) -> pa.Table:
-        parts = [split(b) for b in table["body"].to_pylist()]
-        suffix = np.stack([np.concatenate([numbers(p[k], 8) for p in parts]) for k in range(depth)], 1).astype(np.int64)
-        counts = np.concatenate([numbers(p[depth], 4) for p in parts]).astype(np.int64)
-        deep = np.concatenate([numbers(p[depth + 1], 1) for p in parts]).astype(np.int64)
+        names, suffix, counts, deep = bodies_of(table["body"].to_pylist(), depth)
         lang = table["lang"][0].as_py()
         out = []
-        for d, ids, f in subtree(suffix, counts, deep, least):
-            out.append(phrase_batch([lang] * len(ids), [d] * len(ids), [bytes(k) for k in keys_of(ids)], f.tolist()))
+        for d, places, f in subtree(suffix, counts, deep, least):
+            out.append(phrase_batch([lang] * len(places), [d] * len(places), [bytes(k) for k in keys_of(names[places])], f.tolist()))
         return pa.Table.from_batches(out or [phrase_batch([], [], [], [])])
 
     return dealt_out.groupBy("lang", "grp").applyInArrow(in_group, PHRASES)

@@ -206,18 +206,12 @@ def leaders(postings: DataFrame, seed: int) -> DataFrame:
 
 
 def others(postings: DataFrame) -> DataFrame:
-    """All remaining pairs that share an n-gram of their prefixes and are not connected, if these and what follows can still suffice.
-
-    With c n-grams common to both prefixes, sets share no more than c and what the prefix that ends first in the global order leaves;
-    and no more than either has from their first common n-gram on.
-    """
+    """All remaining pairs that share an n-gram of their prefixes and are not connected, if what follows it can still suffice."""
     a = postings.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("place").alias("pa"), F.col("label").alias("la"))
     b = postings.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("place").alias("pb"), F.col("label").alias("lb"))
-    met = a.join(b, "key").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & near("na", "nb"))
-    pairs = met.groupBy("a", "na", "b", "nb").agg(F.count(F.lit(1)).alias("c"), F.min("pa").alias("pa"), F.min("pb").alias("pb"))
-    behind = F.greatest(F.col("na") - prefix_length("na"), F.col("nb") - prefix_length("nb"))
-    most = F.least(F.col("c") + behind, F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    return pairs.where(7 * most >= 3 * (F.col("na") + F.col("nb"))).select("a", "na", "b", "nb")
+    # for two sets' first common n-gram: they share it and at most what either has after it
+    enough = 7 * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= 3 * (F.col("na") + F.col("nb"))
+    return a.join(b, "key").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & near("na", "nb") & enough).select("a", "na", "b", "nb").distinct()
 
 
 def _classes(docs: DataFrame, text: str, key: str, texts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
