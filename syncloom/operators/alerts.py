@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from syncloom.operators.runs import OPEN
 from syncloom.plans.spec import AlertSpec
 
 ORDER = ("started_at", "run_id")
@@ -24,9 +27,14 @@ def _runtime(start: Column, end: Column, alert: AlertSpec) -> Column:
     return (_micros(end) - _micros(start)) / F.lit(SECONDS[alert.unit] * 1_000_000.0) > F.lit(alert.threshold)
 
 
-def violations(runs: DataFrame, alert: AlertSpec) -> DataFrame:
-    """The runs with a ``fire`` column: does this run violate the rule? Never null."""
+def violations(runs: DataFrame, alert: AlertSpec, now: datetime | None = None) -> DataFrame:
+    """The runs with a ``fire`` column: does this run violate the rule? Never null.
+
+    An open run has lasted until ``now`` (by default the time of the query) and can be late; no other rule can be
+    decided before it ends. It is listed if it fires, so that it neither ends a streak nor counts as a recovery.
+    """
     kind = alert.type.removesuffix("AlertConfiguration")
+    open_ = F.col("status") == OPEN
     if kind == "RecordCountDeviation":
         # expected = the count of the previous completed run
         count = F.col(alert.record_type).cast("double")
@@ -44,20 +52,23 @@ def violations(runs: DataFrame, alert: AlertSpec) -> DataFrame:
         rule = F.col("full_sync")
     elif kind == "Runtime":
         start = F.col("started_at") if alert.start_type == "actual" else F.col("scheduled_at")
-        rule = _runtime(start, F.col("completed_at"), alert)
+        until = F.current_timestamp() if now is None else F.lit(now)
+        rule = _runtime(start, F.when(open_, until).otherwise(F.col("completed_at")), alert)
     else:
         # every recorded run has started; only some complete
         rule = F.lit(True) if alert.status_name == "started" else F.col("status") == alert.status_name
-    return runs.withColumn("fire", F.coalesce(rule, F.lit(False))).drop("__expected")
+    decided = kind in ("Runtime", "Status")
+    fire = F.coalesce(rule, F.lit(False)) & (F.lit(decided) | ~open_)
+    return runs.withColumn("fire", fire).filter(~open_ | F.col("fire")).drop("__expected")
 
 
-def evaluate(runs: DataFrame, alert: AlertSpec) -> DataFrame:
+def evaluate(runs: DataFrame, alert: AlertSpec, now: datetime | None = None) -> DataFrame:
     """Runs with ``fire`` (violated), ``send`` (notify now) and ``recovery`` (notify that it is over).
 
     ``first_time`` sends on the first violation of each streak; a recovery is the first run after a streak. Alerts that
     need no look-back stay narrow: no shuffle.
     """
-    fired = violations(runs, alert)
+    fired = violations(runs, alert, now)
     every = alert.send_for == "every_time"
     # full syncs and status changes are events, not conditions that resolve
     event = alert.type.startswith(("FullSyncTrigger", "Status"))
@@ -85,11 +96,11 @@ def status_events(runs: DataFrame) -> DataFrame:
     )
 
 
-def notifications(runs: DataFrame, alerts: list[AlertSpec]) -> DataFrame:
+def notifications(runs: DataFrame, alerts: list[AlertSpec], now: datetime | None = None) -> DataFrame:
     """All notifications of several alerts: sync, run, alert type, violation or recovery."""
     parts = []
     for a in alerts:
-        e = evaluate(runs, a).filter("send or recovery")
+        e = evaluate(runs, a, now).filter("send or recovery")
         kind = F.when(F.col("send"), F.lit("violation")).otherwise(F.lit("recovery"))
         parts.append(e.select("sync_id", "run_id", "started_at", F.lit(a.type).alias("alert"), kind.alias("kind")))
     none = runs.limit(0).select("sync_id", "run_id", "started_at", F.lit("").alias("alert"), F.lit("").alias("kind"))

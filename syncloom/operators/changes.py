@@ -68,21 +68,26 @@ def changed_since(src: DataFrame, previous: DataFrame, keys: Sequence[str], igno
 
 
 def source_state(src: DataFrame, previous: DataFrame, keys: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
-    """The source against the previous snapshot, in one join: what to send now, and the snapshot for the next run.
+    """The source against the previous snapshot, in one join of keys and fingerprints: what to send, and the snapshot for the next run.
 
     One row per key of either side with ``_change`` (insert, update, unchanged, delete) and the record's fingerprint (null
-    for deletes). Fields are filled for inserts and updates only, so the table stays narrow for all that did not change.
+    for deletes). Fingerprints are made in the scan, so no field is exchanged, however wide records are; those of the
+    changed keys are fetched by ``of_keys``.
     """
     keys = list(keys)
-    marked = src.withColumn(FINGERPRINT, fingerprint(_compared(src, keys, ignore)))
+    marked = snapshot(src, keys, ignore)
     was = previous.select(*[quoted(k) for k in keys], F.col(FINGERPRINT).alias("__was"))
     joined = _flagged(marked, "s", "__s").join(_flagged(was, "p", "__p"), keys, "full_outer")
     here, there = F.col("__s").isNotNull(), F.col("__p").isNotNull()
     differs = ~F.col(f"s.{FINGERPRINT}").eqNullSafe(F.col("__was"))
     label = F.when(~here, DELETE).when(~there, INSERT).when(differs, UPDATE).otherwise(UNCHANGED)
-    sent = here & (~there | differs)
-    fields = [quoted(c) if c in keys else F.when(sent, quoted(c, "s")).alias(c) for c in src.columns]
-    return joined.select(*fields, F.col(f"s.{FINGERPRINT}").alias(FINGERPRINT), label.alias(CHANGE))
+    return joined.select(*[quoted(k) for k in keys], F.col(f"s.{FINGERPRINT}").alias(FINGERPRINT), label.alias(CHANGE))
+
+
+def of_keys(src: DataFrame, labelled: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The records of the labelled keys, with their label. Labels are a stored table of known size: few are broadcast."""
+    joined = src.join(labelled.select(*[quoted(k) for k in keys], CHANGE), list(keys))
+    return joined.select(*[quoted(c) for c in src.columns], CHANGE)
 
 
 def gone_since(src: DataFrame, previous: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -17,6 +17,20 @@ RUN_SCHEMA = (
 )
 
 
+OPEN = "started"  # the status of a run that has begun and not ended
+
+
+def folded(events: DataFrame) -> DataFrame:
+    """One row per attempt of a run, from the rows its start and its end wrote: the last one written.
+
+    An attempt is known by sync, run and sequence number. Rows combine map-side; an attempt has two of them.
+    """
+    row = F.struct((F.col("status") != OPEN).alias("ended"), F.struct(*events.columns).alias("r"))
+    # writes without a sync are told apart by their object; a sync's row gets one when it ends
+    keyed = events.select("sync_id", "run_id", "seq", F.when(F.col("sync_id").isNull(), F.col("object")).alias("of"), row.alias("e"))
+    return keyed.groupBy("sync_id", "run_id", "seq", "of").agg(F.max("e").alias("e")).select("e.r.*")
+
+
 def counts_of(column: str, *labels: str) -> list[Column]:
     """One sum per label, usable in an aggregate or in an observation of a write."""
     return [F.sum(F.when(F.col(column) == label, 1).otherwise(0)).alias(label) for label in labels]

@@ -1,10 +1,10 @@
-"""Joins and ordered look-backs that hold when one key carries a large share of all rows."""
+"""Joins that hold when one key carries a large share of all rows."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from syncloom.functions.columns import has_map, quoted
 from syncloom.session import fits_broadcast, scratch_path, stored
@@ -85,31 +85,3 @@ def join_unique(
         .drop(_HASH, _SALTS)
     )
     return salted_left.join(salted_right, [*on, _SALT], how).drop(_SALT)
-
-
-def preceding_last(
-    df: DataFrame, group: str, order: Sequence[str], bucket: Column, values: Mapping[str, Column]
-) -> DataFrame:
-    """Add, per output name, the last non-null value among the rows of the group that come strictly before.
-
-    ``bucket`` cuts each group into stretches that follow ``order`` (say, days). The look-back runs inside a stretch and
-    continues over one pre-aggregated row per stretch, so no task sorts a whole group.
-    """
-    names = {out: f"__v_{i}" for i, out in enumerate(values)}
-    staged = df.withColumn("__bucket", bucket)
-    for out, value in values.items():
-        staged = staged.withColumn(names[out], value)
-    at = F.struct(*order)
-    ends = staged.groupBy(group, "__bucket").agg(
-        *[F.max_by(v, F.when(F.col(v).isNotNull(), at)).alias(f"{v}_end") for v in names.values()]
-    )
-    before = Window.partitionBy(group).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(
-        group, "__bucket", *[F.last(f"{v}_end", ignorenulls=True).over(before).alias(f"{v}_carry") for v in names.values()]
-    )
-    inside = Window.partitionBy(group, "__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    out_cols = [F.last(v, ignorenulls=True).over(inside).alias(f"{v}_near") for v in names.values()]
-    near = staged.select(*df.columns, "__bucket", *out_cols)
-    return near.join(carried, [group, "__bucket"], "left").select(
-        *df.columns, *[F.coalesce(f"{v}_near", f"{v}_carry").alias(out) for out, v in names.items()]
-    )

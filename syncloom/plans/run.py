@@ -23,7 +23,7 @@ from syncloom.plans.spec import Field, SegmentSpec, SpecError, SyncSpec
 from syncloom.session import discard, rereadable, stored
 from syncloom.sinks.files import export_file
 from syncloom.sinks.objects import ObjectStore, utc
-from syncloom.sources.readers import Catalog
+from syncloom.sources.readers import Catalog, live_order
 from syncloom.streaming.live import Context, live_activate_events, live_map_records
 
 MARK = "__mark"
@@ -90,6 +90,7 @@ class SyncRunner:
             return RunResult(run_id, "completed", {n: done[n] for n in names}, done.high_water_mark)
         row = dict(run_id=run_id, sync_id=spec.name, created_at=now, started_at=now, scheduled_at=scheduled_at,
                    full_sync=force_full, seq=seq)
+        self.store.record(**row, status="started")
         try:
             this = _Run(self, spec, run_id, now, force_full, seq, prior)
             counters, mark, writes = this.execute()
@@ -111,7 +112,7 @@ class SyncRunner:
     ) -> StreamingQuery:
         """Start a live sync: keyed records by ``order``, or events once each by id and time.
 
-        It has the segments, lookups and field rules of the runner. Continuous schedules go on; others process what is there.
+        Without an ``order`` it is the topic's own (``live_order``); a stream of records that has none is refused. It has the segments, lookups and field rules of the runner. Continuous schedules go on; others process what is there.
         """
         if spec.run_mode != "live":
             raise SpecError("only live syncs are started")
@@ -121,14 +122,15 @@ class SyncRunner:
             if event_id is None or event_time is None:
                 raise SpecError("events are known by an id and a time")
             return live_activate_events(stream, spec, self.store, event_id, event_time, checkpoint, interval, context)
+        order = order or live_order(stream, self.catalog.topic(spec.source).order)
         return live_map_records(stream, spec, self.store, order, checkpoint, interval, context=context)
 
     def history(self, spec: SyncSpec) -> DataFrame:
         return self.store.runs().filter(F.col("sync_id") == spec.name)
 
     def notifications(self, spec: SyncSpec) -> DataFrame:
-        """What the sync's alerts have to say about its history."""
-        return notifications(self.history(spec), list(spec.alerts))
+        """What the sync's alerts have to say about its history; runs that are open have lasted until now."""
+        return notifications(self.history(spec), list(spec.alerts), self.clock())
 
     def missed(self, spec: SyncSpec, lo: datetime, hi: datetime) -> DataFrame:
         """The slots of the sync's schedule in [lo, hi) in which no run started."""
@@ -273,18 +275,17 @@ class _Run:
             if self.prior is None and spec.historical_sync_operation == "skip_current_records":
                 new = valid.filter(F.lit(False))
             return self._append(new), "append"
-        sent, gone = self._delta(valid, held)
-        part = ch.CHANGE in sent.columns
+        sent, gone, touched = self._delta(valid, held)
+        part = touched is not None
         if spec.operation == "append":
             if part:
                 sent = sent.filter(F.col(ch.CHANGE) == ch.INSERT).drop(ch.CHANGE)
             elif self.prior is None:
                 sent = ch.appended(sent, first_run=True, historical=spec.historical_sync_operation)
             return self._append(sent), "append"
-        fresh, touched = sent.drop(ch.CHANGE), None
-        if part:
-            touched = sent.select(*[quoted(k) for k in spec.keys])
-            touched = touched if gone is None else touched.unionByName(gone)
+        fresh = sent.drop(ch.CHANGE)
+        if part and gone is not None:
+            touched = touched.unionByName(gone)
         if spec.object in self.r.unions:
             return self._write_union(fresh), None
         return self._merge(spec.object, spec.name, self.run_id, fresh, gone, touched)
@@ -294,10 +295,10 @@ class _Run:
         self.store.write(self.spec.object, self.spec.name, self.run_id, watched)
         return inserts.get["n"], 0, 0
 
-    def _delta(self, valid: DataFrame, held: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
-        """The records to send, labelled insert or update, and the keys to delete; keeps the state for the next run.
+    def _delta(self, valid: DataFrame, held: DataFrame | None) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+        """The records to send, labelled insert or update, the keys to delete, and those sent; keeps the state for the next run.
 
-        A first or full run, and one after a run that left no state, sends all records, unlabelled. Keys that are ``held``
+        Keys and fingerprints meet first; then the source is read again for the records of the keys that changed. A first or full run, and one after a run that left no state, sends all records, unlabelled. Keys that are ``held``
         (in the source, but rejected) keep the fingerprint they had, and are never deleted.
         """
         spec, keys, store = self.spec, self.spec.keys, self.store
@@ -309,20 +310,21 @@ class _Run:
             waiting = previous.join(held, keys, "left_semi").withColumn(ch.CHANGE, F.lit(ch.UNCHANGED))
             previous = previous.join(held, keys, "left_anti")
         deletes = spec.operation == "mirror" and spec.mirror_strategy == "sync_updates_and_deletes"
+        if not rereadable(valid):
+            valid = self._kept(valid, "valid")
         if previous is None or self.full:
-            if not rereadable(valid):
-                valid = self._kept(valid, "valid")
             seen = ch.snapshot(valid, keys, self.metadata).withColumn(ch.CHANGE, F.lit(ch.UNCHANGED))
             seen = seen if waiting is None else seen.unionByName(waiting)
             store.write_state(spec.name, self.run_id, seen)
-            return valid, ch.gone_since(valid, previous, keys) if deletes and previous is not None else None
+            return valid, ch.gone_since(valid, previous, keys) if deletes and previous is not None else None, None
         state = ch.source_state(valid, previous, keys, self.metadata)
-        state = state if waiting is None else state.unionByName(waiting, allowMissingColumns=True)
+        state = state if waiting is None else state.unionByName(waiting)
         store.write_state(spec.name, self.run_id, state)
         state = store.state(spec.name, self.run_id, state.schema)
-        sent = state.filter(F.col(ch.CHANGE).isin(ch.INSERT, ch.UPDATE)).drop(ch.FINGERPRINT)
-        gone = state.filter(F.col(ch.CHANGE) == ch.DELETE).select(*[quoted(k) for k in keys])
-        return sent, gone if deletes else None
+        columns = [quoted(k) for k in keys]
+        changed = state.filter(F.col(ch.CHANGE).isin(ch.INSERT, ch.UPDATE)).drop(ch.FINGERPRINT)
+        gone = state.filter(F.col(ch.CHANGE) == ch.DELETE).select(*columns)
+        return ch.of_keys(valid, changed, keys), gone if deletes else None, changed.select(*columns)
 
     @staticmethod
     def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:

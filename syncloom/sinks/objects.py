@@ -3,7 +3,7 @@
 ``<root>/objects/<object>/<sync>/<run>``  what the run wrote: a full ``base``, a set of ``changes``, or records to ``append``
 ``<root>/state/<sync>/<run>``        the source records the run saw, by key and fingerprint, and those it found changed
 ``<root>/rejected/<sync>/<run>``     records the run refused, with the reason
-``<root>/sync_runs/day=<day>``       one row per run, appended last: that row is the commit
+``<root>/sync_runs/day=<day>``       a row when a run starts, and one when it ends, appended last: that row is the commit
 
 Nothing is overwritten in place, so a lost executor or a failed run leaves the last committed state readable, and a
 repeated run id rewrites its own directories only. A run writes its changes, not the whole object; the object is read as
@@ -24,7 +24,7 @@ from syncloom.functions.columns import flatten, nest, quoted
 from syncloom.operators.changes import CHANGE, DELETE, FINGERPRINT
 from syncloom.operators.keys import latest_by_key
 from syncloom.operators.policies import WritePolicy
-from syncloom.operators.runs import RUN_SCHEMA
+from syncloom.operators.runs import OPEN, RUN_SCHEMA, folded
 from syncloom.session import discard, scratch_path, stored
 
 SEQ, DAY = "_seq", "day"
@@ -54,15 +54,19 @@ class ObjectStore:
     # ---- runs
 
     def runs(self) -> DataFrame:
-        """The run history, one row per run; the row of a run is written once, when it ends."""
-        return self._stored_runs().drop(DAY)
+        """The run history, one row per attempt of a run: as it ended, or ``started`` while it is open or if its driver was lost."""
+        return folded(self._stored_runs().drop(DAY))
+
+    def _ended(self) -> DataFrame:
+        """The rows written at the end of runs; they need no folding."""
+        return self._stored_runs().drop(DAY).filter(F.col("status") != OPEN)
 
     def _stored_runs(self) -> DataFrame:
         return self.spark.read.schema(f"{RUN_SCHEMA}, {DAY} date").parquet(self._runs_path)
 
     def completed(self, sync_id: str) -> DataFrame:
         """The ids of a sync's committed runs."""
-        return self.runs().filter((F.col("sync_id") == sync_id) & (F.col("status") == "completed")).select("run_id")
+        return self._ended().filter((F.col("sync_id") == sync_id) & (F.col("status") == "completed")).select("run_id")
 
     def tidy_history(self, before: date) -> None:
         """Rewrite the run rows of each earlier day as one file, so that reading the history lists few files."""
@@ -76,7 +80,7 @@ class ObjectStore:
 
         A run is known by its sync and its id: two syncs may use the same ids.
         """
-        runs, done = self.runs(), F.col("status") == "completed"
+        runs, done = self._stored_runs().drop(DAY), F.col("status") == "completed"
         row = F.struct("seq", *[c for c in runs.columns if c != "seq"])
         found = runs.agg(
             F.max(F.when(done & (F.col("sync_id") == sync_id) & (F.col("run_id") == run_id), row)).alias("same"),
@@ -123,7 +127,7 @@ class ObjectStore:
 
         A compacted base has the sequence number of the last change it holds.
         """
-        own = self.runs().filter((F.col("object") == obj) & (F.col("status") == "completed") & F.col("writes").isNotNull())
+        own = self._ended().filter((F.col("object") == obj) & (F.col("status") == "completed") & F.col("writes").isNotNull())
         base = own.filter("writes = 'base'").agg(F.coalesce(F.max("seq"), F.lit(0))).scalar()
         later = (F.col("seq") > base) | ((F.col("seq") == base) & (F.col("writes") == "base"))
         found = own.filter(later).select("seq", "run_id", "writes", F.coalesce("sync_id", F.lit("_")).alias("sync_id"))
@@ -183,7 +187,7 @@ class ObjectStore:
     def vacuum(self, obj: str) -> None:
         """Delete what the object's last base has superseded. Not while something still reads an older state."""
         current = {(r.sync_id, r.run_id) for r in self.writes_since_base(obj)}
-        past = self.runs().filter((F.col("object") == obj) & (F.col("status") == "completed") & F.col("writes").isNotNull())
+        past = self._ended().filter((F.col("object") == obj) & (F.col("status") == "completed") & F.col("writes").isNotNull())
         for r in past.select(F.coalesce("sync_id", F.lit("_")).alias("sync_id"), "run_id").distinct().toLocalIterator():
             if (r.sync_id, r.run_id) not in current:
                 discard(self.spark, self.place(obj, r.sync_id, r.run_id))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping as Dict
+from collections.abc import Mapping as Dict, Sequence
 from dataclasses import dataclass, field as dc_field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from syncloom.functions.columns import quoted
 from syncloom.operators.skew import join_unique
@@ -58,25 +58,52 @@ def read_source(spark: SparkSession, source_type: str, options: Dict[str, str],
     return reader.load(path) if path else reader.load()
 
 
+MESSAGE = "value binary, partition int, offset long"
+UNDECODABLE = "_undecodable"
+
+
 def read_topic(
-    spark: SparkSession, source_type: str, options: Dict[str, str], schema=None, path: str | None = None
+    spark: SparkSession, source_type: str, options: Dict[str, str], schema=None, path: str | None = None, messages: bool = False
 ) -> DataFrame:
-    """A stream of records. Files need a schema; Kafka messages are decoded with it, or left as they are without."""
+    """A stream of records. Files need a schema; Kafka messages are decoded with it, or left as they are without.
+
+    ``messages``: the files hold messages (``MESSAGE``), as a topic that was written down does; they are decoded, too.
+    """
     reader = spark.readStream.format(source_type).options(**options)
     if source_type == "kafka":
-        messages = reader.load()
-        return messages if schema is None else records_of(messages, schema)
+        raw = reader.load()
+        return raw if schema is None else records_of(raw, schema)
+    if messages:
+        return records_of(reader.schema(MESSAGE).load(path), schema)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path) if path else reader.load()
 
 
 def records_of(messages: DataFrame, schema) -> DataFrame:
-    """JSON messages as records, with ``_partition`` and ``_offset`` to order them by; undecodable ones are all null."""
-    decoded = messages.select(F.from_json(F.col("value").cast("string"), schema).alias("r"), "partition", "offset")
+    """JSON messages as records, with ``_partition`` and ``_offset`` to order them by.
+
+    ``_undecodable`` is the text of a message that is no JSON object of the schema, null for all others; a live sync keeps
+    it as a reject. A message without a value (a tombstone) is a record of nulls.
+    """
+    fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    whole = T.StructType([*fields.fields, T.StructField(UNDECODABLE, T.StringType())])
+    text = F.col("value").cast("string")
+    decoded = messages.select(F.from_json(text, whole, {"columnNameOfCorruptRecord": UNDECODABLE}).alias("r"), "partition", "offset")
     return decoded.select("r.*", F.col("partition").alias("_partition"), F.col("offset").alias("_offset"))
 
 
+def live_order(stream: DataFrame, named: Sequence[str] = ()) -> list[str]:
+    """The columns that say which of two records of a key is the later one: those the topic names, else a message's place in it.
+
+    Messages of a key lie in one partition, so their offsets order them.
+    """
+    order = list(named) or [c for c in ("_offset", "_partition") if c in stream.columns]
+    if not order:
+        raise SpecError("live records need an order: name its columns, or read a topic whose messages have offsets")
+    return order
+
+
 def profile_dataset(df: DataFrame) -> DataFrame:
     """``(name, data_type, record_count)`` per column, from the schema and one count that reads no column."""
     columns = [F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("t")) for f in df.schema]
@@ -88,12 +115,17 @@ def profile_dataset(df: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class TopicSpec:
-    """Where a topic is read: a Spark streaming format, its options, and the records' schema."""
+    """Where a topic is read: a Spark streaming format, its options, the records' schema, and the columns that order them.
+
+    ``messages`` says that files hold undecoded messages.
+    """
 
     source_type: str
     schema: object = None
     path: str | None = None
     options: Dict[str, str] = dc_field(default_factory=dict)
+    order: Sequence[str] = ()
+    messages: bool = False
 
 
 @dataclass
@@ -108,10 +140,13 @@ class Catalog:
 
     def stream(self, spark: SparkSession, source: SourceSpec) -> DataFrame:
         """The records of a live source."""
+        t = self.topic(source)
+        return read_topic(spark, t.source_type, dict(t.options), t.schema, t.path, t.messages)
+
+    def topic(self, source: SourceSpec) -> TopicSpec:
         if source.kind != "topic":
             raise SpecError("a live sync reads a topic")
-        t = self._get("topics", source.id)
-        return read_topic(spark, t.source_type, dict(t.options), t.schema, t.path)
+        return self._get("topics", source.id)
 
     def _get(self, kind: str, ident: str):
         found = getattr(self, kind).get(str(ident))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping as Dict, Sequence
 from dataclasses import dataclass, field as dc_field
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,10 +17,11 @@ from syncloom.operators.mapping import LookupObject, project
 from syncloom.operators.policies import policies_of
 from syncloom.operators.runs import counters_from
 from syncloom.plans.spec import Field, SegmentSpec, SpecError, SyncSpec
-from syncloom.session import discard, exists, stored
+from syncloom.session import exists, scratch_path, stored
 from syncloom.sinks.objects import ORDER, ObjectStore
+from syncloom.sources.readers import UNDECODABLE
 
-EVENT, EVENT_DAY, NO_ID, RUN = "_event", "_event_day", "_no_id", "_run"
+EVENT, EVENT_DAY, RUN = "_event", "_event_day", "_run"
 LATEST = "sql.streaming.queryId"  # the local property that names the stream a micro-batch belongs to
 
 
@@ -41,6 +42,12 @@ class Context:
                 raise SpecError(f"unknown lookup object {m.lookup_object!r}")
 
 
+@dataclass(frozen=True)
+class Counts:
+    n: int
+    bad: int
+
+
 @dataclass
 class LiveRuns:
     """Micro-batches as committed runs of a sync, named by stream and batch: a new checkpoint is a new stream.
@@ -66,24 +73,31 @@ class LiveRuns:
         self._seq += 1
         return False
 
-    def staged(self, batch: DataFrame, run_id: str, extra: Dict[str, Column], key: str | None) -> tuple[DataFrame, Observation, str]:
-        """The mapped and checked records as a table, their counts, and where the table is; rejects are written."""
+    def staged(self, batch: DataFrame, run_id: str, extra: Dict[str, Column], key: str) -> tuple[DataFrame, Counts, DataFrame]:
+        """The valid records, the counts of all, and what is held for the batch's passes; rejects are written.
+
+        Mapped and checked records are kept where they were made; a lost executor's are made again from the source.
+        """
         spec, store = self.spec, self.store
+        if UNDECODABLE in batch.columns:
+            extra = {**extra, UNDECODABLE: F.col(UNDECODABLE)}
         mapped = project(batch, spec, run_id, self.context.segments, self.context.lookups, keep_rejects=True, extra=extra)
         mapped = validate_fields(mapped, self.context.fields)
-        if key is not None:
-            mapped = mapped.withColumn(REASON, F.when(quoted(key).isNull(), F.lit(NULL_KEY)).otherwise(F.col(REASON)))
-        seen = Observation()
-        bad = F.sum(F.when(F.col(REASON).isNotNull(), 1).otherwise(0))
-        path = store.path("staging", spec.name, run_id)
-        staged = stored(mapped.observe(seen, F.count(F.lit(1)).alias("n"), bad.alias("bad")), path)
-        store.write_rejected(spec.name, run_id, staged.filter(F.col(REASON).isNotNull()).drop(*extra))
-        return staged.filter(F.col(REASON).isNull()).drop(REASON, VALUE), seen, path
-
-    def commit(self, run_id: str, started: datetime, writes: str, sent: tuple[int, int], seen: Observation) -> None:
+        mapped = mapped.withColumn(REASON, F.when(quoted(key).isNull(), F.lit(NULL_KEY)).otherwise(F.col(REASON)))
+        if UNDECODABLE in extra:
+            lost = F.col(UNDECODABLE).isNotNull()
+            mapped = mapped.withColumn(REASON, F.when(lost, F.lit("undecodable")).otherwise(F.col(REASON)))
+            mapped = mapped.withColumn(VALUE, F.coalesce(UNDECODABLE, VALUE)).drop(UNDECODABLE)
+        held = mapped.persist()
+        bad = F.coalesce(F.sum(F.when(F.col(REASON).isNotNull(), 1).otherwise(0)), F.lit(0))
+        counts = held.agg(F.count(F.lit(1)), bad).first()
+        store.write_rejected(spec.name, run_id, held.filter(F.col(REASON).isNotNull()).drop(*extra))
+        return held.filter(F.col(REASON).isNull()).drop(REASON, VALUE), Counts(*counts), held
+
+    def commit(self, run_id: str, started: datetime, writes: str, sent: tuple[int, int], counts: Counts) -> None:
         self.store.record(run_id=run_id, sync_id=self.spec.name, status="completed", created_at=started, started_at=started,
                           completed_at=datetime.now(timezone.utc), full_sync=False, object=self.spec.object, writes=writes,
-                          seq=self._seq, **counters_from(*sent, 0, seen.get["bad"] or 0, seen.get["n"]))
+                          seq=self._seq, **counters_from(*sent, 0, counts.bad, counts.n))
 
 
 @dataclass
@@ -109,13 +123,13 @@ class Folder:
         if self.runs.committed(run_id):
             return
         extra = {f"{ORDER}{i}": quoted(c) for i, c in enumerate(self.order)}
-        valid, seen, staging = self.runs.staged(batch, run_id, extra, spec.keys[0])
+        valid, counts, held = self.runs.staged(batch, run_id, extra, spec.keys[0])
         written = Observation()
         last = latest_by_key(valid, spec.keys, list(extra), policies_of(spec.mappings))
         out = last.withColumn(CHANGE, F.lit(UPSERT)).observe(written, F.count(F.lit(1)).alias("n"))
         store.write(spec.object, spec.name, run_id, out, self.runs._seq)
-        self.runs.commit(run_id, started, "changes", (0, written.get["n"]), seen)
-        discard(batch.sparkSession, staging)
+        self.runs.commit(run_id, started, "changes", (0, written.get["n"]), counts)
+        held.unpersist()
         if (batch_id + 1) % self.compact_after == 0:
             store.compact(spec.object, spec.keys, f"{run_id}-base", datetime.now(timezone.utc), self.runs._seq, policies_of(spec.mappings))
 
@@ -136,9 +150,9 @@ def live_map_records(
 class Appender:
     """Appends every event once, however late it or its copies arrive.
 
-    An event is known by its id and the day of its time. The ids of a day are kept as a table beside the object, so a
-    batch reads the ids of the days it touches and the run history. Copies collapse map-side before the ids meet. Ids are
-    written before the commit; they count once their run is committed, so what a lost batch had begun is sent by the next.
+    An event is known by its id and the day of its time. The ids of a day are a partition of a table beside the object, so a
+    batch reads the ids of the days it touches, and no history. Copies collapse map-side before the ids meet. Ids carry the run that wrote
+    them, before its commit: the runs that never committed are found once, when a stream starts, and their ids do not count.
     """
 
     spec: SyncSpec
@@ -146,56 +160,75 @@ class Appender:
     event_id: str
     event_time: str
     context: Context = dc_field(default_factory=Context)
+    _lost: list[str] | None = None
+    _days: set[str] = dc_field(default_factory=set)
 
     def __post_init__(self) -> None:
         self.context.check(self.spec)
         self.runs = LiveRuns(self.spec, self.store, self.context)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spec, store, spark, started = self.spec, self.store, batch.sparkSession, datetime.now(timezone.utc)
+        spec, store, started = self.spec, self.store, datetime.now(timezone.utc)
         run_id = self.runs.run_id(batch, batch_id)
         if self.runs.committed(run_id):
             return
         day = F.coalesce(F.to_date(quoted(self.event_time)).cast("string"), F.lit("none"))
         extra = {EVENT: quoted(self.event_id), EVENT_DAY: day}
-        no_id = F.when(quoted(self.event_id).isNull(), F.lit(NULL_KEY))
-        valid, seen, staging = self.runs.staged(batch, run_id, {**extra, NO_ID: no_id}, None)
-        unnamed = valid.filter(F.col(NO_ID).isNotNull())
-        refused = unnamed.withColumn(REASON, F.col(NO_ID)).withColumn(VALUE, F.lit(None).cast("string")).drop(NO_ID, *extra)
-        without_id = Observation()
-        counted = refused.observe(without_id, F.count(F.lit(1)).alias("n"))
-        counted.write.mode("append").parquet(store.path("rejected", spec.name, run_id))
-        rest = [c for c in valid.columns if c not in (EVENT, EVENT_DAY, NO_ID)]
+        valid, counts, held = self.runs.staged(batch, run_id, extra, EVENT)
+        rest = [c for c in valid.columns if c not in extra]
         row = F.any_value(F.struct(*[quoted(c).alias(c) for c in rest])).alias("r")
-        once = valid.filter(F.col(NO_ID).isNull()).groupBy(EVENT, EVENT_DAY).agg(row)
-        days = [r[0] for r in valid.select(EVENT_DAY).distinct().toLocalIterator()]
-        ids = store.path("event_ids", spec.name, "")
-        past = [f"{ids}{EVENT_DAY}={d}" for d in days if exists(spark, f"{ids}{EVENT_DAY}={d}")]
-        if past:
-            names = spark.read.option("basePath", ids).schema(f"{EVENT} {valid.schema[EVENT].dataType.simpleString()}, {EVENT_DAY} string, {RUN} string").parquet(*past)
-            sent = names.join(store.completed(spec.name).withColumnRenamed("run_id", RUN), RUN, "left_semi")
-            once = once.join(sent.select(EVENT, EVENT_DAY), [EVENT, EVENT_DAY], "left_anti")
-        fresh = stored(once, f"{staging}-new")
-        fresh.select(EVENT, EVENT_DAY, F.lit(run_id).alias(RUN)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(EVENT_DAY, RUN).parquet(ids)
+        once = valid.groupBy(*extra).agg(row)
+        sent = self._sent(valid, run_id)
+        once = (once if sent is None else once.join(sent, list(extra), "left_anti")).persist()
+        ids = once.select(*extra, F.lit(run_id).alias(RUN)).hint("rebalance", EVENT_DAY)
+        ids.write.mode("append").partitionBy(EVENT_DAY).parquet(event_ids(store, spec.name))
         written = Observation()
-        out = fresh.select(*[F.col("r").getField(c).alias(c) for c in rest]).observe(written, F.count(F.lit(1)).alias("n"))
+        out = once.select(*[F.col("r").getField(c).alias(c) for c in rest]).observe(written, F.count(F.lit(1)).alias("n"))
         store.write(spec.object, spec.name, run_id, out)
-        counts = Counts({"n": seen.get["n"], "bad": (seen.get["bad"] or 0) + without_id.get["n"]})
         self.runs.commit(run_id, started, "append", (written.get["n"], 0), counts)
-        for path in (staging, f"{staging}-new"):
-            discard(spark, path)
+        once.unpersist()
+        held.unpersist()
+
+    def _sent(self, valid: DataFrame, run_id: str) -> DataFrame | None:
+        """The ids that committed runs have sent for the days of these events."""
+        spark, ids = valid.sparkSession, event_ids(self.store, self.spec.name)
+        schema = f"{EVENT} {valid.schema[EVENT].dataType.simpleString()}, {RUN} string, {EVENT_DAY} string"
+        reader = spark.read.option("basePath", ids).schema(schema)
+        if self._lost is None:
+            known = exists(spark, ids)
+            runs = reader.parquet(ids).select(RUN).distinct() if known else None
+            done = self.store.completed(self.spec.name).withColumnRenamed("run_id", RUN)
+            self._lost = [r[0] for r in runs.join(done, RUN, "left_anti").toLocalIterator()] if known else []
+        days = [r[0] for r in valid.select(EVENT_DAY).distinct().toLocalIterator()]
+        past = [d for d in days if d in self._days or exists(spark, f"{ids}/{EVENT_DAY}={d}")]
+        self._days.update(days)
+        if not past:
+            return None
+        names = reader.parquet(*[f"{ids}/{EVENT_DAY}={d}" for d in past])
+        return names.filter(~F.col(RUN).isin(*self._lost, run_id)).select(EVENT, EVENT_DAY)
 
 
-@dataclass(frozen=True)
-class Counts:
-    get: dict[str, int]
+def event_ids(store: ObjectStore, sync: str) -> str:
+    return store.path("event_ids", sync, "table")
+
+
+def tidy_event_ids(store: ObjectStore, sync: str, before: date) -> None:
+    """Rewrite the ids of each earlier day in as few files as they fill. Not while the sync's stream runs."""
+    table = store.spark.read.parquet(event_ids(store, sync))
+    old = stored(table.filter(F.col(EVENT_DAY).cast("date") < F.lit(before)), scratch_path(store.spark, "event-ids"))
+    writer = old.hint("rebalance", EVENT_DAY).write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+    writer.partitionBy(EVENT_DAY).parquet(event_ids(store, sync))
 
 
 def live_activate_events(
     stream: DataFrame, spec: SyncSpec, store: ObjectStore, event_id: str, event_time: str, checkpoint: str,
     interval: str | None = None, context: Context | None = None,
 ) -> StreamingQuery:
-    """Append every event once to the object, mapped to the destination's fields; events that do not fit are kept as rejects."""
+    """Append every event once to the object, mapped to the destination's fields; events that do not fit are kept as rejects.
+
+    An event is known by its id **and** the UTC day of its time: copies that differ in the day are two events, which is what lets a batch
+    look at the ids of few days.
+    """
     writer = stream.writeStream.foreachBatch(Appender(spec, store, event_id, event_time, context or Context()))
     return _start(writer.option("checkpointLocation", checkpoint), interval)
 

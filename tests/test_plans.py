@@ -79,3 +79,27 @@ def test_narrow_alerts_do_not_shuffle_history(spark, sf_dir, tmp_path):
     runs = spark.read.parquet(str(tmp_path / "runs"))
     alert = AlertSpec("FailureAlertConfiguration", "every_time", should_send_recovery=False)
     assert "Exchange" not in plan(evaluate(runs, alert))
+
+
+def test_no_field_is_exchanged_to_find_changes(spark, sf_dir, shuffled):
+    from syncloom.operators import changes as ch
+
+    src, prev = fixture(spark, sf_dir, "src"), fixture(spark, sf_dir, "prev")
+    state = ch.source_state(src, ch.snapshot(prev, ["ext_id"]), ["ext_id"])
+    shown = [a.name() for a in _outputs(state)]
+    assert set(shown) <= {"ext_id", "_fingerprint", "__was", "__s", "__p"}
+
+
+def _outputs(df):
+    """The columns of all exchanges of a plan."""
+    out, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.inputPlan())
+            continue
+        if node.nodeName() == "Exchange":
+            out += [node.output().apply(i) for i in range(node.output().size())]
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert out
+    return out

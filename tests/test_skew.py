@@ -2,11 +2,11 @@
 
 import pytest
 from conftest import rows
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from syncloom.operators.keys import duplicate_keys, latest_by_key, single_rows, split_by_key
 from syncloom.operators.policies import WritePolicy
-from syncloom.operators.skew import hot_keys, join_unique, preceding_last
+from syncloom.operators.skew import hot_keys, join_unique
 
 
 @pytest.fixture(scope="module")
@@ -54,18 +54,6 @@ def test_two_column_keys(spark):
         left.join(right, ["a", "b"], "left"), "id", "w")
 
 
-def test_preceding_last(spark):
-    df = spark.range(2000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 40)).alias("g"),
-        F.timestamp_seconds(F.col("id") * 7919 % 400000).alias("t"), "id",
-        F.when(F.col("id") % 7 < 3, F.col("id")).alias("v"),
-    )
-    got = preceding_last(df, "g", ["t", "id"], F.expr("cast(t as date)"), {"p": F.col("v")})
-    w = Window.partitionBy("g").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, -1)
-    want = df.withColumn("p", F.last("v", ignorenulls=True).over(w))
-    assert rows(got) == rows(want)
-
-
 def test_split_by_key(skewed, spark):
     valid, rejected = split_by_key(skewed, ["k"])
     counts = {r.k: r["count"] for r in skewed.groupBy("k").count().collect()}

@@ -106,3 +106,58 @@ def append_text_to_number(spark, sf_dir):
 def append_double_to_integer(spark, sf_dir):
     """A field written with fractions, later as an integer: the fractions stay."""
     return appended_twice(spark, sf_dir, "cast(amount as double) + 0.25", "cast(floor(amount) as int)")
+
+
+class Lost(BaseException):
+    """The driver is gone: nothing handles this, and nothing is recorded any more."""
+
+
+def losing(runner: SyncRunner, commits: int) -> SyncRunner:
+    """The runner with a store whose driver is lost at a run's commit, the first ``commits`` times."""
+    store, commit, left = runner.store, runner.store.commit, [commits]
+
+    def dying(rows):  # noqa: ANN001, ANN202
+        if left[0] and any(r["status"] == "completed" for r in rows):
+            left[0] -= 1
+            raise Lost
+        commit(rows)
+
+    store.commit = dying
+    return runner
+
+
+@register("run_driver_lost", with_fixtures("book", """
+    select 'run-1' as run_id, 'started' as status, cast(null as bigint) as source_record_count
+    union all select 'run-2', 'completed', count(*) from book"""))
+def run_driver_lost(spark, sf_dir):
+    """A run whose driver is lost before its commit stays in the history as one that started; the next run completes."""
+    runner = losing(runner_over(spark, sf_dir, book=BOOK), 1)
+    spec = sync("book", operation="upsert")
+    try:
+        runner.run(spec, "run-1", AT)
+    except Lost:
+        pass
+    runner.run(spec, "run-2", AT)
+    return runner.store.runs().select("run_id", "status", "source_record_count")
+
+
+@register("run_union_crash", with_fixtures("leads contacts src", """
+    select 'leads' as object, ext_id from leads
+    union all select 'leads', ext_id from src where ext_id not in (select ext_id from leads) and ext_id not in (select ext_id from contacts)
+    union all select 'contacts', ext_id from contacts"""))
+def run_union_crash(spark, sf_dir):
+    """A run over a union of two objects loses its driver at the commit: neither write counts, and the repeated run makes both."""
+    runner = runner_over(spark, sf_dir, leads=FIXTURES["leads"], contacts=FIXTURES["contacts"], src=f"select ext_id from ({FIXTURES['src']})")
+    key = (KEY,)
+    for name in ("leads", "contacts"):
+        runner.run(sync(name, name, name, key, operation="upsert"), "run-0", AT)
+    runner.unions = {"Person": ("leads", "contacts")}
+    spec = sync("src", "people", "Person", key, operation="upsert", advanced_configuration={"lead_union_insert_to": "leads"})
+    losing(runner, 1)
+    try:
+        runner.run(spec, "run-1", AT)
+    except Lost:
+        pass
+    runner.run(spec, "run-1", AT)
+    parts = [runner.store.read(n, ["ext_id"]).select(F.lit(n).alias("object"), "ext_id") for n in ("leads", "contacts")]
+    return parts[0].unionByName(parts[1])

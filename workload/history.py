@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from syncloom.operators.alerts import evaluate, status_events
-from syncloom.operators.runs import latest_runs
+from syncloom.operators.runs import folded, latest_runs
 from syncloom.operators.schedules import expected_runs, missed_runs, scheduled_vs_actual
 from syncloom.plans.spec import AlertSpec, ScheduleSpec
 from workload.fixtures import fixture, over_tables, with_fixtures
@@ -76,6 +78,50 @@ def alert_status(spark, sf_dir):
     return events.withColumn("at", F.col("at").cast("string"))
 
 
+# ---- runs that have started and not ended: the last one of every third sync
+
+EVENTS = """
+    select sync_id, run_id, 'started' as status, scheduled_at, started_at, cast(null as timestamp) as completed_at,
+           cast(null as bigint) as records_processed, cast(null as bigint) as records_failed, full_sync from runs
+    union all
+    select sync_id, run_id, status, scheduled_at, started_at, completed_at, records_processed, records_failed, full_sync from (
+        select *, row_number() over (partition by sync_id order by started_at desc, run_id desc) as back from runs)
+    where back > 1 or cast(substr(sync_id, 6) as int) % 3 <> 0"""
+OPEN_RUNS = """
+    select * from (select *, row_number() over (partition by sync_id, run_id order by case status when 'started' then 1 else 0 end) as nth
+                   from run_events) where nth = 1"""
+NOW = datetime(2025, 1, 1)
+
+
+def open_runs(spark, sf_dir):
+    """The run history of rows written at the start and at the end of runs."""
+    fixture(spark, sf_dir, "runs").createOrReplaceTempView("runs")
+    events = spark.sql(EVENTS)
+    return folded(events.withColumn("seq", F.lit(1)).withColumn("object", F.lit("x")))
+
+
+def _open_alert(name: str, rule: str, listed: str, event: bool, **config):
+    """As ``_alert``, over runs of which some are open; ``listed`` says which open runs the rule can decide on."""
+    send = "fire" if event else "fire and not was"
+    recovery = "false" if event else "not fire and was"
+
+    @register(name, with_fixtures("runs", f"""
+        , run_events as ({EVENTS}), all_runs as ({OPEN_RUNS})
+        select run_id, sync_id, status, fire, {send} as send, {recovery} as recovery from (
+            select *, coalesce(lag(fire) over (partition by sync_id order by started_at, run_id), false) as was
+            from (select *, coalesce({rule}, false) as fire from all_runs) where status <> 'started' or {listed})"""))
+    def run(spark, sf_dir):
+        alert = AlertSpec.from_config(config)
+        return evaluate(open_runs(spark, sf_dir), alert, NOW).select("run_id", "sync_id", "status", "fire", "send", "recovery")
+
+
+_open_alert("alert_runtime_open_run", "epoch_us(coalesce(completed_at, timestamp '2025-01-01')) - epoch_us(started_at) > 600 * 60 * 1000000::bigint",
+            "fire", False, type="RuntimeAlertConfiguration", options={"threshold": "600", "unit": "minutes", "start_type": "actual"})
+_open_alert("alert_failure_open_run", "status = 'failed'", "false", False, type="FailureAlertConfiguration", options={})
+_open_alert("alert_status_rule", "status = 'completed'", "fire", True, type="StatusAlertConfiguration", options={"status_name": "completed"})
+_open_alert("alert_status_started", "true", "fire", True, type="StatusAlertConfiguration", options={"status_name": "started"})
+
+
 # ---- schedules: every sync is expected from its first to its last day of activity
 
 SPANS = """

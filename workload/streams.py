@@ -157,3 +157,50 @@ def live_spec_lookup_segment(spark, sf_dir):
     )
     runner.start(spec, scratch_path(spark, "live-checkpoint"), order=["ts", "event_id"]).awaitTermination()
     return runner.store.read("User", ["user_id"])
+
+
+def message_topic(spark, sf_dir, value: str) -> str:
+    """The events as messages of a topic that was written down: four partitions, offsets in the order of time."""
+    path = scratch_path(spark, "messages")
+    tables(spark, sf_dir, "events").sql(f"""
+        select cast({value} as binary) as value, cast(user_id % 4 as int) as partition,
+               row_number() over (partition by user_id % 4 order by ts, event_id) as offset from events
+    """).repartition(8).write.parquet(path)
+    return path
+
+
+@register("live_default_order", """
+    select user_id, event_type as last_event from (
+      select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) where rn = 1""")
+def live_default_order(spark, sf_dir):
+    """A live sync started without an order: the messages' offsets order the records of a key."""
+    path = message_topic(spark, sf_dir, "to_json(named_struct('user_id', user_id, 'event_type', event_type))")
+    topic = TopicSpec("parquet", "user_id bigint, event_type string", path, {"maxFilesPerTrigger": "3"}, messages=True)
+    runner = SyncRunner(spark, scratch_path(spark, "live"), Catalog(topics={"events": topic}))
+    spec = SyncSpec(
+        "users", TOPIC, "User", (Mapping("user_id", "user_id", is_primary_identifier=True), Mapping("last_event", "event_type")),
+        sync_behavior_family="mapRecords", run_mode="live", source_type="kafka",
+    )
+    runner.start(spec, scratch_path(spark, "live-checkpoint")).awaitTermination()
+    return runner.store.read("User", spec.keys)
+
+
+@register("live_bad_messages", """
+    select case when event_id % 7 < 2 then 'undecodable' else 'kept' end as outcome,
+           case event_id % 7 when 0 then 'no json ' || cast(event_id as varchar)
+                when 1 then '{"event_id":"x' || cast(event_id as varchar) || '"}' else cast(event_id as varchar) end as value
+    from events""")
+def live_bad_messages(spark, sf_dir):
+    """Messages that are no JSON, or do not fit the records' schema, are rejects with their text."""
+    path = message_topic(spark, sf_dir, """
+        case event_id % 7 when 0 then concat('no json ', event_id) when 1 then concat('{"event_id":"x', event_id, '"}')
+             else to_json(named_struct('event_id', event_id, 'ts', ts)) end""")
+    topic = TopicSpec("parquet", "event_id bigint, ts timestamp", path, {"maxFilesPerTrigger": "3"}, messages=True)
+    runner = SyncRunner(spark, scratch_path(spark, "events"), Catalog(topics={"events": topic}))
+    spec = SyncSpec("activity", TOPIC, "Event", (Mapping("event_id", "event_id"),), sync_behavior_family="activateEvents", run_mode="live", source_type="kafka")
+    runner.start(spec, scratch_path(spark, "events-checkpoint"), event_id="event_id", event_time="ts").awaitTermination()
+    store = runner.store
+    kept = store.read("Event").select(F.lit("kept").alias("outcome"), F.col("event_id").cast("string").alias("value"))
+    runs = [r.run_id for r in store.runs().select("run_id").toLocalIterator()]
+    rejected = spark.read.parquet(*[store.path("rejected", "activity", r) for r in runs])
+    return kept.unionByName(rejected.select(F.col("reject_reason").alias("outcome"), F.col("rejected_value").alias("value")))
