@@ -96,7 +96,7 @@ def _outputs(df):
     while todo:
         node = todo.pop()
         if node.nodeName() == "AdaptiveSparkPlan":
-            todo.append(node.inputPlan())
+            todo.append(node.executedPlan())
             continue
         if node.nodeName() == "Exchange":
             out += [node.output().apply(i) for i in range(node.output().size())]

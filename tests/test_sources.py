@@ -46,4 +46,4 @@ def test_formats(spark, tmp_path):
 def test_messages_become_records(spark):
     messages = table(spark, "value string, partition int, offset bigint", ('{"k": 1, "v": "a"}', 0, 7), ("junk", 1, 8))
     messages = messages.withColumn("value", messages.value.cast("binary"))
-    assert rows(records_of(messages, "k int, v string")) == [(1, "a", 0, 7), (None, None, 1, 8)]
+    assert rows(records_of(messages, "k int, v string")) == [(1, "a", None, 0, 7), (None, None, "junk", 1, 8)]

@@ -75,3 +75,33 @@ def test_events_arrive_once(spark, root):
         live_activate_events(stream, events, store, "id", "ts", checkpoint).awaitTermination()
     back = store.read("Event")
     assert back.count() == back.select("id").distinct().count() == 1001
+
+
+def test_records_without_an_order_are_refused(spark, root, tmp_path):
+    from syncloom.plans.run import SyncRunner
+    from syncloom.plans.spec import SpecError
+    from syncloom.sources.readers import Catalog, TopicSpec
+
+    table(spark, SCHEMA, (1, 1, "zzz", ""), (1, 2, "aaa", "")).coalesce(1).write.parquet(f"{root}/topic")
+    source = SyncSpec("live", SourceSpec("topic", id="t"), "Thing", spec().mappings, run_mode="live", sync_behavior_family="mapRecords", source_type="kafka")
+    with pytest.raises(SpecError, match="order"):
+        SyncRunner(spark, root, Catalog(topics={"t": TopicSpec("parquet", SCHEMA, f"{root}/topic")})).start(source, f"{root}/c0")
+    runner = SyncRunner(spark, root, Catalog(topics={"t": TopicSpec("parquet", SCHEMA, f"{root}/topic", order=("at",))}))
+    runner.start(source, f"{root}/c1").awaitTermination()
+    assert rows(runner.store.read("Thing", ["k"]), "k", "v") == [(1, "aaa")]
+
+
+def test_ids_of_days_are_folded_and_still_known(spark, root):
+    from datetime import date
+
+    from syncloom.streaming.live import Appender, tidy_event_ids
+
+    s = SyncSpec("events", SourceSpec("topic", id="t"), "Event", (Mapping("k", "k"),), run_mode="live", sync_behavior_family="activateEvents", source_type="kafka")
+    store = ObjectStore(spark, root)
+    day = lambda k, d: (k, datetime(2024, 1, d))
+    for n, some in enumerate([[day(1, 1), day(2, 1), day(3, 2)], [day(1, 1), day(4, 1), day(3, 3)]]):
+        Appender(s, store, "k", "at")(table(spark, "k int, at timestamp", *some), n)
+    tidy_event_ids(store, "events", date(2024, 1, 3))
+    Appender(s, store, "k", "at")(table(spark, "k int, at timestamp", day(1, 1), day(4, 1), day(3, 2), day(5, 9)), 2)
+    # an event is known by its id and day
+    assert rows(store.read("Event"), "k") == [(1,), (2,), (3,), (3,), (4,), (5,)]
