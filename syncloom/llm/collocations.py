@@ -27,7 +27,7 @@ from syncloom.operators.skew import join_unique
 from syncloom.session import scratch_path, stored
 
 DEPTH, LEAST, TOP, COVER = 5, 100, 2000, 100
-BLOCK_BYTES, PART_BYTES, BUDGET = 4 << 20, 8 << 20, 1 << 18
+BLOCK_BYTES, PART_BYTES, BUDGET = 2 << 20, 8 << 20, 1 << 17
 BATCH_BYTES = 4 << 20
 #: At most so many prefixes of a level are continued; with more words than this times the budget the budget grows instead.
 MOST_PREFIXES = 1 << 21
