@@ -244,10 +244,72 @@ def phrase_batch(lang: list[str], depth: list[int], keys: list[bytes], f: list[i
     return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(depth, pa.int32()), pa.array(keys, pa.binary()), pa.array(f, pa.int64())], ["lang", "depth", "key", "f"])
 
 
-def continued(spark: SparkSession, texts: DataFrame, words: DataFrame, budget: int, depth: int) -> tuple[list[np.ndarray], DataFrame]:
+SUFFIXES = "lang string, grp long, body binary"
+
+
+CODEC = "zstd"
+
+
+def suffix_body(names: np.ndarray, table: np.ndarray, counts: np.ndarray, deep: np.ndarray) -> bytes:
+    """Suffixes with a vocabulary of their own, as packed columns; the words of most suffixes have the smallest places."""
+    own, inside = np.unique(table, return_inverse=True)
+    order = np.argsort(-np.bincount(inside.ravel(), minlength=len(own)), kind="stable")
+    place = np.empty(len(own), np.int64)
+    place[order] = np.arange(len(own))
+    inside = place[inside].reshape(table.shape)
+    raw = joined(planes(names[own[order]], 8), planes(counts, 4), planes(deep, 1), *(planes(inside[:, k], 4) for k in range(table.shape[1])))
+    return np.array([len(raw)], "<i8").tobytes() + pa.Codec(CODEC).compress(raw, asbytes=True)
+
+
+def unpacked(body: bytes) -> list[bytes]:
+    return split(pa.Codec(CODEC).decompress(body[8:], int(np.frombuffer(body, "<i8", 1)[0]), asbytes=True))
+
+
+def bodies_of(bodies: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word numbers in order (0 first), suffixes as places among them, their counts and continued words, of many bodies."""
+    parts = [unpacked(b) for b in bodies]
+    names, place = np.unique(np.concatenate([[0], *(numbers(p[0], 8).astype(np.int64) for p in parts)]), return_inverse=True)
+    place = place.astype(np.int32)[1:]
+    edges = np.cumsum([0, *(len(p[0]) // 8 for p in parts)])
+    table = np.empty((sum(len(p[2]) for p in parts), depth), np.int32)
+    at = 0
+    for p, base in zip(parts, edges.tolist()):
+        n = len(p[2])
+        for k in range(depth):
+            table[at : at + n, k] = place[base + numbers(p[3 + k], 4).astype(np.int64)]
+        at += n
+    counts = np.concatenate([numbers(p[1], 4) for p in parts]).astype(np.int64)
+    return names, table, counts, np.concatenate([numbers(p[2], 1) for p in parts]).astype(np.int8)
+
+
+def sent(lang: str, names: np.ndarray, table: np.ndarray, counts: np.ndarray, deep: np.ndarray, group: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row for each group with its suffixes, in batches of bounded size."""
+    order = np.argsort(group, kind="stable")
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(group[order]) != 0]))
+    out, size = [], 0
+    for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
+        mine = order[a:b]
+        out.append((lang, int(group[mine[0]]), suffix_body(names, table[mine], counts[mine], deep[mine])))
+        size += len(out[-1][2])
+        if size >= BATCH_BYTES or b == len(order):
+            columns = zip(*out)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.binary()))], ["lang", "grp", "body"])
+            out, size = [], 0
+
+
+def bin_of(phrases: np.ndarray, bins: int) -> np.ndarray:
+    """A bin by the hash of a phrase's word numbers, a phrase a row."""
+    hashed = np.zeros(len(phrases), U64)
+    for k in range(phrases.shape[1]):
+        hashed = mix(hashed + phrases[:, k].astype(U64))
+    return (hashed % U64(bins)).astype(np.int64)
+
+
+def continued(spark: SparkSession, texts: DataFrame, words: DataFrame, budget: int, bins: int, depth: int) -> tuple[list[np.ndarray], DataFrame]:
     """Prefixes of each length that have more suffixes than the budget, sorted, and those of two words or more with their counts.
 
-    A prefix's one-word continuations are counted over all blocks if it is such a prefix itself. What comes to the driver is at most
+    A prefix's one-word continuations are counted over all blocks if it is such a prefix itself: a block sends each bin its different ones
+    with their counts in one row, so a level exchanges at most one continuation per word. What comes to the driver is at most
     (all words / budget) prefixes a level, and no more than ``MOST_PREFIXES``.
     """
     level = [bytes(r["key"]) for r in words.where(F.col("f") > budget).select("key").collect()]
@@ -268,13 +330,19 @@ def continued(spark: SparkSession, texts: DataFrame, words: DataFrame, budget: i
                     known = members(names[:, None], shared.value[0])
                     table = suffixes(numbers(stream, 4), d + 1)
                     places, n = counted(table[(table[:, d] > 0) & known[table[:, 0]]])
-                    found = names[places]
-                    below = np.flatnonzero(members(found[:, :d], shared.value[d - 1]))
-                    found, n = found[below], n[below]
-                    yield phrase_batch([lang] * len(found), [d + 1] * len(found), [bytes(k) for k in keys_of(found)] if len(found) else [], n.tolist())
-
-        counts = texts.select("lang", "ids", "stream").mapInArrow(run, PHRASES)
-        often = stored(counts.groupBy("lang", "depth", "key").agg(F.sum("f").alias("f")).where(F.col("f") > budget), scratch_path(spark, "prefixes"))
+                    below = np.flatnonzero(members(names[places[:, :d]], shared.value[d - 1]))
+                    if len(below):
+                        yield from sent(lang, names, places[below], n[below], np.zeros(len(below), np.int8), bin_of(names[places[below]], bins))
+
+        def in_bin(table: pa.Table) -> pa.Table:  # run within the loop, so d is this level
+            names, places, n, _ = bodies_of(table["body"].to_pylist(), d + 1)
+            places, f = counted(places, n)
+            often = np.flatnonzero(f > budget)
+            keys = [bytes(k) for k in keys_of(names[places[often]])] if len(often) else []
+            return pa.Table.from_batches([phrase_batch([table["lang"][0].as_py()] * len(often), [d + 1] * len(often), keys, f[often].tolist())])
+
+        counts = texts.select("lang", "ids", "stream").mapInArrow(run, SUFFIXES)
+        often = stored(counts.groupBy("lang", "grp").applyInArrow(in_bin, PHRASES), scratch_path(spark, "prefixes"))
         tables.append(often)
         level = [bytes(r["key"]) for r in often.select("key").collect()]
     out = tables[0]
@@ -283,33 +351,6 @@ def continued(spark: SparkSession, texts: DataFrame, words: DataFrame, budget: i
     return levels, out
 
 
-SUFFIXES = "lang string, grp long, body binary"
-
-
-def suffix_body(names: np.ndarray, table: np.ndarray, counts: np.ndarray, deep: np.ndarray) -> bytes:
-    """Suffixes with a vocabulary of their own, as packed columns."""
-    own, inside = np.unique(table, return_inverse=True)
-    inside = inside.reshape(table.shape)
-    return joined(planes(names[own], 8), planes(counts, 4), planes(deep, 1), *(planes(inside[:, k], 4) for k in range(table.shape[1])))
-
-
-def bodies_of(bodies: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word numbers in order (0 first), suffixes as places among them, their counts and continued words, of many bodies."""
-    parts = [split(b) for b in bodies]
-    names, place = np.unique(np.concatenate([[0], *(numbers(p[0], 8).astype(np.int64) for p in parts)]), return_inverse=True)
-    place = place.astype(np.int32)[1:]
-    edges = np.cumsum([0, *(len(p[0]) // 8 for p in parts)])
-    table = np.empty((sum(len(p[2]) for p in parts), depth), np.int32)
-    at = 0
-    for p, base in zip(parts, edges.tolist()):
-        n = len(p[2])
-        for k in range(depth):
-            table[at : at + n, k] = place[base + numbers(p[3 + k], 4).astype(np.int64)]
-        at += n
-    counts = np.concatenate([numbers(p[1], 4) for p in parts]).astype(np.int64)
-    return names, table, counts, np.concatenate([numbers(p[2], 1) for p in parts]).astype(np.int8)
-
-
 def dealt(texts: DataFrame, levels: list[np.ndarray], budget_bins: int, depth: int) -> DataFrame:
     """To each group, from each block, its different suffixes in order with their counts, and how many leading words of each are a
     continued prefix.
@@ -331,9 +372,6 @@ def dealt(texts: DataFrame, levels: list[np.ndarray], budget_bins: int, depth: i
         group[hot], deep[hot] = -1 - (hashed % U64(budget_bins)).astype(np.int64), level
         return group, deep
 
-    def batch(lang: str, groups: list[int], bodies: list[bytes]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(bodies), pa.string()), pa.array(groups, pa.int64()), pa.array(bodies, pa.binary())], ["lang", "grp", "body"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for given in batches:
             for k in range(given.num_rows):
@@ -344,18 +382,8 @@ def dealt(texts: DataFrame, levels: list[np.ndarray], budget_bins: int, depth: i
                     continue
                 group, deep = grouped(names, np.concatenate([[0], numbers(groups, 8).astype(np.int64)]), table)
                 some = np.flatnonzero((table > 0).sum(1) > deep)
-                order = some[np.argsort(group[some], kind="stable")]
-                edges = np.flatnonzero(np.diff(group[order], prepend=-(1 << 62)))
-                out, size = [], 0
-                for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
-                    mine = order[a:b]
-                    out.append((int(group[mine[0]]), suffix_body(names, table[mine], n[mine], deep[mine])))
-                    size += len(out[-1][1])
-                    if size >= BATCH_BYTES:
-                        yield batch(lang, *map(list, zip(*out)))
-                        out, size = [], 0
-                if out:
-                    yield batch(lang, *map(list, zip(*out)))
+                if len(some):
+                    yield from sent(lang, names, table[some], n[some], deep[some], group[some])
 
     return texts.mapInArrow(run, SUFFIXES)
 
@@ -476,9 +504,9 @@ def collocations(
     answers = stored(vocabulary(rows, least, budget), scratch_path(spark, "vocabulary"))
     texts = stored(encoded(rows, answers), scratch_path(spark, "encoded"))
     words = stored(words_of(answers), scratch_path(spark, "words"))
-    levels, above = continued(spark, texts, words, budget, depth)
     hot = words.where(F.col("f") > budget).agg(F.sum("f")).first()[0] or 0
     bins = max(1, 2 * hot // budget)
+    levels, above = continued(spark, texts, words, budget, bins, depth)
     found = phrases(dealt(texts, levels, bins, depth), least, depth).unionByName(above.where(F.col("f") >= least))
     found = stored(found, scratch_path(spark, "phrases"))
     done = scored(found, words, totals, depth).join(covered(found, cover), "key", "left").where(F.col("most").isNull() | (F.col("most") < cover * F.col("a"))).drop("most")
