@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from cases import ALNUM, LOWER, SCHEMA, SPACED, components, contamination, documents, passage, shingles, without_repeats
 from pyspark.sql import functions as F
 
@@ -93,6 +94,40 @@ def test_license_signatures(text, labels):
     assert bool(license_scan.gate().search(text.lower().encode())) == bool(labels)
 
 
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("SPDX-License-Identifier: MIT", "mit"), ("SPDX-License-Identifier: ISC", "isc"), ("// SPDX-License-Identifier: Zlib", "zlib"), ("SPDX-License-Identifier: Artistic-2.0", "artistic-2"),
+        ("License: MIT", "mit"), ("MIT licensed", "mit"), ("BSL-1.0", "boost"), ("PostgreSQL License", "postgresql"), ("Python Software Foundation License", "psf-2.0"),
+        ("GPLv 3", "gpl-3"), ("LGPLv 2.1", "lgpl-2.1"), ("MPLv 2", "mpl-2"), ("GPLversion 3", "gpl-3"), ("SPDX-License-Identifier: (MIT OR Apache-2.0) AND Zlib", "apache-2,mit,zlib"),
+        ("SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2"), ("SPDX-License-Identifier: MIT-0", "mit-0"), ("licensed under either MIT or Apache-2.0", "apache-2,mit"),
+        ("The Software shall be used for Good, not Evil.", "json"), ("Ruby licensed; PHP-3.01 license", "php-3.01,ruby"),
+        ("students of MIT and ISC use zlib, Python 2.0 and PHP 3.0", ""), ("ends under the license. Ruby is next", ""), ("a v 3 of 2 0", ""),
+    ],
+)
+def test_license_identifiers(spark, text, labels):
+    assert license_scan.scan(text)[4] == labels
+    assert [r.labels for r in license_scan.license_scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()] == [labels]
+
+
+@settings(max_examples=400, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.data())
+def test_license_gate_is_implied_by_every_rule(data):
+    rule = data.draw(st.sampled_from(license_scan.rules()))
+    text = data.draw(st.from_regex(rule.body, fullmatch=True, alphabet=st.characters(codec="ascii")))
+    words = license_scan.Words(text)
+    if words.joined == text:  # "[^ ]+" may draw what is no word
+        assert license_scan.gate().search(text.encode())
+        assert {m.group(1) for m in license_scan.keywords().finditer(text)} & set(rule.words)
+
+
+def test_license_rules_add_something():
+    rules = license_scan.rules()
+    assert len(rules) >= 200 and len({r.body for r in rules}) == len(rules)
+    for phrase in license_scan.BASE_PHRASES:
+        assert license_scan.gate().search(phrase.encode())
+
+
 def test_license_suppression():
     d = license_scan.Detection
     kept = license_scan.suppress([d(0, 9, "long", 5, 0.5), d(2, 4, "inside", 7, 0.5), d(2, 4, "first", 1, 0.5), d(8, 12, "beside", 9, 0.5), d(0, 9, "same", 6, 0.5)])
