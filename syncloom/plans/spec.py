@@ -182,6 +182,8 @@ class SourceSpec:
     catalog: str | None = None
     segment_id: str | None = None
     cohort_id: str | None = None
+    #: Which connection's table it is; no part of equality.
+    connection: str | None = dc_field(default=None, compare=False)
 
     def __post_init__(self) -> None:
         _member(self.kind, ("table", "dataset", "model", "topic"), "source kind")
@@ -210,7 +212,7 @@ class SourceSpec:
             cohort, ident, kind = ident, obj.get("dataset_id"), "dataset"
         text = lambda v: None if v is None else str(v)
         if kind == "table":
-            return cls(kind, None, obj.get("table_name"), obj.get("table_schema"), obj.get("table_catalog"))
+            return cls(kind, None, obj.get("table_name"), obj.get("table_schema"), obj.get("table_catalog"), connection=text(attributes.get("connection_id")))
         return cls(kind, text(ident), segment_id=text(segment), cohort_id=text(cohort))
 
 

@@ -58,6 +58,62 @@ def read_source(spark: SparkSession, source_type: str, options: Dict[str, str],
     return reader.load(path) if path else reader.load()
 
 
+@dataclass(frozen=True)
+class ConnectionSpec:
+    """Where a connection's tables are: a connector type or any Spark format, with its options.
+
+    ``root``: the tables are folders of files below it, as ``[catalog/][schema/]table``; otherwise the connector is given their names.
+    ``schemas`` says, by table, what files without types hold. ``ranges``: by table, the column by whose values a JDBC table is read in
+    ``partitions`` tasks.
+    """
+
+    type: str
+    options: Dict[str, str] = dc_field(default_factory=dict)
+    root: str | None = None
+    schemas: Dict[str, object] = dc_field(default_factory=dict)
+    ranges: Dict[str, str] = dc_field(default_factory=dict)
+    partitions: int = 64
+
+
+def table_options(connection: ConnectionSpec, table: str, schema: str | None = None, catalog: str | None = None) -> dict[str, str]:
+    """The connection's options and, unless it reads files, the table's name under the option its connector takes."""
+    if connection.root is not None:
+        return dict(connection.options)
+    name = ".".join(p for p in (catalog, schema, table) if p)
+    return {**connection.options, "table" if connection.type == "big_query" else "dbtable": name}
+
+
+def range_options(column: str, low: object, high: object, partitions: int) -> dict[str, str]:
+    """Options that read a JDBC table in ranges of a column; none if it has no values. Rows beyond the bounds, or null, are read, too."""
+    if low is None or high is None:
+        return {}
+    return {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(partitions)}
+
+
+def read_connection(spark: SparkSession, connection: ConnectionSpec, table: str, schema: str | None = None, catalog: str | None = None) -> DataFrame:
+    """A table of a connection. Filters and columns of later steps reach the reader as they do for any Spark source.
+
+    Reading in ranges costs one aggregate over the table's column in its database (Spark pushes it down).
+    """
+    if catalog and not schema:
+        raise SpecError("a catalog needs a schema")
+    options = table_options(connection, table, schema, catalog)
+    fmt = READER_FORMATS.get(connection.type, connection.type)
+    reader = spark.read.format(fmt)
+    if table in connection.schemas:
+        reader = reader.schema(connection.schemas[table])
+    if connection.root is not None:
+        parts = [p for p in (catalog, schema, table) if p]
+        if any("/" in p or p in (".", "..") for p in parts):
+            raise SpecError(f"{'.'.join(parts)!r} names no table of a connection")
+        return reader.options(**options).load("/".join([connection.root.rstrip("/"), *parts]))
+    if fmt == "jdbc" and table in connection.ranges:
+        column = connection.ranges[table]
+        bounds = spark.read.format(fmt).options(**options, pushDownAggregate="true").load().agg(F.min(quoted(column)), F.max(quoted(column))).first()
+        options |= range_options(column, *bounds, connection.partitions)
+    return reader.options(**options).load()
+
+
 MESSAGE = "value binary, partition int, offset long"
 UNDECODABLE = "_undecodable"
 
@@ -137,6 +193,8 @@ class Catalog:
     segments: dict[str, SegmentSpec] = dc_field(default_factory=dict)
     cohorts: dict[str, tuple[DataFrame, str]] = dc_field(default_factory=dict)
     topics: dict[str, TopicSpec] = dc_field(default_factory=dict)
+    #: Without any, tables are those of the session.
+    connections: dict[str, ConnectionSpec] = dc_field(default_factory=dict)
 
     def stream(self, spark: SparkSession, source: SourceSpec) -> DataFrame:
         """The records of a live source."""
@@ -159,6 +217,8 @@ class Catalog:
 
     def resolve(self, spark: SparkSession, source: SourceSpec) -> DataFrame:
         """The DataFrame of a batch source, with its segment or cohort restriction."""
+        if source.kind == "table" and self.connections and source.connection is not None:
+            return read_connection(spark, self._get("connections", source.connection), source.table, source.schema, source.catalog)
         if source.kind == "table":
             return read_table(spark, source.table, source.schema, source.catalog)
         if source.kind == "model":

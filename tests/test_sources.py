@@ -2,7 +2,9 @@ import pytest
 from conftest import rows, table
 
 from syncloom.plans.spec import DatasetSpec, SegmentSpec, SourceSpec, SpecError
-from syncloom.sources.readers import Catalog, profile_dataset, read_cohort, read_source, read_table, records_of
+from syncloom.sources.readers import (
+    Catalog, ConnectionSpec, profile_dataset, range_options, read_cohort, read_source, read_table, records_of, table_options,
+)
 
 
 def test_names_with_schema_and_odd_characters(spark):
@@ -43,6 +45,35 @@ def test_formats(spark, tmp_path):
     assert rows(df) == [(1, "x;y"), (2, None)]
 
 
+def connected(ident, table, **more):
+    return SourceSpec.from_config({"connection_id": ident, "object": {"type": "table", "table_name": table, **more}})
+
+
+def test_tables_of_connections(spark, tmp_path):
+    table(spark, "a int, b string", (1, "x;y"), (2, None)).write.option("sep", ";").csv(str(tmp_path / "files" / "s" / "t"))
+    table(spark, "a int", (7,)).write.json(str(tmp_path / "logs" / "t"))
+    table(spark, "a int", (9,)).createOrReplaceTempView("t")
+    catalog = Catalog(connections={
+        "1": ConnectionSpec("csv", {"sep": ";"}, str(tmp_path / "files"), {"t": "a int, b string"}),
+        "2": ConnectionSpec("json", root=str(tmp_path / "logs") + "/", schemas={"t": "a int"}),
+    })
+    assert rows(catalog.resolve(spark, connected(1, "t", table_schema="s"))) == [(1, "x;y"), (2, None)]
+    assert rows(catalog.resolve(spark, connected("2", "t"))) == [(7,)]
+    # without connections, and for sources that name none, tables are the session's
+    assert rows(Catalog().resolve(spark, connected(1, "t"))) == rows(catalog.resolve(spark, SourceSpec("table", table="t"))) == [(9,)]
+    for bad in (connected(3, "t"), connected(1, "../logs/t"), connected(1, "..", table_schema="s"), connected(1, "t", table_catalog="c")):
+        with pytest.raises(SpecError):
+            catalog.resolve(spark, bad)
+
+
+def test_options_of_databases():
+    db = ConnectionSpec("postgres", {"url": "jdbc:postgresql://db/x"}, ranges={"t": "id"}, partitions=4)
+    assert table_options(db, "t", "s", "c") == {"url": "jdbc:postgresql://db/x", "dbtable": "c.s.t"}
+    assert table_options(ConnectionSpec("big_query"), "t", "s") == {"table": "s.t"}
+    assert range_options("id", 1, 900, db.partitions) == {"partitionColumn": "id", "lowerBound": "1", "upperBound": "900", "numPartitions": "4"}
+    assert range_options("id", None, None, 4) == {}
+
+
 def test_messages_become_records(spark):
     messages = table(spark, "value string, partition int, offset bigint", ('{"k": 1, "v": "a"}', 0, 7), ("junk", 1, 8))
     messages = messages.withColumn("value", messages.value.cast("binary"))

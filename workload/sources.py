@@ -10,7 +10,7 @@ from syncloom.plans.spec import DatasetSpec, SegmentSpec, SourceSpec
 from syncloom.session import scratch_path
 from syncloom.sinks.files import export_file
 from syncloom.sinks.objects import ObjectStore
-from syncloom.sources.readers import Catalog, profile_dataset, read_cohort, read_dataset, read_source
+from syncloom.sources.readers import Catalog, ConnectionSpec, profile_dataset, read_cohort, read_dataset
 from workload.fixtures import FIXTURES, fixture, tables, with_fixtures
 from workload.registry import register
 
@@ -87,17 +87,19 @@ def src_cohort_spread(spark, sf_dir):
        union all select c_custkey, c_name, c_acctbal, 'parquet' from customer""",
 )
 def src_formats(spark, sf_dir):
+    """Four connections with one table each; definitions name them by id."""
     given = tables(spark, sf_dir, "customer").table("customer").select("c_custkey", "c_name", "c_acctbal")
-    parts = []
+    connections = {}
     for fmt in ("csv", "json", "orc", "parquet"):
-        path = scratch_path(spark, f"customer-{fmt}")
-        given.write.format(fmt).save(path)
-        reader = spark.read.schema(given.schema) if fmt in ("csv", "json") else None
-        df = reader.format(fmt).load(path) if reader else read_source(spark, fmt, {}, path)
-        parts.append(df.withColumn("format", F.lit(fmt)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        root = scratch_path(spark, f"connection-{fmt}")
+        given.write.format(fmt).save(f"{root}/crm/customer")
+        connections[fmt] = ConnectionSpec(fmt, root=root, schemas={"customer": given.schema} if fmt in ("csv", "json") else {})
+    catalog = Catalog(connections=connections)
+    out = None
+    for fmt in connections:
+        source = SourceSpec.from_config({"connection_id": fmt, "object": {"type": "table", "table_schema": "crm", "table_name": "customer"}})
+        part = catalog.resolve(spark, source).withColumn("format", F.lit(fmt))
+        out = part if out is None else out.unionByName(part)
     return out
 
 
