@@ -316,7 +316,7 @@ def spans_of(classes: list[bytes], _: list[bytes], answers: list[bytes]) -> pa.T
 def sample(texts: DataFrame, scheme: Scheme, keep: Callable[[Units, np.ndarray, np.ndarray], list[bytes]]) -> list[bytes]:
     """What ``keep`` makes of the anchors of a bounded sample of texts (about ``SAMPLE_BYTES``, whole texts by hash).
 
-    Only the balance of the partitions rests on it.
+    Only the balance of the partitions rests on it. A task makes one row of what it meets again and again, so frequent anchors cost no more than rare ones.
     """
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     share = min(1.0, SAMPLE_BYTES / max(1, size))
@@ -325,13 +325,16 @@ def sample(texts: DataFrame, scheme: Scheme, keep: Callable[[Units, np.ndarray,
     ship(texts.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
             for _, data, offsets in chunks(field(batch, "text")):
                 u = scheme.units(data, offsets)
                 _, anchors, _ = scheme.runs(u)
                 if len(anchors):
                     anchors = anchors[u.grams[anchors] % U64(every) == 0]
-                yield pa.RecordBatch.from_arrays([pa.array(keep(u, data, anchors), pa.binary())], ["s"])
+                fresh = set(keep(u, data, anchors)) - seen
+                seen |= fresh
+                yield pa.RecordBatch.from_arrays([pa.array(sorted(fresh), pa.binary())], ["s"])
 
     return [bytes(r["s"]) for r in some.mapInArrow(run, "s binary").distinct().collect()]
 

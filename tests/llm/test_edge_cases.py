@@ -13,7 +13,7 @@ from cases import ALNUM, LOWER, SCHEMA, SPACED, components, contamination, docum
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from syncloom.llm import decontamination, license_scan, mixing, ngram_join, sharding, suffix_dedup, suffix_trees, token_counts, topk_search, toxicity
+from syncloom.llm import decontamination, license_scan, mixing, ngram_join, repeats, sharding, suffix_dedup, suffix_trees, token_counts, topk_search, toxicity
 
 ROWS = documents()
 PLAIN = [(r[0], r[1]) for r in ROWS]
@@ -196,6 +196,15 @@ def test_substring_dedup(docs, empty, words):
     assert operator(empty).count() == 0
 
 
+def test_sample_of_a_frequent_passage(spark, monkeypatch):
+    texts = [(str(k).encode(), f"{k} " + " ".join(f"w{j}" for j in range(30))) for k in range(300)]
+    df = spark.createDataFrame(texts, "class binary, text string").coalesce(2)
+    made, distinct = [], type(df).distinct
+    monkeypatch.setattr(type(df), "distinct", lambda self: made.append(self.count()) or distinct(self))
+    some = repeats.sample(df, repeats.Scheme(13, 5, words=True), lambda u, data, at: [b"%d" % u.values[k] for k in at.tolist()])
+    assert len(some) == len(set(some)) and made[0] <= 2 * len(some)
+
+
 @pytest.mark.parametrize("words", [False, True])
 def test_substring_dedup_gives_texts_and_spans(docs, words):
     operator = suffix_trees.tree_dedup if words else suffix_dedup.suffix_dedup
