@@ -5,8 +5,10 @@
    Words that no frequent phrase can hold end a suffix.
 2. A prefix with more suffixes than the budget is continued by one more word, and so on; the counts of such prefixes, at most
    (all words / budget) a level, are exact and known to all.
-3. Every block sends each group its different suffixes, five words at most, with their counts. A group sorts what it got; runs of
-   suffixes that agree in d words are the tree's nodes at depth d, and a node's total is how often its phrase occurs.
+   Pairs of neighbouring words are counted first: a bin of pairs tells each block which of its pairs are frequent, and texts
+   are cut where a pair is not, for no longer frequent phrase reaches across.
+3. Every block sends each group its different suffixes, three to five words of such stretches, with their counts. A group sorts what it got; runs
+   of suffixes that agree in d words are the tree's nodes at depth d, and a node's total is how often its phrase occurs.
 4. Frequent phrases meet the counts of their parts and of their extensions by joins on the phrase.
 """
 
@@ -20,17 +22,19 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from syncloom.llm.blocks import joined, numbers, planes, split
+from syncloom.llm.blocks import joined, numbers, pack, planes, release, split, unpack
 from syncloom.llm.rows import field, ship
 from syncloom.llm.textops import LOWER, U64, chunks, distinct_words, mix, word_hash, word_spans
 from syncloom.operators.skew import join_unique
-from syncloom.session import scratch_path, stored
+from syncloom.session import discard, scratch_path, stored
 
 DEPTH, LEAST, TOP, COVER = 5, 100, 2000, 100
 BLOCK_BYTES, PART_BYTES, BUDGET = 2 << 20, 8 << 20, 1 << 17
 BATCH_BYTES = 4 << 20
 #: At most so many prefixes of a level are continued; with more words than this times the budget the budget grows instead.
 MOST_PREFIXES = 1 << 21
+#: Pairs of words in a bin, and suffixes in a partition of groups, about.
+BIN_PAIRS, PART_SUFFIXES = 1 << 22, 1 << 19
 BREAKS = np.zeros(256, bool)
 BREAKS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 WORD = ~BREAKS
@@ -39,6 +43,16 @@ WORD[[0x20, 0x09]] = False
 OWN, ASK, WORDS = 0, 1, 2
 ROWS = "kind int, block binary, lang string, part int, n long, body binary"
 RARE, SPLIT = 0, -1  # groups of words: not frequent, or a prefix that is continued
+CODEC = "zstd"
+
+
+def squeezed(*parts: bytes) -> bytes:
+    raw = joined(*parts)
+    return np.array([len(raw)], "<i8").tobytes() + pa.Codec(CODEC).compress(raw, asbytes=True)
+
+
+def unpacked(body: bytes) -> list[bytes]:
+    return split(pa.Codec(CODEC).decompress(body[8:], int(np.frombuffer(body, "<i8", 1)[0]), asbytes=True))
 
 
 def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -55,7 +69,9 @@ def bytes_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
 
 
 def block_rows(lang: str, name: bytes, texts: list[tuple[np.ndarray, np.ndarray]], parts: int) -> pa.RecordBatch:
-    """A block's rows: its words as numbers of its own vocabulary (0 between pieces), and per partition its words and counts."""
+    """A block's rows: its words as numbers of its own vocabulary (0 between pieces, the most frequent the smallest) with their places
+    there, and per partition its words and counts.
+    """
     data = np.concatenate([d for d, _ in texts])
     bases = np.cumsum([0, *(len(d) for d, _ in texts)])
     offsets = np.concatenate([[0], *(o[1:] + b for (_, o), b in zip(texts, bases))])
@@ -69,19 +85,20 @@ def block_rows(lang: str, name: bytes, texts: list[tuple[np.ndarray, np.ndarray]
     hashes = word_key(lang, data, starts[first], ends[first])
     part = ((hashes >> U64(32)) * U64(parts)) >> U64(32)
     order = np.argsort(part, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
     first, counts, part = first[order], counts[order], part[order].astype(np.int64)
+    often = np.argsort(-counts, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order[often]] = np.arange(len(order))
     fresh = np.flatnonzero(np.diff(piece)) + 1  # a 0 before every piece but the first
     stream = np.zeros(len(number) + len(fresh), np.int64)
     at = np.arange(len(number)) + np.searchsorted(fresh, np.arange(len(number)), "right")
-    stream[at] = place[number] + 1
-    rows = [(OWN, name, lang, -1, len(number), planes(stream, 4))]
+    stream[at] = rank[number] + 1
+    rows = [(OWN, name, lang, -1, len(number), squeezed(planes(stream, 4), planes(often, 4)))]
     edges = np.searchsorted(part, np.arange(parts + 1))
     for p in np.flatnonzero(np.diff(edges)).tolist():
         a, b = edges[p], edges[p + 1]
         s, e = starts[first[a:b]], ends[first[a:b]]
-        rows.append((ASK, name, lang, p, b - a, joined(bytes_of(data, s, e).tobytes(), planes(e - s, 4), planes(counts[a:b], 4))))
+        rows.append((ASK, name, lang, p, b - a, squeezed(bytes_of(data, s, e).tobytes(), planes(e - s, 4), planes(counts[a:b], 4))))
     return batch_of(rows)
 
 
@@ -137,7 +154,7 @@ def vocabulary(rows: DataFrame, least: int, budget: int) -> DataFrame:
         langs = table["lang"].to_pylist()
         for lang in sorted(set(langs)):
             some = table.filter(pa.array([x == lang for x in langs]))
-            asks = [split(b) for b in some["body"].to_pylist()]
+            asks = [unpacked(b) for b in some["body"].to_pylist()]
             data = np.frombuffer(b"".join(a[0] for a in asks), np.uint8)
             ends = np.cumsum(np.concatenate([numbers(a[1], 4).astype(np.int64) for a in asks]))
             starts = np.concatenate([[0], ends[:-1]])
@@ -160,13 +177,37 @@ def vocabulary(rows: DataFrame, least: int, budget: int) -> DataFrame:
             for block, n in zip(some["block"].to_pylist(), some["n"].to_pylist()):
                 mine = number[at : at + n]
                 at += n
-                out.append((ASK, block, lang, p, n, joined(planes(ids[mine], 8), planes(groups[mine], 8))))
+                out.append((ASK, block, lang, p, n, squeezed(planes(ids[mine], 8), planes(groups[mine], 8))))
         return pa.Table.from_batches([batch_of(out)])
 
     return rows.where(F.col("kind") == ASK).groupBy("part").applyInArrow(in_part, ROWS)
 
 
-ENCODED = "lang string, n long, ids binary, groups binary, stream binary"
+ENCODED = "block binary, lang string, ids binary, groups binary, stream binary"
+
+
+def encoded_row(block: bytes, lang: str, ids: np.ndarray, groups: np.ndarray, stream: np.ndarray) -> pa.Table:
+    """A block with the words that its stream still has; no row without any."""
+    left = np.bincount(stream, minlength=len(ids) + 1)[1:] > 0
+    place = np.concatenate([[0], np.cumsum(left) * left])
+    columns = [[block], [lang], [planes(ids[left], 8)], [planes(groups[left], 8)], [squeezed(planes(place[stream], 4))]]
+    kinds = (pa.binary(), pa.string(), pa.binary(), pa.binary(), pa.binary())
+    return pa.table([pa.array(c if len(stream) else [], k) for c, k in zip(columns, kinds)], ["block", "lang", "ids", "groups", "stream"])
+
+
+def decoded(ids: bytes, groups: bytes, stream: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return numbers(ids, 8).astype(np.int64), numbers(groups, 8).astype(np.int64), numbers(unpacked(stream)[0], 4).astype(np.int64)
+
+
+def stretches(stream: np.ndarray, least: int) -> np.ndarray:
+    """Stretches of ``least`` words at least, one 0 behind each."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], stream > 0, [False]]).astype(np.int8)))
+    first, end = edge[::2], edge[1::2]
+    some = end - first >= least
+    step = np.zeros(len(stream) + 2, np.int64)
+    step[first[some]] = 1
+    step[end[some] + 1] -= 1
+    return stream[np.cumsum(step)[: len(stream)] > 0]
 
 
 def encoded(rows: DataFrame, answers: DataFrame) -> DataFrame:
@@ -175,26 +216,125 @@ def encoded(rows: DataFrame, answers: DataFrame) -> DataFrame:
     def in_block(table: pa.Table) -> pa.Table:
         kinds, bodies, parts = (table[c].to_pylist() for c in ("kind", "body", "part"))
         own = kinds.index(OWN)
-        found = [split(bodies[k]) for k in sorted((k for k, kind in enumerate(kinds) if kind == ASK), key=parts.__getitem__)]
+        found = [unpacked(bodies[k]) for k in sorted((k for k, kind in enumerate(kinds) if kind == ASK), key=parts.__getitem__)]
         ids = np.concatenate([numbers(f[0], 8) for f in found]).astype(np.int64)
         groups = np.concatenate([numbers(f[1], 8) for f in found]).astype(np.int64)
-        stream = numbers(bodies[own], 4).astype(np.int64)
-        if len(stream) and int(stream.max()) > len(ids):
+        stream, of = (numbers(x, 4).astype(np.int64) for x in unpacked(bodies[own]))
+        if len(of) != len(ids):
             raise ValueError("a block's words have no answer: its input changed between two runs of a task")
+        ids, groups = ids[of], groups[of]
         often = np.flatnonzero(ids)
         place = np.zeros(len(ids) + 1, np.int64)
         place[often + 1] = np.arange(len(often)) + 1
-        stream = place[stream]
-        # a 0 after a 0, or at either end, says nothing; neither does a word between two of them
-        keep = np.ones(len(stream), bool)
-        keep[1:] = (stream[1:] != 0) | (stream[:-1] != 0)
-        columns = [table["lang"][own].as_py(), table["n"][own].as_py(), planes(ids[often], 8), planes(groups[often], 8), planes(stream[keep], 4)]
-        return pa.table([pa.array([c], k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], ["lang", "n", "ids", "groups", "stream"])
+        return encoded_row(table["block"][own].as_py(), table["lang"][own].as_py(), ids[often], groups[often], stretches(place[stream], 2))
 
     both = rows.where(F.col("kind") == OWN).unionByName(answers.where(F.col("kind") == ASK))
     return both.groupBy("block").applyInArrow(in_block, ENCODED)
 
 
+def pairs_of(ids: np.ndarray, groups: np.ndarray, stream: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of neighbouring words of a block: the words' numbers in order, the different pairs in order as places among them, how often
+    each occurs, its bin, where pairs begin in the stream, and which one begins there.
+
+    Pairs go by their first word's group, those of a continued prefix by their hash.
+    """
+    order = np.argsort(ids)
+    rank = np.empty(len(ids), np.int64)
+    rank[order] = np.arange(len(ids))
+    at = np.flatnonzero((stream[:-1] > 0) & (stream[1:] > 0))
+    code, which, n = np.unique(rank[stream[at] - 1] * len(ids) + rank[stream[at + 1] - 1], return_inverse=True, return_counts=True)
+    pair = np.stack(np.divmod(code, max(1, len(ids))), 1)
+    names, group = ids[order], groups[order][pair[:, 0]]
+    part = np.where(group == SPLIT, bin_of(names[pair], bins), (mix(group.astype(U64)) % U64(bins)).astype(np.int64))
+    return names, pair, n, part, at, which
+
+
+def pair_asks(texts: DataFrame, bins: int) -> DataFrame:
+    """From each block to each bin one row: its different pairs, with a vocabulary of their own, and how often each occurs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                block, lang, *packed = (field(batch, c)[k].as_py() for c in ("block", "lang", "ids", "groups", "stream"))
+                names, pair, n, part, _, _ = pairs_of(*decoded(*packed), bins)
+                order = np.argsort(part, kind="stable")
+                edges = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
+                rows = []
+                for a, b in zip(edges.tolist(), edges[1:].tolist()):
+                    mine = order[a:b]
+                    own, inside = np.unique(pair[mine], return_inverse=True)
+                    first, second = inside.reshape(-1, 2).T
+                    body = squeezed(pack(names[own].astype(U64)), planes(np.diff(first, prepend=0), 4), planes(second, 4), planes(n[mine], 4))
+                    rows.append((ASK, block, lang, int(part[mine[0]]), b - a, body))
+                yield batch_of(rows)
+
+    return texts.mapInArrow(run, ROWS)
+
+
+def pair_answers(asks: DataFrame, least: int) -> DataFrame:
+    """To every block a bit for each of its pairs, whether it is frequent; and the frequent pairs themselves with their counts."""
+
+    def in_bin(table: pa.Table) -> pa.Table:
+        bodies = [unpacked(b) for b in table["body"].to_pylist()]
+        own = [unpack(b[0]) for b in bodies]
+        names, place = np.unique(np.concatenate(own), return_inverse=True)
+        base = np.cumsum([0, *map(len, own)]).tolist()
+        first = np.concatenate([place[x + np.cumsum(numbers(b[1], 4), dtype=np.int64)] for x, b in zip(base, bodies)])
+        second = np.concatenate([place[x + numbers(b[2], 4).astype(np.int64)] for x, b in zip(base, bodies)])
+        code, which = np.unique(first * len(names) + second, return_inverse=True)
+        total = np.bincount(which, np.concatenate([numbers(b[3], 4) for b in bodies]), len(code)).astype(np.int64)
+        often = np.flatnonzero(total >= least)
+        bits = (total >= least)[which]
+        lang, p = table["lang"][0].as_py(), table["part"][0].as_py()
+        out = [(WORDS, b"", lang, p, len(often), joined(keys_of(names[np.stack(np.divmod(code[often], len(names)), 1)]).tobytes(), planes(total[often], 8)))]
+        at = 0
+        for block, n in zip(table["block"].to_pylist(), table["n"].to_pylist()):
+            out.append((ASK, block, lang, p, n, np.packbits(bits[at : at + n]).tobytes()))
+            at += n
+        return pa.Table.from_batches([batch_of(out)])
+
+    return asks.groupBy("lang", "part").applyInArrow(in_bin, ROWS)
+
+
+def pairs_from(answers: DataFrame) -> DataFrame:
+    """The frequent pairs, as phrases."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, body in zip(field(batch, "lang").to_pylist(), field(batch, "body").to_pylist()):
+                keys, total = split(body)
+                n = len(keys) // 16
+                yield phrase_batch([lang] * n, [2] * n, [keys[16 * k : 16 * k + 16] for k in range(n)], numbers(total, 8).tolist())
+
+    return answers.where(F.col("kind") == WORDS).select("lang", "body").mapInArrow(run, PHRASES)
+
+
+def cut(texts: DataFrame, answers: DataFrame, bins: int) -> DataFrame:
+    """The blocks with a 0 between the words of every pair that is not frequent, and of their stretches those of three words at least."""
+
+    def in_block(table: pa.Table) -> pa.Table:
+        parts = table["part"].to_pylist()
+        own = parts.index(-1)
+        block, lang, *packed = (table[c][own].as_py() for c in ("block", "lang", "ids", "groups", "stream"))
+        ids, groups, stream = decoded(*packed)
+        _, pair, _, part, at, which = pairs_of(ids, groups, stream, bins)
+        order = np.argsort(part, kind="stable")
+        if set(parts) - {-1} != set(part.tolist()):
+            raise ValueError("a block's pairs have no answer")
+        often = np.zeros(len(pair), bool)
+        for p, bits in zip(parts, table["stream"].to_pylist()):
+            if p >= 0:
+                a, b = np.searchsorted(part, [p, p + 1], sorter=order)
+                often[order[a:b]] = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a).astype(bool)
+        stream = np.insert(stream, at[~often[which]] + 1, 0)
+        return encoded_row(block, lang, ids, groups, stretches(stream, 3))
+
+    own = texts.withColumn("part", F.lit(-1))
+    none = F.lit(None).cast("binary")
+    asked = answers.where(F.col("kind") == ASK).select("block", "lang", none.alias("ids"), none.alias("groups"), F.col("body").alias("stream"), "part")
+    return own.unionByName(asked).groupBy("block").applyInArrow(in_block, ENCODED)
+
+
 def suffixes(stream: np.ndarray, depth: int) -> np.ndarray:
     """Each word with the words after it, ``depth`` in all, 0 behind the end; only those of two words at least."""
     padded = np.concatenate([stream, np.zeros(depth, np.int64)]).astype(np.int32)
@@ -247,9 +387,6 @@ def phrase_batch(lang: list[str], depth: list[int], keys: list[bytes], f: list[i
 SUFFIXES = "lang string, grp long, body binary"
 
 
-CODEC = "zstd"
-
-
 def suffix_body(names: np.ndarray, table: np.ndarray, counts: np.ndarray, deep: np.ndarray) -> bytes:
     """Suffixes with a vocabulary of their own, as packed columns; the words of most suffixes have the smallest places."""
     own, inside = np.unique(table, return_inverse=True)
@@ -257,12 +394,7 @@ def suffix_body(names: np.ndarray, table: np.ndarray, counts: np.ndarray, deep:
     place = np.empty(len(own), np.int64)
     place[order] = np.arange(len(own))
     inside = place[inside].reshape(table.shape)
-    raw = joined(planes(names[own[order]], 8), planes(counts, 4), planes(deep, 1), *(planes(inside[:, k], 4) for k in range(table.shape[1])))
-    return np.array([len(raw)], "<i8").tobytes() + pa.Codec(CODEC).compress(raw, asbytes=True)
-
-
-def unpacked(body: bytes) -> list[bytes]:
-    return split(pa.Codec(CODEC).decompress(body[8:], int(np.frombuffer(body, "<i8", 1)[0]), asbytes=True))
+    return squeezed(planes(names[own[order]], 8), planes(counts, 4), planes(deep, 1), *(planes(inside[:, k], 4) for k in range(table.shape[1])))
 
 
 def bodies_of(bodies: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -305,30 +437,32 @@ def bin_of(phrases: np.ndarray, bins: int) -> np.ndarray:
     return (hashed % U64(bins)).astype(np.int64)
 
 
-def continued(spark: SparkSession, texts: DataFrame, words: DataFrame, budget: int, bins: int, depth: int) -> tuple[list[np.ndarray], DataFrame]:
-    """Prefixes of each length that have more suffixes than the budget, sorted, and those of two words or more with their counts.
+def continued(spark: SparkSession, texts: DataFrame, words: DataFrame, pairs: DataFrame, budget: int, bins: int, depth: int) -> tuple[list[np.ndarray], DataFrame]:
+    """Prefixes of each length that have more suffixes than the budget, sorted, and those of three words or more with their counts.
 
-    A prefix's one-word continuations are counted over all blocks if it is such a prefix itself: a block sends each bin its different ones
-    with their counts in one row, so a level exchanges at most one continuation per word. What comes to the driver is at most
-    (all words / budget) prefixes a level, and no more than ``MOST_PREFIXES``.
+    Words and pairs are counted already. A longer prefix's one-word continuations are counted over all blocks if it is such a prefix itself: a block
+    sends each bin its different ones with their counts in one row, so a level exchanges at most one continuation per word. What comes to the driver
+    is at most (all words / budget) prefixes a level, and no more than ``MOST_PREFIXES``.
     """
-    level = [bytes(r["key"]) for r in words.where(F.col("f") > budget).select("key").collect()]
     levels, tables = [], [spark.createDataFrame([], PHRASES)]
     for d in range(1, depth):
+        often = words if d == 1 else pairs if d == 2 else tables[-1]
+        level = [bytes(r["key"]) for r in often.where(F.col("f") > budget).select("key").collect()]
         if not level:
             break
         levels.append(known_phrases(level, d))
-        if d == depth - 1:
-            break
+        if d in (1, depth - 1):
+            continue
         shared = spark.sparkContext.broadcast(levels)
 
         def run(batches: Iterator[pa.RecordBatch], d: int = d, shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
             for batch in batches:
                 for k in range(batch.num_rows):
-                    lang, ids, stream = (field(batch, c)[k].as_py() for c in ("lang", "ids", "stream"))
-                    names = np.concatenate([[0], numbers(ids, 8).astype(np.int64)])
+                    lang, *packed = (field(batch, c)[k].as_py() for c in ("lang", "ids", "groups", "stream"))
+                    ids, _, stream = decoded(*packed)
+                    names = np.concatenate([[0], ids])
                     known = members(names[:, None], shared.value[0])
-                    table = suffixes(numbers(stream, 4), d + 1)
+                    table = suffixes(stream, d + 1)
                     places, n = counted(table[(table[:, d] > 0) & known[table[:, 0]]])
                     below = np.flatnonzero(members(names[places[:, :d]], shared.value[d - 1]))
                     if len(below):
@@ -341,21 +475,19 @@ def continued(spark: SparkSession, texts: DataFrame, words: DataFrame, budget: i
             keys = [bytes(k) for k in keys_of(names[places[often]])] if len(often) else []
             return pa.Table.from_batches([phrase_batch([table["lang"][0].as_py()] * len(often), [d + 1] * len(often), keys, f[often].tolist())])
 
-        counts = texts.select("lang", "ids", "stream").mapInArrow(run, SUFFIXES)
-        often = stored(counts.groupBy("lang", "grp").applyInArrow(in_bin, PHRASES), scratch_path(spark, "prefixes"))
-        tables.append(often)
-        level = [bytes(r["key"]) for r in often.select("key").collect()]
+        counts = texts.mapInArrow(run, SUFFIXES)
+        tables.append(stored(counts.groupBy("lang", "grp").applyInArrow(in_bin, PHRASES), scratch_path(spark, "prefixes")))
     out = tables[0]
     for t in tables[1:]:
         out = out.unionByName(t)
     return levels, out
 
 
-def dealt(texts: DataFrame, levels: list[np.ndarray], budget_bins: int, depth: int) -> DataFrame:
-    """To each group, from each block, its different suffixes in order with their counts, and how many leading words of each are a
-    continued prefix.
+def dealt(texts: DataFrame, levels: list[np.ndarray], parts: int, depth: int) -> DataFrame:
+    """To each partition of groups, from each block, its different suffixes in order with their counts, and how many leading words of each
+    are counted already: two, or a continued prefix.
 
-    The group of a suffix is its first word's, or, below a continued prefix, one by the hash of the prefix with one more word.
+    The group of a suffix is its first word's, or, below a continued prefix, the prefix with one more word; partitions go by its hash.
     """
     shared = texts.sparkSession.sparkContext.broadcast(levels)
 
@@ -369,18 +501,21 @@ def dealt(texts: DataFrame, levels: list[np.ndarray], budget_bins: int, depth: i
         hashed = np.zeros(len(hot), U64)
         for k in range(depth):
             hashed = np.where(k <= level, mix(hashed + some[:, k].astype(U64)), hashed)
-        group[hot], deep[hot] = -1 - (hashed % U64(budget_bins)).astype(np.int64), level
-        return group, deep
+        group = (mix(group.astype(U64)) % U64(parts)).astype(np.int64)
+        group[hot], deep[hot] = (hashed % U64(parts)).astype(np.int64), level
+        return group, np.maximum(deep, 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for given in batches:
             for k in range(given.num_rows):
-                lang, ids, groups, stream = (field(given, c)[k].as_py() for c in ("lang", "ids", "groups", "stream"))
-                names = np.concatenate([[0], numbers(ids, 8).astype(np.int64)])
-                table, n = counted(suffixes(numbers(stream, 4), depth))
+                lang, *packed = (field(given, c)[k].as_py() for c in ("lang", "ids", "groups", "stream"))
+                ids, groups, stream = decoded(*packed)
+                names = np.concatenate([[0], ids])
+                table = suffixes(stream, depth)
+                table, n = counted(table[(table > 0).sum(1) > 2])
                 if not len(table):
                     continue
-                group, deep = grouped(names, np.concatenate([[0], numbers(groups, 8).astype(np.int64)]), table)
+                group, deep = grouped(names, np.concatenate([[0], groups]), table)
                 some = np.flatnonzero((table > 0).sum(1) > deep)
                 if len(some):
                     yield from sent(lang, names, table[some], n[some], deep[some], group[some])
@@ -408,7 +543,7 @@ def subtree(table: np.ndarray, counts: np.ndarray, deep: np.ndarray, least: int)
 
 
 def phrases(dealt_out: DataFrame, least: int, depth: int) -> DataFrame:
-    """``lang, depth, key, f`` of the frequent phrases of two words or more below the continued prefixes."""
+    """``lang, depth, key, f`` of the frequent phrases of three words or more below the continued prefixes."""
 
     def in_group(table: pa.Table) -> pa.Table:
         names, suffix, counts, deep = bodies_of(table["body"].to_pylist(), depth)
@@ -498,17 +633,34 @@ def collocations(
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(docs[f"`{text}`"].cast("string")))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
-    rows = stored(blocks(docs, text, lang, parts, block_bytes), scratch_path(spark, "blocks"))
+    at = {name: scratch_path(spark, name) for name in ("blocks", "vocabulary", "encoded", "pairs", "cut")}
+
+    def over(*names: str) -> None:
+        for name in names:
+            discard(spark, at[name])
+        release(spark)
+
+    rows = stored(blocks(docs, text, lang, parts, block_bytes), at["blocks"])
     totals = stored(rows.where(F.col("kind") == OWN).groupBy("lang").agg(F.sum("n").alias("n")), scratch_path(spark, "totals"))
-    budget = max(budget, (totals.agg(F.sum("n")).first()[0] or 0) // MOST_PREFIXES)
-    answers = stored(vocabulary(rows, least, budget), scratch_path(spark, "vocabulary"))
-    texts = stored(encoded(rows, answers), scratch_path(spark, "encoded"))
+    n_words = totals.agg(F.sum("n")).first()[0] or 0
+    budget = max(budget, n_words // MOST_PREFIXES)
+    answers = stored(vocabulary(rows, least, budget), at["vocabulary"])
+    release(spark)
+    texts = stored(encoded(rows, answers), at["encoded"])
     words = stored(words_of(answers), scratch_path(spark, "words"))
-    hot = words.where(F.col("f") > budget).agg(F.sum("f")).first()[0] or 0
-    bins = max(1, 2 * hot // budget)
-    levels, above = continued(spark, texts, words, budget, bins, depth)
-    found = phrases(dealt(texts, levels, bins, depth), least, depth).unionByName(above.where(F.col("f") >= least))
+    over("blocks", "vocabulary")
+    bins = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_words // BIN_PAIRS)
+    answers = stored(pair_answers(pair_asks(texts, bins), least), at["pairs"])
+    release(spark)
+    pairs = stored(pairs_from(answers), scratch_path(spark, "phrases"))
+    texts = stored(cut(texts, answers, bins), at["cut"])
+    over("encoded", "pairs")
+    often, hot = (x.agg(F.sum("f"), F.sum(F.when(F.col("f") > budget, F.col("f")))).first() for x in (pairs, words))
+    levels, above = continued(spark, texts, words, pairs, budget, max(1, 2 * (hot[1] or 0) // budget), depth)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (often[0] or 0) // PART_SUFFIXES)
+    found = phrases(dealt(texts, levels, parts, depth), least, depth).unionByName(above.where(F.col("f") >= least)).unionByName(pairs)
     found = stored(found, scratch_path(spark, "phrases"))
+    over("cut")
     done = scored(found, words, totals, depth).join(covered(found, cover), "key", "left").where(F.col("most").isNull() | (F.col("most") < cover * F.col("a"))).drop("most")
     # ties at the last rank stay until phrases are spelled out
     by = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))

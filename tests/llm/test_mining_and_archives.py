@@ -111,6 +111,29 @@ def test_collocations(spark, budget, cover, few_partitions):
     assert counted(got, *got.columns) == brute_collocations(texts, 4, 60, cover, 5)
 
 
+def test_suffixes_are_sent_only_where_pairs_are_frequent(spark, few_partitions, monkeypatch):
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(rng.choices(words, k=40)) + (" one two three, four five" if k % 2 else ".") for k in range(60)]
+    pairs = Counter(p for t in texts for piece in re.split("[.,]", t) for w in [piece.split()] for p in zip(w, w[1:]))
+    want = 0
+    for w in (piece.split() for t in texts for piece in re.split("[.,]", t)):
+        good = [pairs[p] >= 20 for p in zip(w, w[1:])]
+        want += sum(a and b for a, b in zip(good, good[1:]))
+    made, dealt = [], collocations.dealt
+
+    def spy(*given):
+        out = dealt(*given)
+        made.extend(collocations.bodies_of([bytes(r["body"])], given[-1])[2].sum() for r in out.collect())
+        return out
+
+    monkeypatch.setattr(collocations, "dealt", spy)
+    df = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").repartition(3)
+    got = collocations.collocations(df, 20, block_bytes=2000)
+    assert counted(got, *got.columns) == brute_collocations([("en", t) for t in texts], 20, 2000, 100, 5)
+    assert sum(made) == want == 30 and len(pairs) > 1000
+
+
 def test_collocations_of_nothing(spark, docs, empty, few_partitions):
     assert collocations.collocations(empty).count() == 0
     assert collocations.collocations(docs, 10**6).count() == 0
